@@ -11,6 +11,8 @@ from math import ceil, sqrt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartstream.schemas import INT, STRING, struct
+
 ROW = "_row"
 
 # A key is hot when it holds more than 1/parts of its table's rows, so a table
@@ -119,7 +121,7 @@ def spread_left_join(
         return left.join(right.drop("_right_row"), key, "left")
 
     spark = left.sparkSession
-    schema = left.select(key).schema.add("_lefts", "int").add("_rights", "int")
+    schema = struct({key: STRING, "_lefts": INT, "_rights": INT})
     # Fewer than 2 x MAX_PARTS rows, whatever the tables' size.
     cuts = F.broadcast(spark.createDataFrame(_cuts(left_hot, right_hot), schema))
 

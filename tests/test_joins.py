@@ -1,0 +1,141 @@
+"""Journey joins, with and without hot keys, against plain rules in Python."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartstream.operators.spread import ROW, hot_keys, part_count, spread_left_join, with_row
+from cartstream.plans.journey import journey, journey_count, journey_wide
+from cartstream.schemas import TABLE_SCHEMAS
+
+CLICK = "user_id string, session_id string, page string, timestamp timestamp_ntz, device string, action string"
+
+
+def tables(spark, clicks, users, transactions):
+    blank = {
+        name: spark.createDataFrame([], TABLE_SCHEMAS[name])
+        for name in ("clickstream", "users", "transactions")
+    }
+
+    def filled(name, columns, rows):
+        some = spark.createDataFrame(rows, ", ".join(columns))
+        return blank[name].unionByName(some, allowMissingColumns=True)
+
+    return (
+        filled("clickstream", ("user_id string", "session_id string", "page string"), clicks),
+        filled("users", ("user_id string", "email string"), users),
+        filled(
+            "transactions",
+            ("user_id string", "session_id string", "transaction_amount double"),
+            transactions,
+        ),
+    )
+
+
+def by_hand(clicks, users, transactions):
+    rows = []
+    for user, session, page in clicks:
+        emails = [email for known, email in users if user is not None and known == user] or [None]
+        paid = [
+            amount
+            for _, known, amount in transactions
+            if session is not None and known == session
+        ] or [None]
+        rows += [(user, session, page, amount, email) for email in emails for amount in paid]
+    return Counter(rows)
+
+
+def check(spark, clicks, users, transactions):
+    frames = tables(spark, clicks, users, transactions)
+    expected = by_hand(clicks, users, transactions)
+    assert Counter(map(tuple, journey(*frames).collect())) == expected
+    assert journey_count(*frames).first()[0] == sum(expected.values())
+    wide = journey_wide(*frames).select(
+        "user_id", "session_id", "page", "transaction_amount", "email"
+    )
+    assert Counter(map(tuple, wide.collect())) == expected
+    return sum(expected.values())
+
+
+def test_duplicates_multiply(spark):
+    clicks = [("u", "s", "/a"), ("u", "s", "/b")]
+    users = [("u", "1@x"), ("u", "2@x")]
+    assert check(spark, clicks, users, [("u", "s", 1.0), ("v", "s", 2.0)]) == 8
+
+
+def test_missing_keys_and_matches_keep_the_click(spark):
+    clicks = [(None, None, "/a"), ("u", None, "/b"), (None, "s", "/c"), ("w", "t", "/d")]
+    users = [("u", "1@x"), (None, "2@x")]
+    assert check(spark, clicks, users, [("u", "s", 1.0), ("u", None, 2.0)]) == 4
+
+
+def test_empty_tables(spark):
+    assert check(spark, [], [("u", "1@x")], [("u", "s", 1.0)]) == 0
+    assert check(spark, [("u", "s", "/a")], [], []) == 1
+
+
+@pytest.mark.parametrize("hot", ["user", "session_left", "session_right", "both", "null", "copies"])
+def test_a_key_with_a_third_of_the_rows(spark, hot):
+    rng = random.Random(hot)
+    clicks = [(f"u{rng.randrange(40)}", f"s{rng.randrange(60)}", "/p") for _ in range(300)]
+    users = [(f"u{n}", f"{n}@x") for n in range(50)]
+    paid = [(f"u{rng.randrange(40)}", f"s{rng.randrange(90)}", float(n)) for n in range(120)]
+    if hot == "user":
+        clicks += [("u1", f"s{n}", "/hot") for n in range(150)]
+    if hot in ("session_left", "both"):
+        clicks += [(f"u{n % 40}", "s1", "/hot") for n in range(150)]
+    if hot in ("session_right", "both"):
+        paid += [("u1", "s1", float(n)) for n in range(60)]
+    if hot == "null":
+        clicks += [(None, None, f"/{n}") for n in range(150)]
+        paid += [("u1", None, float(n)) for n in range(60)]
+    if hot == "copies":
+        clicks += [("u1", "s1", "/same")] * 150
+        users += [("u1", "same@x")] * 25
+    check(spark, clicks, users, paid)
+
+
+def test_hot_keys_are_found(spark):
+    keys = ["hot"] * 400 + [None] * 300 + [f"k{n}" for n in range(300)]
+    frame = spark.createDataFrame([(key, "one") for key in keys], "k string, c string")
+    found = hot_keys(frame, "k", "c")
+    parts = part_count(spark)
+    assert found["k"] == {"hot": -(-400 * parts // 1000), None: -(-300 * parts // 1000)}
+    assert found["c"] == {"one": parts}
+    assert hot_keys(frame.limit(0), "k", "c") == {"k": {}, "c": {}}
+
+
+def test_nothing_hot_is_a_plain_join(spark):
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    left, right = with_row(keys), with_row(keys.withColumn("v", F.lit(1)))
+    assert hot_keys(keys, "k") == {"k": {}}
+    joined = spread_left_join(left, right, "k", {}, {})
+    assert joined.columns == ["k", ROW, "v"] and joined.count() == 1000
+
+
+def test_hot_rows_reach_many_partitions(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = spark.range(8000).select(
+            F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"),
+        )
+        right = spark.createDataFrame([("hot", 1), ("0", 2)], "k string, v int")
+        joined = spread_left_join(
+            with_row(left), with_row(right), "k", hot_keys(left, "k")["k"], {}
+        )
+        sizes = [
+            row["count"]
+            for row in joined.where("k = 'hot'")
+            .groupBy(F.spark_partition_id())
+            .count()
+            .collect()
+        ]
+        assert sum(sizes) == 5333 and len(sizes) >= 3 and max(sizes) < 5333 * 0.7
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
