@@ -1,0 +1,172 @@
+"""Panels on hand-written rows, on nothing, and live."""
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from cartstream.plans.panels import PANELS
+from cartstream.schemas import CLICKSTREAM, ITEMS, TABLE_SCHEMAS, TOPICS, USERS
+from cartstream.sources import Lake, TextTopic, read_table
+from cartstream.streaming import AVAILABLE_NOW, read_live, start_landing, start_live
+
+DAY = dt.date(2025, 1, 2)
+
+
+def table(spark, name, columns, rows):
+    some = spark.createDataFrame(rows, columns)
+    return spark.createDataFrame([], TABLE_SCHEMAS[name]).unionByName(
+        some, allowMissingColumns=True
+    )
+
+
+def rows(frame):
+    return [tuple(row) for row in frame.collect()]
+
+
+@pytest.mark.parametrize(
+    "name, expected",
+    [
+        ("total_users", [(0,)]),
+        ("new_users_today", [(0,)]),
+        ("revenue_today", [(0.0,)]),
+        ("top_locations", []),
+        ("top_pages", []),
+        ("top_categories", []),
+        ("revenue_by_category", []),
+    ],
+)
+def test_nothing_landed(spark, folder, name, expected):
+    panel = PANELS[name]
+    empty = read_table(spark, Lake(f"{folder}/none"), panel.table)
+    assert rows(panel.run(empty)) == expected
+    assert rows(panel.run(empty, DAY)) == expected
+
+
+def test_today(spark):
+    at = dt.datetime
+    users = table(
+        spark,
+        "users",
+        "user_id string, registered_at timestamp_ntz",
+        [
+            ("a", at(2025, 1, 1, 23, 59, 59)),
+            ("b", at(2025, 1, 2)),
+            ("c", at(2025, 1, 2, 23, 59, 59)),
+            ("d", at(2025, 1, 3)),
+            ("e", None),
+        ],
+    )
+    assert rows(PANELS["new_users_today"].run(users, DAY)) == [(2,)]
+    assert rows(PANELS["new_users_today"].run(users, dt.date(2030, 1, 1))) == [(0,)]
+    assert rows(PANELS["new_users_today"].run(users)) == [(0,)]
+    assert rows(PANELS["total_users"].run(users)) == [(5,)]
+    now = users.withColumn("registered_at", F.current_date().cast("timestamp_ntz"))
+    assert rows(PANELS["new_users_today"].run(now)) == [(5,)]
+
+
+def test_revenue_today_counts_successful_payments(spark):
+    morning = dt.datetime(2025, 1, 2, 8)
+    paid = table(
+        spark,
+        "transactions",
+        "transaction_amount double, payment_status string, timestamp timestamp_ntz",
+        [
+            (150000.0, "successful", morning),
+            (50000.0, "failed", morning),
+            (25000.0, None, morning),
+            (None, "successful", morning),
+            (70000.0, "successful", dt.datetime(2025, 1, 3)),
+        ],
+    )
+    assert rows(PANELS["revenue_today"].run(paid, DAY)) == [(1.5,)]
+    nothing = paid.where("transaction_amount IS NULL")
+    assert rows(PANELS["revenue_today"].run(nothing, DAY)) == [(0.0,)]
+
+
+def test_null_comes_first_and_ties_go_by_name(spark):
+    items = table(
+        spark,
+        ITEMS,
+        "product_category string, quantity int, product_spend double",
+        [
+            *((name, 2, 100000.0) for name in "gfedcba"),
+            ("odd", None, None),
+            (None, 9, 900000.0),
+        ],
+    )
+    top = rows(PANELS["top_categories"].run(items))
+    assert top == [("odd", None), (None, 9), ("a", 2), ("b", 2), ("c", 2)]
+    revenue = rows(PANELS["revenue_by_category"].run(items))
+    assert revenue[:3] == [("odd", None), (None, 9.0), ("a", 1.0)] and len(revenue) == 9
+    total = items.agg(F.sum("product_spend") / 100000.0).first()[0]
+    assert sum(value or 0 for _, value in revenue) == total
+
+
+def test_locations_need_a_comma(spark):
+    users = table(
+        spark,
+        "users",
+        "location string",
+        [("Pune, MH",), ("Mumbai, MH",), ("Delhi",), ("X,",), ("Y, Z, W",), (None,)],
+    )
+    assert rows(PANELS["top_locations"].run(users)) == [("MH", 2), ("", 1), ("Z", 1)]
+
+
+def test_pages_without_a_name_are_a_group(spark):
+    clicks = table(spark, "clickstream", "page string", [("/a",), (None,), (None,)])
+    assert rows(PANELS["top_pages"].run(clicks)) == [(None, 2), ("/a", 1)]
+
+
+def test_page_counts_add_up(spark):
+    clicks = spark.range(1000).select(F.concat(F.lit("/"), F.col("id") % 7).alias("page"))
+    counted = PANELS["top_pages"].totals(clicks)
+    assert counted.agg(F.sum("visits")).first()[0] == 1000
+
+
+class Live:
+    def __init__(self, spark, folder, topic):
+        self.spark, self.topic = spark, topic
+        self.lake, self.path = Lake(f"{folder}/lake"), f"{folder}/topic"
+        os.makedirs(self.path)
+
+    def send(self, name, messages):
+        with open(f"{self.path}/{name}.txt", "w") as file:
+            file.writelines(json.dumps(message) + "\n" for message in messages)
+        start_landing(
+            self.spark, self.topic, TextTopic(self.path), self.lake, AVAILABLE_NOW
+        ).awaitTermination()
+
+    def show(self, panel, as_of=None):
+        start_live(self.spark, self.lake, panel, AVAILABLE_NOW, as_of).awaitTermination()
+        return sorted(map(tuple, read_live(self.spark, self.lake, panel).collect()), key=str)
+
+
+def test_live_panel_follows_the_table(spark, folder):
+    live = Live(spark, folder, CLICKSTREAM)
+    assert read_live(spark, live.lake, "top_pages") is None
+    live.send("one", [{"page": f"/{n}"} for n in range(6) for _ in range(n + 1)])
+    assert live.show("top_pages") == [(f"/{n}", n + 1) for n in range(1, 6)]
+    live.send("two", [{"page": "/0"}] * 20)
+    assert live.show("top_pages") == [("/0", 21), *((f"/{n}", n + 1) for n in range(2, 6))]
+    assert live.show("top_pages")[0] == ("/0", 21)
+    live.send("three", [{"page": "/9"}] * 30)
+    assert ("/9", 30) in live.show("top_pages")
+    assert sorted(os.listdir(live.lake.live("top_pages"))) == ["slot=0", "slot=1"]
+
+
+def test_live_today_moves_on_with_the_date(spark, folder):
+    live = Live(spark, folder, USERS)
+    live.send("one", [{"user_id": "a", "registered_at": "2025-01-02 10:00:00"}] * 3)
+    assert live.show("new_users_today", DAY) == [(3,)]
+    live.send("two", [{"user_id": "b", "registered_at": "2025-01-03 10:00:00"}])
+    assert live.show("new_users_today", DAY + dt.timedelta(days=1)) == [(1,)]
+    live.send("late", [{"user_id": "c", "registered_at": "2025-01-02 11:00:00"}])
+    assert live.show("new_users_today", DAY) == [(4,)]
+
+
+def test_every_panel_names_a_known_table():
+    assert {panel.table for panel in PANELS.values()} == {*TOPICS, ITEMS}
+    assert len(PANELS) == 7

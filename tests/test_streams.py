@@ -1,0 +1,248 @@
+"""Streams: restart, replay, stray files, quarantine, supervision."""
+
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from cartstream.operators.parse import MALFORMED
+from cartstream.operators.items import transaction_items
+from cartstream.operators.parse import parsed_table
+from cartstream.schemas import CLICKSTREAM, ITEMS, TABLE_SCHEMAS, TRANSACTIONS, USERS
+from cartstream.sinks import compact, to_messages
+from cartstream.sources import Lake, TextTopic, read_quarantine, read_table, stream_table
+from cartstream.streaming import (
+    AVAILABLE_NOW,
+    StreamsFailed,
+    start_items,
+    start_landing,
+    supervise,
+)
+
+
+def transaction(number, lines=2, **more):
+    product = {"product_id": "p", "quantity": 1, "unit_price": 2.5, "product_category": "Books"}
+    return {
+        "user_id": f"u{number}",
+        "session_id": f"s{number}",
+        "transaction_id": f"t{number}",
+        "timestamp": f"2025-01-{number % 3 + 1:02d} 10:00:00",
+        "transaction_amount": 2.5 * lines,
+        "payment_method": "UPI",
+        "payment_status": "successful",
+        "products": [{**product, "quantity": place + 1} for place in range(lines)],
+        **more,
+    }
+
+
+def send(folder, name, messages):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.txt", "w") as file:
+        for message in messages:
+            file.write((message if isinstance(message, str) else json.dumps(message)) + "\n")
+
+
+class Run:
+    def __init__(self, spark, folder):
+        self.spark, self.topic = spark, f"{folder}/topic"
+        self.lake = Lake(f"{folder}/lake")
+
+    def go(self):
+        source = TextTopic(self.topic, max_files_per_trigger=1)
+        start_landing(
+            self.spark, TRANSACTIONS, source, self.lake, AVAILABLE_NOW
+        ).awaitTermination()
+        start_items(self.spark, self.lake, AVAILABLE_NOW, 1).awaitTermination()
+        return self.counts()
+
+    def counts(self):
+        return tuple(
+            read_table(self.spark, self.lake, table).count() for table in ("transactions", ITEMS)
+        )
+
+
+@pytest.fixture()
+def run(spark, folder):
+    run = Run(spark, folder)
+    send(run.topic, "one", [transaction(n) for n in range(10)])
+    send(run.topic, "two", [transaction(n) for n in range(10, 20)])
+    return run
+
+
+def test_restart_adds_only_what_is_new(run):
+    assert run.go() == (20, 40)
+    assert run.go() == (20, 40)
+    send(run.topic, "three", [transaction(n) for n in range(20, 30)])
+    assert run.go() == (30, 60)
+
+
+def test_a_stray_file_is_not_part_of_the_table(spark, run):
+    run.go()
+    stray = read_table(spark, run.lake, "transactions").limit(3).drop("event_day")
+    stray.coalesce(1).write.mode("append").parquet(
+        run.lake.table("transactions") + "/status=ok/event_day=2025-01-01"
+    )
+    assert run.counts() == (20, 40)
+    assert run.go() == (20, 40)
+
+
+def test_replay_of_the_last_batch_changes_nothing(run):
+    """As after a crash between writing a batch and noting that it is done."""
+    before = run.go()
+    for query in ("land_transactions", f"land_{ITEMS}"):
+        commits = run.lake.checkpoint(query) + "/commits"
+        last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+        os.makedirs(run.lake.checkpoint(query) + "-aside")
+        for name in (str(last), f".{last}.crc"):
+            os.rename(f"{commits}/{name}", run.lake.checkpoint(query) + f"-aside/{name}")
+    assert run.go() == before
+
+
+def test_stream_equals_batch_and_counts_add_up(spark, run):
+    run.go()
+    batch = parsed_table(TextTopic(run.topic).read(spark), TRANSACTIONS)
+    landed = read_table(spark, run.lake, "transactions").select(*TRANSACTIONS.columns)
+    assert landed.exceptAll(batch).isEmpty() and batch.exceptAll(landed).isEmpty()
+    items = read_table(spark, run.lake, ITEMS)
+    again = transaction_items(landed)
+    assert items.drop("event_day").exceptAll(again).isEmpty()
+    assert items.count() == landed.agg(F.sum(F.size("products"))).first()[0]
+    assert items.select("transaction_id", "item_pos").distinct().count() == items.count()
+
+
+def test_lists_without_products_give_no_items(spark, folder):
+    run = Run(spark, folder)
+    send(run.topic, "a", [transaction(1, lines=0), transaction(2, products=None), transaction(3)])
+    assert run.go() == (3, 2)
+    lines = read_table(spark, run.lake, ITEMS).orderBy("item_pos").collect()
+    assert [(row.item_pos, row.quantity, row.product_spend) for row in lines] == [
+        (0, 1, 2.5),
+        (1, 2, 5.0),
+    ]
+
+
+def test_header_and_items_agree(spark, run):
+    run.go()
+    spent = read_table(spark, run.lake, ITEMS).groupBy("transaction_id").agg(
+        F.sum("product_spend").alias("spent")
+    )
+    # product n costs n x 2.5, so two products make 7.5 while the header says 5.0
+    paid = read_table(spark, run.lake, "transactions").join(spent, "transaction_id")
+    assert paid.where("spent != 7.5 OR transaction_amount != 5.0").isEmpty()
+
+
+def test_malformed_messages_land_apart(spark, folder):
+    run = Run(spark, folder)
+    send(run.topic, "a", ["junk", transaction(1), "{}", transaction(2, transaction_amount="x")])
+    assert run.go() == (3, 4)
+    quarantine = read_quarantine(spark, run.lake, "transactions")
+    rows = {row.message[:4]: row.transaction_id for row in quarantine.collect()}
+    assert rows == {"junk": None, '{"us': "t2"}
+    assert os.path.isdir(run.lake.table("transactions") + f"/status={MALFORMED}")
+    kept = read_table(spark, run.lake, "transactions").where("transaction_id = 't2'").first()
+    assert kept.transaction_amount is None and len(kept.products) == 2
+
+
+def test_keep_lands_everything_as_good(spark, folder):
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    send(topic, "a", ["junk", transaction(1)])
+    start_landing(
+        spark, TRANSACTIONS, TextTopic(topic), lake, AVAILABLE_NOW, on_malformed="keep"
+    ).awaitTermination()
+    assert read_table(spark, lake, "transactions").count() == 2
+    assert read_quarantine(spark, lake, "transactions").isEmpty()
+
+
+def test_nothing_landed_reads_as_no_rows(spark, folder):
+    for table, schema in TABLE_SCHEMAS.items():
+        frame = read_table(spark, Lake(f"{folder}/none"), table)
+        assert frame.isEmpty() and frame.columns == [*schema.names, "event_day"]
+
+
+@pytest.mark.parametrize("period", ["day", "month", "year"])
+def test_periods_and_compaction(spark, folder, run, period):
+    run.go()
+    send(run.topic, "bad", ["junk", transaction(99, timestamp="?")])
+    run.go()
+    target = Lake(f"{folder}/compact", period)
+    for table in ("transactions", ITEMS):
+        compact(spark, run.lake, table, target)
+        before = read_table(spark, run.lake, table).drop("event_day")
+        after = read_table(spark, target, table).drop(target.period_column)
+        assert before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
+    assert read_quarantine(spark, target, "transactions").count() == 1
+    starts = {
+        str(row[0])
+        for row in read_table(spark, target, "transactions").select(target.period_column).distinct().collect()
+    }
+    days = {"2025-01-01", "2025-01-02", "2025-01-03"}
+    assert starts == (days if period == "day" else {"2025-01-01"}) | {"None"}
+
+
+def test_messages_made_from_a_table_parse_back(spark, run):
+    run.go()
+    landed = read_table(spark, run.lake, "transactions").select(*TRANSACTIONS.columns)
+    back = parsed_table(to_messages(landed, TRANSACTIONS), TRANSACTIONS)
+    assert landed.exceptAll(back).isEmpty() and back.count() == 20
+
+
+def test_one_failing_stream_does_not_stop_the_others(spark, folder):
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    send(topic, "a", [{"user_id": "u", "name": "n"}])
+    attempts = []
+
+    def fails():
+        attempts.append(1)
+        return (
+            stream_table(spark, lake, "users")
+            .select(F.raise_error(F.lit("no such luck")))
+            .writeStream.format("noop")
+            .trigger(availableNow=True)
+            .option("checkpointLocation", lake.checkpoint("fails"))
+            .start()
+        )
+
+    def lands():
+        return start_landing(spark, USERS, TextTopic(topic), lake, AVAILABLE_NOW)
+
+    with pytest.raises(StreamsFailed, match="fails"):
+        supervise({"fails": fails, "lands": lands}, restarts=2, poll_seconds=1.0)
+    assert len(attempts) == 3
+    assert read_table(spark, lake, "users").count() == 1
+
+
+def test_supervised_items_wait_for_their_table(spark, folder):
+    """Started before its table exists, the stream is tried again until it does."""
+    run = Run(spark, folder)
+    send(run.topic, "a", [transaction(1)])
+    supervise(
+        {
+            "items": lambda: start_items(spark, run.lake, AVAILABLE_NOW),
+            "land": lambda: start_landing(
+                spark, TRANSACTIONS, TextTopic(run.topic), run.lake, AVAILABLE_NOW
+            ),
+        },
+        restarts=10,
+        poll_seconds=2.0,
+    )
+    run.go()
+    assert run.counts() == (1, 2)
+
+
+def test_waiting_for_any_stream_raises_its_error(spark, folder):
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    send(topic, "a", [{"user_id": "u", "page": "/x"}])
+    start_landing(spark, CLICKSTREAM, TextTopic(topic), lake, AVAILABLE_NOW).awaitTermination()
+    spark.streams.resetTerminated()
+    (
+        stream_table(spark, lake, "clickstream")
+        .select(F.raise_error(F.lit("no such luck")))
+        .writeStream.format("noop")
+        .option("checkpointLocation", lake.checkpoint("fails"))
+        .start()
+    )
+    with pytest.raises(StreamingQueryException, match="no such luck"):
+        spark.streams.awaitAnyTermination()
+    spark.streams.resetTerminated()
