@@ -91,16 +91,12 @@ def _cuts(left: Hot, right: Hot) -> list[tuple[str, int, int]]:
     return cuts
 
 
-def _or_one(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(1))
-
-
 def _dealt(name: str) -> Column:
-    return F.pmod(F.col(ROW), _or_one(name)).cast("int")
+    return F.pmod(F.col(ROW), F.coalesce(F.col(name), F.lit(1))).cast("int")
 
 
 def _copied(name: str) -> Column:
-    return F.explode(F.sequence(F.lit(0), _or_one(name) - 1))
+    return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(name), F.lit(1)) - 1))
 
 
 def spread_left_join(
@@ -114,39 +110,38 @@ def spread_left_join(
 
     Rows of a hot key are dealt into chunks by row number, and the other side's
     rows of that key are copied to each chunk: each pair meets exactly once.
-    Rows without a key match nothing and are dealt out as well.
+    Rows without a key match nothing and are dealt out as well. `_i` numbers the
+    chunks of left rows and `_j` those of right rows, each only if there are any.
     """
-    right = right.where(F.col(key).isNotNull()).withColumnRenamed(ROW, "_right_row")
-    if not left_hot and not (right_hot.keys() - {None}):
-        return left.join(right.drop("_right_row"), key, "left")
+    right = right.where(F.col(key).isNotNull())
+    cuts = _cuts(left_hot, right_hot)
+    cut_left = bool(left_hot)
+    cut_right = any(rights > 1 for _, _, rights in cuts)
+    if not cut_left and not cut_right:
+        return left.join(right.drop(ROW), key, "left")
 
-    spark = left.sparkSession
     schema = struct({key: STRING, "_lefts": INT, "_rights": INT})
     # Fewer than 2 x MAX_PARTS rows, whatever the tables' size.
-    cuts = F.broadcast(spark.createDataFrame(_cuts(left_hot, right_hot), schema))
-
-    keyless = F.pmod(F.col(ROW), F.lit(left_hot.get(None, 1))).cast("int")
-    lefts = (
-        left.join(cuts, key, "left")
-        .withColumn("_i", F.when(F.col(key).isNull(), keyless).otherwise(_dealt("_lefts")))
-        .withColumn("_j", _copied("_rights"))
-        .withColumn("_cut", _or_one("_rights") > 1)
-        .drop("_lefts", "_rights")
-    )
-    rights = (
-        right.withColumnRenamed("_right_row", ROW)
-        .join(cuts, key, "left")
-        .withColumn("_j", _dealt("_rights"))
-        .withColumn("_i", _copied("_lefts"))
-        .drop("_lefts", "_rights")
-        .withColumnRenamed(ROW, "_right_row")
-    )
-    # A left row copied to the chunks of a hot right key has a match in at least
-    # one of them, so its copies without a match are not part of the answer.
-    matched = F.col("_right_row").isNotNull()
-    return (
-        lefts.join(rights, [key, "_i", "_j"], "left")
-        .where(matched | ~F.col("_cut"))
-        .withColumn(ROW, F.col(ROW) + F.coalesce("_right_row", F.lit(0)))
-        .drop("_i", "_j", "_cut", "_right_row")
+    chunks = F.broadcast(left.sparkSession.createDataFrame(cuts, schema))
+    left, right = left.join(chunks, key, "left"), right.join(chunks, key, "left")
+
+    if cut_left:
+        keyless = F.pmod(F.col(ROW), F.lit(left_hot.get(None, 1))).cast("int")
+        number = F.when(F.col(key).isNull(), keyless).otherwise(_dealt("_lefts"))
+        left = left.withColumn("_i", number)
+        right = right.withColumn("_i", _copied("_lefts"))
+    if cut_right:
+        left = left.withColumn("_j", _copied("_rights"))
+        right = right.withColumn("_j", _dealt("_rights"))
+
+    numbers = [name for name in ("_i", "_j") if name in left.columns]
+    right = right.withColumnRenamed(ROW, "_right_row").drop("_lefts", "_rights")
+    joined = left.join(right, [key, *numbers], "left")
+    if cut_right:
+        # A left row copied to the chunks of a hot right key has a match in at
+        # least one of them; its copies without one are not part of the answer.
+        copied = F.coalesce(F.col("_rights"), F.lit(1)) > 1
+        joined = joined.where(F.col("_right_row").isNotNull() | ~copied)
+    return joined.withColumn(ROW, F.col(ROW) + F.coalesce("_right_row", F.lit(0))).drop(
+        "_lefts", "_rights", "_right_row", *numbers
     )

@@ -6,6 +6,7 @@ tables, so a parsing mistake cannot cancel out.
 
 from __future__ import annotations
 
+from cartstream.schemas import PRIMARY_KEYS, RELATIONAL_SCHEMAS
 from cartstream.sources.warehouse import MAX_PRODUCTS
 
 # The days that "today" stands for.
@@ -179,6 +180,18 @@ ON_TABLES = {
     "export_items": ITEMS_SQL,
 }
 
+def one_per_key(sql: str, key: str, columns: list[str]) -> str:
+    """What a keyed table takes: the smallest row of each key."""
+    order = ", ".join(f'"{name}" NULLS FIRST' for name in columns)
+    return f"""SELECT * FROM ({sql})
+      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
+
+
+for _table, _key in PRIMARY_KEYS.items():
+    ON_TABLES[f"export_{_table}"] = one_per_key(
+        ON_TABLES[f"export_{_table}"], _key, RELATIONAL_SCHEMAS[_table].names
+    )
+
 ON_REGISTRATIONS = {
     "pk_violations": """
 SELECT user_id AS key, CASE WHEN user_id IS NULL THEN 'null key'
