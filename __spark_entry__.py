@@ -157,9 +157,8 @@ def _restart(spark: SparkSession, folder: str) -> DataFrame:
     and once more with nothing new."""
     messages = shop_for(spark, folder).topic("transactions").read(spark)
     failed = F.col("value").contains('"payment_status":"failed"')
-    shop = Shop(spark, folder)
-    topic = TextTopic(f"{shop.root}/topics/transactions")
-    shop._topics["transactions"] = topic
+    topic = TextTopic(new_run_dir(spark, "halves"))
+    shop = Shop(spark, folder, topics={"transactions": topic})
     for half in (messages.where(failed), messages.where(~failed), None):
         if half is not None:
             topic.publish(half)

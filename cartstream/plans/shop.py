@@ -7,6 +7,7 @@ tables asked for. Topics and tables live in the shared folder.
 from __future__ import annotations
 
 import threading
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,12 +23,19 @@ PERIOD = "year"
 
 
 class Shop:
-    def __init__(self, spark: SparkSession, folder: str, period: str = PERIOD):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        period: str = PERIOD,
+        topics: Mapping[str, TextTopic] | None = None,
+    ):
+        """`topics` are those that someone else publishes."""
         self.spark = spark
         self.folder = folder
         self.root = new_run_dir(spark, "shop")
         self.lake = Lake(self.root, period)
-        self._topics: dict[str, TextTopic] = {}
+        self._topics: dict[str, TextTopic] = dict(topics or {})
         self._landed: set[str] = set()
         self._lock = threading.RLock()
 

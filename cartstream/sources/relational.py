@@ -1,4 +1,4 @@
-"""Relational tables: read keys, append rows.
+"""Relational tables: find stored keys, append rows.
 
 Both classes are export targets (`append`, `stored_keys`). `JdbcTable` is the
 real one. `FolderTable` holds the same rows as Parquet in the shared folder, for
@@ -7,7 +7,7 @@ shops without a database and for checks that must not start one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -21,38 +21,57 @@ from cartstream.schemas import RELATIONAL_SCHEMAS
 class JdbcTable:
     """`options` carry url, user, password and driver, from the caller's secrets.
 
-    `key_slices` are predicates that together cover every key once; the stored
-    keys are read with one task per predicate. Without them one task reads them.
-    `write_tasks` bounds the connections an append opens.
+    `tasks` bounds the connections that an append or a key lookup opens.
     """
 
     table: str
     options: Mapping[str, str] = field(repr=False)
-    key_slices: Sequence[str] = ()
-    write_tasks: int = 16
+    tasks: int = 16
+
+    @property
+    def lookup_table(self) -> str:
+        """Holds the keys of one batch; this class creates and overwrites it."""
+        return f"{self.table}_batch_keys"
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format("jdbc").options(**self.options, dbtable=self.table).load()
 
-    def stored_keys(self, spark: SparkSession, key: str, lowest, highest) -> DataFrame:
-        """Keys between two bounds. The range and the column go into the database's query."""
-        if self.key_slices:
-            properties = {name: v for name, v in self.options.items() if name != "url"}
-            frame = spark.read.jdbc(
-                self.options["url"],
-                self.table,
-                predicates=list(self.key_slices),
-                properties=properties,
+    def stored_keys(self, keys: DataFrame, key: str) -> DataFrame:
+        """Which of a batch's keys the table holds.
+
+        The batch's keys go to a table of their own and the database joins the
+        two, so what is read grows with the batch and not with the table. Keys
+        are only compared for equality: the order of text in the database is
+        not Spark's, so a range of keys would not mean the same there.
+        """
+        part = F.pmod(F.xxhash64(key), F.lit(self.tasks)).cast("int").alias("part")
+        self._write(keys.where(F.col(key).isNotNull()).select(key, part), self.lookup_table, "overwrite")
+        known = (
+            f"(SELECT batch.part, stored.{key} FROM {self.table} stored "
+            f"JOIN {self.lookup_table} batch ON stored.{key} = batch.{key}) known"
+        )
+        return (
+            keys.sparkSession.read.format("jdbc")
+            .options(
+                **self.options,
+                dbtable=known,
+                partitionColumn="part",
+                lowerBound="0",
+                upperBound=str(self.tasks),
+                numPartitions=str(self.tasks),
             )
-        else:
-            frame = self.read(spark)
-        return frame.where(F.col(key).between(lowest, highest)).select(F.col(key).alias(key))
+            .load()
+            .select(F.col(key).alias(key))
+        )
 
     def append(self, rows: DataFrame) -> None:
+        self._write(rows, self.table, "append")
+
+    def _write(self, rows: DataFrame, table: str, mode: str) -> None:
         (
             rows.write.format("jdbc")
-            .options(**self.options, dbtable=self.table, numPartitions=str(self.write_tasks))
-            .mode("append")
+            .options(**self.options, dbtable=table, numPartitions=str(self.tasks))
+            .mode(mode)
             .save()
         )
 
@@ -71,8 +90,8 @@ class FolderTable:
                 raise
             return spark.createDataFrame([], schema)
 
-    def stored_keys(self, spark: SparkSession, key: str, lowest, highest) -> DataFrame:
-        return self.read(spark).where(F.col(key).between(lowest, highest)).select(key)
+    def stored_keys(self, keys: DataFrame, key: str) -> DataFrame:
+        return self.read(keys.sparkSession).select(key)
 
     def append(self, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path)

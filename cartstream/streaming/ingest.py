@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartstream.operators.items import relational_shape, transaction_items
@@ -85,8 +84,7 @@ def export_batch(
     rows = relational_shape(batch, table)
     key = PRIMARY_KEYS.get(table)
     if key:
-        bounds = rows.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-        stored = target.stored_keys(batch.sparkSession, key, bounds["low"], bounds["high"])
+        stored = target.stored_keys(rows.select(key), key)
         if on_violation == "fail":
             found = key_violations(rows, key, stored).limit(1).collect()
             if found:

@@ -109,24 +109,30 @@ def test_export_continues_and_survives_a_lost_checkpoint(spark, folder):
         start_export(spark, lake, "users", target, on_violation="ignore")
 
 
-def test_jdbc_options():
+def options_of(call):
+    return call.options.call_args.kwargs
+
+
+def test_jdbc_append():
     options = {"url": "jdbc:postgresql://db/shop", "user": "u", "password": "secret"}
-    table = JdbcTable("users", options, key_slices=("user_id < 'm'", "user_id >= 'm'"))
+    table = JdbcTable("users", options)
     assert "secret" not in repr(table)
 
     rows = MagicMock()
     table.append(rows)
-    writer = rows.write.format
-    writer.assert_called_once_with("jdbc")
-    sent = writer.return_value.options.call_args.kwargs
-    assert sent["dbtable"] == "users" and sent["numPartitions"] == "16" and sent["user"] == "u"
-    writer.return_value.options.return_value.mode.assert_called_once_with("append")
-
-
-def test_jdbc_key_slices_read_in_parallel(spark):
-    session = MagicMock()
-    table = JdbcTable("users", {"url": "jdbc:x", "user": "u"}, key_slices=("a", "b"))
-    table.stored_keys(session, "user_id", "a", "z")
-    call = session.read.jdbc.call_args
-    assert call.args == ("jdbc:x", "users")
-    assert call.kwargs == {"predicates": ["a", "b"], "properties": {"user": "u"}}
+    rows.write.format.assert_called_once_with("jdbc")
+    sent = options_of(rows.write.format.return_value)
+    assert sent == {**options, "dbtable": "users", "numPartitions": "16"}
+    rows.write.format.return_value.options.return_value.mode.assert_called_once_with("append")
+
+
+def test_jdbc_key_lookup_stays_in_the_database(spark):
+    table = JdbcTable("users", {"url": "jdbc:x"}, tasks=4)
+    keys = MagicMock()
+    table.stored_keys(keys, "user_id")
+    write = keys.where.return_value.select.return_value.write.format.return_value
+    assert options_of(write)["dbtable"] == "users_batch_keys"
+    write.options.return_value.mode.assert_called_once_with("overwrite")
+    read = options_of(keys.sparkSession.read.format.return_value)
+    assert "stored.user_id = batch.user_id" in read["dbtable"]
+    assert (read["partitionColumn"], read["numPartitions"], read["upperBound"]) == ("part", "4", "4")
