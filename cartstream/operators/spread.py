@@ -20,9 +20,12 @@ ROW = "_row"
 # collected and broadcast here.
 MAX_PARTS = 1000
 
-# The sketch tracks this many keys per part, which puts its error far below the
-# share that makes a key hot. A missed key would cost balance, never rows.
-TRACKED_PER_PART = 100
+# The sketch tracks this many keys per part, which puts its error below a fifth
+# of the share that makes a key hot. A missed key would cost balance, never rows.
+TRACKED_PER_PART = 20
+
+# Tasks that merge the sketches of the scan's tasks, before one merges theirs.
+MERGERS = 256
 
 # Chunks per hot key; the entry None stands for rows without a key.
 Hot = dict[str | None, int]
@@ -45,35 +48,58 @@ def with_row(frame: DataFrame) -> DataFrame:
 def hot_keys(table: DataFrame, *keys: str) -> dict[str, Hot]:
     """The hot values of some key columns, with the chunks to cut each into.
 
-    One pass over just these columns: a frequent-items sketch per task, merged.
-    Runs at once and brings back fewer than `parts` values per column.
+    One pass over just these columns: a frequent-items sketch per task, merged
+    in two steps. Runs at once and brings back fewer than `parts` values per
+    column.
     """
     parts = part_count(table.sparkSession)
-    measures = [F.count("*").alias("n")]
-    for number, key in enumerate(keys):
-        top = F.expr(f"approx_top_k(`{key}`, {parts}, {parts * TRACKED_PER_PART})")
-        measures += [F.count(key).alias(f"n_{number}"), top.alias(f"top_{number}")]
-    totals = table.select(*keys).agg(*measures).select(
-        "n",
-        *(
-            column
-            for number in range(len(keys))
-            for column in (
-                f"n_{number}",
-                F.filter(f"top_{number}", lambda item: item["count"] * parts > F.col("n"))
-                .alias(f"top_{number}"),
-            )
-        ),
+    tracked = parts * TRACKED_PER_PART
+    sketches = [f"sketch_{number}" for number in range(len(keys))]
+
+    merged = (
+        table.select(*keys)
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"))
+        .agg(
+            F.count("*").alias("n"),
+            *(F.count(key).alias(f"with_{key}") for key in keys),
+            *(
+                F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias(sketch)
+                for key, sketch in zip(keys, sketches, strict=True)
+            ),
+        )
+        # One group rather than none: an empty table then has no row to merge.
+        .groupBy(F.lit(0).alias("all"))
+        .agg(
+            F.sum("n").alias("n"),
+            *(F.sum(f"with_{key}").alias(f"with_{key}") for key in keys),
+            *(
+                F.expr(f"approx_top_k_combine({sketch}, {tracked})").alias(sketch)
+                for sketch in sketches
+            ),
+        )
     )
-    found = totals.first()
+
+    def hot_items(sketch: str) -> Column:
+        top = F.expr(f"approx_top_k_estimate({sketch}, {parts})")
+        return F.filter(
+            top, lambda item: item["item"].isNotNull() & (item["count"] * parts > F.col("n"))
+        )
+
+    found = merged.select(
+        "n",
+        *(f"with_{key}" for key in keys),
+        *(hot_items(sketch).alias(sketch) for sketch in sketches),
+    ).first()
+    if found is None:
+        return {key: {} for key in keys}
 
     def chunks(rows: int) -> int:
         return min(parts, ceil(rows * parts / found["n"]))
 
     hot: dict[str, Hot] = {}
-    for number, key in enumerate(keys):
-        hot[key] = {item["item"]: chunks(item["count"]) for item in found[f"top_{number}"]}
-        without_key = found["n"] - found[f"n_{number}"]
+    for key, sketch in zip(keys, sketches, strict=True):
+        hot[key] = {item["item"]: chunks(item["count"]) for item in found[sketch]}
+        without_key = found["n"] - found[f"with_{key}"]
         if without_key * parts > found["n"]:
             hot[key][None] = chunks(without_key)
     return hot

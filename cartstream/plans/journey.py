@@ -22,12 +22,13 @@ def _joined(clicks: DataFrame, users: DataFrame, transactions: DataFrame) -> Dat
     with_users = spread_left_join(
         with_row(clicks), with_row(users), "user_id", clicked["user_id"], registered["user_id"]
     )
+    # Users are unique by contract. Where they are not, clicks of a user who is
+    # there many times multiply, and their sessions become hot only now.
+    sessions = (
+        hot_keys(with_users, "session_id") if registered["user_id"] else clicked
+    )["session_id"]
     return spread_left_join(
-        with_users,
-        with_row(transactions),
-        "session_id",
-        clicked["session_id"],
-        paid["session_id"],
+        with_users, with_row(transactions), "session_id", sessions, paid["session_id"]
     ).drop(ROW)
 
 
