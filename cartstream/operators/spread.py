@@ -6,6 +6,7 @@ the right. Here both are cut, by a plan made from the tables' keys beforehand.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,63 +46,50 @@ def with_row(frame: DataFrame) -> DataFrame:
     return frame.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def hot_keys(table: DataFrame, *keys: str) -> dict[str, Hot]:
-    """The hot values of some key columns, with the chunks to cut each into.
+def hot_keys(*columns: tuple[DataFrame, str]) -> list[Hot]:
+    """The hot values of some columns, with the chunks to cut each into.
 
-    One pass over just these columns: a frequent-items sketch per task, merged
-    in two steps. Runs at once and brings back fewer than `parts` values per
-    column.
+    One job over just these columns: a frequent-items sketch per task, merged in
+    two steps. Runs at once and brings back fewer than `parts` values per column.
     """
-    parts = part_count(table.sparkSession)
+    parts = part_count(columns[0][0].sparkSession)
     tracked = parts * TRACKED_PER_PART
-    sketches = [f"sketch_{number}" for number in range(len(keys))]
-
-    merged = (
-        table.select(*keys)
-        .groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger"))
+    keys = reduce(
+        DataFrame.unionAll,
+        [
+            table.select(F.lit(place).alias("place"), F.col(name).alias("k"))
+            for place, (table, name) in enumerate(columns)
+        ],
+    )
+    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")
+    top = F.expr(f"approx_top_k_estimate(sketch, {parts})")
+    is_hot = lambda item: item["item"].isNotNull() & (item["count"] * parts > F.col("n"))
+    found = (
+        keys.groupBy("place", merger)
         .agg(
             F.count("*").alias("n"),
-            *(F.count(key).alias(f"with_{key}") for key in keys),
-            *(
-                F.expr(f"approx_top_k_accumulate(`{key}`, {tracked})").alias(sketch)
-                for key, sketch in zip(keys, sketches, strict=True)
-            ),
+            F.count("k").alias("n_keys"),
+            F.expr(f"approx_top_k_accumulate(k, {tracked})").alias("sketch"),
         )
-        # One group rather than none: an empty table then has no row to merge.
-        .groupBy(F.lit(0).alias("all"))
+        .groupBy("place")
         .agg(
             F.sum("n").alias("n"),
-            *(F.sum(f"with_{key}").alias(f"with_{key}") for key in keys),
-            *(
-                F.expr(f"approx_top_k_combine({sketch}, {tracked})").alias(sketch)
-                for sketch in sketches
-            ),
+            F.sum("n_keys").alias("n_keys"),
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"),
         )
+        .select("place", "n", "n_keys", F.filter(top, is_hot).alias("items"))
+        .collect()
     )
 
-    def hot_items(sketch: str) -> Column:
-        top = F.expr(f"approx_top_k_estimate({sketch}, {parts})")
-        return F.filter(
-            top, lambda item: item["item"].isNotNull() & (item["count"] * parts > F.col("n"))
-        )
-
-    found = merged.select(
-        "n",
-        *(f"with_{key}" for key in keys),
-        *(hot_items(sketch).alias(sketch) for sketch in sketches),
-    ).first()
-    if found is None:
-        return {key: {} for key in keys}
-
-    def chunks(rows: int) -> int:
-        return min(parts, ceil(rows * parts / found["n"]))
-
-    hot: dict[str, Hot] = {}
-    for key, sketch in zip(keys, sketches, strict=True):
-        hot[key] = {item["item"]: chunks(item["count"]) for item in found[sketch]}
-        without_key = found["n"] - found[f"with_{key}"]
-        if without_key * parts > found["n"]:
-            hot[key][None] = chunks(without_key)
+    hot: list[Hot] = [{} for _ in columns]
+    for row in found:
+        rows_of = {item["item"]: item["count"] for item in row["items"]}
+        without_key = row["n"] - row["n_keys"]
+        if without_key * parts > row["n"]:
+            rows_of[None] = without_key
+        hot[row["place"]] = {
+            key: min(parts, ceil(rows * parts / row["n"])) for key, rows in rows_of.items()
+        }
     return hot
 
 

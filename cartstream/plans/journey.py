@@ -15,20 +15,21 @@ from cartstream.schemas import CLICKSTREAM, USERS
 
 def _joined(clicks: DataFrame, users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Looks for hot keys first, then joins the clicks with both tables."""
-    clicked = hot_keys(clicks, "user_id", "session_id")
-    registered = hot_keys(users, "user_id")
-    paid = hot_keys(transactions, "session_id")
-
+    users_clicking, sessions, users_registered, sessions_paid = hot_keys(
+        (clicks, "user_id"),
+        (clicks, "session_id"),
+        (users, "user_id"),
+        (transactions, "session_id"),
+    )
     with_users = spread_left_join(
-        with_row(clicks), with_row(users), "user_id", clicked["user_id"], registered["user_id"]
+        with_row(clicks), with_row(users), "user_id", users_clicking, users_registered
     )
-    # Users are unique by contract. Where they are not, clicks of a user who is
-    # there many times multiply, and their sessions become hot only now.
-    sessions = (
-        hot_keys(with_users, "session_id") if registered["user_id"] else clicked
-    )["session_id"]
+    if users_registered:
+        # Users are unique by contract. Where they are not, clicks of a user who
+        # is there many times multiply, and their sessions become hot only now.
+        (sessions,) = hot_keys((with_users, "session_id"))
     return spread_left_join(
-        with_users, with_row(transactions), "session_id", sessions, paid["session_id"]
+        with_users, with_row(transactions), "session_id", sessions, sessions_paid
     ).drop(ROW)
 
 

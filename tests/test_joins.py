@@ -100,17 +100,19 @@ def test_a_key_with_a_third_of_the_rows(spark, hot):
 def test_hot_keys_are_found(spark):
     keys = ["hot"] * 400 + [None] * 300 + [f"k{n}" for n in range(300)]
     frame = spark.createDataFrame([(key, "one") for key in keys], "k string, c string")
-    found = hot_keys(frame, "k", "c")
     parts = part_count(spark)
-    assert found["k"] == {"hot": -(-400 * parts // 1000), None: -(-300 * parts // 1000)}
-    assert found["c"] == {"one": parts}
-    assert hot_keys(frame.limit(0), "k", "c") == {"k": {}, "c": {}}
+    assert hot_keys((frame, "k"), (frame.limit(0), "k"), (frame, "c")) == [
+        {"hot": -(-400 * parts // 1000), None: -(-300 * parts // 1000)},
+        {},
+        {"one": parts},
+    ]
+    assert hot_keys((frame.limit(0), "k")) == [{}]
 
 
 def test_nothing_hot_is_a_plain_join(spark):
     keys = spark.range(1000).select(F.col("id").cast("string").alias("k"))
     left, right = with_row(keys), with_row(keys.withColumn("v", F.lit(1)))
-    assert hot_keys(keys, "k") == {"k": {}}
+    assert hot_keys((keys, "k")) == [{}]
     joined = spread_left_join(left, right, "k", {}, {})
     assert joined.columns == ["k", ROW, "v"] and joined.count() == 1000
 
@@ -126,7 +128,7 @@ def test_hot_rows_reach_many_partitions(spark):
         )
         right = spark.createDataFrame([("hot", 1), ("0", 2)], "k string, v int")
         joined = spread_left_join(
-            with_row(left), with_row(right), "k", hot_keys(left, "k")["k"], {}
+            with_row(left), with_row(right), "k", hot_keys((left, "k"))[0], {}
         )
         sizes = [
             row["count"]
