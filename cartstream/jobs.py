@@ -22,7 +22,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from cartstream.functions.columns import PERIODS
-from cartstream.plans.journey import journey, journey_wide
+from cartstream.plans.journey import journey_count, journey_wide
 from cartstream.plans.panels import PANELS
 from cartstream.schemas import ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, TOPICS
 from cartstream.sinks import compact
@@ -37,6 +37,7 @@ from cartstream.streaming import (
 )
 
 PREVIEW_ROWS = 10
+PREVIEW_COLUMNS = ("user_id", "session_id", "page", "transaction_amount", "email")
 
 
 def _topic(args: argparse.Namespace, name: str) -> KafkaTopic | TextTopic:
@@ -85,10 +86,10 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 def show_journey(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lake(args.lake, args.period)
     tables = [read_table(spark, lake, name) for name in ("clickstream", "users", "transactions")]
+    print("Total records:", journey_count(*tables).first()[0])
     wide = journey_wide(*tables)
-    print("Total records:", wide.count())
     wide.printSchema()
-    journey(*tables).show(PREVIEW_ROWS, truncate=False)
+    wide.select(*PREVIEW_COLUMNS).show(PREVIEW_ROWS, truncate=False)
 
 
 def show_panel(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -19,11 +19,11 @@ ROW = "_row"
 # A key is hot when it holds more than 1/parts of its table's rows, so a table
 # has fewer than `parts` hot keys. This bounds `parts`, and with it all that is
 # collected and broadcast here.
-MAX_PARTS = 1000
+MAX_PARTS = 500
 
-# The sketch tracks this many keys per part, which puts its error below a fifth
-# of the share that makes a key hot. A missed key would cost balance, never rows.
-TRACKED_PER_PART = 20
+# The sketch tracks this many keys per part, which keeps its error at about a
+# fifth of the share that makes a key hot. A missed key would cost balance, never rows.
+TRACKED_PER_PART = 10
 
 # Tasks that merge the sketches of the scan's tasks, before one merges theirs.
 MERGERS = 256

@@ -108,6 +108,7 @@ class Panel:
         return self.present(self.totals(frame), as_of)
 
 
+# Names, titles and output columns are fixed values.
 PANELS = {
     "total_users": Panel("Total users", "users", _total_users, lambda totals, _: totals),
     "new_users_today": Panel(

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartstream.functions import event_time_text, full_location, row_json
+from cartstream.operators.spread import ROW, hot_keys, spread_left_join
 
 # Fixed values.
 DEVICES = ["Android", "iOS", "Chrome", "Safari"]
@@ -84,8 +85,29 @@ def transaction_messages(
     An order of more than `max_products` lines becomes one transaction per
     product, quantity and run of `max_products` copies, each with its own id and
     amount: however large an order is, no list grows beyond `max_products`.
+
+    Equal lines are counted before anything is gathered by order, and an order
+    with a large share of all lines is cut into chunks for the join that tells
+    large orders from others. Only orders known to be small are gathered.
     """
-    lineitem = _table(spark, folder, "lineitem")
+    lineitem = _table(spark, folder, "lineitem").withColumn(
+        "order_key", F.col("l_orderkey").cast("string")
+    )
+    orders = _table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("order_key"),
+        F.concat(F.lit("TXN"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+        .alias("transaction_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        _session(F.col("o_custkey"), F.col("o_orderdate")).alias("session_id"),
+        event_time_text(F.col("o_orderdate")).alias("timestamp"),
+        F.col("o_totalprice").alias("transaction_amount"),
+        _pick(PAYMENT_METHODS, F.col("o_orderkey")).alias("payment_method"),
+        F.when(F.col("o_orderstatus") == "F", "failed")
+        .otherwise("successful")
+        .alias("payment_status"),
+    )
+    message = row_json(*[name for name in orders.columns if name != "order_key"], "products")
+
     product = F.struct(
         F.concat(F.lit("PROD"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
         .alias("product_id"),
@@ -93,62 +115,46 @@ def transaction_messages(
         F.col("p_retailprice").alias("unit_price"),
         F.col("p_type").alias("product_category"),
     )
-    lines = lineitem.join(
-        _table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
-    ).select("l_orderkey", product.alias("product"))
+    sold = (
+        lineitem.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .groupBy("order_key", product.alias("product"))
+        .agg(F.count("*").alias("copies"))
+        .withColumn(ROW, F.xxhash64("product"))
+    )
     large = (
-        lineitem.groupBy("l_orderkey")
+        lineitem.groupBy("order_key")
         .agg(F.count("*").alias("n_lines"))
         .where(F.col("n_lines") > max_products)
-        .select("l_orderkey")
     )
+    (hot,) = hot_keys((lineitem, "order_key"))
+    headers = large.join(orders, "order_key", "left").withColumn(ROW, F.lit(0).cast("bigint"))
+    sold = spread_left_join(sold, headers, "order_key", hot, {})
 
-    orders = _table(spark, folder, "orders").withColumn(
-        "transaction_id",
-        F.concat(F.lit("TXN"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")),
+    repeated = F.transform(
+        F.collect_list(F.struct("product", "copies")),
+        lambda line: F.array_repeat(line["product"], line["copies"].cast("int")),
     )
-    on_order = F.col("o_orderkey") == F.col("l_orderkey")
-
     baskets = (
-        lines.join(large, "l_orderkey", "left_anti")
-        .groupBy("l_orderkey")
-        .agg(F.sort_array(F.collect_list("product")).alias("products"))
-    )
-    usual = (
-        orders.join(large, on_order, "left_anti")
-        .join(baskets, on_order, "left")
-        .withColumn("amount", F.col("o_totalprice"))
+        sold.where(F.col("n_lines").isNull())
+        .groupBy("order_key")
+        .agg(F.sort_array(F.flatten(repeated)).alias("products"))
     )
+    usual = orders.join(large, "order_key", "left_anti").join(baskets, "order_key", "left")
 
     limit = F.lit(max_products)
     size = F.least(limit, F.col("copies") - F.col("run") * limit).cast("int")
-    runs = (
-        lines.join(large, "l_orderkey", "left_semi")
-        .groupBy("l_orderkey", "product")
-        .agg(F.count("*").alias("copies"))
+    amount = F.col("product.quantity") * F.col("product.unit_price") * size
+    split = (
+        sold.where(F.col("transaction_id").isNotNull())
         .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / limit))))
         .withColumn("products", F.array_repeat("product", size))
-    )
-    part_id = F.concat_ws(
-        "-", "transaction_id", "product.product_id", "product.quantity", "run"
-    )
-    part_amount = F.col("product.quantity") * F.col("product.unit_price") * size
-    split = (
-        orders.join(runs, on_order)
-        .withColumn("amount", F.round(part_amount, 2))
-        .withColumn("transaction_id", part_id)
-    )
-
-    status = F.when(F.col("o_orderstatus") == "F", "failed").otherwise("successful")
-    message = row_json(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        _session(F.col("o_custkey"), F.col("o_orderdate")).alias("session_id"),
-        "transaction_id",
-        event_time_text(F.col("o_orderdate")).alias("timestamp"),
-        F.col("amount").alias("transaction_amount"),
-        _pick(PAYMENT_METHODS, F.col("o_orderkey")).alias("payment_method"),
-        status.alias("payment_status"),
-        "products",
+        .withColumn("transaction_amount", F.round(amount, 2))
+        .withColumn(
+            "transaction_id",
+            F.concat_ws(
+                "-", "transaction_id", "product.product_id", "product.quantity", "run"
+            ),
+        )
     )
     return usual.select(message.alias("value")).unionAll(split.select(message.alias("value")))
 

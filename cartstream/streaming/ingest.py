@@ -29,7 +29,9 @@ def start(
     writer: DataStreamWriter, lake: Lake, query: str, trigger: Trigger
 ) -> StreamingQuery:
     """Start with a checkpoint in the lake. No trigger means back-to-back batches."""
-    writer = writer.queryName(query).option("checkpointLocation", lake.checkpoint(query))
+    # Names are unique per session, and a session may fill several lakes.
+    writer = writer.queryName(f"{query} in {lake.root}")
+    writer = writer.option("checkpointLocation", lake.checkpoint(query))
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 

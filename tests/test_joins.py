@@ -10,8 +10,6 @@ from cartstream.operators.spread import ROW, hot_keys, part_count, spread_left_j
 from cartstream.plans.journey import journey, journey_count, journey_wide
 from cartstream.schemas import TABLE_SCHEMAS
 
-CLICK = "user_id string, session_id string, page string, timestamp timestamp_ntz, device string, action string"
-
 
 def tables(spark, clicks, users, transactions):
     blank = {

@@ -6,10 +6,21 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cartstream.functions import event_time, event_time_text, full_location, order_total, state_of
 from cartstream.operators.parse import MALFORMED, OK, parse_messages, parsed_table
-from cartstream.schemas import CLICKSTREAM, DOUBLE, STRING, TIME, TRANSACTIONS, Topic
+from cartstream.schemas import (
+    CLICKSTREAM,
+    DOUBLE,
+    INT,
+    PRODUCT,
+    STRING,
+    TIME,
+    TRANSACTIONS,
+    Topic,
+    struct,
+)
 
 TIMES = [
     ("2025-01-01 10:00:00", dt.datetime(2025, 1, 1, 10)),
@@ -130,7 +141,7 @@ def test_nested_products(spark):
 
 
 def test_order_total(spark):
-    schema = "id int, products array<struct<product_id string, quantity int, unit_price double, product_category string>>"
+    schema = struct({"id": INT, "products": ArrayType(PRODUCT)})
     rows = [
         (1, [("a", 2, 10.01, "x"), ("b", 3, 0.333, "y")]),
         (2, []),
