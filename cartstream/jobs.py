@@ -46,7 +46,7 @@ def _topic(args: argparse.Namespace, name: str) -> KafkaTopic | TextTopic:
     return TextTopic(f"{args.text}/{name}")
 
 
-def _targets(args: argparse.Namespace) -> dict[str, JdbcTable]:
+def _relational(args: argparse.Namespace) -> dict[str, JdbcTable]:
     if not args.jdbc_options:
         return {}
     with open(args.jdbc_options) as file:
@@ -68,7 +68,7 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         f"export_{table}": partial(
             start_export, spark, lake, table, target, trigger, args.on_violation
         )
-        for table, target in _targets(args).items()
+        for table, target in _relational(args).items()
     }
     if args.live:
         following |= {
@@ -94,7 +94,10 @@ def show_journey(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def show_panel(spark: SparkSession, args: argparse.Namespace) -> None:
     panel = PANELS[args.name]
-    table = read_table(spark, Lake(args.lake, args.period), panel.table)
+    if args.jdbc_options:
+        table = _relational(args)[panel.table].read(spark)
+    else:
+        table = read_table(spark, Lake(args.lake, args.period), panel.table)
     print(panel.title)
     panel.run(table, args.as_of).show(truncate=False)
 
@@ -145,8 +148,12 @@ def parser() -> argparse.ArgumentParser:
     job = jobs.add_parser("journey", parents=[lake], help="count, schema and first rows")
     job.set_defaults(run=show_journey)
 
-    job = jobs.add_parser("panel", parents=[lake])
+    job = jobs.add_parser("panel", help="one panel, from the lake or the database")
     job.add_argument("name", choices=PANELS)
+    place = job.add_mutually_exclusive_group(required=True)
+    place.add_argument("--lake")
+    place.add_argument("--jdbc-options", metavar="FILE")
+    job.add_argument("--period", choices=PERIODS, default="day")
     job.add_argument("--as-of", type=dt.date.fromisoformat)
     job.set_defaults(run=show_panel)
 

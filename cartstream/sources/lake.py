@@ -86,10 +86,10 @@ def read_quarantine(spark: SparkSession, lake: Lake, topic: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, lake: Lake, table: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, lake: Lake, table: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """A landed table as a stream; follows the sink's log of complete files."""
     reader = spark.readStream.schema(lake.schema(table))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return _good_rows(reader.parquet(lake.table(table)), lake, table)

@@ -54,15 +54,15 @@ class TextTopic:
     """A folder of text files, one message per line: a topic without a broker."""
 
     path: str
-    max_files_per_trigger: int | None = None
+    files_per_batch: int | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.text(self.path)
 
     def stream(self, spark: SparkSession) -> DataFrame:
         reader = spark.readStream
-        if self.max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
+        if self.files_per_batch:
+            reader = reader.option("maxFilesPerTrigger", self.files_per_batch)
         return reader.text(self.path)
 
     def publish(self, messages: DataFrame) -> None:

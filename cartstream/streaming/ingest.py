@@ -22,6 +22,10 @@ AVAILABLE_NOW = {"availableNow": True}
 
 ON_VIOLATION = ("skip", "fail")
 
+# Files of a landed table that a following stream takes at once: a first run over
+# a large table is many batches, and a failed one is little to do again.
+FILES_PER_BATCH = 10_000
+
 Trigger = Mapping[str, object] | None
 
 
@@ -65,10 +69,10 @@ def start_items(
     spark: SparkSession,
     lake: Lake,
     trigger: Trigger = None,
-    max_files_per_trigger: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Unnest landed transactions into order lines."""
-    transactions = stream_table(spark, lake, "transactions", max_files_per_trigger)
+    transactions = stream_table(spark, lake, "transactions", files_per_batch)
     return _append_to_lake(
         transaction_items(transactions), lake, ITEMS, f"land_{ITEMS}", trigger
     )
@@ -102,7 +106,7 @@ def start_export(
     target,
     trigger: Trigger = None,
     on_violation: str = "skip",
-    max_files_per_trigger: int | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
     query: str | None = None,
 ) -> StreamingQuery:
     """Keep a relational table in step with a landed one."""
@@ -112,6 +116,6 @@ def start_export(
     def push(batch: DataFrame, epoch: int) -> None:
         export_batch(batch, table, target, on_violation)
 
-    frame = stream_table(spark, lake, table, max_files_per_trigger)
+    frame = stream_table(spark, lake, table, files_per_batch)
     writer = frame.writeStream.foreachBatch(push).outputMode("append")
     return start(writer, lake, query or f"export_{table}", trigger)

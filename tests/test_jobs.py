@@ -93,6 +93,22 @@ def test_kafka_options():
         assert "'subscribe', 'users'" in str(names) and "minPartitions='64'" in str(names)
 
 
+def test_a_panel_may_read_the_database(spark, folder, capsys):
+    """The table a database would give is a Spark frame like any other."""
+    from unittest.mock import MagicMock
+
+    with open(f"{folder}/jdbc.json", "w") as file:
+        json.dump({"url": "jdbc:x", "user": "u", "password": "p", "driver": "d"}, file)
+    session = MagicMock()
+    reader = session.read.format.return_value.options
+    reader.return_value.load.return_value = spark.createDataFrame(
+        [("/a",), ("/a",), ("/b",)], "page string"
+    )
+    main(["panel", "top_pages", "--jdbc-options", f"{folder}/jdbc.json"], session)
+    assert reader.call_args.kwargs["dbtable"] == "clickstream"
+    assert "|/a  |2     |" in capsys.readouterr().out
+
+
 def test_a_source_must_be_named(spark):
     with pytest.raises(SystemExit):
         main(["ingest", "--lake", "x"], spark)

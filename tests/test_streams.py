@@ -50,7 +50,7 @@ class Run:
         self.lake = Lake(f"{folder}/lake")
 
     def go(self):
-        source = TextTopic(self.topic, max_files_per_trigger=1)
+        source = TextTopic(self.topic, files_per_batch=1)
         start_landing(
             self.spark, TRANSACTIONS, source, self.lake, AVAILABLE_NOW
         ).awaitTermination()
