@@ -130,12 +130,9 @@ def _live(name: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         shop = shop_for(spark, folder)
-        lake = shop.new_lake("live")
-        if panel.table == ITEMS:
-            shop.land("transactions", lake)
-        shop.land(panel.table, lake)
-        start_live(spark, lake, name, AVAILABLE_NOW, AS_OF.get(name)).awaitTermination()
-        return _comparable(read_live(spark, lake, name))
+        shop.ensure(panel.table)
+        start_live(spark, shop.lake, name, AVAILABLE_NOW, AS_OF.get(name)).awaitTermination()
+        return _comparable(read_live(spark, shop.lake, name))
 
     return query
 

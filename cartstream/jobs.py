@@ -76,7 +76,9 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         }
 
     if args.every:
-        supervise({**landing, **unnesting, **following}, args.restarts)
+        supervise(
+            {**landing, **unnesting, **following}, args.restarts, fail_fast=args.fail_fast
+        )
     else:
         # One pass: each group reads what the one before has landed.
         for group in (landing, unnesting, following):
@@ -142,7 +144,8 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--on-violation", choices=("skip", "fail"), default="skip")
     job.add_argument("--jdbc-options", metavar="FILE")
     job.add_argument("--live", action="store_true", help="keep the panels up to date")
-    job.add_argument("--restarts", type=int, default=3)
+    job.add_argument("--restarts", type=int, default=3, help="of a stream, in a row")
+    job.add_argument("--fail-fast", action="store_true", help="one stream given up stops all")
     job.set_defaults(run=ingest)
 
     job = jobs.add_parser("journey", parents=[lake], help="count, schema and first rows")

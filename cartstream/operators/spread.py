@@ -120,7 +120,9 @@ def spread_left_join(
 
     Both sides come from `with_row`; apart from it and `key` they share no
     column name. The result has the columns of both and a row number again.
-    With nothing hot this is a plain join.
+    With nothing hot this is a plain join. Which keys are called hot, and into
+    how many chunks they are cut, does not change the result; only a key called
+    hot on the right has to be there, as those found by `hot_keys` are.
 
     Rows of a hot key are dealt into chunks by row number, and the other side's
     rows of that key are copied to each chunk: each pair meets exactly once.

@@ -13,18 +13,20 @@ log = logging.getLogger(__name__)
 
 
 class StreamsFailed(RuntimeError):
-    """Some streams failed more often than allowed; the others ran to their end."""
+    """Some streams failed more often than allowed."""
 
 
 def supervise(
     starters: Mapping[str, Callable[[], StreamingQuery]],
     restarts: int = 3,
     poll_seconds: float = 5.0,
+    fail_fast: bool = False,
 ) -> None:
     """Start every stream and wait until none is left.
 
     A stream that fails continues from its checkpoint, up to `restarts` times
-    without a batch done in between. The rest keep running meanwhile.
+    without a batch done in between. The rest keep running meanwhile, and also
+    when it is given up, unless `fail_fast` stops them all then.
     """
     running: dict[str, StreamingQuery | None] = dict.fromkeys(starters)
     failures = dict.fromkeys(starters, 0)
@@ -55,7 +57,12 @@ def supervise(
                     del running[name]
                 else:
                     failed(name, error)
-        time.sleep(poll_seconds)
+        if given_up and fail_fast:
+            for query in filter(None, running.values()):
+                query.stop()
+            break
+        if running:
+            time.sleep(poll_seconds)
 
     if given_up:
         raise StreamsFailed("; ".join(f"{name}: {why}" for name, why in given_up.items()))

@@ -4,6 +4,8 @@ import random
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cartstream.operators.spread import ROW, hot_keys, part_count, spread_left_join, with_row
@@ -139,3 +141,35 @@ def test_hot_rows_reach_many_partitions(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+
+
+KEYS = st.sampled_from([None, "a", "b", "c", "d"])
+CHUNKS = st.integers(min_value=1, max_value=7)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(KEYS, min_size=1, max_size=25),
+    st.lists(KEYS, min_size=1, max_size=25),
+    st.dictionaries(KEYS, CHUNKS),
+    st.dictionaries(KEYS, CHUNKS),
+)
+def test_any_cut_gives_the_plain_join(spark, lefts, rights, left_hot, right_hot):
+    left = spark.createDataFrame([(key, n) for n, key in enumerate(lefts)], "k string, l int")
+    right = spark.createDataFrame([(key, n) for n, key in enumerate(rights)], "k string, r int")
+    present = {key: chunks for key, chunks in right_hot.items() if key in rights}
+    joined = spread_left_join(with_row(left), with_row(right), "k", left_hot, present)
+    expected = Counter(
+        (key, n, m)
+        for n, key in enumerate(lefts)
+        for m in [m for m, other in enumerate(rights) if key is not None and other == key] or [None]
+    )
+    assert Counter(map(tuple, joined.select("k", "l", "r").collect())) == expected
+
+
+def test_wide_journey_can_be_saved(spark, folder):
+    frames = tables(spark, [("u", "s", "/a")] * 3, [("u", "1@x")], [("u", "s", 1.0)])
+    wide = journey_wide(*frames)
+    assert len(set(wide.columns)) == len(wide.columns) == 18
+    wide.write.parquet(f"{folder}/wide")
+    assert spark.read.parquet(f"{folder}/wide").count() == 3

@@ -213,6 +213,31 @@ def test_one_failing_stream_does_not_stop_the_others(spark, folder):
     assert read_table(spark, lake, "users").count() == 1
 
 
+def test_fail_fast_stops_the_others(spark, folder):
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    send(topic, "a", [{"user_id": "u", "name": "n"}])
+    started = []
+
+    def lands():
+        query = start_landing(spark, USERS, TextTopic(topic), lake, {"processingTime": "1 second"})
+        started.append(query)
+        return query
+
+    def fails():
+        return (
+            TextTopic(topic)
+            .stream(spark)
+            .select(F.raise_error(F.lit("no such luck")))
+            .writeStream.format("noop")
+            .option("checkpointLocation", lake.checkpoint("fails"))
+            .start()
+        )
+
+    with pytest.raises(StreamsFailed, match="fails"):
+        supervise({"lands": lands, "fails": fails}, restarts=0, poll_seconds=0.5, fail_fast=True)
+    assert not started[0].isActive
+
+
 def test_supervised_items_wait_for_their_table(spark, folder):
     """Started before its table exists, the stream is tried again until it does."""
     run = Run(spark, folder)
