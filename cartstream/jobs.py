@@ -185,4 +185,5 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
 
 if __name__ == "__main__":
     logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     main(sys.argv[1:])

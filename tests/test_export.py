@@ -11,10 +11,9 @@ from pyspark.sql import functions as F
 
 from cartstream.operators.items import relational_shape
 from cartstream.operators.keys import KeyViolation, acceptable_rows, key_violations
-from cartstream.schemas import ITEM_COLUMNS, ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS
+from cartstream.schemas import ITEM_COLUMNS, ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, USERS
 from cartstream.sources import FolderTable, JdbcTable, Lake, TextTopic
 from cartstream.streaming import AVAILABLE_NOW, start_export, start_landing
-from cartstream.schemas import USERS
 from cartstream.streaming.ingest import export_batch
 
 
