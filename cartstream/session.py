@@ -1,15 +1,21 @@
-"""Session settings and the shared folder for checkpoints and landed tables."""
+"""The shared folder for checkpoints and landed tables."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _test_dir() -> str:
+    return tempfile.mkdtemp(prefix="cartstream-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -22,9 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cartstream-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return _test_dir()
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
