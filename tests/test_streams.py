@@ -199,7 +199,8 @@ def test_one_failing_stream_does_not_stop_the_others(spark, folder):
     def fails():
         attempts.append(1)
         return (
-            stream_table(spark, lake, "users")
+            TextTopic(topic)
+            .stream(spark)
             .select(F.raise_error(F.lit("no such luck")))
             .writeStream.format("noop")
             .trigger(availableNow=True)
