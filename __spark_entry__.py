@@ -18,6 +18,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import StringType  # noqa: E402
 
 import oracles  # noqa: E402
+
+try:
+    import corpus_pipeline
+    from cartstream.llm import queries as corpus_queries
+except ImportError:  # without the subpackage the other queries stay
+    corpus_pipeline = corpus_queries = None
 from cartstream.functions import order_total, products_json, row_json  # noqa: E402
 from cartstream.operators.items import transaction_items  # noqa: E402
 from cartstream.operators.keys import acceptable_rows, key_violations  # noqa: E402
@@ -240,6 +246,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _shop_queries() | _corpus_queries()
+
+
+def _corpus_queries() -> dict[str, Query]:
+    if corpus_queries is None:
+        return {}
+    return corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
+
+
+def _shop_queries() -> dict[str, Query]:
     return {
         **{f"parse_{topic}": _parse(topic) for topic in TOPICS},
         "transaction_items": _items,
@@ -264,4 +280,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    corpus = corpus_queries.oracle_sql() if corpus_queries else {}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return oracles.oracle_sql() | corpus
