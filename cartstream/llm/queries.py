@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.decontaminate import contamination
 from cartstream.llm.exact_dedup import exact_groups
+from cartstream.llm.minhash import near_groups
 from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import ACCEPT, learn, score
 from cartstream.llm.sharding import assign_shards
@@ -42,6 +43,11 @@ def op1_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_minhash_stars(spark: SparkSession, folder: str) -> DataFrame:
+    groups = near_groups(_table(spark, folder, "documents"), words=4)
+    return groups.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_table(spark, folder, "documents")).drop("shorter")
 
@@ -71,6 +77,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             op1_quality_ranking,
+            op4_minhash_stars,
             op5_exact_dedup,
             op6_token_cache,
             op7_best_fit_packing,

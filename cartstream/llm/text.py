@@ -42,10 +42,12 @@ def alphanumeric_table() -> np.ndarray:
     return table
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batch in pieces of about `limit` bytes of `column`, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes, dtype=np.int64)
+def slices(batch: pa.RecordBatch, *columns: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of about `limit` bytes of `columns`, one row at least."""
+    ends = np.zeros(batch.num_rows, np.int64)
+    for column in columns:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends += np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
@@ -128,6 +130,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return v
 
 
+def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's distinct `shingles`, sorted, and which text each is of."""
+    values, bounds = shingles(split_words(texts, white_space_table()), size)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    order = np.lexsort((values, owner))
+    values, owner = values[order], owner[order]
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[new], owner[new]
+
+
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of `size` words, end to end by text, and where each text's start.
 

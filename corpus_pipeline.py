@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.decontaminate import decontaminate
 from cartstream.llm.exact_dedup import exact_dedup
+from cartstream.llm.minhash import near_dedup
 from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import accepted, learn
 from cartstream.llm.queries import TOKENIZER, fold
@@ -27,6 +28,12 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shares four fifths of its five-word shingles."""
+    ship_package(spark)
+    return near_dedup(docs, words=5, percent=80)
+
+
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten consecutive words of a benchmark item."""
     ship_package(spark)
@@ -42,6 +49,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", quality),
     ("exact dedup", exact),
+    ("MinHash near-dedup", near),
     ("benchmark decontamination", clean_of_benchmarks),
     ("best-fit packing", packed),
 ]
