@@ -15,6 +15,7 @@ from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import ACCEPT, learn, score
 from cartstream.llm.sharding import assign_shards
 from cartstream.llm.ship import ship_package
+from cartstream.llm.suffix_tree import grow_tree, score_texts
 from cartstream.llm.token_cache import token_counts
 from cartstream.session import new_run_dir
 
@@ -43,6 +44,14 @@ def op1_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(fold(F.col("doc_id"), 7), F.lit(0)) == 2
+    tree, words = grow_tree(docs.where(~held_out))
+    scores = score_texts(docs, docs["doc_id"], tree, words).withColumnRenamed("carried", "doc_id")
+    return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
+
+
 def op4_minhash_stars(spark: SparkSession, folder: str) -> DataFrame:
     groups = near_groups(_table(spark, folder, "documents"), words=4)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
@@ -77,6 +86,7 @@ def queries() -> dict[str, Query]:
         query.__name__: query
         for query in (
             op1_quality_ranking,
+            op2_suffix_tree,
             op4_minhash_stars,
             op5_exact_dedup,
             op6_token_cache,

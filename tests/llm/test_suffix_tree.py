@@ -1,0 +1,143 @@
+"""The tree against a dictionary version, its probabilities, held-out texts."""
+
+import re
+import zlib
+from collections import Counter
+from math import ceil, isclose, log, log10
+
+import numpy as np
+import pytest
+
+from cartstream.llm import suffix_tree
+from cartstream.llm.queries import op2_suffix_tree
+from cartstream.llm.suffix_tree import END, grow_tree, score_texts
+from cartstream.llm.text import word_hash
+from conftest import TESTDATA
+
+from .conftest import texts_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LAST = None
+
+
+def tokens(text):
+    return [*WORD.findall((text or "").translate(LOWER)), LAST]
+
+
+class Plain:
+    """The same model with dictionaries, one text after the other."""
+
+    def __init__(self, texts):
+        counts = Counter()
+        for text in texts:
+            t = tokens(text)
+            for k in range(1, suffix_tree.MAX_CONTEXT + 2):
+                counts.update(tuple(t[i : i + k]) for i in range(len(t) - k + 1))
+        self.single = {g[0]: n for g, n in counts.items() if len(g) == 1}
+        self.n, self.v = sum(self.single.values()), len(self.single)
+        self.least = max(suffix_tree.MIN_COUNT, ceil(suffix_tree.MIN_SHARE * self.n))
+        self.counts = {g: n for g, n in counts.items() if n >= self.least}
+        self.after = {}
+        for g in self.counts:
+            if len(g) > 1:
+                self.after.setdefault(g[:-1], []).append(g[-1])
+        self.states = set()
+        for s in self.after:
+            if self.evidence(s) >= suffix_tree.EVIDENCE:
+                self.states.update(s[i:] for i in range(len(s)))
+
+    def weight(self, s):
+        return 1 - sum(
+            (self.counts[*s, w] - suffix_tree.DISCOUNT) / self.counts[s] for w in self.after.get(s, ())
+        )
+
+    def chance(self, s, w):
+        if not s:
+            return (self.single.get(w, 0) + 1) / (self.n + self.v + 1)
+        lower = self.weight(s) * self.chance(s[1:], w)
+        if (*s, w) not in self.counts:
+            return lower
+        return (self.counts[*s, w] - suffix_tree.DISCOUNT) / self.counts[s] + lower
+
+    def evidence(self, s):
+        total = self.counts[s]
+        rest, before, out = total, 1.0, 0.0
+        for w in self.after[s]:
+            n, q = self.counts[*s, w], self.chance(s[1:], w)
+            out += n * log(n / total / q)
+            rest, before = rest - n, before - q
+        return out + (rest * log(rest / total / max(before, 1e-12)) if rest else 0)
+
+    def score(self, text):
+        t = tokens(text)
+        base = sum(log10(self.chance((), w)) for w in t)
+        score = 0.0
+        for i, w in enumerate(t):
+            k = max(
+                (k for k in range(1, suffix_tree.MAX_CONTEXT + 1) if k <= i and tuple(t[i - k : i]) in self.states),
+                default=0,
+            )
+            score += log10(self.chance(tuple(t[i - k : i]), w))
+        return len(t), sum(w in self.single for w in t), self.n, base, score
+
+
+def check(rows, plain, texts):
+    assert len(rows) == len(texts)
+    by_id = Counter((d, t) for d, t in texts)
+    expected = sorted(((d, *plain.score(t)) for d, t in by_id.elements()), key=repr)
+    actual = sorted((tuple(r) for r in rows), key=repr)
+    for a, b in zip(actual, expected, strict=True):
+        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-9)
+
+
+@pytest.mark.parametrize("name", ["awkward", "small"])
+@pytest.mark.parametrize("held", [50, 1 << 21])
+def test_scores(request, monkeypatch, name, held):
+    monkeypatch.setattr(suffix_tree, "HELD", held)
+    monkeypatch.setattr(suffix_tree, "EVIDENCE", 3.0)
+    docs = request.getfixturevalue(name)
+    texts = sorted(texts_of(docs), key=repr)
+    tree, words = grow_tree(docs)
+    plain = Plain([t for _, t in texts])
+    assert len(tree.levels) > 1 and sum(level.state.sum() for level in tree.levels) == len(plain.states)
+    check(score_texts(docs, docs["doc_id"], tree, words).collect(), plain, texts)
+
+
+def test_probabilities_add_up_to_one(small, monkeypatch):
+    monkeypatch.setattr(suffix_tree, "EVIDENCE", 3.0)
+    tree, words = grow_tree(small)
+    counts = {r.key: r.n for r in words.collect()}
+    vocabulary = np.array([*counts, word_hash(b"never seen")])
+    alone = np.log10((np.array([*counts.values(), 0]) + 1) / tree.whole)
+    assert isclose((10**alone).sum(), 1)
+    numbers = tree.numbers(vocabulary)
+    state = np.flatnonzero(tree.levels[1].state)[:5]
+    for s in state:
+        key = tree.levels[0].keys[s]
+        total = 0.0
+        for number, own in zip(numbers, alone, strict=True):
+            text = np.array([key >> 32, key & 0xFFFFFFFF, number])
+            chance, open_ = tree.chances(text, np.array([True, False, False]))
+            total += 10 ** (chance[2] + (own if open_[2] else 0))
+        assert isclose(total, 1, rel_tol=1e-9)
+
+
+def test_nothing_to_learn_from(llm_spark, awkward, empty):
+    tree, words = grow_tree(empty)
+    rows = score_texts(awkward, awkward["doc_id"], tree, words).collect()
+    assert rows and all(r.base_score == r.score == 0 and r.n_known == 0 for r in rows)
+    tree, words = grow_tree(awkward)
+    assert score_texts(empty, empty["doc_id"], tree, words).isEmpty()
+
+
+def test_query_beats_single_words_on_held_out_texts(llm_spark):
+    rows = op2_suffix_tree(llm_spark, f"{TESTDATA}/sf0.01").toPandas()
+    assert (rows.held_out == [zlib.crc32(str(d).encode()) % 7 == 2 for d in rows.doc_id]).all()
+    held = rows[rows.held_out]
+    assert held.score.sum() > 0.97 * held.base_score.sum()
+    assert rows.train_tokens.nunique() == 1 and (rows.n_known <= rows.n_tokens).all()
+
+
+def test_end_is_no_word():
+    assert END == word_hash(b" ")
