@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.decontaminate import contamination
 from cartstream.llm.exact_dedup import exact_groups
+from cartstream.llm.licenses import license_scan
+from cartstream.llm.link_graph import DAMPING, LINK, MARGIN, STEPS, Rule, judge_pages
 from cartstream.llm.minhash import near_groups
 from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import ACCEPT, learn, score
@@ -52,6 +54,20 @@ def op2_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
 
 
+# The rules that pages are judged by.
+URL_RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+
+
+def op3_link_graph(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_pages(_table(spark, folder, "pages"), URL_RULES)
+
+
 def op4_minhash_stars(spark: SparkSession, folder: str) -> DataFrame:
     groups = near_groups(_table(spark, folder, "documents"), words=4)
     return groups.select("doc_id", "n_shingles", "component_id", "kept")
@@ -73,6 +89,10 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(_table(spark, folder, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -87,18 +107,93 @@ def queries() -> dict[str, Query]:
         for query in (
             op1_quality_ranking,
             op2_suffix_tree,
+            op3_link_graph,
             op4_minhash_stars,
             op5_exact_dedup,
             op6_token_cache,
             op7_best_fit_packing,
+            op8_license_scan,
             op9_decontamination,
             op10_rendezvous_shards,
         )
     }
 
 
+def _links_sql() -> str:
+    """The ranks step by step, one table expression each."""
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+    link = LINK.replace("'", "''")
+    steps = "".join(
+        f"""
+            r{i} AS (
+                SELECT kind, node, sum(value) AS value FROM (
+                    SELECT kind, node, {1 - DAMPING} * value AS value FROM r0
+                    UNION ALL
+                    SELECT e.kind, e.dst, r.value * e.share
+                    FROM edges e JOIN r{i - 1} r ON r.kind = e.kind AND r.node = e.src
+                ) GROUP BY kind, node
+            ),"""
+        for i in range(1, STEPS + 1)
+    )
+    return rf"""
+        WITH rest AS (
+            SELECT row_number() OVER () AS n, page_id, coalesce(html, '') AS html,
+                   CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ), parts AS (
+            SELECT n, page_id, html, {lower.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+                   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ), rules(verdict, host, path) AS (VALUES {rules}
+        ), judged AS (
+            SELECT n, max(r.host || r.path) AS rule, max_by(r.verdict, length(r.host || r.path)) AS verdict
+            FROM parts p JOIN rules r
+              ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+            WHERE NOT EXISTS (
+                SELECT 1 FROM rules l
+                WHERE (p.host = l.host OR ends_with(p.host, '.' || l.host)) AND starts_with(p.path, l.path)
+                  AND length(l.host || l.path) > length(r.host || r.path)
+            )
+            GROUP BY n
+        ), linked AS (
+            SELECT DISTINCT host AS src, {lower.format("target")} AS dst
+            FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS target FROM parts)
+            WHERE host != '' AND target != '' AND host != {lower.format("target")}
+        ), hosts AS (
+            SELECT host FROM parts WHERE host != '' UNION SELECT dst FROM linked
+        ), site AS (
+            SELECT s.host AS sub, h.host AS host FROM hosts s JOIN hosts h
+              ON h.host = substr(s.host, instr(s.host, '.') + 1) WHERE contains(s.host, '.')
+        ), links AS (
+            SELECT src, dst FROM linked UNION SELECT sub, host FROM site UNION SELECT host, sub FROM site
+        ), edges AS (
+            SELECT kind, src, dst, {DAMPING} / count(*) OVER (PARTITION BY kind, src) AS share FROM (
+                SELECT 'allow' AS kind, src, dst FROM links UNION ALL SELECT 'block', dst, src FROM links
+            )
+        ), net AS (
+            SELECT host AS node, avg(CASE verdict WHEN 'allow' THEN 1.0 WHEN 'block' THEN -1.0 ELSE 0.0 END) AS net
+            FROM parts LEFT JOIN judged USING (n) WHERE host != '' GROUP BY host
+        ), r0 AS (
+            SELECT kind, node, value / sum(value) OVER (PARTITION BY kind) AS value FROM (
+                SELECT CASE WHEN net > 0 THEN 'allow' ELSE 'block' END AS kind, node, abs(net) AS value
+                FROM net WHERE net != 0
+            )
+        ),{steps}
+        blocked AS (
+            SELECT node AS host FROM r{STEPS} GROUP BY node
+            HAVING sum(CASE kind WHEN 'block' THEN value ELSE -value END)
+                   > {MARGIN} / (SELECT count(DISTINCT host) FROM parts WHERE host != '')
+        )
+        SELECT page_id, p.host, path, rule,
+               coalesce(verdict, CASE WHEN b.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+        FROM parts p LEFT JOIN judged USING (n) LEFT JOIN blocked b ON b.host = p.host
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_link_graph": _links_sql(),
         "op5_exact_dedup": r"""
             WITH rows AS (
                 SELECT doc_id, length(coalesce(text, '')) AS n_points,

@@ -1,0 +1,95 @@
+"""Matches against a comparison of every window with every template."""
+
+import random
+import re
+
+import pytest
+
+from cartstream.llm.licenses import (
+    CONTAINED,
+    TEMPLATES,
+    Scanner,
+    Template,
+    license_matches,
+    license_scan,
+)
+
+from .conftest import awkward_rows, docs_frame, texts_of
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def words(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def runs(w):
+    return {tuple(w[i : i + 2]) for i in range(max(len(w) - 1, 1))} if w else set()
+
+
+def brute(text, templates):
+    w = words(text)
+    found = set()
+    for template in templates:
+        t = words(template.text)
+        wanted = runs(t)
+        for start in range(0, max(len(w), 1), max(len(t) // 2, 1)) if t else ():
+            if len(wanted & runs(w[start : start + 2 * len(t)])) >= CONTAINED * len(wanted):
+                found.add(template.name)
+    return ",".join(sorted(found))
+
+
+def with_notices(n):
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        body = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(0, 120))] + ["under", "the", "license"]
+        rng.shuffle(body)
+        text = body
+        for template in rng.sample(TEMPLATES, rng.randrange(0, 3)):
+            notice = template.text.split()
+            if rng.random() < 0.4:
+                notice[rng.randrange(len(notice))] = "changed"
+            at = rng.randrange(len(text) + 1)
+            text = text[:at] + notice + text[at:]
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("rows", [with_notices(300), awkward_rows()], ids=["notices", "awkward"])
+def test_scan(llm_spark, rows):
+    templates = [*TEMPLATES, Template("short", "w1"), Template("none", " .,"), Template("pair", "w2 w3")]
+    result = license_scan(docs_frame(llm_spark, rows), templates).collect()
+    expected = [(d, len(words(t)), brute(t, templates)) for d, t in rows]
+    assert sorted(((r.doc_id, r.n_words, r.licenses) for r in result), key=repr) == sorted(
+        expected, key=repr
+    )
+    assert all(r.n_licenses == len([x for x in r.licenses.split(",") if x]) for r in result)
+    assert any(r.n_licenses for r in result)
+
+
+def test_given_documents(llm_spark, small):
+    result = {r.doc_id: r.licenses for r in license_scan(small).collect()}
+    expected = {d: brute(t, TEMPLATES) for d, t in texts_of(small)}
+    assert result == expected
+    assert {"mit", "apache-2.0"} <= {x for names in expected.values() for x in names.split(",")}
+
+
+def test_spans_hold_the_notice(llm_spark):
+    rows = [(1, "a b c " + TEMPLATES[0].text + " d e f")]
+    docs = docs_frame(llm_spark, rows)
+    row = license_matches(docs, docs["doc_id"]).first()
+    assert any(m.license == "apache-2.0" and m.start <= 3 and m.end >= 11 for m in row.matches)
+
+
+def test_nothing_to_scan(llm_spark, empty, small):
+    assert license_scan(empty).isEmpty()
+    assert license_scan(small, []).where("n_licenses > 0").isEmpty()
+
+
+def test_bands_keep_their_promise():
+    for group in Scanner(TEMPLATES).groups:
+        n = max(group.n_words - 1, 1)
+        similarity = CONTAINED * n / (3 * n + 1 - CONTAINED * n)
+        assert (1 - similarity) ** group.bands <= 1e-4
