@@ -89,11 +89,14 @@ def token_counts(docs: DataFrame, path: str, cache: str, limit: int = 1024) -> D
         .write.mode("append")
         .parquet(cache)
     )
-    counts = (
+    # Written, so that the join reads plain rows on both sides: then Spark splits
+    # a content that many rows share.
+    counts = written(
         cached_counts(docs, cache)
         .where(F.col("tokenizer") == version)
         .groupBy("content")
-        .agg(F.max("n_tokens").alias("n_tokens"))
+        .agg(F.max("n_tokens").alias("n_tokens")),
+        "token-counts",
     )
     return keys.join(counts, "content").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
