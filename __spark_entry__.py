@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 from collections.abc import Callable
+from functools import cache
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -38,6 +39,7 @@ from cartstream.plans.panels import PANELS  # noqa: E402
 from cartstream.plans.shop import Shop, shop_for  # noqa: E402
 from cartstream.schemas import (  # noqa: E402
     ITEMS,
+    PRIMARY_KEYS,
     RELATIONAL_SCHEMAS,
     TABLE_SCHEMAS,
     TOPICS,
@@ -46,6 +48,7 @@ from cartstream.schemas import (  # noqa: E402
 from cartstream.session import new_run_dir  # noqa: E402
 from cartstream.sinks import compact, to_messages  # noqa: E402
 from cartstream.sources import FolderTable, Lake, TextTopic, read_table  # noqa: E402
+from cartstream.sources.warehouse import REPEATED_MESSAGES  # noqa: E402
 from cartstream.streaming import (  # noqa: E402
     AVAILABLE_NOW,
     read_live,
@@ -59,6 +62,8 @@ AS_OF = {
     "new_users_today": dt.date.fromisoformat(oracles.NEW_USERS_DAY),
     "revenue_today": dt.date.fromisoformat(oracles.REVENUE_DAY),
 }
+# Panels of tables with a key, in the order of the others.
+KEYED = [name for name, panel in PANELS.items() if panel.keyed]
 LAKHS = ("total_revenue_today_lakhs", "revenue_in_lakhs")
 
 
@@ -120,24 +125,26 @@ def _journey(build: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Q
     return query
 
 
-def _panel(name: str) -> Query:
+def _panel(name: str, shop_of: Callable = shop_for) -> Query:
     panel = PANELS[name]
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        table = shop_for(spark, folder).table(panel.table)
+        table = shop_of(spark, folder).table(panel.table)
         return _comparable(panel.run(table, AS_OF.get(name)))
 
     return query
 
 
-def _live(name: str) -> Query:
+def _live(name: str, shop_of: Callable = shop_for, files_per_batch: int = 1000) -> Query:
     """The panel as a stream over the landed table, when it has caught up."""
     panel = PANELS[name]
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        shop = shop_for(spark, folder)
+        shop = shop_of(spark, folder)
         shop.ensure(panel.table)
-        start_live(spark, shop.lake, name, AVAILABLE_NOW, AS_OF.get(name)).awaitTermination()
+        start_live(
+            spark, shop.lake, name, AVAILABLE_NOW, AS_OF.get(name), files_per_batch
+        ).awaitTermination()
         return _comparable(read_live(spark, shop.lake, name))
 
     return query
@@ -178,24 +185,66 @@ def _compact(spark: SparkSession, folder: str) -> DataFrame:
     return _rows(spark, target, "transactions")
 
 
-def _export(table: str) -> Query:
+def _export(table: str, shop_of: Callable = shop_for) -> Query:
     """Landed rows in a relational table. Where the table has a key the export
-    runs twice, the second time without its checkpoint: that adds nothing."""
+    runs twice, as two feeds cut into different batches: that adds nothing."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        shop = shop_for(spark, folder)
+        shop = shop_of(spark, folder)
         shop.ensure(table)
         run = new_run_dir(spark, "export")
         target = FolderTable(table, f"{run}/{table}")
-        for attempt in ("first", "again") if table in ("users", "transactions") else ("first",):
+        for files in (1000, 2) if table in PRIMARY_KEYS else (1000,):
+            name = f"export_{run[-32:]}_{files}"
             start_export(
-                spark, shop.lake, table, target, AVAILABLE_NOW, query=f"export_{run[-32:]}_{attempt}"
+                spark, shop.lake, table, target, AVAILABLE_NOW, files_per_batch=files, query=name
             ).awaitTermination()
         return target.read(spark)
 
     return query
 
 
+class _Twice:
+    """A target whose every batch comes a second time, as after a crash between
+    writing it and noting that it is done."""
+
+    replaces = True
+
+    def __init__(self, target: FolderTable) -> None:
+        self.target = target
+
+    def append(self, rows: DataFrame, feed: str, epoch: int) -> None:
+        self.target.append(rows, feed, epoch)
+        self.target.append(rows, feed, epoch)
+
+
+def _replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines, which have no key on the relational side, in several batches
+    that all come twice."""
+    shop = shop_for(spark, folder)
+    shop.ensure(ITEMS)
+    run = new_run_dir(spark, "replay")
+    target = FolderTable(ITEMS, f"{run}/{ITEMS}")
+    start_export(
+        spark, shop.lake, ITEMS, _Twice(target), AVAILABLE_NOW, files_per_batch=4, query=f"replay_{run[-32:]}"
+    ).awaitTermination()
+    return target.read(spark)
+
+
+@cache
+def _repeated_shop(application: str, spark: SparkSession, folder: str) -> Shop:
+    topics = {}
+    for name, messages in REPEATED_MESSAGES.items():
+        topics[name] = TextTopic(new_run_dir(spark, "repeated"))
+        topics[name].publish(messages(spark, folder))
+    return Shop(spark, folder, topics=topics)
+
+
+def repeated_shop_for(spark: SparkSession, folder: str) -> Shop:
+    """A shop whose users and payments are there several times."""
+    return _repeated_shop(spark.sparkContext.applicationId, spark, folder.rstrip("/"))
+
+
 def _registrations(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """One registration per order, without a user while the order is pending;
     the suppliers are users already."""
@@ -246,7 +295,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return _shop_queries() | _corpus_queries()
+    return shop_queries() | _corpus_queries()
 
 
 def _corpus_queries() -> dict[str, Query]:
@@ -255,7 +304,7 @@ def _corpus_queries() -> dict[str, Query]:
     return corpus_queries.queries() | {"pipeline": corpus_pipeline.run}
 
 
-def _shop_queries() -> dict[str, Query]:
+def shop_queries() -> dict[str, Query]:
     return {
         **{f"parse_{topic}": _parse(topic) for topic in TOPICS},
         "transaction_items": _items,
@@ -273,6 +322,10 @@ def _shop_queries() -> dict[str, Query]:
         "compact_transactions": _compact,
         **{f"export_{topic}": _export(topic) for topic in TOPICS},
         "export_items": _export(ITEMS),
+        "export_replay": _replay,
+        **{f"keyed_panel_{name}": _panel(name, repeated_shop_for) for name in KEYED},
+        **{f"keyed_live_{name}": _live(name, repeated_shop_for, 3) for name in KEYED},
+        **{f"keyed_export_{table}": _export(table, repeated_shop_for) for table in PRIMARY_KEYS},
         "pk_violations": _pk_violations,
         "pk_accepted": _pk_accepted,
         "quarantine": _quarantine,

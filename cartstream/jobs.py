@@ -14,7 +14,6 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
-import logging
 import sys
 from collections.abc import Sequence
 from functools import partial
@@ -22,11 +21,11 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from cartstream.functions.columns import PERIODS
-from cartstream.plans.journey import journey_count, journey_wide
+from cartstream.plans.journey import journey, journey_count, journey_wide
 from cartstream.plans.panels import PANELS
 from cartstream.schemas import ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, TOPICS
 from cartstream.sinks import compact
-from cartstream.sources import JdbcTable, KafkaTopic, Lake, TextTopic, read_table
+from cartstream.sources import JdbcTable, KafkaTopic, TextTopic, open_lake, read_table
 from cartstream.streaming import (
     AVAILABLE_NOW,
     start_export,
@@ -37,7 +36,6 @@ from cartstream.streaming import (
 )
 
 PREVIEW_ROWS = 10
-PREVIEW_COLUMNS = ("user_id", "session_id", "page", "transaction_amount", "email")
 
 
 def _topic(args: argparse.Namespace, name: str) -> KafkaTopic | TextTopic:
@@ -55,7 +53,7 @@ def _relational(args: argparse.Namespace) -> dict[str, JdbcTable]:
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake = Lake(args.lake, args.period)
+    lake = open_lake(spark, args.lake, args.period)
     trigger = {"processingTime": args.every} if args.every else AVAILABLE_NOW
     landing = {
         f"land_{name}": partial(
@@ -86,12 +84,12 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def show_journey(spark: SparkSession, args: argparse.Namespace) -> None:
-    lake = Lake(args.lake, args.period)
+    """How many journeys there are, what one holds, and the first few."""
+    lake = open_lake(spark, args.lake)
     tables = [read_table(spark, lake, name) for name in ("clickstream", "users", "transactions")]
-    print("Total records:", journey_count(*tables).first()[0])
-    wide = journey_wide(*tables)
-    wide.printSchema()
-    wide.select(*PREVIEW_COLUMNS).show(PREVIEW_ROWS, truncate=False)
+    journey(*tables).show(PREVIEW_ROWS, truncate=False)
+    print(journey_wide(*tables).schema.treeString())
+    print(f"{journey_count(*tables).first()['total_records']} journeys")
 
 
 def show_panel(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -99,14 +97,18 @@ def show_panel(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.jdbc_options:
         table = _relational(args)[panel.table].read(spark)
     else:
-        table = read_table(spark, Lake(args.lake, args.period), panel.table)
+        table = read_table(spark, open_lake(spark, args.lake), panel.table)
     print(panel.title)
     panel.run(table, args.as_of).show(truncate=False)
 
 
 def show_topic(spark: SparkSession, args: argparse.Namespace) -> None:
     messages: DataFrame = _topic(args, args.name).read(spark)
-    messages.select(messages["value"].cast("string")).show(args.rows, truncate=False)
+    messages = messages.select(messages["value"].cast("string"))
+    if args.target:
+        messages.write.text(args.target)
+    else:
+        messages.show(args.rows, truncate=False)
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -114,8 +116,9 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact_table(spark: SparkSession, args: argparse.Namespace) -> None:
-    target = Lake(args.target, args.target_period or args.period)
-    compact(spark, Lake(args.lake, args.period), args.table, target)
+    lake = open_lake(spark, args.lake)
+    target = open_lake(spark, args.target, args.target_period or lake.period)
+    compact(spark, lake, args.table, target)
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -129,7 +132,6 @@ def parser() -> argparse.ArgumentParser:
 
     lake = argparse.ArgumentParser(add_help=False)
     lake.add_argument("--lake", required=True)
-    lake.add_argument("--period", choices=PERIODS, default="day")
 
     topics = argparse.ArgumentParser(add_help=False)
     source = topics.add_mutually_exclusive_group(required=True)
@@ -139,6 +141,7 @@ def parser() -> argparse.ArgumentParser:
     topics.add_argument("--kafka-option", type=_pair, action="append", default=[])
 
     job = jobs.add_parser("ingest", parents=[lake, topics], help="topics to lake and tables")
+    job.add_argument("--period", choices=PERIODS, help="of a new lake; days if not given")
     job.add_argument("--every", metavar="INTERVAL", help="default: what there is now, then stop")
     job.add_argument("--on-malformed", choices=("quarantine", "keep"), default="quarantine")
     job.add_argument("--on-violation", choices=("skip", "fail"), default="skip")
@@ -156,13 +159,14 @@ def parser() -> argparse.ArgumentParser:
     place = job.add_mutually_exclusive_group(required=True)
     place.add_argument("--lake")
     place.add_argument("--jdbc-options", metavar="FILE")
-    job.add_argument("--period", choices=PERIODS, default="day")
     job.add_argument("--as-of", type=dt.date.fromisoformat)
     job.set_defaults(run=show_panel)
 
     job = jobs.add_parser("read-topic", parents=[topics], help="messages from the beginning")
     job.add_argument("name", choices=TOPICS)
-    job.add_argument("--rows", type=int, default=PREVIEW_ROWS)
+    place = job.add_mutually_exclusive_group(required=True)
+    place.add_argument("--target", metavar="FOLDER", help="write the whole topic as text")
+    place.add_argument("--rows", type=int, help="show that many")
     job.set_defaults(run=show_topic)
 
     job = jobs.add_parser("publish", parents=[topics], help="text lines to a topic")
@@ -184,6 +188,4 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
 
 
 if __name__ == "__main__":
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s [%(levelname)s] %(message)s")
-    logging.getLogger("py4j").setLevel(logging.WARNING)
     main(sys.argv[1:])

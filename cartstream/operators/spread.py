@@ -16,24 +16,20 @@ from cartstream.schemas import INT, STRING, struct
 
 ROW = "_row"
 
-# A key is hot when it holds more than 1/parts of its table's rows, so a table
-# has fewer than `parts` hot keys. This bounds `parts`, and with it all that is
-# collected and broadcast here.
-MAX_PARTS = 500
-
 # The sketch tracks this many keys per part, which keeps its error at about a
-# fifth of the share that makes a key hot. A missed key would cost balance, never rows.
+# fifth of the share that makes a key hot; the most it can track is MAX_TRACKED.
+# A missed key would cost balance, never rows.
 TRACKED_PER_PART = 10
-
-# Tasks that merge the sketches of the scan's tasks, before one merges theirs.
-MERGERS = 256
+MAX_TRACKED = 1_000_000
 
 # Chunks per hot key; the entry None stands for rows without a key.
 Hot = dict[str | None, int]
 
 
 def part_count(spark: SparkSession) -> int:
-    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_PARTS)
+    """A key is hot when it holds more than 1/parts of its table's rows, so a table
+    has fewer than `parts` hot keys: that many are collected and broadcast here."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_row(frame: DataFrame) -> DataFrame:
@@ -53,7 +49,9 @@ def hot_keys(*columns: tuple[DataFrame, str]) -> list[Hot]:
     two steps. Runs at once and brings back fewer than `parts` values per column.
     """
     parts = part_count(columns[0][0].sparkSession)
-    tracked = parts * TRACKED_PER_PART
+    tracked = min(parts * TRACKED_PER_PART, MAX_TRACKED)
+    # Tasks that merge the sketches of the scan's tasks, before one merges theirs.
+    mergers = ceil(sqrt(parts))
     keys = reduce(
         DataFrame.unionAll,
         [
@@ -61,7 +59,7 @@ def hot_keys(*columns: tuple[DataFrame, str]) -> list[Hot]:
             for place, (table, name) in enumerate(columns)
         ],
     )
-    merger = F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")
+    merger = F.pmod(F.spark_partition_id(), F.lit(mergers)).alias("merger")
     top = F.expr(f"approx_top_k_estimate(sketch, {parts})")
     is_hot = lambda item: item["item"].isNotNull() & (item["count"] * parts > F.col("n"))
     found = (
@@ -137,7 +135,7 @@ def spread_left_join(
         return left.join(right.drop(ROW), key, "left")
 
     schema = struct({key: STRING, "_lefts": INT, "_rights": INT})
-    # Fewer than 2 x MAX_PARTS rows, whatever the tables' size.
+    # Fewer than two rows for each shuffle partition, whatever the tables' size.
     chunks = F.broadcast(left.sparkSession.createDataFrame(cuts, schema))
     left, right = left.join(chunks, key, "left"), right.join(chunks, key, "left")
 

@@ -66,16 +66,25 @@ def journey_count(clicks: DataFrame, users: DataFrame, transactions: DataFrame)
 
     Each table is first counted per key, which the map side does most of. The
     joins then see every key once on the right, and the left side is summed
-    down to one row per user between them.
+    down to one row per user between them. A session shared by many users is
+    still hot on the left of the first join, as are clicks without a session:
+    both are dealt into chunks, by a hash of their row.
     """
+    (sessions,) = hot_keys((clicks, "session_id"))
+    row = F.xxhash64("user_id", "session_id")
     clicks = clicks.groupBy("user_id", "session_id").agg(F.count("*").alias("n"))
     paid = transactions.groupBy("session_id").agg(F.count("*").alias("n_paid"))
     users = users.groupBy("user_id").agg(F.count("*").alias("n_users"))
 
     with_paid = F.col("n") * F.coalesce("n_paid", F.lit(1))
-    per_user = (
-        clicks.join(paid, "session_id", "left").groupBy("user_id").agg(F.sum(with_paid).alias("n"))
+    matched = spread_left_join(
+        clicks.withColumn(ROW, row),
+        paid.withColumn(ROW, F.lit(0).cast("bigint")),
+        "session_id",
+        sessions,
+        {},
     )
+    per_user = matched.groupBy("user_id").agg(F.sum(with_paid).alias("n"))
     with_users = F.col("n") * F.coalesce("n_users", F.lit(1))
     return per_user.join(users, "user_id", "left").agg(
         F.coalesce(F.sum(with_users), F.lit(0)).alias("total_records")

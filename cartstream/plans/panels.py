@@ -1,8 +1,9 @@
 """The seven dashboard panels.
 
-A panel is two steps: `totals` aggregates a table, `present` turns the totals
-into the rows shown. A batch run does both at once; a live panel keeps the
-totals as streaming state and presents them after each micro-batch.
+A panel is three steps: `counted` keeps one row per key, `totals` aggregates,
+`present` turns the totals into the rows shown. A batch run does all at once; a
+live panel keeps the totals as streaming state, or the kept rows where there is
+a key, and presents them after each micro-batch.
 
 Sorting follows the dashboard's database: NULL comes first in descending order.
 Ties are broken by the group's name, so a top five is reproducible.
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 from cartstream.functions import in_lakhs, period_start, state_of
 from cartstream.functions.columns import PERIODS
-from cartstream.schemas import ITEMS
+from cartstream.operators.keys import kept_rows
+from cartstream.schemas import ITEMS, PRIMARY_KEYS
 
 TOP = 5
 SUCCESSFUL = "successful"
@@ -29,18 +31,19 @@ def day_of(as_of: dt.date | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of)
 
 
-def on_day(frame: DataFrame, time_column: str, as_of: dt.date | None) -> Column:
-    """Time within the day. Also names the period column of a landed table, if
-    there is one, so that the scan opens only the folder that holds the day."""
+def up_to_day(frame: DataFrame, time_column: str, as_of: dt.date | None) -> Column:
+    """Time up to the end of the day: an earlier row of a key takes the place of
+    one of that day, a later one does not. Also names the period column of a
+    landed table, if there is one, so that the scan opens no later folder."""
     day = day_of(as_of)
-    condition = F.col(time_column).cast("date") == day
+    condition = F.col(time_column) < F.date_add(day, 1).cast("timestamp_ntz")
     for period in PERIODS:
         if f"event_{period}" in frame.columns:
-            condition &= F.col(f"event_{period}") == period_start(day, period)
+            condition &= F.col(f"event_{period}") <= period_start(day, period)
     return condition
 
 
-def _top(totals: DataFrame, value: str, name: str) -> DataFrame:
+def _ordered(totals: DataFrame, value: str, name: str) -> DataFrame:
     return totals.orderBy(F.desc_nulls_first(value), F.asc_nulls_last(name))
 
 
@@ -100,31 +103,50 @@ class Panel:
     totals: Callable[[DataFrame], DataFrame]
     present: Callable[[DataFrame, dt.date | None], DataFrame]
     day_column: str | None = None
+    # What is read of each key's row, where the table has a key.
+    columns: tuple[str, ...] = ()
+    # Shown in descending order of the first column, then by the second.
+    order: tuple[str, str] | None = None
+
+    @property
+    def keyed(self) -> bool:
+        return self.table in PRIMARY_KEYS
+
+    def counted(self, frame: DataFrame) -> DataFrame:
+        """The rows that count: one per key, where the table has a key."""
+        return kept_rows(frame, self.table, self.columns) if self.keyed else frame
 
     def run(self, frame: DataFrame, as_of: dt.date | None = None) -> DataFrame:
         """The panel's rows. `as_of` is the day that "today" stands for."""
         if self.day_column:
-            frame = frame.where(on_day(frame, self.day_column, as_of))
-        return self.present(self.totals(frame), as_of)
+            frame = frame.where(up_to_day(frame, self.day_column, as_of))
+        return self.present(self.totals(self.counted(frame)), as_of)
+
+    def sorted(self, rows: DataFrame) -> DataFrame:
+        """Rows that were shown once, in order again."""
+        return _ordered(rows, *self.order) if self.order else rows
 
 
 # Names, titles and output columns are fixed values.
 PANELS = {
     "total_users": Panel("Total users", "users", _total_users, lambda totals, _: totals),
     "new_users_today": Panel(
-        "New users today", "users", _users_per_day, _new_users, "registered_at"
+        "New users today", "users", _users_per_day, _new_users, "registered_at", ("registered_at",)
     ),
     "top_locations": Panel(
         "Top locations by user count",
         "users",
         _users_per_state,
-        lambda totals, _: _top(totals, "users_count", "state").limit(TOP),
+        lambda totals, _: _ordered(totals, "users_count", "state").limit(TOP),
+        columns=("location",),
+        order=("users_count", "state"),
     ),
     "top_pages": Panel(
         "Most visited pages",
         "clickstream",
         _visits_per_page,
-        lambda totals, _: _top(totals, "visits", "page").limit(TOP),
+        lambda totals, _: _ordered(totals, "visits", "page").limit(TOP),
+        order=("visits", "page"),
     ),
     # Successful payments only; revenue per category counts all of them, since
     # order lines carry no payment status.
@@ -134,17 +156,20 @@ PANELS = {
         _paid_per_day,
         _revenue_today,
         "timestamp",
+        ("timestamp", "transaction_amount", "payment_status"),
     ),
     "top_categories": Panel(
         "Most selling categories",
         ITEMS,
         _sold_per_category,
-        lambda totals, _: _top(totals, "total_sold", "product_category").limit(TOP),
+        lambda totals, _: _ordered(totals, "total_sold", "product_category").limit(TOP),
+        order=("total_sold", "product_category"),
     ),
     "revenue_by_category": Panel(
         "Revenue (in lakhs) per category all-time",
         ITEMS,
         _spend_per_category,
-        lambda totals, _: _top(totals, "revenue_in_lakhs", "product_category"),
+        lambda totals, _: _ordered(totals, "revenue_in_lakhs", "product_category"),
+        order=("revenue_in_lakhs", "product_category"),
     ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from cartstream.sources.lake import Lake, read_landed
+from cartstream.sources.lake import Lake, read_landed, record_period
 
 
 def compact(spark: SparkSession, lake: Lake, table: str, target: Lake) -> None:
@@ -14,6 +14,7 @@ def compact(spark: SparkSession, lake: Lake, table: str, target: Lake) -> None:
     lets Spark merge small partitions and split those of a busy period.
     The target may use another period; its table folder must not exist yet.
     """
+    record_period(spark, target)
     rows = target.with_period(read_landed(spark, lake, table).drop(lake.period_column), table)
     (
         rows.hint("rebalance", target.period_column)

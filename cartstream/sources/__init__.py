@@ -1,6 +1,6 @@
 """Topics, landed tables and relational tables."""
 
-from cartstream.sources.lake import Lake, read_quarantine, read_table, stream_table
+from cartstream.sources.lake import Lake, open_lake, read_quarantine, read_table, stream_table
 from cartstream.sources.relational import FolderTable, JdbcTable
 from cartstream.sources.topics import KafkaTopic, TextTopic
 
@@ -10,6 +10,7 @@ __all__ = [
     "KafkaTopic",
     "Lake",
     "TextTopic",
+    "open_lake",
     "read_quarantine",
     "read_table",
     "stream_table",

@@ -58,8 +58,46 @@ class Lake:
         return frame.withColumn(self.period_column, period_start(F.col(time), self.period))
 
 
+_periods: dict[str, str] = {}
+
+
+def stored_period(spark: SparkSession, root: str) -> str | None:
+    """The period that the lake was laid out with; None before the first landing."""
+    if root not in _periods:
+        try:
+            _periods[root] = spark.read.text(f"{root}/period").first()["value"]
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+    return _periods[root]
+
+
+def check_period(spark: SparkSession, lake: Lake) -> str | None:
+    stored = stored_period(spark, lake.root)
+    if stored not in (None, lake.period):
+        raise ValueError(f"{lake.root} is laid out by {stored}, not by {lake.period}")
+    return stored
+
+
+def record_period(spark: SparkSession, lake: Lake) -> None:
+    """Note the period in a new lake; refuse another one in an old lake."""
+    if check_period(spark, lake) is None:
+        note = spark.createDataFrame([(lake.period,)], "value string").coalesce(1)
+        note.write.mode("ignore").text(f"{lake.root}/period")
+        check_period(spark, lake)
+
+
+def open_lake(spark: SparkSession, root: str, period: str | None = None) -> Lake:
+    """The lake with the period it has; a new one with `period`, or days."""
+    lake = Lake(root, period or stored_period(spark, root) or "day")
+    check_period(spark, lake)
+    return lake
+
+
 def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """The table as landed; no rows if nothing has landed yet."""
+    check_period(spark, lake)
     schema = lake.schema(table)
     try:
         return spark.read.schema(schema).parquet(lake.table(table))
@@ -89,6 +127,7 @@ def stream_table(
     spark: SparkSession, lake: Lake, table: str, files_per_batch: int | None = None
 ) -> DataFrame:
     """A landed table as a stream; follows the sink's log of complete files."""
+    check_period(spark, lake)
     reader = spark.readStream.schema(lake.schema(table))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -3,40 +3,64 @@
 Both classes are export targets (`append`, `stored_keys`). `JdbcTable` is the
 real one. `FolderTable` holds the same rows as Parquet in the shared folder, for
 shops without a database and for checks that must not start one.
+
+An export is a feed of numbered batches (epochs); a batch may come again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from hashlib import sha256
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from cartstream.operators.keys import kept_rows
+from cartstream.schemas import INT, PRIMARY_KEYS, RELATIONAL_SCHEMAS, STRING, struct
 
-from cartstream.schemas import RELATIONAL_SCHEMAS
+# Folders that the rows of a keyed batch are dealt into, by a hash of the key.
+BUCKETS = 32
 
 
 @dataclass(frozen=True)
 class JdbcTable:
     """`options` carry url, user, password and driver, from the caller's secrets.
 
-    `tasks` bounds the connections that an append or a key lookup opens.
+    `tasks` bounds the connections that a read, an append or a key lookup opens.
+    `part` is the database's expression for which of `tasks` parts a row is in.
+    Stored rows stay as they are: of a key that comes in several batches, the
+    first batch's row. A table without a key gets a repeated batch twice.
     """
 
+    replaces = False
+
     table: str
     options: Mapping[str, str] = field(repr=False)
     tasks: int = 16
+    part: str = "mod(abs(hashtext(CAST({column} AS text))::bigint), {tasks})"
 
-    @property
-    def lookup_table(self) -> str:
-        """Holds the keys of one batch; this class creates and overwrites it."""
-        return f"{self.table}_batch_keys"
+    def lookup_table(self, feed: str) -> str:
+        """Holds the keys of one batch of a feed; overwritten by its next one."""
+        return f"{self.table}_keys_{sha256(feed.encode()).hexdigest()[:12]}"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options, dbtable=self.table).load()
+        """The table over `tasks` connections, times without a zone."""
+        column = RELATIONAL_SCHEMAS[self.table].names[0]
+        part = self.part.format(column=column, tasks=self.tasks)
+        parts = [f"{part} = {n}" for n in range(self.tasks)]
+        parts[0] += f" OR {column} IS NULL"
+        options = {name: value for name, value in self.options.items() if name != "url"}
+        return spark.read.jdbc(
+            self.options["url"],
+            self.table,
+            predicates=parts,
+            properties={**options, "preferTimestampNTZ": "true"},
+        )
 
-    def stored_keys(self, keys: DataFrame, key: str) -> DataFrame:
+    def stored_keys(self, keys: DataFrame, key: str, feed: str = "", epoch: int = 0) -> DataFrame:
         """Which of a batch's keys the table holds.
 
         The batch's keys go to a table of their own and the database joins the
@@ -45,10 +69,11 @@ class JdbcTable:
         not Spark's, so a range of keys would not mean the same there.
         """
         part = F.pmod(F.xxhash64(key), F.lit(self.tasks)).cast("int").alias("part")
-        self._write(keys.where(F.col(key).isNotNull()).select(key, part), self.lookup_table, "overwrite")
+        lookup = self.lookup_table(feed)
+        self._write(keys.where(F.col(key).isNotNull()).select(key, part), lookup, "overwrite")
         known = (
             f"(SELECT batch.part, stored.{key} FROM {self.table} stored "
-            f"JOIN {self.lookup_table} batch ON stored.{key} = batch.{key}) known"
+            f"JOIN {lookup} batch ON stored.{key} = batch.{key}) known"
         )
         return (
             keys.sparkSession.read.format("jdbc")
@@ -64,7 +89,7 @@ class JdbcTable:
             .select(F.col(key).alias(key))
         )
 
-    def append(self, rows: DataFrame) -> None:
+    def append(self, rows: DataFrame, feed: str = "", epoch: int = 0) -> None:
         self._write(rows, self.table, "append")
 
     def _write(self, rows: DataFrame, table: str, mode: str) -> None:
@@ -78,11 +103,23 @@ class JdbcTable:
 
 @dataclass(frozen=True)
 class FolderTable:
+    """Rows in a folder per feed and epoch, keyed ones in buckets below that.
+
+    A batch that comes again replaces its folder, so nothing is there twice. A
+    key that came in several batches is settled when the table is read, by the
+    rule of `kept_rows`: how a feed was cut into batches does not matter.
+    """
+
     table: str
     path: str
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        schema = RELATIONAL_SCHEMAS[self.table]
+    replaces = True
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        folders = {"feed": STRING, "epoch": INT}
+        if self.table in PRIMARY_KEYS:
+            folders["bucket"] = INT
+        schema = StructType(RELATIONAL_SCHEMAS[self.table].fields + struct(folders).fields)
         try:
             return spark.read.schema(schema).parquet(self.path)
         except AnalysisException as missing:
@@ -90,8 +127,27 @@ class FolderTable:
                 raise
             return spark.createDataFrame([], schema)
 
-    def stored_keys(self, keys: DataFrame, key: str) -> DataFrame:
-        return self.read(keys.sparkSession).select(key)
-
-    def append(self, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(self.path)
+    def read(self, spark: SparkSession) -> DataFrame:
+        names = RELATIONAL_SCHEMAS[self.table].names
+        return kept_rows(self._stored(spark).select(*names), self.table).select(*names)
+
+    def stored_keys(self, keys: DataFrame, key: str, feed: str = "", epoch: int = 0) -> DataFrame:
+        """Keys in the buckets that the batch's keys are in, apart from those
+        that this very batch has left in an earlier run."""
+        touched = keys.where(F.col(key).isNotNull()).select(_bucket(key)).distinct()
+        buckets = [row[0] for row in touched.collect()]  # BUCKETS values at most
+        stored = self._stored(keys.sparkSession).where(F.col("bucket").isin(buckets))
+        return stored.where((F.col("feed") != feed) | (F.col("epoch") != epoch)).select(key)
+
+    def append(self, rows: DataFrame, feed: str = "", epoch: int = 0) -> None:
+        folder = f"{self.path}/feed={feed or 'rows'}/epoch={epoch}"
+        key = PRIMARY_KEYS.get(self.table)
+        if key is None:
+            rows.write.mode("overwrite").parquet(folder)
+            return
+        rows = rows.withColumn("bucket", _bucket(key)).hint("rebalance", "bucket")
+        rows.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+
+
+def _bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartstream.functions import event_time_text, full_location, row_json
-from cartstream.operators.spread import ROW, hot_keys, spread_left_join
 
 # Fixed values.
 DEVICES = ["Android", "iOS", "Chrome", "Safari"]
@@ -19,9 +18,8 @@ ACTIONS = ["click", "scroll", "hover", "navigate"]
 PAYMENT_METHODS = ["UPI", "credit_card", "paypal", "debit_card"]
 FIRST_REGISTRATION = "2024-01-01 10:00:00"
 
-# One message holds one product list, and a broker limits the size of a message.
-# A larger order is sent as several transactions, see `transaction_messages`.
-MAX_PRODUCTS = 1000
+# Products of one message, at most.
+PRODUCTS = 3
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,8 +35,7 @@ def _session(user: Column, time: Column) -> Column:
     return F.concat(F.lit("SESS"), user, F.lit("_"), F.dayofmonth(time))
 
 
-def user_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """One message per customer; every fifth has a city only."""
+def _users(spark: SparkSession, folder: str) -> DataFrame:
     places = _table(spark, folder, "nation").join(
         _table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
@@ -50,16 +47,46 @@ def user_messages(spark: SparkSession, folder: str) -> DataFrame:
         (number % 30).cast("int")
     )
     return people.select(
-        row_json(
-            number.cast("string").alias("user_id"),
-            F.col("c_name").alias("name"),
-            F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))
-            .alias("email"),
-            full_location(F.col("n_name"), F.when(number % 5 != 0, F.col("r_name")))
-            .alias("location"),
-            event_time_text(registered).alias("registered_at"),
-        ).alias("value")
+        number.alias("number"),
+        number.cast("string").alias("user_id"),
+        F.col("c_name").alias("name"),
+        F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))
+        .alias("email"),
+        full_location(F.col("n_name"), F.when(number % 5 != 0, F.col("r_name"))).alias("location"),
+        registered.alias("registered_at"),
+    )
+
+
+def _as_messages(rows: DataFrame, time: str) -> DataFrame:
+    rows = rows.drop("number").withColumn(time, event_time_text(F.col(time)))
+    return rows.select(row_json(*rows.columns).alias("value"))
+
+
+def user_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """One message per customer; every fifth has a city only."""
+    return _as_messages(_users(spark, folder), "registered_at")
+
+
+def _sent_again(rows: DataFrame, time: str, column: str, late: str, early: str) -> DataFrame:
+    """The rows; a third once more as they are; some a day later and some two
+    days earlier, with another value of `column`."""
+
+    def changed(rest: int, value: str, days: int) -> DataFrame:
+        moved = F.col(time).cast("timestamp_ntz") + F.make_dt_interval(F.lit(days))
+        some = rows.where(F.col("number") % 7 == rest)
+        return some.withColumn(column, F.lit(value)).withColumn(time, moved)
+
+    rows = rows.withColumn(time, F.col(time).cast("timestamp_ntz"))
+    again = rows.where(F.col("number") % 3 == 0)
+    return rows.unionByName(again).unionByName(changed(0, late, 1)).unionByName(changed(1, early, -2))
+
+
+def repeated_user_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of users who are there several times."""
+    rows = _sent_again(
+        _users(spark, folder), "registered_at", "location", "Moved, Late", "Moved, Early"
     )
+    return _as_messages(rows, "registered_at")
 
 
 def click_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,86 +104,59 @@ def click_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def transaction_messages(
-    spark: SparkSession, folder: str, max_products: int = MAX_PRODUCTS
-) -> DataFrame:
-    """One message per order, with the products of its lines in a fixed order.
-
-    An order of more than `max_products` lines becomes one transaction per
-    product, quantity and run of `max_products` copies, each with its own id and
-    amount: however large an order is, no list grows beyond `max_products`.
-
-    Equal lines are counted before anything is gathered by order, and an order
-    with a large share of all lines is cut into chunks for the join that tells
-    large orders from others. Only orders known to be small are gathered.
-    """
-    lineitem = _table(spark, folder, "lineitem").withColumn(
-        "order_key", F.col("l_orderkey").cast("string")
+def _transactions(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _table(spark, folder, "lineitem").join(
+        _table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
-    orders = _table(spark, folder, "orders").select(
-        F.col("o_orderkey").cast("string").alias("order_key"),
-        F.concat(F.lit("TXN"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    orders = _table(spark, folder, "orders")
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    products = F.array(
+        *(
+            F.struct(
+                F.concat(F.lit("PROD"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
+                .alias("product_id"),
+                (F.col("l_quantity").cast("int") + more).alias("quantity"),
+                F.col("p_retailprice").alias("unit_price"),
+                F.col("p_type").alias("product_category"),
+            )
+            for more in range(PRODUCTS)
+        )
+    )
+    listed = (F.col("l_linenumber") % (PRODUCTS + 1)).cast("int")
+    number = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    return sold.select(
+        F.col("o_orderkey").alias("number"),
+        F.concat(F.lit("TXN"), number, F.lit("-"), F.col("l_linenumber").cast("string"))
         .alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         _session(F.col("o_custkey"), F.col("o_orderdate")).alias("session_id"),
-        event_time_text(F.col("o_orderdate")).alias("timestamp"),
-        F.col("o_totalprice").alias("transaction_amount"),
+        F.col("o_orderdate").alias("timestamp"),
+        F.col("l_extendedprice").alias("transaction_amount"),
         _pick(PAYMENT_METHODS, F.col("o_orderkey")).alias("payment_method"),
         F.when(F.col("o_orderstatus") == "F", "failed")
         .otherwise("successful")
         .alias("payment_status"),
+        F.when(listed > 0, F.slice(products, F.lit(1), listed)).alias("products"),
     )
-    message = row_json(*[name for name in orders.columns if name != "order_key"], "products")
-
-    product = F.struct(
-        F.concat(F.lit("PROD"), F.lpad(F.col("l_partkey").cast("string"), 5, "0"))
-        .alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").alias("unit_price"),
-        F.col("p_type").alias("product_category"),
-    )
-    sold = (
-        lineitem.join(_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("order_key", product.alias("product"))
-        .agg(F.count("*").alias("copies"))
-        .withColumn(ROW, F.xxhash64("product"))
-    )
-    large = (
-        lineitem.groupBy("order_key")
-        .agg(F.count("*").alias("n_lines"))
-        .where(F.col("n_lines") > max_products)
-    )
-    (hot,) = hot_keys((lineitem, "order_key"))
-    headers = large.join(orders, "order_key", "left").withColumn(ROW, F.lit(0).cast("bigint"))
-    sold = spread_left_join(sold, headers, "order_key", hot, {})
 
-    repeated = F.transform(
-        F.collect_list(F.struct("product", "copies")),
-        lambda line: F.array_repeat(line["product"], line["copies"].cast("int")),
-    )
-    baskets = (
-        sold.where(F.col("n_lines").isNull())
-        .groupBy("order_key")
-        .agg(F.sort_array(F.flatten(repeated)).alias("products"))
-    )
-    usual = orders.join(large, "order_key", "left_anti").join(baskets, "order_key", "left")
-
-    limit = F.lit(max_products)
-    size = F.least(limit, F.col("copies") - F.col("run") * limit).cast("int")
-    amount = F.col("product.quantity") * F.col("product.unit_price") * size
-    split = (
-        sold.where(F.col("transaction_id").isNotNull())
-        .withColumn("run", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / limit))))
-        .withColumn("products", F.array_repeat("product", size))
-        .withColumn("transaction_amount", F.round(amount, 2))
-        .withColumn(
-            "transaction_id",
-            F.concat_ws(
-                "-", "transaction_id", "product.product_id", "product.quantity", "run"
-            ),
-        )
+
+def transaction_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """One message per order line.
+
+    The line's number says how many products it lists, none to PRODUCTS: the
+    line's part, each time one more of it. Nothing is gathered by order, so an
+    order may have any number of lines. Lines that repeat an order's line number
+    repeat a transaction id.
+    """
+    return _as_messages(_transactions(spark, folder), "timestamp")
+
+
+def repeated_transaction_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of payments that are there several times."""
+    rows = _sent_again(
+        _transactions(spark, folder), "timestamp", "payment_status", "failed", "failed"
     )
-    return usual.select(message.alias("value")).unionAll(split.select(message.alias("value")))
+    return _as_messages(rows, "timestamp")
 
 
 MESSAGES = {
@@ -164,3 +164,8 @@ MESSAGES = {
     "clickstream": click_messages,
     "transactions": transaction_messages,
 }
+
+REPEATED_MESSAGES = {
+    "users": repeated_user_messages,
+    "transactions": repeated_transaction_messages,
+}

@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from cartstream.operators.items import relational_shape, transaction_items
-from cartstream.operators.keys import KeyViolation, acceptable_rows, key_violations
+from cartstream.operators.keys import KeyViolation, kept_rows, key_violations
 from cartstream.operators.parse import parse_messages
 from cartstream.schemas import ITEMS, PRIMARY_KEYS, Topic
-from cartstream.sources.lake import Lake, stream_table
+from cartstream.sources.lake import Lake, record_period, stream_table
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -42,6 +43,7 @@ def start(
 def _append_to_lake(
     frame: DataFrame, lake: Lake, table: str, query: str, trigger: Trigger
 ) -> StreamingQuery:
+    record_period(frame.sparkSession, lake)
     writer = (
         lake.with_period(frame, table)
         .writeStream.format("parquet")
@@ -79,24 +81,40 @@ def start_items(
 
 
 def export_batch(
-    batch: DataFrame, table: str, target, on_violation: str = "skip"
+    batch: DataFrame,
+    table: str,
+    target,
+    on_violation: str = "skip",
+    feed: str = "export",
+    epoch: int = 0,
 ) -> None:
-    """Append one batch of landed rows to a relational table.
+    """Bring one batch of landed rows to a relational table.
 
-    A keyed table takes each key once, so running a batch again adds nothing.
-    Tables without a key get a repeated batch twice. `on_violation="fail"`
-    raises instead of leaving rows out, which also refuses a repeated batch.
+    A keyed table takes each key once, so running a batch again adds nothing. A
+    target that replaces batches (`FolderTable`) settles keys of several batches
+    itself; another one takes only keys it has not stored, and gets a repeated
+    batch twice where there is no key. `on_violation="fail"` raises instead of
+    leaving rows out. The batch is read once and kept while it is worked on.
     """
     rows = relational_shape(batch, table)
     key = PRIMARY_KEYS.get(table)
-    if key:
-        stored = target.stored_keys(rows.select(key), key)
-        if on_violation == "fail":
-            found = key_violations(rows, key, stored).limit(1).collect()
-            if found:
-                raise KeyViolation(f"{table}: {found[0]['reason']}: {found[0]['key']}")
-        rows = acceptable_rows(rows, key, stored)
-    target.append(rows)
+    if not key:
+        target.append(rows, feed, epoch)
+        return
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        accepted = kept_rows(rows, table).select(*rows.columns)
+        if on_violation == "fail" or not target.replaces:
+            stored = target.stored_keys(rows.select(key), key, feed, epoch)
+            if on_violation == "fail":
+                found = key_violations(rows, key, stored).limit(1).collect()
+                if found:
+                    raise KeyViolation(f"{table}: {found[0]['reason']}: {found[0]['key']}")
+            if not target.replaces:
+                accepted = accepted.join(stored.select(key), key, "left_anti")
+        target.append(accepted.select(*rows.columns), feed, epoch)
+    finally:
+        rows.unpersist()
 
 
 def start_export(
@@ -109,13 +127,18 @@ def start_export(
     files_per_batch: int = FILES_PER_BATCH,
     query: str | None = None,
 ) -> StreamingQuery:
-    """Keep a relational table in step with a landed one."""
+    """Keep a relational table in step with a landed one.
+
+    The query's name is the feed's: with its checkpoint lost, it writes its
+    batches anew; under another name it is a feed of its own.
+    """
+    query = query or f"export_{table}"
     if on_violation not in ON_VIOLATION:
         raise ValueError(f"on_violation must be one of {ON_VIOLATION}, not {on_violation!r}")
 
     def push(batch: DataFrame, epoch: int) -> None:
-        export_batch(batch, table, target, on_violation)
+        export_batch(batch, table, target, on_violation, query, epoch)
 
     frame = stream_table(spark, lake, table, files_per_batch)
     writer = frame.writeStream.foreachBatch(push).outputMode("append")
-    return start(writer, lake, query or f"export_{table}", trigger)
+    return start(writer, lake, query, trigger)

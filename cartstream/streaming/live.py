@@ -1,6 +1,6 @@
 """Panels that follow the landed tables.
 
-The panel's totals are streaming state, one row per group. After each batch the
+The panel's totals are streaming state, one row per group (or per key). After each batch the
 presented rows are written to one of two slots in turn, tagged with the batch
 number, so a reader finds the newest complete result while the next is written,
 and storage does not grow.
@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from cartstream.plans.panels import PANELS
 from cartstream.sources.lake import Lake, stream_table
-from cartstream.streaming.ingest import Trigger, start
+from cartstream.streaming.ingest import FILES_PER_BATCH, Trigger, start
 
 EPOCH = "epoch"
 SLOT = "slot"
@@ -29,22 +29,26 @@ def start_live(
     panel: str,
     trigger: Trigger = None,
     as_of: dt.date | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Keep a panel up to date. Panels about today hold totals per day, so the
-    answer moves on with the date."""
+    answer moves on with the date. Panels of keyed tables hold a row per key, as
+    a later message may take a key's place, and count them after each batch."""
     chosen = PANELS[panel]
 
-    def show(totals: DataFrame, epoch: int) -> None:
+    def show(state: DataFrame, epoch: int) -> None:
+        totals = chosen.totals(state) if chosen.keyed else state
         rows = chosen.present(totals, as_of).withColumn(EPOCH, F.lit(epoch).cast("bigint"))
         rows.write.mode("overwrite").parquet(f"{lake.live(panel)}/{SLOT}={epoch % 2}")
 
-    totals = chosen.totals(stream_table(spark, lake, chosen.table))
-    writer = totals.writeStream.foreachBatch(show).outputMode("complete")
+    table = stream_table(spark, lake, chosen.table, files_per_batch)
+    state = chosen.counted(table) if chosen.keyed else chosen.totals(table)
+    writer = state.writeStream.foreachBatch(show).outputMode("complete")
     return start(writer, lake, f"live_{panel}", trigger)
 
 
 def read_live(spark: SparkSession, lake: Lake, panel: str) -> DataFrame | None:
-    """The newest rows of a live panel, or None before the first batch."""
+    """The newest rows of a live panel, in its order, or None before the first batch."""
     try:
         slots = spark.read.parquet(lake.live(panel))
     except AnalysisException as missing:
@@ -52,4 +56,4 @@ def read_live(spark: SparkSession, lake: Lake, panel: str) -> DataFrame | None:
             raise
         return None
     newest = slots.agg(F.max(EPOCH).alias(EPOCH))
-    return slots.join(F.broadcast(newest), EPOCH).drop(EPOCH, SLOT)
+    return PANELS[panel].sorted(slots.join(F.broadcast(newest), EPOCH).drop(EPOCH, SLOT))

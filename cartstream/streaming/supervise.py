@@ -26,7 +26,8 @@ def supervise(
 
     A stream that fails continues from its checkpoint, up to `restarts` times
     without a batch done in between. The rest keep running meanwhile, and also
-    when it is given up, unless `fail_fast` stops them all then.
+    when it is given up, unless `fail_fast` stops them all then. A stream whose
+    table is not there yet waits, as long as another one may still fill it.
     """
     running: dict[str, StreamingQuery | None] = dict.fromkeys(starters)
     failures = dict.fromkeys(starters, 0)
@@ -47,7 +48,11 @@ def supervise(
                 try:
                     running[name] = starters[name]()
                 except PySparkException as error:
-                    failed(name, error)
+                    others = any(q is not None and q.isActive for q in running.values())
+                    if others and error.getCondition() == "PATH_NOT_FOUND":
+                        log.info("stream %s waits for its table", name)
+                    else:
+                        failed(name, error)
                 continue
             if query.lastProgress and query.lastProgress["numInputRows"]:
                 failures[name] = 0

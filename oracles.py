@@ -6,17 +6,16 @@ tables, so a parsing mistake cannot cancel out.
 
 from __future__ import annotations
 
-from cartstream.schemas import PRIMARY_KEYS, RELATIONAL_SCHEMAS
-from cartstream.sources.warehouse import MAX_PRODUCTS
+from cartstream.schemas import PRIMARY_KEYS, RELATIONAL_SCHEMAS, TOPICS
 
 # The days that "today" stands for.
 NEW_USERS_DAY = "2024-01-15"
 REVENUE_DAY = "1998-10-03"
 
 
-def tables_sql(max_products: int = MAX_PRODUCTS) -> str:
-    """The four landed tables as CTEs."""
-    return f"""
+# The four landed tables as CTEs. A transaction is an order line; its number says
+# how many products it lists.
+TABLES = """
 WITH users AS (
   SELECT CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name,
     lower(replace(c_name, '#', '.')) || '@example.com' AS email,
@@ -32,61 +31,36 @@ clickstream AS (
   FROM events
 ),
 lines AS (
-  SELECT l_orderkey AS orderkey, 'PROD' || lpad(CAST(l_partkey AS VARCHAR), 5, '0') AS product_id,
-    CAST(l_quantity AS INT) AS quantity, p_retailprice AS unit_price, p_type AS product_category
-  FROM lineitem JOIN part ON l_partkey = p_partkey
-),
-large AS (SELECT l_orderkey AS orderkey FROM lineitem GROUP BY 1 HAVING count(*) > {max_products}),
-runs AS (
-  SELECT * EXCLUDE (copies), least({max_products}, copies - run * {max_products}) AS size
-  FROM (
-    SELECT *, unnest(range((copies - 1) // {max_products} + 1)) AS run
-    FROM (
-      SELECT orderkey, product_id, quantity, unit_price, product_category, count(*) AS copies
-      FROM lines WHERE orderkey IN (SELECT orderkey FROM large) GROUP BY ALL
-    )
-  )
-),
-headers AS (
-  SELECT *, 'TXN' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS id FROM orders
-),
-sent AS (
-  SELECT *, id AS transaction_id, o_totalprice AS amount FROM headers
-  WHERE o_orderkey NOT IN (SELECT orderkey FROM large)
-  UNION ALL
-  SELECT headers.*, concat_ws('-', id, product_id, quantity, run), round(quantity * unit_price * size, 2)
-  FROM headers JOIN runs ON o_orderkey = orderkey
+  SELECT *, 'TXN' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '-' || l_linenumber AS transaction_id,
+    CAST(l_linenumber % 4 AS INT) AS listed, 'PROD' || lpad(CAST(l_partkey AS VARCHAR), 5, '0') AS product_id,
+    CAST(l_quantity AS INT) AS ordered, p_retailprice AS unit_price, p_type AS product_category
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
 ),
-transactions AS (
+with_products AS (
   SELECT CAST(o_custkey AS VARCHAR) AS user_id,
     'SESS' || o_custkey || '_' || day(o_orderdate) AS session_id, transaction_id,
-    CAST(o_orderdate AS TIMESTAMP) AS "timestamp", amount AS transaction_amount,
+    CAST(o_orderdate AS TIMESTAMP) AS "timestamp", l_extendedprice AS transaction_amount,
     ['UPI', 'credit_card', 'paypal', 'debit_card'][o_orderkey % 4 + 1] AS payment_method,
     CASE WHEN o_orderstatus = 'F' THEN 'failed' ELSE 'successful' END AS payment_status,
-    CAST(NULL AS VARCHAR) AS order_status
-  FROM sent
+    CAST(NULL AS VARCHAR) AS order_status,
+    CASE WHEN listed > 0 THEN CAST(to_json(list_slice([
+      {product_id: product_id, quantity: ordered, unit_price: unit_price, product_category: product_category},
+      {product_id: product_id, quantity: ordered + 1, unit_price: unit_price, product_category: product_category},
+      {product_id: product_id, quantity: ordered + 2, unit_price: unit_price, product_category: product_category}
+    ], 1, listed)) AS VARCHAR) END AS products,
+    CASE WHEN listed > 0 THEN round(list_sum(list_slice([
+      ordered * unit_price, (ordered + 1) * unit_price, (ordered + 2) * unit_price
+    ], 1, listed)), 2) END AS order_total
+  FROM lines
 ),
-sold AS (
-  SELECT id AS transaction_id, o_orderdate, product_id, product_category, quantity, unit_price
-  FROM headers JOIN lines ON o_orderkey = orderkey
-  WHERE o_orderkey NOT IN (SELECT orderkey FROM large)
-  UNION ALL
-  SELECT concat_ws('-', id, product_id, quantity, run), o_orderdate, product_id, product_category,
-    quantity, unit_price
-  FROM headers JOIN (SELECT *, unnest(range(size)) FROM runs) ON o_orderkey = orderkey
-),
-transaction_items AS (
-  SELECT transaction_id, product_id, product_category, quantity, unit_price,
-    quantity * unit_price AS product_spend, CAST(o_orderdate AS TIMESTAMP) AS "timestamp"
-  FROM sold
+transactions AS (SELECT * EXCLUDE (products, order_total) FROM with_products),
+numbered_items AS (
+  SELECT transaction_id, product_id, product_category, ordered + item_pos AS quantity, unit_price,
+    (ordered + item_pos) * unit_price AS product_spend, CAST(o_orderdate AS TIMESTAMP) AS "timestamp",
+    item_pos
+  FROM (SELECT *, CAST(unnest(range(listed)) AS INT) AS item_pos FROM lines)
 ),
-baskets AS (
-  SELECT transaction_id, round(sum(product_spend), 2) AS order_total, CAST(to_json(
-    list({{product_id: product_id, quantity: quantity, unit_price: unit_price,
-          product_category: product_category}}
-      ORDER BY product_id, quantity, unit_price, product_category)) AS VARCHAR) AS products
-  FROM transaction_items GROUP BY 1
-)
+transaction_items AS (SELECT * EXCLUDE (item_pos) FROM numbered_items)
 """
 
 
@@ -117,16 +91,16 @@ routed AS (
 """
 
 PANEL_SQL = {
-    "total_users": "SELECT count(*) AS total_users FROM users",
-    "new_users_today": f"""SELECT count(*) AS new_users_today FROM users
+    "total_users": "SELECT count(*) AS total_users FROM kept_users",
+    "new_users_today": f"""SELECT count(*) AS new_users_today FROM kept_users
       WHERE CAST(registered_at AS DATE) = DATE '{NEW_USERS_DAY}'""",
     "top_locations": """SELECT trim(split_part(location, ',', 2)) AS state, count(*) AS users_count
-      FROM users WHERE location LIKE '%,%' GROUP BY 1
+      FROM kept_users WHERE location LIKE '%,%' GROUP BY 1
       ORDER BY users_count DESC NULLS FIRST, state LIMIT 5""",
     "top_pages": """SELECT page, count(*) AS visits FROM clickstream GROUP BY page
       ORDER BY visits DESC NULLS FIRST, page LIMIT 5""",
     "revenue_today": f"""SELECT round(coalesce(sum(transaction_amount), 0) / 100000.0, 6)
-        AS total_revenue_today_lakhs FROM transactions
+        AS total_revenue_today_lakhs FROM kept_transactions
       WHERE CAST("timestamp" AS DATE) = DATE '{REVENUE_DAY}' AND payment_status = 'successful'""",
     "top_categories": """SELECT product_category, CAST(sum(quantity) AS BIGINT) AS total_sold
       FROM transaction_items GROUP BY 1
@@ -139,24 +113,19 @@ PANEL_SQL = {
 USERS_SQL = "SELECT * FROM users"
 CLICKS_SQL = "SELECT * FROM clickstream"
 TRANSACTIONS_SQL = "SELECT * FROM transactions"
-WITH_PRODUCTS_SQL = "SELECT * EXCLUDE (order_total) FROM transactions LEFT JOIN baskets USING (transaction_id)"
+WITH_PRODUCTS_SQL = "SELECT * EXCLUDE (order_total) FROM with_products"
 ITEMS_SQL = "SELECT * FROM transaction_items"
-NUMBERED_ITEMS_SQL = """SELECT *, CAST(row_number() OVER (PARTITION BY transaction_id
-    ORDER BY product_id, quantity, unit_price, product_category) - 1 AS INT) AS item_pos
-  FROM transaction_items"""
+NUMBERED_ITEMS_SQL = "SELECT * FROM numbered_items"
 JOURNEY_FROM = """FROM clickstream c LEFT JOIN users u ON c.user_id = u.user_id
-  LEFT JOIN (SELECT * FROM transactions LEFT JOIN baskets USING (transaction_id)) t
-    ON c.session_id = t.session_id"""
+  LEFT JOIN with_products t ON c.session_id = t.session_id"""
 
 ON_TABLES = {
     "parse_users": USERS_SQL,
     "parse_clickstream": CLICKS_SQL,
     "parse_transactions": WITH_PRODUCTS_SQL,
     "transaction_items": ITEMS_SQL,
-    "products_json": """SELECT transaction_id, products FROM transactions
-      LEFT JOIN baskets USING (transaction_id)""",
-    "order_total": """SELECT transaction_id, order_total FROM transactions
-      LEFT JOIN baskets USING (transaction_id)""",
+    "products_json": "SELECT transaction_id, products FROM with_products",
+    "order_total": "SELECT transaction_id, order_total FROM with_products",
     "publish_roundtrip": WITH_PRODUCTS_SQL,
     "journey": f"""SELECT c.user_id, c.session_id, c.page, t.transaction_amount, u.email
       {JOURNEY_FROM}""",
@@ -176,21 +145,55 @@ ON_TABLES = {
     "export_users": USERS_SQL,
     "export_clickstream": CLICKS_SQL,
     "export_transactions": """SELECT * EXCLUDE (order_total), CAST(NULL AS VARCHAR) AS product_category
-      FROM transactions LEFT JOIN baskets USING (transaction_id)""",
+      FROM with_products""",
     "export_items": ITEMS_SQL,
 }
 
-def one_per_key(sql: str, key: str, columns: list[str]) -> str:
-    """What a keyed table takes: the smallest row of each key."""
-    order = ", ".join(f'"{name}" NULLS FIRST' for name in columns)
-    return f"""SELECT * FROM ({sql})
-      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1"""
+def one_per_key(sql: str, table: str) -> str:
+    """What a keyed table holds: of each key the earliest row, then the smallest."""
+    key = PRIMARY_KEYS[table]
+    time = TOPICS[table].time_column
+    order = ", ".join(f'"{name}" NULLS FIRST' for name in RELATIONAL_SCHEMAS[table].names)
+    return f"""SELECT * FROM ({sql}) WHERE {key} IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY "{time}" NULLS LAST, {order}) = 1"""
 
 
-for _table, _key in PRIMARY_KEYS.items():
-    ON_TABLES[f"export_{_table}"] = one_per_key(
-        ON_TABLES[f"export_{_table}"], _key, RELATIONAL_SCHEMAS[_table].names
-    )
+def kept(users: str, transactions: str) -> str:
+    """CTEs of the keyed tables that take in the rows of `users` and `transactions`."""
+    rows = f"SELECT * EXCLUDE (order_total), CAST(NULL AS VARCHAR) AS product_category FROM {transactions}"
+    return f"""
+, kept_users AS ({one_per_key(f"SELECT * FROM {users}", "users")}),
+kept_transactions AS ({one_per_key(rows, "transactions")})
+"""
+
+
+# Some messages come again as they were, some with another time and content.
+REPEATED = """
+, repeated_users AS (
+  SELECT * FROM users
+  UNION ALL SELECT * FROM users WHERE CAST(user_id AS INT) % 3 = 0
+  UNION ALL SELECT user_id, name, email, 'Moved, Late', registered_at + INTERVAL 1 DAY
+  FROM users WHERE CAST(user_id AS INT) % 7 = 0
+  UNION ALL SELECT user_id, name, email, 'Moved, Early', registered_at - INTERVAL 2 DAY
+  FROM users WHERE CAST(user_id AS INT) % 7 = 1
+),
+repeated_transactions AS (
+  SELECT * FROM with_products
+  UNION ALL SELECT * FROM with_products WHERE CAST(substr(transaction_id, 4, 12) AS BIGINT) % 3 = 0
+  UNION ALL SELECT * REPLACE ('failed' AS payment_status, "timestamp" + INTERVAL 1 DAY AS "timestamp")
+  FROM with_products WHERE CAST(substr(transaction_id, 4, 12) AS BIGINT) % 7 = 0
+  UNION ALL SELECT * REPLACE ('failed' AS payment_status, "timestamp" - INTERVAL 2 DAY AS "timestamp")
+  FROM with_products WHERE CAST(substr(transaction_id, 4, 12) AS BIGINT) % 7 = 1
+)
+"""
+
+KEYED_PANELS = ("total_users", "new_users_today", "top_locations", "revenue_today")
+KEYED_EXPORTS = {f"export_{table}": f"SELECT * FROM kept_{table}" for table in PRIMARY_KEYS}
+ON_REPEATED = KEYED_EXPORTS | {
+    f"{kind}_{name}": PANEL_SQL[name] for kind in ("panel", "live") for name in KEYED_PANELS
+}
+ON_TABLES |= KEYED_EXPORTS
+ON_TABLES["export_replay"] = ITEMS_SQL
 
 ON_REGISTRATIONS = {
     "pk_violations": """
@@ -209,10 +212,12 @@ WHERE user_id IS NOT NULL AND user_id NOT IN (SELECT user_id FROM stored)""",
 ON_DAMAGED = {"quarantine": "SELECT * FROM routed"}
 
 
-def oracle_sql(max_products: int = MAX_PRODUCTS) -> dict[str, str]:
-    tables = tables_sql(max_products)
+def oracle_sql() -> dict[str, str]:
+    tables = TABLES + kept("users", "with_products")
+    repeated = TABLES + REPEATED + kept("repeated_users", "repeated_transactions")
     return {
         **{name: tables + sql for name, sql in ON_TABLES.items()},
+        **{f"keyed_{name}": repeated + sql for name, sql in ON_REPEATED.items()},
         **{name: REGISTRATIONS + sql for name, sql in ON_REGISTRATIONS.items()},
         **{name: DAMAGED + sql for name, sql in ON_DAMAGED.items()},
     }

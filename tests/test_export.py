@@ -4,9 +4,12 @@ No database is started here. `FolderTable` stands in for the target; of
 `JdbcTable` only the options it hands to Spark are checked.
 """
 
+import datetime as dt
+from functools import reduce
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartstream.operators.items import relational_shape
@@ -34,8 +37,10 @@ def test_keyed_table_takes_each_key_once(spark, folder):
     assert stored(target, spark) == [("a", "1"), ("b", "x")]
     export_batch(first, "users", target)
     assert stored(target, spark) == [("a", "1"), ("b", "x")]
-    export_batch(users(spark, ("b", "new"), ("c", "z")), "users", target)
+    export_batch(users(spark, ("b", "y"), ("c", "z")), "users", target, epoch=1)
     assert stored(target, spark) == [("a", "1"), ("b", "x"), ("c", "z")]
+    export_batch(users(spark, ("b", "new")), "users", target, epoch=2)
+    assert stored(target, spark) == [("a", "1"), ("b", "new"), ("c", "z")]
 
 
 @pytest.mark.parametrize(
@@ -50,15 +55,45 @@ def test_strict_export_refuses_the_batch(spark, folder, rows, reason):
     target = FolderTable("users", f"{folder}/users")
     export_batch(users(spark, ("old", "0")), "users", target, on_violation="fail")
     with pytest.raises(KeyViolation, match=reason):
-        export_batch(users(spark, ("new", "1"), *rows), "users", target, on_violation="fail")
+        export_batch(
+            users(spark, ("new", "1"), *rows), "users", target, on_violation="fail", epoch=1
+        )
     assert stored(target, spark) == [("old", "0")]
 
 
+def test_strict_export_takes_the_same_batch_again(spark, folder):
+    target = FolderTable("users", f"{folder}/users")
+    for _ in range(2):
+        export_batch(users(spark, ("a", "0")), "users", target, on_violation="fail", epoch=4)
+    assert stored(target, spark) == [("a", "0")]
+
+
+def test_a_key_keeps_its_earliest_row_in_any_cut(spark, folder):
+    at = lambda day: dt.datetime(2025, 1, day)
+    rows = [("a", "z", at(3)), ("a", "y", at(2)), ("a", "x", at(2)), ("a", "w", None), ("b", "v", None)]
+    frames = [
+        spark.createDataFrame([("n", "e", "l", *row)], "email string, location string, pad string, "
+                              "user_id string, name string, registered_at timestamp_ntz").select(
+            *TABLE_SCHEMAS["users"].names)
+        for row in rows
+    ]
+    whole = FolderTable("users", f"{folder}/whole")
+    export_batch(reduce(DataFrame.unionByName, frames), "users", whole)
+    for order in ([0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [2, 0, 4, 1, 3]):
+        cut = FolderTable("users", f"{folder}/cut-{order[0]}")
+        for epoch, n in enumerate(order):
+            export_batch(frames[n], "users", cut, epoch=epoch)
+        assert stored(cut, spark) == stored(whole, spark) == [("a", "x"), ("b", "v")]
+
+
 def test_unkeyed_table_takes_every_row(spark, folder):
     target = FolderTable("clickstream", f"{folder}/clicks")
     clicks = spark.createDataFrame([(None,) * 6] * 3, TABLE_SCHEMAS["clickstream"])
-    export_batch(clicks, "clickstream", target)
+    for _ in range(2):  # the second time as after a crash
+        export_batch(clicks, "clickstream", target)
     assert target.read(spark).count() == 3
+    export_batch(clicks, "clickstream", target, epoch=1)
+    assert target.read(spark).count() == 6
 
 
 def test_violations_and_accepted_rows_cover_the_batch(spark):
@@ -130,8 +165,19 @@ def test_jdbc_key_lookup_stays_in_the_database(spark):
     keys = MagicMock()
     table.stored_keys(keys, "user_id")
     write = keys.where.return_value.select.return_value.write.format.return_value
-    assert options_of(write)["dbtable"] == "users_batch_keys"
+    lookup = options_of(write)["dbtable"]
+    assert lookup.startswith("users_keys_") and lookup != table.lookup_table("another feed")
     write.options.return_value.mode.assert_called_once_with("overwrite")
     read = options_of(keys.sparkSession.read.format.return_value)
     assert "stored.user_id = batch.user_id" in read["dbtable"]
     assert (read["partitionColumn"], read["numPartitions"], read["upperBound"]) == ("part", "4", "4")
+
+
+def test_jdbc_reads_in_parts_without_zones():
+    table = JdbcTable("clickstream", {"url": "jdbc:x", "user": "u"}, tasks=3)
+    spark = MagicMock()
+    table.read(spark)
+    (url, name), options = spark.read.jdbc.call_args
+    assert (url, name) == ("jdbc:x", "clickstream") and len(options["predicates"]) == 3
+    assert "IS NULL" in options["predicates"][0] and "= 2" in options["predicates"][2]
+    assert options["properties"] == {"user": "u", "preferTimestampNTZ": "true"}

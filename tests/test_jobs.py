@@ -63,15 +63,17 @@ def test_ingest_and_ask(spark, shop, capsys):
     capsys.readouterr()
     main(["journey", "--lake", lake.root], spark)
     text = capsys.readouterr().out
-    assert "Total records: 3" in text and "txn_timestamp" in text and "250000.0" in text
+    assert "3 journeys" in text and "txn_timestamp" in text and "250000.0" in text
 
     main(["panel", "revenue_today", "--lake", lake.root, "--as-of", "2025-01-02"], spark)
     assert "|2.5" in capsys.readouterr().out
     main(["panel", "revenue_today", "--lake", lake.root], spark)
     assert "|0.0" in capsys.readouterr().out
 
-    main(["read-topic", "users", "--text", f"{shop}/topics"], spark)
+    main(["read-topic", "users", "--text", f"{shop}/topics", "--rows", "5"], spark)
     assert "junk" in capsys.readouterr().out
+    main(["read-topic", "users", "--text", f"{shop}/topics", "--target", f"{shop}/all"], spark)
+    assert spark.read.text(f"{shop}/all").count() == 2
 
     target = f"{shop}/compact"
     main(["compact", "users", "--lake", lake.root, "--target", target, "--target-period", "month"], spark)
@@ -100,12 +102,10 @@ def test_a_panel_may_read_the_database(spark, folder, capsys):
     with open(f"{folder}/jdbc.json", "w") as file:
         json.dump({"url": "jdbc:x", "user": "u", "password": "p", "driver": "d"}, file)
     session = MagicMock()
-    reader = session.read.format.return_value.options
-    reader.return_value.load.return_value = spark.createDataFrame(
-        [("/a",), ("/a",), ("/b",)], "page string"
-    )
+    reader = session.read.jdbc
+    reader.return_value = spark.createDataFrame([("/a",), ("/a",), ("/b",)], "page string")
     main(["panel", "top_pages", "--jdbc-options", f"{folder}/jdbc.json"], session)
-    assert reader.call_args.kwargs["dbtable"] == "clickstream"
+    assert reader.call_args.args == ("jdbc:x", "clickstream")
     assert "|/a  |2     |" in capsys.readouterr().out
 
 

@@ -173,3 +173,26 @@ def test_wide_journey_can_be_saved(spark, folder):
     assert len(set(wide.columns)) == len(wide.columns) == 18
     wide.write.parquet(f"{folder}/wide")
     assert spark.read.parquet(f"{folder}/wide").count() == 3
+
+
+def test_no_cap_on_a_large_cluster(spark):
+    """With 2,000 shuffle partitions a key with 1/800 of the rows is hot, and one
+    with 1/200 is cut into ten chunks, on either side."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        key = F.when(F.col("id") % 800 == 0, "small").when(F.col("id") % 200 == 1, "large")
+        frame = spark.range(160_000).select(F.coalesce(key, F.col("id").cast("string")).alias("k"))
+        found, = hot_keys((frame, "k"))
+        assert found == {"small": 3, "large": 10}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    other = spark.createDataFrame([("large", 1), ("small", 2), ("small", 3)], "k string, v int")
+    for left, right, cuts in ((frame, other, (found, {})), (other, frame, ({}, found))):
+        joined = spread_left_join(
+            with_row(left), with_row(right), "k", *cuts
+        )
+        expected = left.join(right, "k", "left")
+        assert joined.count() == expected.count()
+        if left is frame:
+            assert joined.where("v IS NOT NULL").count() == 800 + 400

@@ -5,13 +5,14 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+import oracles
 from compare import assert_same, database
 from conftest import TESTDATA
 
 SF = os.environ.get("TEST_SF", "0.01")
 FOLDER = f"{TESTDATA}/sf{SF}"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = entry.shop_queries()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
