@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 from math import ceil, log
 from typing import NamedTuple
 
@@ -65,64 +64,69 @@ def bands_for(similarity: float, missed: float) -> int:
     return ceil(log(missed) / log(1 - similarity))
 
 
-@dataclass
 class _Group:
-    """Templates of one length. A window has twice as many words and starts at
-    every step of half the length or less, so each stretch of that length lies
-    whole in a window. A window that holds the share CONTAINED of a template's n
-    shingles, among its own 2n + 1 at most, has similarity of at least
-    CONTAINED x n / (3n + 1 - CONTAINED x n), for which the bands are made."""
-
-    n_words: int
-    names: np.ndarray
-    sets: list[np.ndarray]
-
-    def __post_init__(self) -> None:
-        self.window = 2 * self.n_words
-        self.step = max(self.n_words // 2, 1)
-        n = max(self.n_words - SHINGLE + 1, 1)
-        self.bands = bands_for(CONTAINED * n / (3 * n + 1 - CONTAINED * n), MISSED)
-        self.keys = [
-            np.array([band_hashes(s, band).min() for s in self.sets]) for band in range(self.bands)
-        ]
-        self.order = [np.argsort(k, kind="stable") for k in self.keys]
-        self.keys = [k[o] for k, o in zip(self.keys, self.order, strict=True)]
-
-    def search(self, hashes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows (first and last shingle) that match, and their templates.
-        `hashes` are texts' shingles end to end, `starts` where each text's start."""
-        empty = np.empty(0, np.int64)
-        n = np.diff(starts)
-        inner = self.window - SHINGLE + 1  # shingles of a window
-        counts = np.where(n > 0, np.maximum(-(-(n - inner) // self.step), 0) + 1, 0)
-        text = np.repeat(np.arange(len(n)), counts)
-        if not len(text):
-            return empty, empty, empty
+    """Templates of one length, with windows for it.
+
+    A text's shingles are cut into blocks of half that length, and each three
+    neighbouring blocks are a window, so a stretch of that length lies whole in
+    one. A window that holds the share CONTAINED of a template's n shingles,
+    among its own 3 x block at most, has a similarity of at least
+    CONTAINED x n / (n + 3 x block - CONTAINED x n), for which the bands are made.
+    """
+
+    def __init__(self, n_words: int, names: np.ndarray, sets: list[np.ndarray]) -> None:
+        self.names, self.sets = names, sets
+        self.block = max(n_words // 2, 1)
+        fewest = min(map(len, sets))
+        self.similarity = CONTAINED * fewest / (fewest + 3 * self.block - CONTAINED * fewest)
+        self.bands = bands_for(self.similarity, MISSED)
+        lowest = [np.array([band_hashes(s, band).min() for s in sets]) for band in range(self.bands)]
+        self.order = [np.argsort(low, kind="stable") for low in lowest]
+        self.keys = [low[order] for low, order in zip(lowest, self.order, strict=True)]
+
+
+class _Windows:
+    """The windows of a group over texts' shingles (`starts`: where each text's
+    begin), and the templates that share a band with them."""
+
+    def __init__(self, group: _Group, starts: np.ndarray) -> None:
+        self.group = group
+        counts = -(-np.diff(starts) // group.block)
+        text = np.repeat(np.arange(len(counts)), counts)
         number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-        first = starts[:-1][text] + number * self.step
-        stop = np.minimum(first + inner, starts[1:][text])
-        ends = np.stack([first, stop], axis=1).ravel()
-        if ends[-1] == len(hashes):
-            ends = ends[:-1]
-        pairs = []
-        for band in range(self.bands):
-            lowest = np.minimum.reduceat(band_hashes(hashes, band), ends)[::2]
-            low = np.searchsorted(self.keys[band], lowest, "left")
-            times = np.searchsorted(self.keys[band], lowest, "right") - low
-            which = np.repeat(np.arange(len(lowest)), times)
-            place = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + low[which]
-            pairs.append(which * len(self.sets) + self.order[band][place])
-        kept = []
-        for pair in np.unique(np.concatenate(pairs)).tolist():
-            window, template = divmod(pair, len(self.sets))
-            wanted = self.sets[template]
-            held = np.isin(wanted, hashes[first[window] : stop[window]]).sum()
+        self.first = starts[:-1][text] + number * group.block
+        self.stop = np.minimum(self.first + 3 * group.block, starts[1:][text])
+        self.joined = [text[k:] == text[:-k] for k in (1, 2)]
+        self.pairs: list[np.ndarray] = []
+
+    def look_up(self, band: int, hashes: np.ndarray) -> None:
+        group = self.group
+        if band >= group.bands or not len(self.first):
+            return
+        blocks = np.minimum.reduceat(hashes, self.first)
+        lowest = blocks.copy()
+        for k, joined in zip((1, 2), self.joined, strict=True):
+            # A text's last windows have fewer blocks.
+            np.minimum(lowest[:-k], blocks[k:], out=lowest[:-k], where=joined)
+        keys = group.keys[band]
+        low = np.minimum(np.searchsorted(keys, lowest, "left"), len(keys) - 1)
+        window = np.flatnonzero(keys[low] == lowest)
+        low = low[window]
+        times = np.searchsorted(keys, lowest[window], "right") - low
+        which = np.repeat(np.arange(len(window)), times)
+        place = np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times) + low[which]
+        self.pairs.append(window[which] * len(group.sets) + group.order[band][place])
+
+    def matches(self, hashes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(first shingle, last shingle excluded, template), by exact containment."""
+        out = []
+        for pair in np.unique(np.concatenate(self.pairs)).tolist() if self.pairs else ():
+            window, template = divmod(pair, len(self.group.sets))
+            first, stop, wanted = self.first[window], self.stop[window], self.group.sets[template]
+            held = np.isin(wanted, hashes[first:stop]).sum()
             if held >= CONTAINED * len(wanted):
-                kept.append((window, template))
-        if not kept:
-            return empty, empty, empty
-        window, template = np.array(kept).T
-        return first[window], stop[window], self.names[template]
+                out.append((int(first), int(stop), int(self.group.names[template])))
+        return out
 
 
 def band_hashes(hashes: np.ndarray, band: int) -> np.ndarray:
@@ -149,6 +153,7 @@ class Scanner:
             )
             for length in np.unique(lengths[lengths > 0])
         ]
+        self.bands = max((group.bands for group in self.groups), default=0)
 
 
 MATCHES = "n_words long, matches array<struct<start: int, end: int, license: string>>"
@@ -162,8 +167,13 @@ def _scan(shared: Broadcast):
                 words = split_words(part.column("text"), table)
                 hashes, starts = _shingles(words)
                 matches: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                for group in scanner.groups:
-                    for first, stop, name in zip(*group.search(hashes, starts), strict=True):
+                windows = [_Windows(group, starts) for group in scanner.groups]
+                for band in range(scanner.bands):
+                    banded = band_hashes(hashes, band)
+                    for group in windows:
+                        group.look_up(band, banded)
+                for group in windows:
+                    for first, stop, name in group.matches(hashes):
                         row = int(np.searchsorted(starts, first, "right")) - 1
                         end = min(stop - starts[row] + SHINGLE - 1, words.starts[row + 1] - words.starts[row])
                         span = {"start": int(first - starts[row]), "end": int(end)}
