@@ -26,16 +26,17 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     ).distinct()
-    edges = written(edges, "links")
+    edges = written(edges, "links", slim=True)
     state = _state(edges)
     while state[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
         edges = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(edges.distinct(), "large-star")
+        edges = written(edges.distinct(), "large-star", slim=True)
         low = edges.groupBy("a").agg(F.min("b").alias("m"))
         moved = edges.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = written(moved.union(low.select("a", F.col("m").alias("b"))).distinct(), "small-star")
+        edges = moved.union(low.select("a", F.col("m").alias("b"))).distinct()
+        edges = written(edges, "small-star", slim=True)
         before, state = state, _state(edges)
         if state == before:
             break

@@ -72,12 +72,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         ),
         "digests",
     )
-    frequent = written(_frequent(rows), "frequent-digests")
+    frequent = written(_frequent(rows), "frequent-digests", slim=True)
     winners = written(
         rows.join(F.broadcast(frequent), "digest", "left_semi")
         .groupBy("digest")
         .agg(F.min("rank").alias("best"), F.count("*").alias("group_size")),
         "winners",
+        slim=True,
     )
     heavy = rows.join(F.broadcast(winners), "digest")
     group = Window.partitionBy("digest")

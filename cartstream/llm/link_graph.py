@@ -85,7 +85,7 @@ def host_links(pages: DataFrame) -> DataFrame:
         .where("src != '' and dst != '' and src != dst")
         .distinct()
     )
-    linked = written(linked, "host-links")
+    linked = written(linked, "host-links", slim=True)
     hosts = (
         pages.select(host.alias("host"))
         .where("host != ''")
@@ -113,7 +113,7 @@ def _seeds(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         .groupBy("node")
         .agg((F.sum("sign") / F.count("*")).alias("net"))
     )
-    by_host = written(by_host, "host-rules")
+    by_host = written(by_host, "host-rules", slim=True)
     total = by_host.agg(
         F.sum(F.greatest("net", F.lit(0.0))).alias(ALLOW),
         F.sum(F.greatest(-F.col("net"), F.lit(0.0))).alias(BLOCK),
@@ -130,13 +130,13 @@ def host_ranks(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     the links from trusted seeds, distrust (`block`) against them from blocked
     ones. A host hands its rank on in equal shares to the hosts it links to (for
     distrust, to those that link to it); hosts with rank 0 are left out."""
-    links = written(host_links(pages), "host-edges")
+    links = written(host_links(pages), "host-edges", slim=True)
     forth = links.select(F.lit(ALLOW).alias("kind"), "src", "dst")
     back = links.select(F.lit(BLOCK).alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
     edges = forth.union(back)
     share = edges.groupBy("kind", "src").agg((DAMPING / F.count("*")).alias("share"))
-    edges = written(edges.join(share, ["kind", "src"]), "weighted-edges")
-    seeds = written(_seeds(pages, rules), "seeds")
+    edges = written(edges.join(share, ["kind", "src"]), "weighted-edges", slim=True)
+    seeds = written(_seeds(pages, rules), "seeds", slim=True)
     start = seeds.select("kind", "node", (F.col("value") * (1 - DAMPING)).alias("value"))
     rank = seeds
     for step in range(1, STEPS + 1):
@@ -145,7 +145,7 @@ def host_ranks(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         rank = start.union(handed).groupBy("kind", "node").agg(F.sum("value").alias("value"))
         if step % STEPS_PER_JOB == 0 or step == STEPS:
-            rank = written(rank, "host-ranks")
+            rank = written(rank, "host-ranks", slim=True)
     return rank
 
 

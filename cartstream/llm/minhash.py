@@ -184,24 +184,24 @@ class _Texts:
     def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> None:
         self.docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"))
         self.classes, self.size, self.percent = classes, size, percent
+        self.repeated = not classes.where("copies > 1").isEmpty()
 
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) of nodes, those that are similar by their full sets."""
-        pairs = written(pairs, "pairs")
+        pairs = written(pairs, "pairs", slim=True)
         needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         first = self.classes.join(needed, "node").select(
-            "node", "set_hi", "set_lo", "copies", F.col("first_id").alias("doc_id")
+            "node", "set_hi", "set_lo", "first_id"
         )
-        first = written(first, "needed-classes")
         texts = (
             self.docs.join(
-                first.withColumnRenamed("doc_id", "first_id").hint("shuffle_hash"),
+                first.hint("shuffle_hash"),
                 F.col("doc_id").eqNullSafe(F.col("first_id")),
             )
             .select("node", "set_hi", "set_lo", "text")
             .mapInArrow(self._own_text, "node long, text string")
         )
-        if not first.where("copies > 1").isEmpty():
+        if self.repeated:
             texts = texts.groupBy("node").agg(F.min("text").alias("text"))
         texts = written(texts, "texts")
         side = lambda end: texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}"))
@@ -262,7 +262,7 @@ def _open_pairs(members: DataFrame, parts: DataFrame, classes: DataFrame) -> Dat
     members = members.join(parts, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    members = written(members, "bucket-members")
+    members = written(members, "bucket-members", slim=True)
     sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     largest = (
         sizes.groupBy("bucket")
@@ -346,13 +346,13 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         "node", F.xxhash64("band", "key").alias("bucket")
     )
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members = written(banded.join(shared, "bucket"), "buckets")
+    members = written(banded.join(shared, "bucket"), "buckets", slim=True)
     texts = _Texts(docs, classes, words, percent)
     links = texts.similar(_star_edges(members))
-    parts = written(components(links), "components")
+    parts = components(links)
     more = texts.similar(_open_pairs(members, parts, classes))
     if not more.isEmpty():
-        parts = written(components(links.union(more)), "components")
+        parts = components(links.union(more))
     part = classes.select(*one, "node", "first_id").join(parts, "node", "left")
     part = part.withColumn("component", F.coalesce("component", "node"))
     least = part.groupBy("component").agg(F.min("first_id").alias("component_id"))

@@ -8,11 +8,17 @@ from pyspark.sql import functions as F
 from cartstream.session import new_run_dir
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
+def written(frame: DataFrame, label: str, slim: bool = False) -> DataFrame:
     """`frame`, computed once and read back: what follows does not hang on its
-    lineage, and a lost executor costs no more than its own tasks."""
+    lineage, and a lost executor costs no more than its own tasks.
+
+    `slim` is for rows of a few numbers after a shuffle: one file per core, in
+    place of one per shuffle partition.
+    """
     spark = frame.sparkSession
     folder = new_run_dir(spark, label)
+    if slim:
+        frame = frame.coalesce(spark.sparkContext.defaultParallelism)
     frame.write.parquet(folder)
     return spark.read.schema(frame.schema).parquet(folder)
 
