@@ -25,7 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartstream.llm.tables import text_of, written
-from cartstream.llm.text import slices, split_words, white_space_table, word_hash
+from cartstream.llm.text import (
+    binary_array,
+    slices,
+    split_words,
+    text_bytes,
+    white_space_table,
+    word_hash,
+)
 
 MAX_CONTEXT = 3
 
@@ -44,7 +51,7 @@ EVIDENCE = 12.0
 END = word_hash(b" ")
 
 # Distinct sequences that a task counts before it hands them on.
-HELD = 1 << 21
+HELD = 1 << 20
 
 
 @dataclass
@@ -209,18 +216,33 @@ def _word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     return _counted(parts())
 
 
+def _numberer(shared: Broadcast):
+    """Texts as numbers of words, four bytes each; -1 for a word without."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                hashes, codes, starts = _tokens(part.column("text"))
+                numbers = tree.numbers(hashes)[codes].astype("<i4")
+                rows = binary_array(numbers.view(np.uint8), 4 * starts)
+                yield pa.record_batch([rows.cast(pa.binary())], ["numbers"])
+
+    return number
+
+
 def _sequence_counter(shared: Broadcast):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
 
         def parts():
             for batch in batches:
-                for part in slices(batch, "text"):
-                    hashes, codes, starts = _tokens(part.column("text"))
-                    first = np.zeros(len(codes), bool)
-                    first[starts[:-1]] = True
-                    keys = tree.candidates(tree.numbers(hashes)[codes], first)
-                    yield np.unique(keys, return_counts=True)
+                for part in slices(batch, "numbers"):
+                    data, bounds = text_bytes(part.column("numbers"))
+                    numbers = np.frombuffer(data.tobytes(), "<i4").astype(np.int64)
+                    first = np.zeros(len(numbers), bool)
+                    first[bounds[:-1] // 4] = True
+                    yield np.unique(tree.candidates(numbers, first), return_counts=True)
 
         return _counted(parts())
 
@@ -241,9 +263,12 @@ def grow_tree(docs: DataFrame) -> tuple[Tree, DataFrame]:
     frequent = lambda frame: frame.where(F.col("n") >= least).orderBy("key").toArrow()
     rows = frequent(words)
     tree = Tree(rows["key"].to_numpy(), rows["n"].to_numpy(), n_tokens, size["words"], least)
+    # Split and looked up once, for all lengths.
+    numberer = _numberer(spark.sparkContext.broadcast(tree))
+    numbers = written(texts.mapInArrow(numberer, "numbers binary"), "word-numbers")
     for _ in range(MAX_CONTEXT):
         counter = _sequence_counter(spark.sparkContext.broadcast(tree))
-        rows = frequent(totals(texts.mapInArrow(counter, "key long, n long")))
+        rows = frequent(totals(numbers.mapInArrow(counter, "key long, n long")))
         if not rows.num_rows:
             break
         tree.grow(rows["key"].to_numpy(), rows["n"].to_numpy())

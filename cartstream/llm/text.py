@@ -57,11 +57,14 @@ def slices(batch: pa.RecordBatch, *columns: str, limit: int = SLICE_BYTES) -> It
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The texts' bytes end to end, and where each starts (and the last ends). Null: empty."""
-    texts = pc.fill_null(texts, "")
+    """The texts' (or binary values') bytes end to end, and where each starts
+    (and the last ends). Null: empty."""
     if len(texts) == 0:
         return np.empty(0, np.uint8), np.zeros(1, np.int64)
-    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    large = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    kind = np.int64 if large else np.int32
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, kind)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
@@ -109,9 +112,10 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     places = np.flatnonzero(first)
     if not len(places):
         return Words(np.empty(0, np.int32), np.zeros(n_texts + 1, np.int64), [])
+    last = inside.copy()
+    last[:-1] &= first[1:] | ~inside[1:]
     # Without the gaps the words lie end to end.
-    packed_at = np.cumsum(inside, dtype=np.int64)
-    ends = np.append(packed_at[places] - 1, packed_at[-1])
+    ends = np.concatenate(([0], np.cumsum(np.flatnonzero(last) + 1 - places)))
     coded = binary_array(data[inside], ends).dictionary_encode()
     starts = np.searchsorted(places, bounds)
     return Words(
