@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
+from cartstream.session import remove_run_dirs  # noqa: E402
+
 TESTDATA = "/root/testdata"
 
 
@@ -26,7 +28,8 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    remove_run_dirs(session)
 
 
 @pytest.fixture()

@@ -1,10 +1,12 @@
 """Where shared files go."""
 
+import os
 from unittest.mock import MagicMock
 
 import pytest
 
-from cartstream.session import new_run_dir, shared_dir
+from cartstream import session as own
+from cartstream.session import new_run_dir, remove_run_dirs, shared_dir
 
 
 def session(**settings):
@@ -35,3 +37,13 @@ def test_a_cluster_without_a_shared_folder_is_refused(master):
 
 def test_the_setting_is_read_from_a_real_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_run_folders_can_be_removed(spark, monkeypatch):
+    other = session(master="spark://host:7077", checkpoint_dir="hdfs://shared/ck/")
+    monkeypatch.setattr(own, "_made", [])
+    new_run_dir(other, "of another session")
+    gone = new_run_dir(spark, "gone")
+    spark.range(1).write.parquet(gone)
+    remove_run_dirs(spark)
+    assert not os.path.exists(gone) and len(own._made) == 1
