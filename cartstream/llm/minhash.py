@@ -134,7 +134,7 @@ def _verifier(size: int, percent: int):
 
 def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Likely pairs within groups of (bucket, asked block, block), in rows sorted
-    by group; a group of at most 2 x BLOCK rows is held at a time."""
+    by group, each pair once; a group of about 2 x BLOCK rows is held at a time."""
 
     def pairs(group: pa.Table) -> pa.RecordBatch | None:
         node = group.column("node").to_numpy()
@@ -143,12 +143,16 @@ def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asks = group.column("asks").to_numpy(zero_copy_only=False)
         asked_too = group.column("asked_too").to_numpy(zero_copy_only=False)
         marks = np.frombuffer(b"".join(group.column("marks").to_pylist()), np.uint8).reshape(-1, BINS)
+        keys = group.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        band = group.column("band")[0].as_py()
         found: list[tuple[np.ndarray, np.ndarray]] = []
         data = np.flatnonzero(~asks)
         for i in np.flatnonzero(asks):
             # Two members that both ask meet once.
             of = data[(part[data] != part[i]) & ~(asked_too[data] & (node[data] <= node[i]))]
             of = of[10 * np.minimum(n[of], n[i]) >= 8 * np.maximum(n[of], n[i])]
+            # Of the buckets that two members share, the first band's compares them.
+            of = of[(keys[of] == keys[i]).argmax(axis=1) == band]
             same = ((marks[of] == marks[i]) & (marks[i] != 0)).sum(axis=1)
             either = ((marks[of] | marks[i]) != 0).sum(axis=1)
             of = of[same >= LIKELY * either]
@@ -205,12 +209,11 @@ class _Texts:
             texts = texts.groupBy("node").agg(F.min("text").alias("text"))
         texts = written(texts, "texts")
         side = lambda end: texts.select(F.col("node").alias(end), F.col("text").alias(f"text_{end}"))
-        return written(
+        return (
             pairs.join(side("b"), "b")
             .join(side("a"), "a")
             .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verifier(self.size, self.percent), "a long, b long"),
-            "similar-pairs",
+            .mapInArrow(_verifier(self.size, self.percent), "a long, b long")
         )
 
     @property
@@ -278,12 +281,13 @@ def _open_pairs(members: DataFrame, parts: DataFrame, classes: DataFrame) -> Dat
             F.ceil(F.col("n") / BLOCK).cast("int").alias("ds"),
         )
     )
-    facts = classes.select("node", "n_shingles", "marks")
-    rows = members.select("bucket", "node", "component").join(largest, "bucket").join(facts, "node")
+    facts = classes.select("node", "n_shingles", "marks", "bands")
+    rows = members.select("bucket", "band", "node", "component").join(largest, "bucket").join(facts, "node")
     deal = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     asks = F.col("component") != F.col("largest")
-    columns = ["bucket", "q", "d", "asks", "asked_too", "node", "component", "n_shingles", "marks"]
+    columns = ["bucket", "q", "d", "asks", "asked_too", "node", "component"]
+    columns += ["band", "n_shingles", "marks", "bands"]
     data = rows.withColumn("asks", F.lit(False)).withColumn("asked_too", asks)
     data = data.withColumn("d", deal("ds")).withColumn("q", each("qs")).select(columns)
     query = rows.where(asks).withColumn("asks", F.lit(True)).withColumn("asked_too", F.lit(True))
@@ -340,19 +344,19 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         *(F.first(c).alias(c) for c in ("n_shingles", "bands", "marks"))
     )
     classes = written(
-        ids.join(facts, one).withColumn("node", F.monotonically_increasing_id()), "classes"
+        ids.join(facts, one).withColumn("node", F.monotonically_increasing_id()),
+        "classes",
+        slim=True,
     )
     banded = classes.select("node", F.posexplode("bands").alias("band", "key")).select(
-        "node", F.xxhash64("band", "key").alias("bucket")
+        "node", "band", F.xxhash64("band", "key").alias("bucket")
     )
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members = written(banded.join(shared, "bucket"), "buckets", slim=True)
     texts = _Texts(docs, classes, words, percent)
-    links = texts.similar(_star_edges(members))
-    parts = components(links)
+    parts = components(texts.similar(_star_edges(members)))
     more = texts.similar(_open_pairs(members, parts, classes))
-    if not more.isEmpty():
-        parts = components(links.union(more))
+    parts = components(parts.select("node", "component").union(more).toDF("a", "b"))
     part = classes.select(*one, "node", "first_id").join(parts, "node", "left")
     part = part.withColumn("component", F.coalesce("component", "node"))
     least = part.groupBy("component").agg(F.min("first_id").alias("component_id"))
