@@ -46,7 +46,7 @@ from cartstream.schemas import (  # noqa: E402
     TRANSACTIONS,
 )
 from cartstream.session import new_run_dir  # noqa: E402
-from cartstream.sinks import compact, to_messages  # noqa: E402
+from cartstream.sinks import compact, compact_closed, to_messages  # noqa: E402
 from cartstream.sources import FolderTable, Lake, TextTopic, read_table  # noqa: E402
 from cartstream.sources.warehouse import REPEATED_MESSAGES  # noqa: E402
 from cartstream.streaming import (  # noqa: E402
@@ -177,6 +177,22 @@ def _restart(spark: SparkSession, folder: str) -> DataFrame:
     return _rows(spark, shop.lake, ITEMS)
 
 
+def _compact_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the payments land, old periods are compacted, the other half comes
+    late, and more periods are compacted; read from both places."""
+    messages = shop_for(spark, folder).topic("transactions").read(spark)
+    failed = F.col("value").contains('"payment_status":"failed"')
+    topic = TextTopic(new_run_dir(spark, "halves"))
+    shop = Shop(spark, folder, topics={"transactions": topic})
+    for half, before in ((messages.where(failed), 1995), (messages.where(~failed), 1997)):
+        topic.publish(half)
+        shop.land("transactions", shop.lake)
+        compact_closed(
+            spark, shop.lake, "transactions", dt.date(before, 1, 1), settled=dt.datetime.now()
+        )
+    return _rows(spark, shop.lake, "transactions")
+
+
 def _compact(spark: SparkSession, folder: str) -> DataFrame:
     shop = shop_for(spark, folder)
     shop.ensure("transactions")
@@ -320,6 +336,7 @@ def shop_queries() -> dict[str, Query]:
         "stream_items": _stream(ITEMS),
         "stream_restart": _restart,
         "compact_transactions": _compact,
+        "compact_closed": _compact_closed,
         **{f"export_{topic}": _export(topic) for topic in TOPICS},
         "export_items": _export(ITEMS),
         "export_replay": _replay,

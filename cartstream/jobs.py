@@ -24,7 +24,7 @@ from cartstream.functions.columns import PERIODS
 from cartstream.plans.journey import journey, journey_count, journey_wide
 from cartstream.plans.panels import PANELS
 from cartstream.schemas import ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, TOPICS
-from cartstream.sinks import compact
+from cartstream.sinks import compact, compact_closed
 from cartstream.sources import JdbcTable, KafkaTopic, TextTopic, open_lake, read_table
 from cartstream.streaming import (
     AVAILABLE_NOW,
@@ -117,6 +117,9 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def compact_table(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = open_lake(spark, args.lake)
+    if args.before:
+        compact_closed(spark, lake, args.table, args.before)
+        return
     target = open_lake(spark, args.target, args.target_period or lake.period)
     compact(spark, lake, args.table, target)
 
@@ -176,7 +179,11 @@ def parser() -> argparse.ArgumentParser:
 
     job = jobs.add_parser("compact", parents=[lake], help="rewrite a table with larger files")
     job.add_argument("table", choices=TABLE_SCHEMAS)
-    job.add_argument("--target", required=True, help="root of another lake")
+    place = job.add_mutually_exclusive_group(required=True)
+    place.add_argument("--target", help="root of another lake, for a copy")
+    place.add_argument(
+        "--before", type=dt.date.fromisoformat, help="rewrite older periods within the lake"
+    )
     job.add_argument("--target-period", choices=PERIODS)
     job.set_defaults(run=compact_table)
     return root

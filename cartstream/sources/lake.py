@@ -7,16 +7,17 @@ covers both and a reader of good rows never opens the others.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartstream.functions import period_start
 from cartstream.operators.parse import MALFORMED, MESSAGE, OK, STATUS
-from cartstream.schemas import DATE, ITEMS, STRING, TABLE_SCHEMAS, TOPICS, struct
+from cartstream.schemas import DATE, INT, ITEMS, STRING, TABLE_SCHEMAS, TOPICS, struct
 
 
 @dataclass(frozen=True)
@@ -37,6 +38,12 @@ class Lake:
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
+    def compacted(self, name: str) -> str:
+        return f"{self.root}/compacted/{name}"
+
+    def closed_notes(self, name: str) -> str:
+        return f"{self.root}/closed/{name}"
+
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/checkpoints/{query}"
 
@@ -95,8 +102,39 @@ def open_lake(spark: SparkSession, root: str, period: str | None = None) -> Lake
     return lake
 
 
-def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """The table as landed; no rows if nothing has landed yet."""
+@dataclass(frozen=True)
+class Closed:
+    """What compaction `run` and those before it have rewritten: rows of periods
+    before `before`, in files that were there at `settled`."""
+
+    run: int
+    before: dt.date
+    settled: dt.datetime
+
+
+def closed(spark: SparkSession, lake: Lake, table: str) -> Closed | None:
+    """The last finished compaction of closed periods, if there is one."""
+    try:
+        notes = spark.read.schema("run int, before date, settled timestamp").parquet(
+            lake.closed_notes(table)
+        )
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = notes.orderBy(F.desc("run")).first()
+    return Closed(**last.asDict()) if last else None
+
+
+def is_rewritten(lake: Lake, done: Closed) -> Column:
+    """Of a scan of the live table: the row is in the compacted one. Decided by
+    folder and file, before any row is read."""
+    old = F.col("_metadata.file_modification_time") <= F.lit(done.settled)
+    return F.coalesce((F.col(lake.period_column) < F.lit(done.before)) & old, F.lit(False))
+
+
+def read_live_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """What the streams have landed; no rows if nothing has landed yet."""
     check_period(spark, lake)
     schema = lake.schema(table)
     try:
@@ -107,6 +145,23 @@ def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """The table as landed: closed periods from where they were compacted, all
+    else, late rows included, from the live files."""
+    live = read_live_files(spark, lake, table)
+    done = closed(spark, lake, table)
+    if done is None:
+        return live
+    schema = lake.schema(table)
+    compacted = (
+        spark.read.schema(StructType([*schema.fields, *struct({"run": INT}).fields]))
+        .parquet(lake.compacted(table))
+        .where(F.col("run") <= done.run)
+    )
+    names = lake.schema(table).names
+    return live.where(~is_rewritten(lake, done)).select(names).unionAll(compacted.select(names))
+
+
 def _good_rows(frame: DataFrame, lake: Lake, table: str) -> DataFrame:
     if table in TOPICS:
         frame = frame.where(F.col(STATUS) == OK)

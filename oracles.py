@@ -142,6 +142,7 @@ ON_TABLES = {
     "stream_items": NUMBERED_ITEMS_SQL,
     "stream_restart": NUMBERED_ITEMS_SQL,
     "compact_transactions": WITH_PRODUCTS_SQL,
+    "compact_closed": WITH_PRODUCTS_SQL,
     "export_users": USERS_SQL,
     "export_clickstream": CLICKS_SQL,
     "export_transactions": """SELECT * EXCLUDE (order_total), CAST(NULL AS VARCHAR) AS product_category

@@ -1,5 +1,6 @@
 """Streams: restart, replay, stray files, quarantine, supervision."""
 
+import datetime as dt
 import json
 import os
 
@@ -11,7 +12,7 @@ from cartstream.functions import order_total
 from cartstream.operators.items import transaction_items
 from cartstream.operators.parse import MALFORMED, parsed_table
 from cartstream.schemas import CLICKSTREAM, ITEMS, TABLE_SCHEMAS, TRANSACTIONS, USERS
-from cartstream.sinks import compact, to_messages
+from cartstream.sinks import compact, compact_closed, to_messages
 from cartstream.sources import Lake, TextTopic, read_quarantine, read_table, stream_table
 from cartstream.streaming import (
     AVAILABLE_NOW,
@@ -275,3 +276,41 @@ def test_waiting_for_any_stream_raises_its_error(spark, folder):
     with pytest.raises(StreamingQueryException, match="no such luck"):
         spark.streams.awaitAnyTermination()
     spark.streams.resetTerminated()
+
+
+def test_closed_periods_are_read_from_where_they_were_compacted(spark, folder, run):
+    run.go()
+    before = read_table(spark, run.lake, "transactions")
+    rows = sorted(map(str, before.collect()))
+    now = dt.datetime.now
+    compact_closed(spark, run.lake, "transactions", dt.date(2025, 1, 3), now())
+
+    def check(expected, places):
+        table = read_table(spark, run.lake, "transactions")
+        assert sorted(map(str, table.collect())) == expected
+        files = table.where("event_day = '2025-01-01'").inputFiles()
+        assert {place for place in places if any(place in file for file in files)} == set(places)
+
+    check(rows, ["/compacted/transactions/run=0"])
+    send(run.topic, "late", [transaction(100, timestamp="2025-01-01 23:00:00")])
+    run.go()
+    late = sorted([*rows, *(str(r) for r in read_table(spark, run.lake, "transactions").where("transaction_id = 't100'").collect())])
+    assert len(late) == 21
+    check(late, ["/compacted/transactions/run=0", "/tables/transactions/"])
+    with pytest.raises(ValueError, match="already"):
+        compact_closed(spark, run.lake, "transactions", dt.date(2025, 1, 2), now())
+    # A call that broke off before its note leaves nothing that is read.
+    read_table(spark, run.lake, "transactions").limit(3).write.parquet(
+        run.lake.compacted("transactions") + "/run=1/status=ok/event_day=2025-01-01"
+    )
+    check(late, ["/compacted/transactions/run=0"])
+    compact_closed(spark, run.lake, "transactions", dt.date(2025, 1, 4), now())
+    check(late, ["/compacted/transactions/run=0", "/compacted/transactions/run=1"])
+    assert run.go() == (21, 42)
+
+
+def test_young_files_stay_where_they_are(spark, run):
+    before = run.go()
+    compact_closed(spark, run.lake, "transactions", dt.date(2030, 1, 1))
+    assert run.counts() == before
+    assert "/compacted/" not in str(read_table(spark, run.lake, "transactions").inputFiles())
