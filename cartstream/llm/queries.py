@@ -191,9 +191,75 @@ def _links_sql() -> str:
     """
 
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# Exact: sets as rows, pairs by the shingles they share, all that can be reached.
+NEAR_SQL = rf"""
+    WITH RECURSIVE docs AS (
+        SELECT row_number() OVER () AS n, doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), runs AS (
+        SELECT n, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0
+    ), shingles AS (
+        SELECT DISTINCT n, array_to_string(w[i:i + 3], ' ') AS shingle FROM runs
+    ), sizes AS (
+        SELECT n, count(*) AS size FROM shingles GROUP BY n
+    ), shared AS (
+        SELECT a.n AS a, b.n AS b, count(*) AS n_shared
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.n != b.n GROUP BY a.n, b.n
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.n = a JOIN sizes y ON y.n = b
+        WHERE 100 * n_shared >= 80 * (x.size + y.size - n_shared)
+    ), reached AS (
+        SELECT n, n AS m FROM docs UNION SELECT n, b FROM reached JOIN links ON a = m
+    ), least AS (
+        SELECT r.n, min(d.doc_id) AS component_id FROM reached r JOIN docs d ON d.n = r.m GROUP BY r.n
+    )
+    SELECT doc_id, coalesce(size, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM docs JOIN least USING (n) LEFT JOIN sizes USING (n)
+"""
+
+LEAKS_SQL = rf"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS n, doc_id,
+               regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ), items AS (
+        SELECT CAST(item_id AS VARCHAR) AS item,
+               regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark
+    ), windows AS (
+        SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (
+            SELECT *, least(len(w), 10) AS size, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+            FROM items WHERE len(w) > 0
+        )
+    ), stretches AS (
+        SELECT n, i, size, array_to_string(w[i:i + size - 1], ' ') AS words
+        FROM (
+            SELECT n, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM docs JOIN (SELECT DISTINCT size FROM windows) ON len(w) >= size
+        )
+    ), found AS (
+        SELECT n, i, size, item FROM stretches JOIN windows USING (size, words)
+    ), hits AS (
+        SELECT n, count(DISTINCT place) AS n_hit
+        FROM (SELECT n, unnest(range(i, i + size)) AS place FROM found) GROUP BY n
+    ), names AS (
+        SELECT n, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+        FROM (SELECT DISTINCT n, item FROM found) GROUP BY n
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN hits USING (n) LEFT JOIN names USING (n)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_link_graph": _links_sql(),
+        "op4_minhash_stars": NEAR_SQL,
+        "op9_decontamination": LEAKS_SQL,
         "op5_exact_dedup": r"""
             WITH rows AS (
                 SELECT doc_id, length(coalesce(text, '')) AS n_points,

@@ -4,6 +4,7 @@ import hashlib
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -12,8 +13,10 @@ from tokenizers import Tokenizer
 
 from cartstream.llm import exact_dedup
 from cartstream.llm.exact_dedup import exact_groups
+from cartstream.llm.queries import oracle_sql, queries
 from cartstream.llm.sharding import assign_shards
 from cartstream.llm.token_cache import cached_counts, token_counts
+from compare import assert_same
 from conftest import TESTDATA
 
 from .conftest import texts_of
@@ -149,16 +152,10 @@ def test_cache_is_used_and_kept_apart(small, folder):
     assert rows_of(token_counts(small, first, cache)) == full
 
 
-def test_queries_over_the_tables(llm_spark):
-    import duckdb
-
-    from cartstream.llm.queries import oracle_sql, queries
-    from compare import assert_same
-
-    folder = f"{TESTDATA}/sf0.001"
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_queries_over_the_tables(llm_spark, name):
+    folder = f"{TESTDATA}/sf0.01"
     connection = duckdb.connect()
     for table in ("documents", "benchmark", "pages", "labels"):
         connection.execute(f"CREATE VIEW {table} AS FROM read_parquet('{folder}/{table}.parquet')")
-    for name, sql in oracle_sql().items():
-        if name in queries():
-            assert_same(queries()[name](llm_spark, folder), connection, sql)
+    assert assert_same(queries()[name](llm_spark, folder), connection, oracle_sql()[name])

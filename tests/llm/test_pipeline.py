@@ -1,0 +1,82 @@
+"""The stages one after the other, each against brute force on its own input."""
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from cartstream.llm.quality_ranking import ACCEPT, learn, score
+from cartstream.llm.queries import fold
+from conftest import TESTDATA
+
+from . import test_decontaminate, test_exact, test_minhash, test_packing
+from .conftest import docs_frame, texts_of
+
+FOLDER = f"{TESTDATA}/sf0.001"
+
+
+def check_stages(spark, docs):
+    """Runs all stages; of each checks which rows stay, whole."""
+    benchmark = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    items = [(str(r.item_id), r.text) for r in benchmark.collect()]
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+        result = stage(spark, docs, FOLDER)
+        assert result.schema.names == docs.schema.names
+        rows, kept = texts_of(docs), texts_of(result)
+        if number == 0:
+            labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+            ranking = learn(docs, labels, fold(labels["doc_id"], 5) != 0)
+            scored = score(docs, docs["doc_id"], ranking).where(f"score >= {ACCEPT}")
+            expected = sorted([r[0] for r in scored.collect()], key=repr)
+        elif number == 1:
+            plain = test_exact.plain_groups(rows)
+            expected = sorted((k[0] for k, n in plain.items() for _ in range(n) if k[3]), key=repr)
+        elif number == 2:
+            groups = test_minhash.brute(rows, 5)
+            expected = sorted((r[0] for r in groups if r[3]), key=repr)
+            ids = [d for d, _ in rows]
+            if len(set(ids)) < len(ids):  # of rows that repeat an id one stays
+                assert {d for d, _ in kept} == set(expected)
+                expected = sorted((d for d, _ in kept), key=repr)
+        else:
+            found = test_decontaminate.brute(rows, items, 10)
+            expected = sorted((k[0] for k, n in found.items() for _ in range(n) if not k[5]), key=repr)
+        assert sorted((d for d, _ in kept), key=repr) == expected
+        assert set(kept) <= set(rows)
+        result.write.mode("overwrite").parquet(path := f"{corpus_pipeline_dir(spark)}/{number}")
+        docs = spark.read.parquet(path)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    test_packing.check_packing(docs, packed.collect(), 1024)
+    return docs
+
+
+def corpus_pipeline_dir(spark):
+    from cartstream.session import new_run_dir
+
+    return new_run_dir(spark, "stages")
+
+
+def test_given_documents(llm_spark, small):
+    last = check_stages(llm_spark, small)
+    assert 0 < last.count() < small.count()
+
+
+def test_awkward_documents(llm_spark, awkward):
+    check_stages(llm_spark, awkward)
+
+
+def test_no_documents(llm_spark, empty):
+    assert check_stages(llm_spark, empty).isEmpty()
+
+
+def test_run_and_registration(llm_spark):
+    packed = corpus_pipeline.run(llm_spark, FOLDER)
+    assert packed.count() > 0 and entry.queries()["pipeline"] is corpus_pipeline.run
+    assert (corpus_pipeline.ORACLE_SQL is None) == ("pipeline" not in entry.oracle_sql())
+    assert {f"op{n}" for n in range(1, 11)} == {
+        name.split("_")[0] for name in entry.queries() if name.startswith("op") and name[2].isdigit()
+    }
+
+
+def test_missing_columns_are_not_hidden(llm_spark):
+    with pytest.raises(Exception, match="text"):
+        corpus_pipeline.exact(llm_spark, docs_frame(llm_spark, [(1, "a")]).drop("text"), FOLDER).count()
