@@ -135,6 +135,30 @@ def _panel(name: str, shop_of: Callable = shop_for) -> Query:
     return query
 
 
+@cache
+def _exported(application: str, shop: Shop, table: str) -> FolderTable:
+    """A landed table on the relational side, once per session."""
+    shop.ensure(table)
+    run = new_run_dir(shop.spark, "relational")
+    target = FolderTable(table, f"{run}/{table}")
+    start_export(
+        shop.spark, shop.lake, table, target, AVAILABLE_NOW, query=f"relational_{run[-32:]}"
+    ).awaitTermination()
+    return target
+
+
+def _relational_panel(name: str) -> Query:
+    """The panel on the relational table that the streams keep in step."""
+    panel = PANELS[name]
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        shop = shop_for(spark, folder)
+        table = _exported(spark.sparkContext.applicationId, shop, panel.table).read(spark)
+        return _comparable(panel.run(table, AS_OF.get(name)))
+
+    return query
+
+
 def _live(name: str, shop_of: Callable = shop_for, files_per_batch: int = 1000) -> Query:
     """The panel as a stream over the landed table, when it has caught up."""
     panel = PANELS[name]
@@ -332,6 +356,7 @@ def shop_queries() -> dict[str, Query]:
         "journey_wide": _journey(journey_wide),
         **{f"panel_{name}": _panel(name) for name in PANELS},
         **{f"live_{name}": _live(name) for name in PANELS},
+        **{f"relational_{name}": _relational_panel(name) for name in PANELS},
         **{f"stream_{topic}": _stream(topic) for topic in TOPICS},
         "stream_items": _stream(ITEMS),
         "stream_restart": _restart,

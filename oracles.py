@@ -136,6 +136,7 @@ ON_TABLES = {
       {JOURNEY_FROM}""",
     **{f"panel_{name}": sql for name, sql in PANEL_SQL.items()},
     **{f"live_{name}": sql for name, sql in PANEL_SQL.items()},
+    **{f"relational_{name}": sql for name, sql in PANEL_SQL.items()},
     "stream_users": USERS_SQL,
     "stream_clickstream": CLICKS_SQL,
     "stream_transactions": WITH_PRODUCTS_SQL,
