@@ -234,7 +234,7 @@ def _export(table: str, shop_of: Callable = shop_for) -> Query:
         shop.ensure(table)
         run = new_run_dir(spark, "export")
         target = FolderTable(table, f"{run}/{table}")
-        for files in (1000, 2) if table in PRIMARY_KEYS else (1000,):
+        for files in (1000, 8) if table in PRIMARY_KEYS else (1000,):
             name = f"export_{run[-32:]}_{files}"
             start_export(
                 spark, shop.lake, table, target, AVAILABLE_NOW, files_per_batch=files, query=name
