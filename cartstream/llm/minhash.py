@@ -14,32 +14,33 @@ from cartstream.llm.components import components
 from cartstream.llm.tables import keep_rows, text_of, written
 from cartstream.llm.text import mixed, shingle_sets, slices
 
-# Bins that the one permutation is cut into, by the top eight bits of a hash.
-BINS = 256
+# Bins that the one permutation is cut into, by the top bits of a hash.
+BIN_BITS = 9
+BINS = 1 << BIN_BITS
 
 # Bands of rows, from the first BANDS x ROWS bins: sets of similarity 0.8 share
 # no band with probability (1 - 0.8^4)^32, about 5 in 100 million.
 BANDS, ROWS = 32, 4
 
-# Two sets of similarity 0.8 agree in this share of their filled bins but for
-# about one pair in a million (five deviations of the estimate).
-LIKELY = 0.70
+# Two sets are likely similar if the share of filled bins in which they agree is
+# at most this many deviations of that estimate below what is asked for: a similar
+# pair is not, once in some millions.
+DEVIATIONS = 5
 
 # Members of a bucket that one comparison holds on each side.
 BLOCK = 512
 
 EMPTY = np.uint64(2**64 - 1)
 
-# Tries per empty bin; a set whose tries all meet empty bins (odds below one in a
+# Tries per empty bin; a set whose tries all meet empty bins (odds of one in ten
 # million, for a single shingle) takes its first filled bin.
-TRIES = 4096
+TRIES = 8192
 
 
 def _tries(k: int, bins: np.ndarray) -> np.ndarray:
     """The k-th bin that an empty bin looks at, alike for all sets."""
-    return (mixed(bins.astype(np.uint64) * np.uint64(TRIES) + np.uint64(k + 1)) >> np.uint64(56)).astype(
-        np.int64
-    )
+    place = bins.astype(np.uint64) * np.uint64(TRIES) + np.uint64(k + 1)
+    return (mixed(place) >> np.uint64(64 - BIN_BITS)).astype(np.int64)
 
 
 def signatures(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -50,7 +51,7 @@ def signatures(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarra
     own until one is filled. A mark is a byte of the bin's hash, 0 if empty.
     """
     filled = np.full((n, BINS), EMPTY, np.uint64)
-    bins = (values >> np.uint64(56)).astype(np.int64)
+    bins = (values >> np.uint64(64 - BIN_BITS)).astype(np.int64)
     flat = owner * BINS + bins
     first = np.ones(len(flat), bool)
     first[1:] = flat[1:] != flat[:-1]
@@ -132,7 +133,19 @@ def _verifier(size: int, percent: int):
     return verify
 
 
-def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _likely(filled: np.ndarray, sizes: np.ndarray, limit: float) -> np.ndarray:
+    """Share of agreeing bins from which a pair may reach similarity `limit`.
+
+    The `filled` bins are a sample of the union, without repetition; `sizes` is
+    the sum of both sets' sizes, which is 1 + limit times the union at the limit.
+    """
+    unseen = np.clip(1 - filled * (1 + limit) / sizes, 0.02, 1)
+    return limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / filled * unseen)
+
+
+def _compared(
+    batches: Iterator[pa.RecordBatch], limit: float
+) -> Iterator[pa.RecordBatch]:
     """Likely pairs within groups of (bucket, asked block, block), in rows sorted
     by group, each pair once; a group of about 2 x BLOCK rows is held at a time."""
 
@@ -150,12 +163,12 @@ def _comparer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in np.flatnonzero(asks):
             # Two members that both ask meet once.
             of = data[(part[data] != part[i]) & ~(asked_too[data] & (node[data] <= node[i]))]
-            of = of[10 * np.minimum(n[of], n[i]) >= 8 * np.maximum(n[of], n[i])]
+            of = of[np.minimum(n[of], n[i]) >= limit * np.maximum(n[of], n[i])]
             # Of the buckets that two members share, the first band's compares them.
             of = of[(keys[of] == keys[i]).argmax(axis=1) == band]
             same = ((marks[of] == marks[i]) & (marks[i] != 0)).sum(axis=1)
             either = ((marks[of] | marks[i]) != 0).sum(axis=1)
-            of = of[same >= LIKELY * either]
+            of = of[same >= either * _likely(either, n[of] + n[i], limit)]
             if len(of):
                 found.append((np.minimum(node[of], node[i]), np.maximum(node[of], node[i])))
         if not found:
@@ -193,7 +206,7 @@ class _Texts:
     def similar(self, pairs: DataFrame) -> DataFrame:
         """Of pairs (a, b) of nodes, those that are similar by their full sets."""
         pairs = written(pairs, "pairs", slim=True)
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         first = self.classes.join(needed, "node").select(
             "node", "set_hi", "set_lo", "first_id"
         )
@@ -255,7 +268,13 @@ def _star_edges(members: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(members: DataFrame, parts: DataFrame, classes: DataFrame) -> DataFrame:
+def _comparer(percent: int):
+    return lambda batches: _compared(batches, percent / 100)
+
+
+def _open_pairs(
+    members: DataFrame, parts: DataFrame, classes: DataFrame, percent: int
+) -> DataFrame:
     """Likely pairs of bucket members that the stars left in different components.
 
     All members outside a bucket's largest component ask all its members, in
@@ -296,7 +315,7 @@ def _open_pairs(members: DataFrame, parts: DataFrame, classes: DataFrame) -> Dat
         data.unionByName(query)
         .repartition("bucket", "q", "d")
         .sortWithinPartitions("bucket", "q", "d")
-        .mapInArrow(_comparer, "a long, b long")
+        .mapInArrow(_comparer(percent), "a long, b long")
         .distinct()
     )
 
@@ -355,7 +374,7 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     members = written(banded.join(shared, "bucket"), "buckets", slim=True)
     texts = _Texts(docs, classes, words, percent)
     parts = components(texts.similar(_star_edges(members)))
-    more = texts.similar(_open_pairs(members, parts, classes))
+    more = texts.similar(_open_pairs(members, parts, classes, percent))
     parts = components(parts.select("node", "component").union(more).toDF("a", "b"))
     part = classes.select(*one, "node", "first_id").join(parts, "node", "left")
     part = part.withColumn("component", F.coalesce("component", "node"))

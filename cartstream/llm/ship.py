@@ -2,33 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
-from functools import cache
 from pathlib import Path
 
 from pyspark import SparkContext
 from pyspark.sql import SparkSession
 
 import cartstream
+from cartstream.session import new_run_dir
 
 
-@cache
-def _archive() -> str:
+def _archive() -> bytes:
     root = Path(cartstream.__file__).parent
-    target = Path(tempfile.mkdtemp(prefix="cartstream-package-")) / "cartstream.zip"
+    target = io.BytesIO()
     with zipfile.ZipFile(target, "w") as archive:
         for file in sorted(root.rglob("*.py")):
             archive.write(file, file.relative_to(root.parent))
-    return str(target)
+    return target.getvalue()
 
 
-@cache
-def _shipped(context: SparkContext) -> None:
-    context.addPyFile(_archive())
+# Sessions that have it.
+_served: set[SparkContext] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """What `--py-files` does, for sessions started without it: the driver's file
-    goes to the executors by Spark itself, once per session."""
-    _shipped(spark.sparkContext)
+    """What `--py-files` does, for sessions started without it: once per session
+    the package goes to the shared folder, and from there to the workers."""
+    context = spark.sparkContext
+    if context in _served:
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(new_run_dir(spark, "package"), "cartstream.zip")
+    file = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    file.write(_archive())
+    file.close()
+    context.addPyFile(path.toString())
+    _served.add(context)
