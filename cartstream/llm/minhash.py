@@ -74,6 +74,14 @@ def signatures(values: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarra
     return keys.view(np.int64), marks
 
 
+def set_digests(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """128 bits for each of n sets, as two numbers."""
+    bounds = np.searchsorted(owner, np.arange(n + 1))
+    raw = memoryview(values.tobytes())
+    digests = [xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(bounds, bounds[1:])]
+    return np.frombuffer(b"".join(digests), "<i8").reshape(n, 2)
+
+
 SIGNED = (
     "doc_id long, text_key long, n_shingles long, set_hi long, set_lo long, bands array<long>, "
     "marks binary"
@@ -87,12 +95,7 @@ def _signer(size: int):
                 n = part.num_rows
                 values, owner = shingle_sets(part.column("text"), size)
                 keys, marks = signatures(values, owner, n)
-                bounds = np.searchsorted(owner, np.arange(n + 1))
-                raw = memoryview(values.tobytes())
-                digests = [
-                    xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(bounds, bounds[1:])
-                ]
-                whole = np.frombuffer(b"".join(digests), "<i8").reshape(n, 2)
+                whole = set_digests(values, owner, n)
                 bands = pa.ListArray.from_arrays(
                     pa.array(np.arange(n + 1) * BANDS, pa.int32()), pa.array(keys.ravel())
                 )
@@ -100,7 +103,7 @@ def _signer(size: int):
                     [
                         part.column("doc_id"),
                         part.column("text_key"),
-                        pa.array(np.diff(bounds), pa.int64()),
+                        pa.array(np.bincount(owner, minlength=n), pa.int64()),
                         pa.array(whole[:, 0]),
                         pa.array(whole[:, 1]),
                         bands,
@@ -133,6 +136,21 @@ def _verifier(size: int, percent: int):
     return verify
 
 
+def _own_text(size: int):
+    """Drops texts of other rows that have the same doc_id."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                whole = set_digests(*shingle_sets(part.column("text"), size), part.num_rows)
+                same = (whole[:, 0] == part.column("set_hi").to_numpy()) & (
+                    whole[:, 1] == part.column("set_lo").to_numpy()
+                )
+                yield part.select(["node", "text"]).filter(pa.array(same))
+
+    return own
+
+
 def _likely(filled: np.ndarray, sizes: np.ndarray, limit: float) -> np.ndarray:
     """Share of agreeing bins from which a pair may reach similarity `limit`.
 
@@ -143,9 +161,7 @@ def _likely(filled: np.ndarray, sizes: np.ndarray, limit: float) -> np.ndarray:
     return limit - DEVIATIONS * np.sqrt(limit * (1 - limit) / filled * unseen)
 
 
-def _compared(
-    batches: Iterator[pa.RecordBatch], limit: float
-) -> Iterator[pa.RecordBatch]:
+def _compared(batches: Iterator[pa.RecordBatch], limit: float) -> Iterator[pa.RecordBatch]:
     """Likely pairs within groups of (bucket, asked block, block), in rows sorted
     by group, each pair once; a group of about 2 x BLOCK rows is held at a time."""
 
@@ -216,7 +232,7 @@ class _Texts:
                 F.col("doc_id").eqNullSafe(F.col("first_id")),
             )
             .select("node", "set_hi", "set_lo", "text")
-            .mapInArrow(self._own_text, "node long, text string")
+            .mapInArrow(_own_text(self.size), "node long, text string")
         )
         if self.repeated:
             texts = texts.groupBy("node").agg(F.min("text").alias("text"))
@@ -229,28 +245,6 @@ class _Texts:
             .mapInArrow(_verifier(self.size, self.percent), "a long, b long")
         )
 
-    @property
-    def _own_text(self):
-        """Drops texts of other rows that have the same doc_id."""
-        size = self.size
-
-        def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in slices(batch, "text"):
-                    values, owner = shingle_sets(part.column("text"), size)
-                    bounds = np.searchsorted(owner, np.arange(part.num_rows + 1))
-                    raw = memoryview(values.tobytes())
-                    digests = [
-                        xxhash.xxh3_128_digest(raw[8 * a : 8 * b]) for a, b in zip(bounds, bounds[1:])
-                    ]
-                    whole = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                    same = (whole[:, 0] == part.column("set_hi").to_numpy()) & (
-                        whole[:, 1] == part.column("set_lo").to_numpy()
-                    )
-                    yield part.select(["node", "text"]).filter(pa.array(same))
-
-        return own
-
 
 def _star_edges(members: DataFrame) -> DataFrame:
     """Each bucket's members with its centre: the one that shares most buckets
