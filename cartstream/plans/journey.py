@@ -25,9 +25,11 @@ def _joined(clicks: DataFrame, users: DataFrame, transactions: DataFrame) -> Dat
         with_row(clicks), with_row(users), "user_id", users_clicking, users_registered
     )
     if users_registered:
-        # Users are unique by contract. Where they are not, clicks of a user who
-        # is there many times multiply, and their sessions become hot only now.
-        (sessions,) = hot_keys((with_users, "session_id"))
+        # Users are unique by contract. Where one is there many times, the clicks
+        # multiply, and sessions that are common among them become hot by the join.
+        multiplied = clicks.where(F.col("user_id").isin([*users_registered]))
+        (more,) = hot_keys((multiplied, "session_id"))
+        sessions = {key: max(sessions.get(key, 1), more.get(key, 1)) for key in sessions | more}
     return spread_left_join(
         with_users, with_row(transactions), "session_id", sessions, sessions_paid
     ).drop(ROW)
