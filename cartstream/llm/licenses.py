@@ -37,7 +37,7 @@ class Template(NamedTuple):
     text: str
 
 
-# Usual wordings of license notices.
+# The licenses' own notices, and the short forms that name them.
 TEMPLATES = (
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0."),
     Template("cc-by-4.0", "Licensed under CC BY 4.0."),
@@ -45,6 +45,7 @@ TEMPLATES = (
     Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0."),
     Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     Template("mit", "Released under the MIT License."),
+    Template("mit", "Licensed under the MIT License."),
     Template(
         "mit-grant",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -55,7 +56,63 @@ TEMPLATES = (
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ),
+    Template("all-rights-reserved", "All rights reserved."),
     Template("all-rights-reserved", "All rights reserved. No part may be reproduced without permission."),
+    Template(
+        "gpl-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
+    ),
+    Template(
+        "gpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation, either "
+        "version 3 of the License, or (at your option) any later version.",
+    ),
+    Template(
+        "lgpl-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    Template(
+        "lgpl-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    Template(
+        "agpl-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
+    Template(
+        "mpl-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    ),
+    Template(
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted",
+    ),
+    Template("unlicense", "This is free and unencumbered software released into the public domain."),
+    Template("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    Template(
+        "cc-by-4.0",
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ),
+    Template(
+        "cc-by-nc-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
+        "International License.",
+    ),
+    Template(
+        "cc-by-sa-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+        "International License.",
+    ),
 )
 
 
@@ -65,18 +122,16 @@ def bands_for(similarity: float, missed: float) -> int:
 
 
 class _Group:
-    """Templates of one length, with windows for it.
+    """Templates of one block, half their number of words, with windows for them.
 
-    A text's shingles are cut into blocks of half that length, and each three
-    neighbouring blocks are a window, so a stretch of that length lies whole in
-    one. A window that holds the share CONTAINED of a template's n shingles,
+    A text's shingles are cut into blocks, and each three neighbouring blocks are
+    a window, so a stretch of a template's length lies whole in one. A window that holds the share CONTAINED of a template's n shingles,
     among its own 3 x block at most, has a similarity of at least
     CONTAINED x n / (n + 3 x block - CONTAINED x n), for which the bands are made.
     """
 
-    def __init__(self, n_words: int, names: np.ndarray, sets: list[np.ndarray]) -> None:
-        self.names, self.sets = names, sets
-        self.block = max(n_words // 2, 1)
+    def __init__(self, block: int, names: np.ndarray, sets: list[np.ndarray]) -> None:
+        self.names, self.sets, self.block = names, sets, block
         fewest = min(map(len, sets))
         self.similarity = CONTAINED * fewest / (fewest + 3 * self.block - CONTAINED * fewest)
         self.bands = bands_for(self.similarity, MISSED)
@@ -138,20 +193,21 @@ def _shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Scanner:
-    """All templates, by length. Templates without words are left out."""
+    """All templates, by block. Templates without words are left out."""
 
     def __init__(self, templates: Sequence[Template]) -> None:
         words = split_words(pa.array([t.text for t in templates], pa.string()), alphanumeric_table())
         hashes, starts = _shingles(words)
         lengths = np.diff(words.starts)
+        blocks = np.where(lengths > 0, np.maximum(lengths // 2, 1), 0)
         self.names = [t.name for t in templates]
         self.groups = [
             _Group(
-                int(length),
-                np.flatnonzero(lengths == length),
-                [np.unique(hashes[starts[i] : starts[i + 1]]) for i in np.flatnonzero(lengths == length)],
+                int(block),
+                np.flatnonzero(blocks == block),
+                [np.unique(hashes[starts[i] : starts[i + 1]]) for i in np.flatnonzero(blocks == block)],
             )
-            for length in np.unique(lengths[lengths > 0])
+            for block in np.unique(blocks[blocks > 0])
         ]
         self.bands = max((group.bands for group in self.groups), default=0)
 
