@@ -33,19 +33,50 @@ MISSED = 1e-4
 
 
 class Template(NamedTuple):
+    """`needs` are the runs of words, two at least, that tell it from its
+    namesakes: the license's name with its version."""
+
     name: str
     text: str
+    needs: tuple[str, ...] = ()
 
 
 # The licenses' own notices, and the short forms that name them.
 TEMPLATES = (
-    Template("apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    Template("cc-by-4.0", "Licensed under CC BY 4.0."),
-    Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0."),
-    Template("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    Template("mit", "Released under the MIT License."),
-    Template("mit", "Licensed under the MIT License."),
+    Template("apache-2.0", "Licensed under the Apache License, Version 2.0.", ("Apache License, Version 2.0",)),
+    Template("cc-by-4.0", "Licensed under CC BY 4.0.", ("CC BY 4.0",)),
+    Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0.", ("CC BY-NC 4.0",)),
+    Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0.", ("CC BY-SA 4.0",)),
+    Template("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0.", ("CC BY-ND 4.0",)),
+    Template("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0.", ("CC BY-NC-SA 4.0",)),
+    Template("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0.", ("CC BY-NC-ND 4.0",)),
+    Template(
+        "gpl-3.0",
+        "This work is licensed under the GNU General Public License, version 3.",
+        ("GNU General Public License, version 3",),
+    ),
+    Template(
+        "gpl-2.0",
+        "This work is licensed under the GNU General Public License, version 2.",
+        ("GNU General Public License, version 2",),
+    ),
+    Template(
+        "lgpl-2.1",
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        ("GNU Lesser General Public License, version 2.1",),
+    ),
+    Template(
+        "lgpl-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        ("GNU Lesser General Public License, version 3",),
+    ),
+    Template(
+        "agpl-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        ("GNU Affero General Public License, version 3",),
+    ),
+    Template("mit", "Released under the MIT License.", ("MIT License",)),
+    Template("mit", "Licensed under the MIT License.", ("MIT License",)),
     Template(
         "mit-grant",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
@@ -56,62 +87,101 @@ TEMPLATES = (
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ),
-    Template("all-rights-reserved", "All rights reserved."),
-    Template("all-rights-reserved", "All rights reserved. No part may be reproduced without permission."),
+    Template("all-rights-reserved", "All rights reserved.", ("All rights reserved",)),
+    Template(
+        "all-rights-reserved",
+        "All rights reserved. No part may be reproduced without permission.",
+        ("All rights reserved",),
+    ),
     Template(
         "gpl-2.0",
         "This program is free software; you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation; either "
         "version 2 of the License, or (at your option) any later version.",
+        ("GNU General Public License", "version 2 of the License"),
     ),
     Template(
         "gpl-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
+        ("GNU General Public License", "version 3 of the License"),
     ),
     Template(
         "lgpl-2.1",
         "This library is free software; you can redistribute it and/or modify it under the terms "
         "of the GNU Lesser General Public License as published by the Free Software Foundation; "
         "either version 2.1 of the License, or (at your option) any later version.",
+        ("GNU Lesser General Public License", "version 2.1 of the License"),
     ),
     Template(
         "lgpl-3.0",
         "This library is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU Lesser General Public License as published by the Free Software Foundation, "
         "either version 3 of the License, or (at your option) any later version.",
+        ("GNU Lesser General Public License", "version 3 of the License"),
     ),
     Template(
         "agpl-3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU Affero General Public License as published by the Free Software Foundation, "
         "either version 3 of the License, or (at your option) any later version.",
+        ("GNU Affero General Public License", "version 3 of the License"),
     ),
     Template(
         "mpl-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        ("Mozilla Public License, v. 2.0",),
     ),
     Template(
         "isc",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
         "without fee is hereby granted",
     ),
-    Template("unlicense", "This is free and unencumbered software released into the public domain."),
-    Template("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    Template(
+        "unlicense",
+        "This is free and unencumbered software released into the public domain.",
+        ("free and unencumbered software",),
+    ),
+    Template(
+        "bsl-1.0",
+        "Distributed under the Boost Software License, Version 1.0.",
+        ("Boost Software License, Version 1.0",),
+    ),
     Template(
         "cc-by-4.0",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        ("Attribution 4.0",),
     ),
     Template(
         "cc-by-nc-4.0",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
         "International License.",
+        ("Attribution-NonCommercial 4.0",),
     ),
     Template(
         "cc-by-sa-4.0",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
         "International License.",
+        ("Attribution-ShareAlike 4.0",),
+    ),
+    Template(
+        "cc-by-nd-4.0",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
+        "International License.",
+        ("Attribution-NoDerivatives 4.0",),
+    ),
+    Template(
+        "cc-by-nc-sa-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License.",
+        ("Attribution-NonCommercial-ShareAlike 4.0",),
+    ),
+    Template(
+        "cc-by-nc-nd-4.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+        "International License.",
+        ("Attribution-NonCommercial-NoDerivatives 4.0",),
     ),
 )
 
@@ -130,8 +200,10 @@ class _Group:
     CONTAINED x n / (n + 3 x block - CONTAINED x n), for which the bands are made.
     """
 
-    def __init__(self, block: int, names: np.ndarray, sets: list[np.ndarray]) -> None:
-        self.names, self.sets, self.block = names, sets, block
+    def __init__(
+        self, block: int, names: np.ndarray, sets: list[np.ndarray], needs: list[list[np.ndarray]]
+    ) -> None:
+        self.names, self.sets, self.needs, self.block = names, sets, needs, block
         fewest = min(map(len, sets))
         self.similarity = CONTAINED * fewest / (fewest + 3 * self.block - CONTAINED * fewest)
         self.bands = bands_for(self.similarity, MISSED)
@@ -178,8 +250,11 @@ class _Windows:
         for pair in np.unique(np.concatenate(self.pairs)).tolist() if self.pairs else ():
             window, template = divmod(pair, len(self.group.sets))
             first, stop, wanted = self.first[window], self.stop[window], self.group.sets[template]
-            held = np.isin(wanted, hashes[first:stop]).sum()
-            if held >= CONTAINED * len(wanted):
+            inside = hashes[first:stop]
+            held = np.isin(wanted, inside).sum()
+            if held >= CONTAINED * len(wanted) and all(
+                _holds(inside, run) for run in self.group.needs[template]
+            ):
                 out.append((int(first), int(stop), int(self.group.names[template])))
         return out
 
@@ -188,16 +263,33 @@ def band_hashes(hashes: np.ndarray, band: int) -> np.ndarray:
     return mixed(hashes + np.uint64(band + 1) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _holds(hashes: np.ndarray, run: np.ndarray) -> bool:
+    """Whether the shingles `run` stand one after the other in `hashes`."""
+    begins = np.flatnonzero(hashes[: max(len(hashes) - len(run) + 1, 0)] == run[0])
+    return any(np.array_equal(hashes[at : at + len(run)], run) for at in begins)
+
+
 def _shingles(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return shingles(words, SHINGLE)
 
 
+def _words(texts: Sequence[str]) -> Words:
+    return split_words(pa.array(texts, pa.string()), alphanumeric_table())
+
+
+def _runs(phrases: Sequence[str]) -> list[np.ndarray]:
+    hashes, starts = _shingles(_words(phrases))
+    return [hashes[a:b] for a, b in zip(starts, starts[1:], strict=False)]
+
+
 class Scanner:
-    """All templates, by block. Templates without words are left out."""
+    """All templates, by block. Templates without words are left out. `named`:
+    a match must also hold what its template needs."""
 
-    def __init__(self, templates: Sequence[Template]) -> None:
-        words = split_words(pa.array([t.text for t in templates], pa.string()), alphanumeric_table())
+    def __init__(self, templates: Sequence[Template], named: bool = False) -> None:
+        words = _words([t.text for t in templates])
         hashes, starts = _shingles(words)
+        needs = [_runs(t.needs) if named else [] for t in templates]
         lengths = np.diff(words.starts)
         blocks = np.where(lengths > 0, np.maximum(lengths // 2, 1), 0)
         self.names = [t.name for t in templates]
@@ -206,6 +298,7 @@ class Scanner:
                 int(block),
                 np.flatnonzero(blocks == block),
                 [np.unique(hashes[starts[i] : starts[i + 1]]) for i in np.flatnonzero(blocks == block)],
+                [needs[i] for i in np.flatnonzero(blocks == block)],
             )
             for block in np.unique(blocks[blocks > 0])
         ]
@@ -254,28 +347,32 @@ def _scan(shared: Broadcast):
 
 
 def license_matches(
-    docs: DataFrame, carried: Column, templates: Sequence[Template] = TEMPLATES
+    docs: DataFrame, carried: Column, templates: Sequence[Template] = TEMPLATES, named: bool = False
 ) -> DataFrame:
     """Per row of `docs`: `carried`, n_words and `matches`: windows of words
     (start, end excluded) with the license whose template they hold.
 
     Words are as for decontamination. A window matches if it holds at least the
     share CONTAINED of the template's distinct runs of two words (its one word,
-    if it has no more). MinHash bands only choose which windows are compared; a
+    if it has no more). In a short template that share can leave out the one word
+    that tells two licenses apart; with `named`, a window must also hold, word
+    for word, what the template needs. MinHash bands only choose which windows are compared; a
     matching window is overlooked with probability MISSED. Null and empty texts
     have no matches; repeated rows are scanned alike; an empty table gives no
     rows. `templates` is a list that each task holds; texts are not shuffled.
     """
     rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
     schema = StructType([rows.schema["carried"], *StructType.fromDDL(MATCHES).fields])
-    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates))
+    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates, named))
     return rows.mapInArrow(_scan(shared), schema)
 
 
-def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
+def license_scan(
+    docs: DataFrame, templates: Sequence[Template] = TEMPLATES, named: bool = False
+) -> DataFrame:
     """Per row of `docs`: doc_id, n_words, n_licenses, licenses (names, sorted, with commas)."""
     names = F.array_sort(F.array_distinct("matches.license"))
-    return license_matches(docs, docs["doc_id"], templates).select(
+    return license_matches(docs, docs["doc_id"], templates, named).select(
         F.col("carried").alias("doc_id"),
         "n_words",
         F.size(names).cast("long").alias("n_licenses"),

@@ -90,7 +90,7 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(_table(spark, folder, "documents"))
+    return license_scan(_table(spark, folder, "documents"), named=True)
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 import pytest
 
-from cartstream.llm.licenses import license_scan
+from cartstream.llm.licenses import TEMPLATES, license_scan
+from cartstream.llm.queries import op8_license_scan
 
 from .conftest import docs_frame
 
@@ -28,3 +29,55 @@ def test_usual_notices_are_reported(llm_spark, before):
     result = {r.doc_id: r.licenses.split(",") for r in license_scan(docs_frame(llm_spark, rows)).collect()}
     for i, name in enumerate(NOTICES.values()):
         assert name in result[i]
+
+
+NAMESAKES = {
+    "Licensed under CC BY 4.0.": "cc-by-4.0",
+    "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0",
+    "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0",
+    "Licensed under CC BY-NC-SA 4.0.": "cc-by-nc-sa-4.0",
+    "Licensed under CC BY-ND 4.0.": "cc-by-nd-4.0",
+    "Licensed under CC BY 3.0.": "",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License.": "cc-by-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
+    "License.": "cc-by-nc-4.0",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+    "International License.": "cc-by-nc-sa-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "gpl-3.0",
+    "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "agpl-3.0",
+    "This work is licensed under the GNU Lesser General Public License, version 3.": "lgpl-3.0",
+    "This work is licensed under the GNU General Public License, version 1.": "",
+    GNU.format("program", "General Public License", "2"): "gpl-2.0",
+    GNU.format("program", "General Public License", "3"): "gpl-3.0",
+    GNU.format("library", "Lesser General Public License", "2.1"): "lgpl-2.1",
+    GNU.format("library", "Lesser General Public License", "3"): "lgpl-3.0",
+    GNU.format("program", "Affero General Public License", "3"): "agpl-3.0",
+    "Licensed under the Apache License, Version 1.1.": "",
+    "Distributed under the Boost Software License, Version 1.0.": "bsl-1.0",
+}
+
+
+@pytest.fixture(scope="module")
+def namesakes(llm_spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("namesakes"))
+    rows = [
+        (100 * before + i, "filler " * before + text + " and more text")
+        for before in range(4)
+        for i, text in enumerate(NAMESAKES)
+    ]
+    docs_frame(llm_spark, rows).write.parquet(f"{folder}/documents.parquet")
+    return {r.doc_id: r.licenses for r in op8_license_scan(llm_spark, folder).collect()}
+
+
+@pytest.mark.parametrize("text", NAMESAKES)
+def test_no_license_is_taken_for_its_namesake(namesakes, text):
+    i = list(NAMESAKES).index(text)
+    assert {namesakes[100 * before + i] for before in range(4)} == {NAMESAKES[text]}
+
+
+def test_every_template_holds_what_it_needs(llm_spark):
+    rows = [(i, "a b c " + t.text + " d e f") for i, t in enumerate(TEMPLATES)]
+    docs = docs_frame(llm_spark, rows)
+    result = {r.doc_id: r.licenses for r in license_scan(docs, named=True).collect()}
+    assert result == {i: t.name for i, t in enumerate(TEMPLATES)}
