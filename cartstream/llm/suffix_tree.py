@@ -5,17 +5,24 @@ if what follows it differs enough from what follows its suffix; a text is scored
 by the longest state that ends before each word.
 
 All counts are taken over all training texts, in passes that count sequences one
-word longer each time. A sequence of fewer than `least` occurrences has no
-probability of its own (the next shorter context's stands in for it), and
-`least` is at least MIN_SHARE of all tokens: so each length has at most
-1/MIN_SHARE sequences of its own, whatever the corpus, and they can be
-broadcast. Counts of single words have no such bound; texts meet them in a join.
+word longer each time. A sequence of fewer than MIN_COUNT occurrences has no
+probability of its own (the next shorter context's stands in for it), whatever
+the corpus. So the tree grows with the corpus and stays in tables.
+
+A state's suffixes are states, so the log probability of a word is that of the
+word by itself plus, for each state that ends before it, the state's weight and,
+if the word is known there, a fixed correction. Each is a value of one sequence:
+a text's score is the sum of the values of its sequences, which it meets in a
+join. The most frequent sequences are broadcast instead; that saves rows in the
+join and changes no score.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import islice
 from math import ceil, log10
 
 import numpy as np
@@ -26,21 +33,30 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.tables import text_of, written
 from cartstream.llm.text import (
-    binary_array,
+    mixed,
     slices,
     split_words,
-    text_bytes,
     white_space_table,
     word_hash,
 )
 
 MAX_CONTEXT = 3
 
-# Share of all tokens, and occurrences, that a sequence needs for a probability
-# of its own.
-MIN_SHARE = 5e-7
+# Occurrences that a sequence needs for a probability of its own.
 MIN_COUNT = 3
 
+# Words and sequences of this share of all tokens are broadcast to the scorers, at
+# most 1 / MIN_SHARE of each length; all others meet the texts in a join.
+MIN_SHARE = 5e-7
+
+# log2 of the bits of a filter. Keys that it lets through by mistake cost a row in
+# a shuffle and are dropped there.
+FILTER_BITS = 28
+SEGMENT_BITS = 18
+
+# Multiplies a context's key; the next word's hash is added.
+STEP = np.uint64(0x9E3779B97F4A7C15)
+
 # Taken off each count of a continuation; the mass goes to the shorter context.
 DISCOUNT = 0.75
 
@@ -56,110 +72,147 @@ HELD = 1 << 20
 
 @dataclass
 class Level:
-    """Sequences of k + 1 words, as contexts of length k with the next word.
-
-    `keys` are (context's number << 32 | word's number), sorted; a sequence's
-    number is its place. `suffix` is the number of the sequence without its
-    first word, one level below. By context: `weight`, the probability left to
-    the shorter context, and whether it is a `state`.
-    """
+    """Sequences of k + 1 words in one place: `keys` are (context's number << 32 |
+    word's number), sorted; by context, whether it is a `state`."""
 
     keys: np.ndarray
-    counts: np.ndarray
-    suffix: np.ndarray
-    chance: np.ndarray
-    weight: np.ndarray
     state: np.ndarray
 
 
 @dataclass
 class Tree:
-    """`words` are the sorted hashes of words of at least `least` occurrences."""
+    """`sequences` has a table for each length from 2: key, context, last, suffix,
+    n, chance, parent, weight (the context's). `contexts` has the one of their
+    contexts: key, n, suffix, weight, state. `values`: key, n, value."""
 
-    words: np.ndarray
-    word_counts: np.ndarray
+    words: DataFrame
     n_tokens: int
     n_words: int
-    least: int
-    levels: list[Level] = field(default_factory=list)
+    sequences: list[DataFrame] = field(default_factory=list)
+    contexts: list[DataFrame] = field(default_factory=list)
+    values: DataFrame | None = None
 
     @property
     def whole(self) -> int:
         return self.n_tokens + self.n_words + 1
 
+    @property
+    def heavy(self) -> int:
+        """Occurrences of a sequence that is broadcast."""
+        return max(MIN_COUNT, ceil(MIN_SHARE * self.n_tokens))
+
+    # A small tree in the driver, to look at. Texts are not scored by it.
+
+    @cached_property
+    def _hashes(self) -> np.ndarray:
+        rows = self.words.where(F.col("n") >= MIN_COUNT).orderBy("key").select("key").toArrow()
+        return rows["key"].to_numpy()
+
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        return _find(self.words, hashes)
-
-    def grow(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Adds the next level from its sequences of at least `least` occurrences."""
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order].astype(np.float64)
-        context, word = keys >> 32, keys & 0xFFFFFFFF
-        if self.levels:
-            below = self.levels[-1]
-            n_contexts, occurred = len(below.keys), below.counts
-            suffix = _find(below.keys, below.suffix[context] << 32 | word)
-            parent = below.chance[suffix]
-        else:
-            n_contexts, occurred = len(self.words), self.word_counts.astype(np.float64)
-            suffix = word
-            parent = (self.word_counts[word] + 1) / self.whole
-        of = occurred[context]
-        sums = lambda x: np.bincount(context, x, n_contexts)
-        weight = 1 - sums((counts - DISCOUNT) / of)
-        chance = (counts - DISCOUNT) / of + weight[context] * parent
-        # Divergence with all words that have no probability here as one symbol.
-        rest, rest_before = occurred - sums(counts), np.maximum(1 - sums(parent), 1e-12)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            last = np.where(rest > 0, rest * np.log(rest / occurred / rest_before), 0.0)
-        evidence = sums(counts * np.log(counts / of / parent)) + np.where(sums(counts) > 0, last, 0)
-        state = evidence >= EVIDENCE
-        self.levels.append(Level(keys, counts, suffix, chance, weight, state))
-
-    def close(self) -> None:
-        """The suffix of a state is a state."""
-        for longer, below in zip(self.levels[:0:-1], self.levels[-2::-1], strict=False):
-            below.state[below.suffix[np.flatnonzero(longer.state)]] = True
-
-    def places(self, words: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
-        """For each level the number of the sequence that ends at each place, -1
-        for none. `words` are numbers; `first` marks where texts start."""
-        before = words
-        for level in self.levels:
-            context = np.concatenate(([-1], before[:-1]))
-            at = np.flatnonzero((context >= 0) & (words >= 0) & ~first)
-            before = np.full(len(words), -1, np.int64)
-            before[at] = _find(level.keys, context[at] << 32 | words[at])
-            yield before
-
-    def candidates(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Keys of sequences one word longer than the last level's whose both
-        parts, without the last and without the first word, are frequent."""
-        longest = words
-        for longest in self.places(words, first):
-            pass
-        context = np.concatenate(([-1], longest[:-1]))
-        at = np.flatnonzero((context >= 0) & (longest >= 0) & ~first)
-        return context[at] << 32 | words[at]
+        return _find(self._hashes, hashes)
+
+    @cached_property
+    def levels(self) -> list[Level]:
+        out, below = [], self._hashes
+        places = np.arange(len(below))
+        for sequences, contexts in zip(self.sequences, self.contexts, strict=True):
+            rows = sequences.select("key", "context", "last").orderBy("key").toArrow()
+            key, context, last = (rows[c].to_numpy() for c in ("key", "context", "last"))
+            keys = places[_find(below, context)] << 32 | self.numbers(last)
+            state = np.zeros(len(below), bool)
+            states = contexts.where("state").select("key").toArrow()["key"].to_numpy()
+            state[places[_find(below, states)]] = True
+            below, places = key, np.argsort(np.argsort(keys))
+            out.append(Level(np.sort(keys), state))
+        return out
 
     def chances(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 of each place's probability, apart from that of the word by
-        itself, and whether that is still to be added."""
-        ends = [words, *self.places(words, first)]
-        result = np.zeros(len(words))
-        open_ = np.ones(len(words), bool)
-        for k in range(len(self.levels), 0, -1):
-            level = self.levels[k - 1]
-            context = np.concatenate(([-1], ends[k - 1][:-1]))
-            context[first] = -1
-            at = np.flatnonzero(open_ & (context >= 0))
-            at = at[level.state[context[at]]]
-            own = ends[k][at]
-            known = own >= 0
-            result[at[known]] += np.log10(level.chance[own[known]])
-            open_[at[known]] = False
-            result[at[~known]] += np.log10(level.weight[context[at[~known]]])
-        return result, open_
+        itself, and whether that is still to be added: always."""
+        known, value = self._known
+        hashes = np.where(words >= 0, np.append(self._hashes, 0)[words], word_hash(b" unseen "))
+        # A context's weight counts where the next word stands, a correction at its own.
+        last, result = self._weights, np.zeros(len(words))
+        for key, ok in sequence_keys(hashes, first):
+            at = np.flatnonzero(ok)
+            found = _find(known, key[at])
+            total = np.where(found >= 0, np.append(value, 0.0)[found], 0.0)
+            weight = np.array([last.get(k, 0.0) for k in key[at].tolist()])
+            result[at] += total - weight
+            after = (at + 1 < len(words)) & ~np.append(first, True)[at + 1]
+            result[at[after] + 1] += weight[after]
+        return result, np.ones(len(words), bool)
+
+    @cached_property
+    def _known(self) -> tuple[np.ndarray, np.ndarray]:
+        rows = self.values.orderBy("key").toArrow()
+        return rows["key"].to_numpy(), rows["value"].to_numpy()
+
+    @cached_property
+    def _weights(self) -> dict[int, float]:
+        rows = [r for c in self.contexts for r in c.where("state").select("key", "weight").collect()]
+        return {r.key: log10(r.weight) for r in rows}
+
+
+def sequence_keys(hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each length from 1 the key of the sequence that ends at each place, and
+    whether one does. `first` marks where texts start."""
+    words = hashes.astype(np.int64).view(np.uint64)
+    key, ok = words, np.ones(len(words), bool)
+    for _ in range(MAX_CONTEXT + 1):
+        yield key.view(np.int64), ok
+        before, there = key, ok
+        key, ok = words.copy(), ~first
+        key[1:] += before[:-1] * STEP
+        ok[1:] &= there[:-1]
+        ok[:1] = False
+
+
+def _bits(keys: np.ndarray) -> np.ndarray:
+    return (mixed(keys.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+class Filter:
+    """Keys that may be in a set: one bit for each key's hash, of a fixed size."""
+
+    def __init__(self, keys: DataFrame) -> None:
+        segment = F.shiftright("bit", SEGMENT_BITS)
+        rows = (
+            keys.select("key")
+            .mapInArrow(_bit_places, "bit long")
+            .withColumn("segment", segment)
+            .repartition("segment")
+            .mapInArrow(_segments, "segment long, bits binary")
+        )
+        self.bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+        width = 1 << (SEGMENT_BITS - 3)
+        for row in rows.toArrow().to_pylist():
+            part = self.bits[row["segment"] * width : (row["segment"] + 1) * width]
+            part |= np.frombuffer(row["bits"], np.uint8)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        at = _bits(keys)
+        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _bit_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.record_batch([pa.array(_bits(batch.column("key").to_numpy()))], ["bit"])
+
+
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: dict[int, np.ndarray] = {}
+    width = 1 << (SEGMENT_BITS - 3)
+    for batch in batches:
+        bit = np.sort(batch.column("bit").to_numpy())
+        segment = bit >> SEGMENT_BITS
+        starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(bit) else []
+        for a, b in zip(starts, [*starts[1:], len(bit)], strict=True):
+            part = held.setdefault(int(segment[a]), np.zeros(width, np.uint8))
+            inside = bit[a:b] & ((1 << SEGMENT_BITS) - 1)
+            np.bitwise_or.at(part, inside >> 3, np.uint8(1) << (inside & 7).astype(np.uint8))
+    for segment, part in held.items():
+        yield pa.record_batch([pa.array([segment]), pa.array([part.tobytes()])], ["segment", "bits"])
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -179,29 +232,33 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, codes, words.starts + np.arange(len(words.starts))
 
 
-def _counted(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Sums of counts by key, handed on whenever HELD keys have come together."""
-    keys, counts, held = [], [], 0
+def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[pa.RecordBatch]:
+    """Sums of counts by key, with the columns `names` that go with a key, handed
+    on whenever HELD keys have come together. `parts`: keys, counts, columns."""
+    held: list[tuple[np.ndarray, ...]] = []
+    n_held = 0
 
-    def total() -> tuple[np.ndarray, np.ndarray]:
-        distinct, of = np.unique(np.concatenate(keys), return_inverse=True)
-        return distinct, np.bincount(of, np.concatenate(counts), len(distinct)).astype(np.int64)
+    def total() -> tuple[np.ndarray, ...]:
+        keys, counts, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
+        distinct, at, of = np.unique(keys, return_index=True, return_inverse=True)
+        counts = np.bincount(of, counts, len(distinct)).astype(np.int64)
+        return distinct, counts, *(c[at] for c in columns)
 
-    def batch(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def batch(key: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        out = [*columns, n] if names else [key, n]
         for start in range(0, len(key), 1 << 17):
             stop = start + (1 << 17)
-            yield pa.record_batch([pa.array(key[start:stop]), pa.array(n[start:stop])], ["key", "n"])
-
-    for key, n in parts:
-        keys.append(key)
-        counts.append(n)
-        held += len(key)
-        if held >= HELD:
-            key, n = total()
-            keys, counts, held = [key], [n], len(key)
-            if held >= HELD // 2:
-                yield from batch(key, n)
-                keys, counts, held = [], [], 0
+            yield pa.record_batch([pa.array(c[start:stop]) for c in out], [*(names or ("key",)), "n"])
+
+    for part in parts:
+        held.append(part)
+        n_held += len(part[0])
+        if n_held >= HELD:
+            held = [total()]
+            n_held = len(held[0][0])
+            if n_held >= HELD // 2:
+                yield from batch(*held[0])
+                held, n_held = [], 0
     if held:
         yield from batch(*total())
 
@@ -216,112 +273,239 @@ def _word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     return _counted(parts())
 
 
-def _numberer(shared: Broadcast):
-    """Texts as numbers of words, four bytes each; -1 for a word without."""
+def _starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    first = np.zeros(len(codes), bool)
+    first[starts[:-1]] = True
+    return first
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, codes, starts = _tokens(part.column("text"))
-                numbers = tree.numbers(hashes)[codes].astype("<i4")
-                rows = binary_array(numbers.view(np.uint8), 4 * starts)
-                yield pa.record_batch([rows.cast(pa.binary())], ["numbers"])
 
-    return number
+def _sequence_counter(shared: Broadcast, length: int):
+    """Counts of sequences whose both parts, without the last and without the
+    first word, pass the filter."""
 
-
-def _sequence_counter(shared: Broadcast):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
+        frequent = shared.value
 
         def parts():
             for batch in batches:
-                for part in slices(batch, "numbers"):
-                    data, bounds = text_bytes(part.column("numbers"))
-                    numbers = np.frombuffer(data.tobytes(), "<i4").astype(np.int64)
-                    first = np.zeros(len(numbers), bool)
-                    first[bounds[:-1] // 4] = True
-                    yield np.unique(tree.candidates(numbers, first), return_counts=True)
+                for part in slices(batch, "text"):
+                    hashes, codes, starts = _tokens(part.column("text"))
+                    words, first = hashes[codes], _starts(codes, starts)
+                    shorter, (key, ok) = list(islice(sequence_keys(words, first), length))[-2:]
+                    passed = frequent.holds(shorter[0])
+                    at = np.flatnonzero(ok[1:] & passed[1:] & passed[:-1]) + 1
+                    keys, where, n = np.unique(key[at], return_index=True, return_counts=True)
+                    yield keys, n, shorter[0][at[where] - 1], words[at[where]]
 
-        return _counted(parts())
+        return _counted(parts(), "context", "last")
 
     return count
 
 
+def _longer(context: str):
+    """The column `context` with the word `last` after it, as column `key`."""
+
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, last = (batch.column(c).to_numpy().view(np.uint64) for c in (context, "last"))
+            key = pa.array((before * STEP + last).view(np.int64))
+            yield pa.record_batch([key, *batch.columns], ["made", *batch.schema.names])
+
+    return longer
+
+
+def _with_key(frame: DataFrame, context: str, name: str) -> DataFrame:
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
+    made = frame.mapInArrow(_longer(context), f"made long, {fields}")
+    return made.withColumnRenamed("made", name)
+
+
+def _level(counts: DataFrame, below: DataFrame, single: bool) -> tuple[DataFrame, DataFrame]:
+    """The sequences and contexts of `Tree`, states not closed yet. `below`: key,
+    n, suffix, chance of the sequences one word shorter (`single`: words)."""
+    of = below.select(
+        F.col("key").alias("context"), F.col("n").alias("of"), F.col("suffix").alias("of_suffix")
+    )
+    rows = counts.join(of, "context")
+    rows = rows.withColumn("suffix", F.col("last")) if single else _with_key(rows, "of_suffix", "suffix")
+    parent = below.select(F.col("key").alias("suffix"), F.col("chance").alias("parent"))
+    rows = written(rows.join(parent, "suffix"), "sequence-parents")
+    n, whole = F.col("n"), F.col("of")
+    rest, before = F.col("of") - F.col("seen"), F.greatest(1 - F.col("parents"), F.lit(1e-12))
+    last = F.when(rest > 0, rest * F.ln(rest / F.col("of") / before)).otherwise(0.0)
+    contexts = written(
+        rows.groupBy("context")
+        .agg(
+            F.first("of").alias("of"),
+            F.first("of_suffix").alias("suffix"),
+            F.sum("n").alias("seen"),
+            F.sum("parent").alias("parents"),
+            F.sum((n - DISCOUNT) / whole).alias("taken"),
+            F.sum(n * F.ln(n / whole / F.col("parent"))).alias("evidence"),
+        )
+        .select(
+            F.col("context").alias("key"),
+            F.col("of").alias("n"),
+            "suffix",
+            (1 - F.col("taken")).alias("weight"),
+            (F.col("evidence") + last >= EVIDENCE).alias("state"),
+        ),
+        "contexts",
+    )
+    weights = contexts.select(F.col("key").alias("context"), "weight")
+    sequences = rows.join(weights, "context").select(
+        "key",
+        "context",
+        "last",
+        "suffix",
+        "n",
+        ((n - DISCOUNT) / whole + F.col("weight") * F.col("parent")).alias("chance"),
+        "parent",
+        "weight",
+    )
+    return written(sequences, "sequences"), contexts
+
+
+def _close(contexts: list[DataFrame]) -> list[DataFrame]:
+    """The suffix of a state is a state."""
+    out = contexts[-1:]
+    for below in contexts[-2::-1]:
+        longer = out[0].where("state").select(F.col("suffix").alias("key")).distinct()
+        closed = below.join(longer.withColumn("closes", F.lit(True)), "key", "left").select(
+            "key", "n", "suffix", "weight", (F.col("state") | F.col("closes").isNotNull()).alias("state")
+        )
+        out = [written(closed, "closed-contexts"), *out]
+    return out
+
+
+def _values(tree: Tree) -> DataFrame:
+    """What each sequence adds to a score: as a state, its weight; as a state's
+    continuation, what it has over the weight and the shorter context's chance."""
+    spark = tree.words.sparkSession
+    out = spark.createDataFrame([], "key long, n long, value double")
+    for sequences, contexts in zip(tree.sequences, tree.contexts, strict=True):
+        states = contexts.where("state")
+        over = F.log10(F.col("chance") / F.col("weight") / F.col("parent")).alias("value")
+        known = sequences.join(states.select(F.col("key").alias("context")), "context", "left_semi")
+        out = out.union(known.select("key", "n", over))
+        out = out.union(states.select("key", "n", F.log10("weight").alias("value")))
+    return out.groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
+
+
 def grow_tree(docs: DataFrame) -> tuple[Tree, DataFrame]:
     """A tree from the texts of `docs`, and the counts (key, n) of all words by
     hash. Null texts are empty: only their end is counted."""
     spark = docs.sparkSession
     texts = docs.select(text_of(docs).alias("text"))
-    totals = lambda frame: frame.groupBy("key").agg(F.sum("n").alias("n"))
-    words = written(totals(texts.mapInArrow(_word_counter, "key long, n long")), "word-counts")
+    counted = texts.mapInArrow(_word_counter, "key long, n long")
+    words = written(counted.groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
     size = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
-    n_tokens = size["tokens"] or 0
-    least = max(MIN_COUNT, ceil(MIN_SHARE * n_tokens))
-    # At most n_tokens / least, so at most 1 / MIN_SHARE rows.
-    frequent = lambda frame: frame.where(F.col("n") >= least).orderBy("key").toArrow()
-    rows = frequent(words)
-    tree = Tree(rows["key"].to_numpy(), rows["n"].to_numpy(), n_tokens, size["words"], least)
-    # Split and looked up once, for all lengths.
-    numberer = _numberer(spark.sparkContext.broadcast(tree))
-    numbers = written(texts.mapInArrow(numberer, "numbers binary"), "word-numbers")
-    for _ in range(MAX_CONTEXT):
-        counter = _sequence_counter(spark.sparkContext.broadcast(tree))
-        rows = frequent(totals(numbers.mapInArrow(counter, "key long, n long")))
-        if not rows.num_rows:
+    tree = Tree(words, size["tokens"] or 0, size["words"])
+    below = words.where(F.col("n") >= MIN_COUNT).select(
+        "key",
+        "n",
+        F.lit(None).cast("long").alias("suffix"),
+        ((F.col("n") + 1) / F.lit(tree.whole)).alias("chance"),
+    )
+    for length in range(2, MAX_CONTEXT + 2):
+        counter = _sequence_counter(spark.sparkContext.broadcast(Filter(below)), length)
+        counts = (
+            texts.mapInArrow(counter, "context long, last long, n long")
+            .groupBy("context", "last")
+            .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= MIN_COUNT)
+        )
+        counts = written(_with_key(counts, "context", "key"), "sequence-counts")
+        if counts.isEmpty():
             break
-        tree.grow(rows["key"].to_numpy(), rows["n"].to_numpy())
-    tree.close()
+        below, contexts = _level(counts, below, length == 2)
+        tree.sequences.append(below)
+        tree.contexts.append(contexts)
+    if tree.contexts:
+        tree.contexts = _close(tree.contexts)
+    tree.values = written(_values(tree), "sequence-values")
     return tree, words
 
 
 SCORED = (
-    "row long, carried {carried}, word long, n long, n_tokens long, n_known long, base double, "
-    "score double"
+    "row long, carried {carried}, key long, n long, as_word long, n_tokens long, n_known long, "
+    "base double, score double"
 )
 
 
+@dataclass
+class Heavy:
+    """What the scorers hold: of the most frequent words the log10 chances, of the
+    most frequent sequences the values, both by sorted keys; a filter for others."""
+
+    words: np.ndarray
+    alone: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
+    others: Filter
+
+
 def _scorer(shared: Broadcast):
-    """A row per text with what the tree holds, and one per text and rarer word."""
+    """A row per text with what Heavy holds, and one per text and other sequence."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = shared.value
-        alone = np.log10((tree.word_counts + 1) / tree.whole) if len(tree.words) else np.zeros(1)
+        heavy = shared.value
         next_row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for part in slices(batch, "text"):
                 n = part.num_rows
                 hashes, codes, starts = _tokens(part.column("text"))
                 owner = np.repeat(np.arange(n), np.diff(starts))
-                first = np.zeros(len(codes), bool)
-                first[starts[:-1]] = True
-                words = tree.numbers(hashes)[codes]
-                frequent = words >= 0
-                own = np.where(frequent, alone[np.maximum(words, 0)], 0.0)
-                chance, open_ = tree.chances(words, first)
+                first = _starts(codes, starts)
                 total = lambda x: np.bincount(owner, x, n)  # noqa: B023, E731
-                pair, times = np.unique(
-                    (owner * len(hashes) + codes)[~frequent], return_counts=True
-                )
-                of, zero = pair // len(hashes), np.zeros(len(pair))
+                place = _find(heavy.words, hashes)[codes]
+                frequent = place >= 0
+                own = np.where(frequent, np.append(heavy.alone, 0.0)[place], 0.0)
+                of, keys, times, as_word = [], [], [], []
+
+                def others(at, key, word):
+                    # Distinct (text, sequence) pairs with their number.
+                    order = np.lexsort((key[at], owner[at]))  # noqa: B023
+                    at = at[order]
+                    new = np.ones(len(at), bool)
+                    new[1:] = (key[at[1:]] != key[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])  # noqa: B023
+                    begins = np.flatnonzero(new)
+                    of.append(owner[at[begins]])  # noqa: B023
+                    keys.append(key[at[begins]])  # noqa: B023
+                    times.append(np.diff(np.append(begins, len(at))))  # noqa: B023
+                    as_word.append(times[-1] * word)  # noqa: B023
+
+                value = np.zeros(len(codes))
+                for k, (key, ok) in enumerate(sequence_keys(hashes[codes], first)):
+                    found = _find(heavy.keys, key)
+                    known = ok & (found >= 0)
+                    value[known] += heavy.values[found[known]]
+                    if k == 0:
+                        # A light word's own value comes with its count.
+                        others(np.flatnonzero(~frequent), key, 1)
+                    else:
+                        rarer = np.flatnonzero(ok & (found < 0))
+                        others(rarer[heavy.others.holds(key[rarer])], key, 0)
+                of, keys, times, as_word = (np.concatenate(x) for x in (of, keys, times, as_word))
                 rows = next_row + np.arange(n)
                 next_row += n
+                zero = np.zeros(len(of))
                 both = lambda kind, a, b: pa.array(np.concatenate([a, b]).astype(kind))
                 carried = part.column("carried")
                 yield pa.record_batch(
                     [
                         both(np.int64, rows, rows[of]),
-                        pa.concat_arrays([carried, pa.nulls(len(pair), carried.type)]),
-                        # A text's own row meets no word: it counts 0 times.
-                        both(np.int64, rows, hashes[pair % len(hashes)]),
+                        pa.concat_arrays([carried, pa.nulls(len(of), carried.type)]),
+                        # A text's own row meets no sequence: it counts 0 times.
+                        pa.array(np.concatenate([rows, keys])),
                         both(np.int64, np.zeros(n), times),
+                        both(np.int64, np.zeros(n), as_word),
                         both(np.int64, np.diff(starts), zero),
                         both(np.int64, total(frequent), zero),
                         both(np.float64, total(own), zero),
-                        both(np.float64, total(chance + np.where(open_, own, 0.0)), zero),
+                        both(np.float64, total(own + value), zero),
                     ],
-                    ["row", "carried", "word", "n", "n_tokens", "n_known", "base", "score"],
+                    ["row", "carried", "key", "n", "as_word", "n_tokens", "n_known", "base", "score"],
                 )
 
     return score
@@ -336,25 +520,41 @@ def score_texts(docs: DataFrame, carried: Column, tree: Tree, words: DataFrame)
     probabilities. Repeated rows are scored like others; an empty table gives no
     rows; a tree of no texts gives every token probability 1.
     """
+    # At most n_tokens / heavy, so at most 1 / MIN_SHARE rows of each length.
+    above = lambda frame: frame.where(F.col("n") >= tree.heavy).orderBy("key").toArrow()
+    light = tree.values.where(F.col("n") < tree.heavy)
+    often, values = above(words), above(tree.values)
+    held = Heavy(
+        often["key"].to_numpy(),
+        np.log10((often["n"].to_numpy() + 1) / tree.whole),
+        values["key"].to_numpy(),
+        values["value"].to_numpy(),
+        Filter(light),
+    )
+    known = (
+        words.where(F.col("n") < tree.heavy)
+        .select("key", F.col("n").alias("count"), F.lit(0.0).alias("value"))
+        .union(light.select("key", F.lit(0).cast("long"), "value"))
+        .groupBy("key")
+        .agg(F.sum("count").alias("count"), F.sum("value").alias("value"))
+    )
     rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
     kind = rows.schema["carried"].dataType.simpleString()
     scored = rows.mapInArrow(
-        _scorer(docs.sparkSession.sparkContext.broadcast(tree)), SCORED.format(carried=kind)
-    )
-    rare = words.where(F.col("n") < tree.least).select(
-        F.col("key").alias("word"), F.col("n").alias("count")
+        _scorer(docs.sparkSession.sparkContext.broadcast(held)), SCORED.format(carried=kind)
     )
     count = F.coalesce("count", F.lit(0))
-    own = F.col("n") * (F.log10(count + 1.0) - F.lit(log10(tree.whole)))
+    own = F.col("as_word") * (F.log10(count + 1.0) - F.lit(log10(tree.whole)))
+    value = F.col("n") * F.coalesce("value", F.lit(0.0))
     return (
-        scored.join(rare, "word", "left")
+        scored.join(known, "key", "left")
         .groupBy("row")
         .agg(
             F.max("carried").alias("carried"),
             F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(count > 0, F.col("n")).otherwise(0)).alias("n_known"),
+            F.sum(F.col("n_known") + F.when(count > 0, F.col("as_word")).otherwise(0)).alias("n_known"),
             F.sum(F.col("base") + own).alias("base_score"),
-            F.sum(F.col("score") + own).alias("score"),
+            F.sum(F.col("score") + own + value).alias("score"),
         )
         .select(
             "carried",
