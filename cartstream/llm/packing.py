@@ -22,10 +22,6 @@ ITEMS_PER_TASK = 50_000
 # A sequence with no more room than this is nearly full and leaves the tree.
 SLACK = 4
 
-# A round that leaves more than this share of its items as open sequences is the
-# last: what is open then hardly fits together.
-STALLED = 0.95
-
 PIECE = (
     "doc_id long, piece int, start long, length long, ids_crc32 long, item long"
 )
@@ -123,8 +119,9 @@ def pack_items(items: DataFrame, capacity: int) -> DataFrame:
 
     Each round deals its items to tasks of about ITEMS_PER_TASK, which pack
     their own by best fit. Sequences with at most SLACK room are done; the
-    others are the items of the next round, until one task held them all or a
-    round could hardly join any. A task's memory is set by ITEMS_PER_TASK. Which
+    others are the items of the next round, dealt anew, without those that not
+    even the smallest fits. So each round can join some, and the last one leaves
+    no two open sequences that fit together. A task's memory is set by ITEMS_PER_TASK. Which
     sequence an item gets does not depend on the order in which rows arrive.
     """
     rounds: list[DataFrame] = []
@@ -132,7 +129,7 @@ def pack_items(items: DataFrame, capacity: int) -> DataFrame:
     while n:
         tasks = ceil(n / ITEMS_PER_TASK)
         packed = written(
-            items.repartition(tasks, "item").mapInArrow(
+            items.repartition(tasks, F.xxhash64("item", F.lit(len(rounds)))).mapInArrow(
                 _packer(capacity), "item long, bin long, place long, used long"
             ),
             f"packed-{len(rounds)}",
@@ -141,9 +138,12 @@ def pack_items(items: DataFrame, capacity: int) -> DataFrame:
         items = packed.where(f"place = 0 and used < {capacity - SLACK}").select(
             F.col("bin").alias("item"), F.col("used").alias("size")
         )
-        before, n = n, items.count() if tasks > 1 else 0
-        if n > STALLED * before:
-            break
+        n = 0
+        if tasks > 1:
+            least = [row["size"] for row in items.orderBy("size").limit(2).collect()]
+            if len(least) == 2 and sum(least) <= capacity:
+                items = items.where(F.col("size") <= capacity - least[0])
+                n = items.count()
     if not rounds:
         return items.select("item", F.col("item").alias("sequence"), F.lit(0).cast("long").alias("offset"))
     result = rounds[0].select("item", F.col("bin").alias("sequence"), F.col("place").alias("offset"))

@@ -1,0 +1,16 @@
+"""Rounds go on as long as any two open sequences fit together."""
+
+from pyspark.sql import functions as F
+
+from cartstream.llm import packing
+from cartstream.llm.packing import pack_items
+
+
+def test_few_small_items_among_many_large(llm_spark, monkeypatch):
+    monkeypatch.setattr(packing, "ITEMS_PER_TASK", 100)
+    sizes = [(i, {0: 300, 1: 700}.get(i % 100, 1000)) for i in range(3000)]
+    items = llm_spark.createDataFrame(sizes, "item long, size long")
+    packed = pack_items(items, 1024).join(items, "item")
+    used = sorted(r.used for r in packed.groupBy("sequence").agg(F.sum("size").alias("used")).collect())
+    assert sum(used) == sum(size for _, size in sizes) and used[-1] <= 1024
+    assert used[0] + used[1] > 1024
