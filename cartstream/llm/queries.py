@@ -15,6 +15,7 @@ from cartstream.llm.link_graph import DAMPING, LINK, MARGIN, STEPS, Rule, judge_
 from cartstream.llm.minhash import near_groups
 from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import ACCEPT, learn, score
+from cartstream.llm.runs import echoed, word_runs
 from cartstream.llm.sharding import assign_shards
 from cartstream.llm.ship import ship_package
 from cartstream.llm.suffix_tree import grow_tree, score_texts
@@ -101,6 +102,32 @@ def op10_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(_table(spark, folder, "documents"), 16)
 
 
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    texts = docs.select("doc_id", echoed(F.coalesce("text", F.lit("")), number).alias("text"))
+    # Of equal exponents the first run; doubles tell fractions of word counts apart.
+    best = F.array_min(
+        F.transform("runs", lambda r: F.struct(-r["length"] / r["period"], r["start"], r["period"], r["length"]))
+    )
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.concat(F.array_join(F.transform("runs", line), "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return (
+        word_runs(texts, texts["doc_id"])
+        .withColumn("best", best)
+        .select(
+            F.col("carried").alias("doc_id"),
+            F.size("runs").cast("long").alias("n_runs"),
+            F.col("best.start").alias("start"),
+            F.col("best.length").alias("length"),
+            F.col("best.period").alias("period"),
+            F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+            F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+            F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -115,6 +142,7 @@ def queries() -> dict[str, Query]:
             op8_license_scan,
             op9_decontamination,
             op10_rendezvous_shards,
+            op12_periodic_runs,
         )
     }
 

@@ -34,6 +34,13 @@ def white_space_table() -> np.ndarray:
     return table
 
 
+def cased_white_space_table() -> np.ndarray:
+    """Words are what `[\\x20\\x09-\\x0D]` leaves, as they are."""
+    table = np.arange(256, dtype=np.uint8)
+    table[0x09:0x0E] = SPACE
+    return table
+
+
 def alphanumeric_table() -> np.ndarray:
     """Words are runs of ASCII letters, digits and non-ASCII; A-Z are lower-cased."""
     table = _lowered()

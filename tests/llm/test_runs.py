@@ -1,0 +1,162 @@
+"""Runs against a plain search that walks every period."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartstream.llm import runs
+from cartstream.llm.queries import op12_periodic_runs
+from cartstream.llm.runs import COVER, RESIDUES, Extensions, find, word_runs
+from conftest import TESTDATA
+
+from .conftest import docs_frame, texts_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def plain_runs(words):
+    """Every maximal stretch of every period, the smallest period of each."""
+    n, best = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            if words[i] != words[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q):
+                best.setdefault((i, j + q - i), q)
+            i = j
+    return sorted((s, length, q) for (s, length), q in best.items())
+
+
+def plain_collapsed(words, found):
+    gone = {i for s, length, q in found for i in range(s + q, s + length)}
+    return [w for i, w in enumerate(words) if i not in gone]
+
+
+def repetitive(rng):
+    """A text with powers within powers, next to and over each other."""
+    out = []
+    for _ in range(rng.randint(1, 6)):
+        block = rng.choices("abc", k=rng.randint(1, 9))
+        if rng.random() < 0.4:
+            block = block * rng.randint(3, 9) + rng.choices("abc", k=rng.randint(0, 3))
+        out += block * rng.randint(1, 12)
+        out = out[: len(out) - rng.randint(0, 3)]
+    return out
+
+
+def as_codes(texts):
+    numbers = {}
+    codes = [numbers.setdefault(w, len(numbers)) for t in texts for w in t]
+    return np.array(codes, np.int32), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(int)
+
+
+def test_every_difference_is_covered():
+    assert {(a - b) % COVER for a in RESIDUES for b in RESIDUES} == set(range(COVER))
+    assert Extensions.steps.max() < COVER
+
+
+@pytest.mark.parametrize("places", [64, 1 << 20])
+def test_random_texts(monkeypatch, places):
+    monkeypatch.setattr(runs, "PLACES", places)
+    rng = random.Random(places)
+    for _ in range(60):
+        texts = [repetitive(rng) for _ in range(rng.randint(1, 8))]
+        texts += [[], texts[0], ["a"] * rng.randint(1, 200), rng.choices("ab", k=150)]
+        found = find(*as_codes(texts))
+        actual = [[] for _ in texts]
+        for row in zip(found.text, found.start, found.length, found.period, strict=True):
+            actual[row[0]].append(tuple(int(x) for x in row[1:]))
+        assert actual == [plain_runs(t) for t in texts]
+
+
+def test_extensions_against_walking():
+    rng = random.Random(3)
+    base = rng.choices("abcd", k=700)
+    text = base + base[100:600] + ["a"] * 300 + base[:450] * 2
+    codes, _ = as_codes([text])
+    line = np.append(codes, codes.max() + 1)
+    ext = Extensions(line)
+    a = np.array([rng.randrange(len(text)) for _ in range(4000)])
+    b = np.array([rng.randrange(len(text)) for _ in range(4000)])
+    a, b = a[a != b], b[a != b]
+    lengths = runs._whole(ext, a, b)
+    for x, y, length in zip(a, b, lengths, strict=True):
+        expected = 0
+        while line[x + expected] == line[y + expected]:
+            expected += 1
+        assert length == expected
+
+
+def test_long_powers():
+    texts = [["x", "y", "z"] * 20_000, ["w"] * 30_000, [f"w{i % 5000}" for i in range(22_345)]]
+    found = find(*as_codes(texts))
+    assert found.start.tolist() == [0, 0, 0]
+    assert found.length.tolist() == [60_000, 30_000, 22_345]
+    assert found.period.tolist() == [3, 1, 5000]
+
+
+def expected_row(words):
+    found = plain_runs(words)
+    return len(words), [tuple(r) for r in found], " ".join(plain_collapsed(words, found))
+
+
+@pytest.mark.parametrize("name", ["awkward", "small", "empty"])
+def test_word_runs(request, name):
+    docs = request.getfixturevalue(name)
+    rows = word_runs(docs, docs["doc_id"]).collect()
+    actual = sorted(repr((r.carried, r.n_words, [tuple(x) for x in r.runs], r.collapsed)) for r in rows)
+    assert actual == sorted(
+        repr((d, *expected_row(WORD.findall(t or "")))) for d, t in texts_of(docs)
+    )
+
+
+def test_repeated_lines_collapse(llm_spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(repetitive(rng))) for i in range(80)]
+    docs = docs_frame(llm_spark, [*rows, (None, "go " * 9), (81, None)])
+    rows = word_runs(docs, docs["doc_id"]).collect()
+    by_id = {r.carried: r for r in rows}
+    assert by_id[None].collapsed == "go" and by_id[81].runs == [] and by_id[81].collapsed == ""
+    for doc_id, text in texts_of(docs):
+        assert by_id[doc_id].collapsed == expected_row(WORD.findall(text or ""))[2]
+
+
+def contract(doc_id, text):
+    words = WORD.findall(text or "")
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    g = h // 10
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    found = plain_runs(words)
+    best = min(found, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=None)
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    return (
+        doc_id, len(found), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None,
+        sha("".join(f"{s},{length},{q}\n" for s, length, q in found)),
+        sha(" ".join(plain_collapsed(words, found))),
+    )
+
+
+def test_query(llm_spark):
+    folder = f"{TESTDATA}/sf0.001"
+    rows = op12_periodic_runs(llm_spark, folder)
+    assert rows.columns == [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ]
+    docs = llm_spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    expected = sorted(contract(*row) for row in docs.collect())
+    assert sorted(tuple(r) for r in rows.collect()) == expected
+    assert sum(row[1] > 0 for row in expected) > 10
+    assert rows.where(F.col("n_runs").isNull()).isEmpty()
