@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.decontaminate import contamination
 from cartstream.llm.exact_dedup import exact_groups
+from cartstream.llm.language_id import identify, learn_languages
 from cartstream.llm.licenses import license_scan
 from cartstream.llm.link_graph import DAMPING, LINK, MARGIN, STEPS, Rule, judge_pages
 from cartstream.llm.minhash import near_groups
@@ -128,6 +129,15 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    # Without a doc_id a row is in no fold: it is not held out.
+    held_out = F.coalesce(fold(F.col("doc_id"), 5), F.lit(1)) == 0
+    languages = learn_languages(docs.where(~held_out))
+    found = identify(docs, docs["doc_id"], languages).withColumnRenamed("carried", "doc_id")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
+
+
 def queries() -> dict[str, Query]:
     return {
         query.__name__: query
@@ -143,6 +153,7 @@ def queries() -> dict[str, Query]:
             op9_decontamination,
             op10_rendezvous_shards,
             op12_periodic_runs,
+            op13_language_mixture,
         )
     }
 
