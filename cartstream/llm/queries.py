@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartstream.llm.collocations import collocations
 from cartstream.llm.decontaminate import contamination
 from cartstream.llm.exact_dedup import exact_groups
 from cartstream.llm.language_id import identify, learn_languages
@@ -103,6 +104,10 @@ def op10_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(_table(spark, folder, "documents"), 16)
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -152,6 +157,7 @@ def queries() -> dict[str, Query]:
             op8_license_scan,
             op9_decontamination,
             op10_rendezvous_shards,
+            op11_phrase_collocations,
             op12_periodic_runs,
             op13_language_mixture,
         )
@@ -294,8 +300,55 @@ LEAKS_SQL = rf"""
 """
 
 
+def phrases_sql(least: int = 100, top: int = 2000) -> str:
+    """All phrases counted as rows, every cut and every phrase inside another."""
+    return rf"""
+        WITH cut AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ), pieces AS (
+            SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM cut
+        ), grams AS (
+            SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (
+                SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i
+                FROM pieces, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k
+            )
+        ), counts AS (
+            SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase
+        ), words AS (
+            SELECT lang, sum(f) AS n FROM counts WHERE k = 1 GROUP BY lang
+        ), candidates AS (
+            SELECT lang, k, phrase, string_split(phrase, ' ') AS w, f AS a FROM counts WHERE k > 1 AND f >= {least}
+        ), cuts AS (
+            SELECT c.lang, c.phrase, c.a, place, l.f AS l, r.f AS r, n,
+                   (1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS place FROM candidates) c
+            JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:place], ' ')
+            JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[place + 1:], ' ')
+            JOIN words ON words.lang = c.lang
+        ), lowest AS (
+            SELECT * FROM cuts
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, place) = 1
+        ), inside AS (
+            SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS longer FROM (
+                SELECT *, unnest(range(1, k - size + 2)) AS i
+                FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates)
+            ) GROUP BY ALL
+        ), ranked AS (
+            SELECT lang, phrase, a, l, r, n, score,
+                   row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+            FROM lowest LEFT JOIN inside USING (lang, phrase)
+            WHERE longer IS NULL OR 100 * longer < 100 * a
+        )
+        SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+        FROM ranked WHERE rank <= {top}
+    """
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_phrase_collocations": phrases_sql(),
         "op3_link_graph": _links_sql(),
         "op4_minhash_stars": NEAR_SQL,
         "op9_decontamination": LEAKS_SQL,

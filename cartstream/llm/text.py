@@ -21,6 +21,10 @@ SPACE = 32
 SLICE_BYTES = 4 << 20
 
 
+# Characters at which texts are cut into pieces.
+PIECE_ENDS = [0x0A, 0x0B, 0x0C, 0x0D, *b".,;:!?"]
+
+
 def _lowered() -> np.ndarray:
     table = np.arange(256, dtype=np.uint8)
     table[ord("A") : ord("Z") + 1] += 32
@@ -49,6 +53,14 @@ def alphanumeric_table() -> np.ndarray:
     return table
 
 
+def piece_table() -> np.ndarray:
+    """Words are what `[\\x20\\x09]` and the ends of pieces leave; A-Z are lower-cased."""
+    table = _lowered()
+    table[0x09] = SPACE
+    table[PIECE_ENDS] = SPACE
+    return table
+
+
 def slices(batch: pa.RecordBatch, *columns: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about `limit` bytes of `columns`, one row at least."""
     ends = np.zeros(batch.num_rows, np.int64)
@@ -93,11 +105,13 @@ def word_hash(word: bytes) -> int:
 
 @dataclass
 class Words:
-    """`codes[starts[i]:starts[i+1]]` are the words of text i, as places in `distinct`."""
+    """`codes[starts[i]:starts[i+1]]` are the words of text i, as places in `distinct`.
+    `places`: where in the texts' bytes each word begins."""
 
     codes: np.ndarray
     starts: np.ndarray
     distinct: list[bytes]
+    places: np.ndarray
 
     def hashes(self) -> np.ndarray:
         return np.fromiter(map(word_hash, self.distinct), np.int64, len(self.distinct))
@@ -118,7 +132,7 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     first[begins] = inside[begins]  # a text's first byte starts a word whatever stands before
     places = np.flatnonzero(first)
     if not len(places):
-        return Words(np.empty(0, np.int32), np.zeros(n_texts + 1, np.int64), [])
+        return Words(np.empty(0, np.int32), np.zeros(n_texts + 1, np.int64), [], places)
     last = inside.copy()
     last[:-1] &= first[1:] | ~inside[1:]
     # Without the gaps the words lie end to end.
@@ -126,10 +140,23 @@ def split_words(texts: pa.Array, table: np.ndarray) -> Words:
     coded = binary_array(data[inside], ends).dictionary_encode()
     starts = np.searchsorted(places, bounds)
     return Words(
-        coded.indices.to_numpy(zero_copy_only=False), starts, coded.dictionary.to_pylist()
+        coded.indices.to_numpy(zero_copy_only=False), starts, coded.dictionary.to_pylist(), places
     )
 
 
+def pieces(texts: pa.Array, words: Words) -> np.ndarray:
+    """Whether each word, split by `piece_table`, is the first of a piece."""
+    data, _ = text_bytes(texts)
+    ends = np.zeros(256, bool)
+    ends[PIECE_ENDS] = True
+    before = np.cumsum(ends[data])[words.places]
+    first = np.zeros(len(words.codes), bool)
+    begins = words.starts[:-1]
+    first[begins[begins < len(first)]] = True
+    first[1:] |= before[1:] != before[:-1]
+    return first
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spreads 64-bit numbers over all 64 bits (the splitmix64 finaliser)."""
     v = values.astype(np.uint64, copy=True)
