@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from cartstream.functions.columns import PERIODS
 from cartstream.plans.journey import journey, journey_count, journey_wide
 from cartstream.plans.panels import PANELS
-from cartstream.schemas import ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, TOPICS
+from cartstream.plans.stored import lake_panel
+from cartstream.schemas import ITEMS, PRIMARY_KEYS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, TOPICS
 from cartstream.sinks import compact, compact_closed
 from cartstream.sources import JdbcTable, KafkaTopic, TextTopic, open_lake, read_table
 from cartstream.streaming import (
     AVAILABLE_NOW,
     start_export,
     start_items,
+    start_keys,
     start_landing,
     start_live,
     supervise,
@@ -68,9 +70,14 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         )
         for table, target in _relational(args).items()
     }
-    if args.live:
+    following |= {
+        f"keys_{table}": partial(start_keys, spark, lake, table, trigger) for table in PRIMARY_KEYS
+    }
+    if args.live:  # those of keyed tables are there already
         following |= {
-            f"live_{panel}": partial(start_live, spark, lake, panel, trigger) for panel in PANELS
+            f"live_{name}": partial(start_live, spark, lake, name, trigger)
+            for name, panel in PANELS.items()
+            if not panel.keyed
         }
 
     if args.every:
@@ -94,12 +101,12 @@ def show_journey(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def show_panel(spark: SparkSession, args: argparse.Namespace) -> None:
     panel = PANELS[args.name]
+    print(panel.title)
     if args.jdbc_options:
-        table = _relational(args)[panel.table].read(spark)
+        rows = panel.run(_relational(args)[panel.table].read(spark), args.as_of)
     else:
-        table = read_table(spark, open_lake(spark, args.lake), panel.table)
-    print(panel.title)
-    panel.run(table, args.as_of).show(truncate=False)
+        rows = lake_panel(spark, open_lake(spark, args.lake), args.name, args.as_of)
+    rows.show(truncate=False)
 
 
 def show_topic(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -96,6 +96,31 @@ def _spend_per_category(items: DataFrame) -> DataFrame:
     )
 
 
+# Totals of rows that are added (`sign` 1) or taken back (-1).
+
+
+def _signed_users(users: DataFrame) -> DataFrame:
+    return users.agg(F.coalesce(F.sum("sign"), F.lit(0).cast("bigint")).alias("total_users"))
+
+
+def _signed_per_day(users: DataFrame) -> DataFrame:
+    return users.groupBy(F.col("registered_at").cast("date").alias("day")).agg(F.sum("sign").alias("n"))
+
+
+def _signed_per_state(users: DataFrame) -> DataFrame:
+    located = users.where(F.col("location").contains(","))
+    return located.groupBy(state_of(F.col("location")).alias("state")).agg(
+        F.sum("sign").alias("users_count")
+    )
+
+
+def _signed_paid(transactions: DataFrame) -> DataFrame:
+    paid = transactions.where(F.col("payment_status") == SUCCESSFUL)
+    return paid.groupBy(F.col("timestamp").cast("date").alias("day")).agg(
+        F.sum(F.col("sign") * F.col("transaction_amount")).alias("amount"), F.sum("sign").alias("n")
+    )
+
+
 @dataclass(frozen=True)
 class Panel:
     title: str
@@ -103,6 +128,9 @@ class Panel:
     totals: Callable[[DataFrame], DataFrame]
     present: Callable[[DataFrame, dt.date | None], DataFrame]
     day_column: str | None = None
+    # Totals' columns that add up, the number of rows last where rows may go again.
+    sums: tuple[str, ...] = ()
+    signed: Callable[[DataFrame], DataFrame] | None = None
     # What is read of each key's row, where the table has a key.
     columns: tuple[str, ...] = ()
     # Shown in descending order of the first column, then by the second.
@@ -122,6 +150,12 @@ class Panel:
             frame = frame.where(up_to_day(frame, self.day_column, as_of))
         return self.present(self.totals(self.counted(frame)), as_of)
 
+    def merged(self, totals: DataFrame) -> DataFrame:
+        """Totals of several parts as one; groups that have no row left are gone."""
+        groups = [name for name in totals.columns if name not in self.sums]
+        whole = totals.groupBy(*groups).agg(*(F.sum(name).alias(name) for name in self.sums))
+        return whole.where(F.col(self.sums[-1]) != 0) if groups and self.signed else whole
+
     def sorted(self, rows: DataFrame) -> DataFrame:
         """Rows that were shown once, in order again."""
         return _ordered(rows, *self.order) if self.order else rows
@@ -129,9 +163,23 @@ class Panel:
 
 # Names, titles and output columns are fixed values.
 PANELS = {
-    "total_users": Panel("Total users", "users", _total_users, lambda totals, _: totals),
+    "total_users": Panel(
+        "Total users",
+        "users",
+        _total_users,
+        lambda totals, _: totals,
+        sums=("total_users",),
+        signed=_signed_users,
+    ),
     "new_users_today": Panel(
-        "New users today", "users", _users_per_day, _new_users, "registered_at", ("registered_at",)
+        "New users today",
+        "users",
+        _users_per_day,
+        _new_users,
+        "registered_at",
+        columns=("registered_at",),
+        sums=("n",),
+        signed=_signed_per_day,
     ),
     "top_locations": Panel(
         "Top locations by user count",
@@ -140,6 +188,8 @@ PANELS = {
         lambda totals, _: _ordered(totals, "users_count", "state").limit(TOP),
         columns=("location",),
         order=("users_count", "state"),
+        sums=("users_count",),
+        signed=_signed_per_state,
     ),
     "top_pages": Panel(
         "Most visited pages",
@@ -147,6 +197,7 @@ PANELS = {
         _visits_per_page,
         lambda totals, _: _ordered(totals, "visits", "page").limit(TOP),
         order=("visits", "page"),
+        sums=("visits",),
     ),
     # Successful payments only; revenue per category counts all of them, since
     # order lines carry no payment status.
@@ -156,7 +207,9 @@ PANELS = {
         _paid_per_day,
         _revenue_today,
         "timestamp",
-        ("timestamp", "transaction_amount", "payment_status"),
+        columns=("timestamp", "transaction_amount", "payment_status"),
+        sums=("amount", "n"),
+        signed=_signed_paid,
     ),
     "top_categories": Panel(
         "Most selling categories",
@@ -164,6 +217,7 @@ PANELS = {
         _sold_per_category,
         lambda totals, _: _ordered(totals, "total_sold", "product_category").limit(TOP),
         order=("total_sold", "product_category"),
+        sums=("total_sold",),
     ),
     "revenue_by_category": Panel(
         "Revenue (in lakhs) per category all-time",
@@ -171,5 +225,6 @@ PANELS = {
         _spend_per_category,
         lambda totals, _: _ordered(totals, "revenue_in_lakhs", "product_category"),
         order=("revenue_in_lakhs", "product_category"),
+        sums=("revenue_in_lakhs",),
     ),
 }

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartstream.plans.stored import store_partials
 from cartstream.sources.lake import (
     Closed,
     Lake,
@@ -55,7 +56,8 @@ def compact_closed(
     that came late to older ones. Files written after `settled` (by default an
     hour ago) stay where they are, and readers go on taking them from there.
     The streams and the live files are left alone. A call that breaks off leaves
-    nothing that readers see, and the next one writes over it.
+    nothing that readers see, and the next one writes over it. Totals of the
+    rewritten rows are kept for the panels.
     """
     done = closed(spark, lake, table)
     if done and before < done.before:
@@ -66,6 +68,7 @@ def compact_closed(
     if done:
         rows = rows.where(~is_rewritten(lake, done))
     _write(rows, lake, table, f"{lake.compacted(table)}/run={now.run}", "overwrite")
+    store_partials(spark, lake, table, now.run)
     note = spark.createDataFrame(
         [(now.run, now.before, now.settled)], "run int, before date, settled timestamp"
     )

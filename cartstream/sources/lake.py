@@ -20,6 +20,10 @@ from cartstream.operators.parse import MALFORMED, MESSAGE, OK, STATUS
 from cartstream.schemas import DATE, INT, ITEMS, STRING, TABLE_SCHEMAS, TOPICS, struct
 
 
+LANDED_AT = "landed_at"
+FILE_TIME = "_metadata.file_modification_time"
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the tables are, and how long a stretch of time one partition holds.
@@ -50,6 +54,12 @@ class Lake:
     def live(self, panel: str) -> str:
         return f"{self.root}/live/{panel}"
 
+    def keys(self, table: str) -> str:
+        return f"{self.root}/keys/{table}"
+
+    def partials(self, panel: str) -> str:
+        return f"{self.root}/partials/{panel}"
+
     def partition_columns(self, table: str) -> list[str]:
         return [STATUS, self.period_column] if table in TOPICS else [self.period_column]
 
@@ -129,7 +139,7 @@ def closed(spark: SparkSession, lake: Lake, table: str) -> Closed | None:
 def is_rewritten(lake: Lake, done: Closed) -> Column:
     """Of a scan of the live table: the row is in the compacted one. Decided by
     folder and file, before any row is read."""
-    old = F.col("_metadata.file_modification_time") <= F.lit(done.settled)
+    old = F.col(FILE_TIME) <= F.lit(done.settled)
     return F.coalesce((F.col(lake.period_column) < F.lit(done.before)) & old, F.lit(False))
 
 
@@ -145,6 +155,11 @@ def read_live_files(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _compacted(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    schema = StructType([*lake.schema(table).fields, *struct({"run": INT}).fields])
+    return spark.read.schema(schema).parquet(lake.compacted(table))
+
+
 def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """The table as landed: closed periods from where they were compacted, all
     else, late rows included, from the live files."""
@@ -152,16 +167,23 @@ def read_landed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     done = closed(spark, lake, table)
     if done is None:
         return live
-    schema = lake.schema(table)
-    compacted = (
-        spark.read.schema(StructType([*schema.fields, *struct({"run": INT}).fields]))
-        .parquet(lake.compacted(table))
-        .where(F.col("run") <= done.run)
-    )
+    compacted = _compacted(spark, lake, table).where(F.col("run") <= done.run)
     names = lake.schema(table).names
     return live.where(~is_rewritten(lake, done)).select(names).unionAll(compacted.select(names))
 
 
+def read_unclosed(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """Good rows that no compaction has taken."""
+    live = read_live_files(spark, lake, table)
+    done = closed(spark, lake, table)
+    return _good_rows(live.where(~is_rewritten(lake, done)) if done else live, lake, table)
+
+
+def read_run(spark: SparkSession, lake: Lake, table: str, runs: list[int]) -> DataFrame:
+    """Good rows that these compactions have rewritten."""
+    return _good_rows(_compacted(spark, lake, table).where(F.col("run").isin(runs)), lake, table)
+
+
 def _good_rows(frame: DataFrame, lake: Lake, table: str) -> DataFrame:
     if table in TOPICS:
         frame = frame.where(F.col(STATUS) == OK)
@@ -179,11 +201,28 @@ def read_quarantine(spark: SparkSession, lake: Lake, topic: str) -> DataFrame:
 
 
 def stream_table(
-    spark: SparkSession, lake: Lake, table: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    files_per_batch: int | None = None,
+    landed_at: bool = False,
 ) -> DataFrame:
-    """A landed table as a stream; follows the sink's log of complete files."""
+    """A landed table as a stream; follows the sink's log of complete files.
+    `landed_at` adds the time of each row's file."""
     check_period(spark, lake)
     reader = spark.readStream.schema(lake.schema(table))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _good_rows(reader.parquet(lake.table(table)), lake, table)
+    rows = reader.parquet(lake.table(table))
+    if not landed_at:
+        return _good_rows(rows, lake, table)
+    names = [*TABLE_SCHEMAS[table].names, F.col(FILE_TIME).alias(LANDED_AT)]
+    return (rows.where(F.col(STATUS) == OK) if table in TOPICS else rows).select(*names)
+
+
+def read_landed_since(spark: SparkSession, lake: Lake, table: str, micros: int | None) -> DataFrame:
+    """Rows of the live files of that time or later; no older file is opened."""
+    rows = read_live_files(spark, lake, table)
+    if micros is not None:
+        rows = rows.where(F.col(FILE_TIME) >= F.timestamp_micros(F.lit(micros)))
+    return _good_rows(rows, lake, table)

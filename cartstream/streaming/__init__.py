@@ -6,6 +6,7 @@ from cartstream.streaming.ingest import (
     start_items,
     start_landing,
 )
+from cartstream.streaming.keys import start_keys
 from cartstream.streaming.live import read_live, start_live
 from cartstream.streaming.supervise import StreamsFailed, supervise
 
@@ -15,6 +16,7 @@ __all__ = [
     "read_live",
     "start_export",
     "start_items",
+    "start_keys",
     "start_landing",
     "start_live",
     "supervise",

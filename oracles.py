@@ -137,6 +137,7 @@ ON_TABLES = {
     **{f"panel_{name}": sql for name, sql in PANEL_SQL.items()},
     **{f"live_{name}": sql for name, sql in PANEL_SQL.items()},
     **{f"relational_{name}": sql for name, sql in PANEL_SQL.items()},
+    **{f"stored_{name}": sql for name, sql in PANEL_SQL.items()},
     "stream_users": USERS_SQL,
     "stream_clickstream": CLICKS_SQL,
     "stream_transactions": WITH_PRODUCTS_SQL,
@@ -192,7 +193,7 @@ repeated_transactions AS (
 KEYED_PANELS = ("total_users", "new_users_today", "top_locations", "revenue_today")
 KEYED_EXPORTS = {f"export_{table}": f"SELECT * FROM kept_{table}" for table in PRIMARY_KEYS}
 ON_REPEATED = KEYED_EXPORTS | {
-    f"{kind}_{name}": PANEL_SQL[name] for kind in ("panel", "live") for name in KEYED_PANELS
+    f"{kind}_{name}": PANEL_SQL[name] for kind in ("panel", "live", "stored") for name in KEYED_PANELS
 }
 ON_TABLES |= KEYED_EXPORTS
 ON_TABLES["export_replay"] = ITEMS_SQL

@@ -153,8 +153,8 @@ class Live:
         ).awaitTermination()
 
     def show(self, panel, as_of=None):
-        start_live(self.spark, self.lake, panel, AVAILABLE_NOW, as_of, 1).awaitTermination()
-        return list(map(tuple, read_live(self.spark, self.lake, panel).collect()))
+        start_live(self.spark, self.lake, panel, AVAILABLE_NOW, 1).awaitTermination()
+        return list(map(tuple, read_live(self.spark, self.lake, panel, as_of).collect()))
 
 
 def test_live_panel_follows_the_table(spark, folder):
