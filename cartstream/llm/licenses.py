@@ -28,6 +28,9 @@ from cartstream.llm.text import (
 SHINGLE = 2
 CONTAINED = 0.8
 
+# Shingles of a block, for templates of up to twice as many words and one.
+BLOCKS = (1, 2, 4, 6, 9, 13, 19, 27)
+
 # Chance that a matching window shares no band with its template.
 MISSED = 1e-4
 
@@ -42,14 +45,8 @@ class Template(NamedTuple):
 
 
 # The licenses' own notices, and the short forms that name them.
-TEMPLATES = (
+NOTICES = (
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0.", ("Apache License, Version 2.0",)),
-    Template("cc-by-4.0", "Licensed under CC BY 4.0.", ("CC BY 4.0",)),
-    Template("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0.", ("CC BY-NC 4.0",)),
-    Template("cc-by-sa-4.0", "Licensed under CC BY-SA 4.0.", ("CC BY-SA 4.0",)),
-    Template("cc-by-nd-4.0", "Licensed under CC BY-ND 4.0.", ("CC BY-ND 4.0",)),
-    Template("cc-by-nc-sa-4.0", "Licensed under CC BY-NC-SA 4.0.", ("CC BY-NC-SA 4.0",)),
-    Template("cc-by-nc-nd-4.0", "Licensed under CC BY-NC-ND 4.0.", ("CC BY-NC-ND 4.0",)),
     Template(
         "gpl-3.0",
         "This work is licensed under the GNU General Public License, version 3.",
@@ -78,15 +75,76 @@ TEMPLATES = (
     Template("mit", "Released under the MIT License.", ("MIT License",)),
     Template("mit", "Licensed under the MIT License.", ("MIT License",)),
     Template(
-        "mit-grant",
+        "mit",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files",
+        ("copy of this software",),
+    ),
+    Template(
+        "mit",
+        'to deal in the Software without restriction, including without limitation the rights to '
+        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
+        ("to deal in the Software",),
     ),
     Template(
-        "bsd-conditions",
+        "bsd-2-clause",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ),
+    Template(
+        "bsd-3-clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written permission",
+        ("endorse or promote products derived",),
+    ),
+    Template(
+        "apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
+        "either express or implied.",
+    ),
+    Template(
+        "apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+        ("Apache License Version 2.0",),
+    ),
+    Template(
+        "gpl-3.0",
+        "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+        ("GNU General Public License",),
+    ),
+    Template(
+        "gpl-2.0",
+        "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+        ("GNU General Public License Version 2",),
+    ),
+    Template(
+        "gpl-3.0",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        ("GNU General Public License Version 3",),
+    ),
+    Template(
+        "lgpl-2.1",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+        ("GNU Lesser General Public License Version 2.1",),
+    ),
+    Template(
+        "lgpl-3.0",
+        "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+        ("GNU Lesser General Public License Version 3",),
+    ),
+    Template(
+        "agpl-3.0",
+        "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+        ("GNU Affero General Public License Version 3",),
+    ),
+    Template(
+        "agpl-3.0",
+        "The GNU Affero General Public License is a free, copyleft license for software and other "
+        "kinds of works, specifically designed to ensure cooperation with the community in the case "
+        "of network server software.",
+        ("GNU Affero General Public License",),
+    ),
     Template("all-rights-reserved", "All rights reserved.", ("All rights reserved",)),
     Template(
         "all-rights-reserved",
@@ -144,46 +202,110 @@ TEMPLATES = (
         ("free and unencumbered software",),
     ),
     Template(
-        "bsl-1.0",
-        "Distributed under the Boost Software License, Version 1.0.",
-        ("Boost Software License, Version 1.0",),
+        "zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions",
+        ("Permission is granted to anyone",),
     ),
     Template(
-        "cc-by-4.0",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        ("Attribution 4.0",),
+        "bsl-1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy "
+        "of the software and accompanying documentation covered by this license",
+        ("any person or organization obtaining",),
     ),
     Template(
-        "cc-by-nc-4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 "
-        "International License.",
-        ("Attribution-NonCommercial 4.0",),
+        "cc0-1.0",
+        "The person who associated a work with this deed has dedicated the work to the public domain "
+        "by waiving all of his or her rights to the work worldwide under copyright law",
     ),
     Template(
-        "cc-by-sa-4.0",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
-        "International License.",
-        ("Attribution-ShareAlike 4.0",),
+        "bsl-1.0",
+        "Distributed under the Boost Software License, Version 1.0.",
+        ("Boost Software License, Version 1.0",),
     ),
-    Template(
-        "cc-by-nd-4.0",
-        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 "
-        "International License.",
-        ("Attribution-NoDerivatives 4.0",),
+)
+
+
+# Names by which texts refer to a license, with its version.
+NAMES = {
+    "apache-2.0": ("Apache License 2.0", "Apache License, Version 2.0", "Apache-2.0 license", "Apache Software License 2.0"),
+    "gpl-2.0": (
+        "GNU General Public License v2.0", "GNU General Public License version 2", "GNU GPL version 2",
+        "GNU GPL v2", "GPL-2.0 license",
     ),
-    Template(
-        "cc-by-nc-sa-4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
-        "International License.",
-        ("Attribution-NonCommercial-ShareAlike 4.0",),
+    "gpl-3.0": (
+        "GNU General Public License v3.0", "GNU General Public License version 3", "GNU GPL version 3",
+        "GNU GPL v3", "GPL-3.0 license",
     ),
-    Template(
-        "cc-by-nc-nd-4.0",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
-        "International License.",
-        ("Attribution-NonCommercial-NoDerivatives 4.0",),
+    "lgpl-2.1": (
+        "GNU Lesser General Public License v2.1", "GNU Lesser General Public License version 2.1",
+        "GNU LGPL version 2.1", "LGPL-2.1 license",
     ),
-)
+    "lgpl-3.0": (
+        "GNU Lesser General Public License v3.0", "GNU Lesser General Public License version 3",
+        "GNU LGPL version 3", "LGPL-3.0 license",
+    ),
+    "agpl-3.0": (
+        "GNU Affero General Public License v3.0", "GNU Affero General Public License version 3",
+        "GNU AGPL version 3", "AGPL-3.0 license",
+    ),
+    "mpl-2.0": ("Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "MPL-2.0 license"),
+    "epl-1.0": ("Eclipse Public License 1.0", "Eclipse Public License v1.0", "Eclipse Public License - v 1.0"),
+    "epl-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0", "Eclipse Public License - v 2.0"),
+    "eupl-1.2": (
+        "European Union Public Licence 1.2", "European Union Public Licence v. 1.2",
+        "European Union Public License 1.2", "EUPL version 1.2",
+    ),
+    "bsd-2-clause": ("BSD-2-Clause", "2-Clause BSD License", "BSD 2-Clause License"),
+    "bsd-3-clause": ("BSD-3-Clause", "3-Clause BSD License", "BSD 3-Clause License"),
+    "cc0-1.0": ("CC0 1.0", "CC0 1.0 Universal", "Creative Commons Zero v1.0 Universal"),
+    "bsl-1.0": ("Boost Software License 1.0", "Boost Software License, Version 1.0"),
+    "isc": ("ISC License",),
+    "zlib": ("zlib License",),
+}
+
+# Identifiers in headers of files, where they are not the names above.
+IDENTIFIERS = {
+    "mit": "MIT", "isc": "ISC", "zlib": "Zlib", "unlicense": "Unlicense", "0bsd": "0BSD",
+    "bsl-1.0": "BSL-1.0", "wtfpl": "WTFPL", "artistic-2.0": "Artistic-2.0",
+}
+
+# The Creative Commons family.
+CC_PARTS = {"by": "Attribution", "nc": "NonCommercial", "sa": "ShareAlike", "nd": "NoDerivatives"}
+CC_KINDS = ("by", "by-nc", "by-sa", "by-nd", "by-nc-sa", "by-nc-nd")
+CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
+
+# Of two licenses the second's text holds the first's: it alone is meant.
+WITHIN = {"bsd-2-clause": "bsd-3-clause"}
+
+
+def _named(name: str, text: str) -> Template:
+    """Every word of `text` is needed."""
+    return Template(name, text, (text,))
+
+
+def _library() -> tuple[Template, ...]:
+    out = [*NOTICES]
+    out += [_named(name, text) for name, texts in NAMES.items() for text in texts]
+    identifiers = {name: name for name in NAMES} | IDENTIFIERS
+    for kind in CC_KINDS:
+        for version in CC_VERSIONS:
+            name = f"cc-{kind}-{version}"
+            title = "-".join(CC_PARTS[part] for part in kind.split("-"))
+            identifiers[name] = name
+            out.append(_named(name, f"CC {kind} {version}"))
+            out.append(_named(name, f"Creative Commons {title} {version}"))
+    out += [_named(name, f"SPDX-License-Identifier: {text}") for name, text in identifiers.items()]
+    return tuple(out)
+
+
+TEMPLATES = _library()
+
+
+def block_of(n_words: int) -> int:
+    """The block of a template: half its words or a little more, so that templates
+    of about one length share a group."""
+    return next((b for b in BLOCKS if 2 * b >= n_words - 1), n_words // 2) if n_words else 0
 
 
 def bands_for(similarity: float, missed: float) -> int:
@@ -192,11 +314,12 @@ def bands_for(similarity: float, missed: float) -> int:
 
 
 class _Group:
-    """Templates of one block, half their number of words, with windows for them.
+    """Templates of one block (`block_of`), with windows for them.
 
     A text's shingles are cut into blocks, and each three neighbouring blocks are
-    a window, so a stretch of a template's length lies whole in one. A window that holds the share CONTAINED of a template's n shingles,
-    among its own 3 x block at most, has a similarity of at least
+    a window, so a stretch of a template's length lies whole in one. A window that
+    holds the share CONTAINED of a template's n shingles, among its own 3 x block
+    at most, has a similarity of at least
     CONTAINED x n / (n + 3 x block - CONTAINED x n), for which the bands are made.
     """
 
@@ -260,7 +383,8 @@ class _Windows:
 
 
 def band_hashes(hashes: np.ndarray, band: int) -> np.ndarray:
-    return mixed(hashes + np.uint64(band + 1) * np.uint64(0x9E3779B97F4A7C15))
+    step = (band + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF
+    return mixed(hashes + np.uint64(step))
 
 
 def _holds(hashes: np.ndarray, run: np.ndarray) -> bool:
@@ -283,15 +407,13 @@ def _runs(phrases: Sequence[str]) -> list[np.ndarray]:
 
 
 class Scanner:
-    """All templates, by block. Templates without words are left out. `named`:
-    a match must also hold what its template needs."""
+    """All templates, by block. Templates without words are left out."""
 
-    def __init__(self, templates: Sequence[Template], named: bool = False) -> None:
+    def __init__(self, templates: Sequence[Template]) -> None:
         words = _words([t.text for t in templates])
         hashes, starts = _shingles(words)
-        needs = [_runs(t.needs) if named else [] for t in templates]
-        lengths = np.diff(words.starts)
-        blocks = np.where(lengths > 0, np.maximum(lengths // 2, 1), 0)
+        needs = [_runs(t.needs) for t in templates]
+        blocks = np.array([block_of(n) for n in np.diff(words.starts).tolist()], np.int64)
         self.names = [t.name for t in templates]
         self.groups = [
             _Group(
@@ -347,34 +469,40 @@ def _scan(shared: Broadcast):
 
 
 def license_matches(
-    docs: DataFrame, carried: Column, templates: Sequence[Template] = TEMPLATES, named: bool = False
+    docs: DataFrame, carried: Column, templates: Sequence[Template] = TEMPLATES
 ) -> DataFrame:
     """Per row of `docs`: `carried`, n_words and `matches`: windows of words
     (start, end excluded) with the license whose template they hold.
 
     Words are as for decontamination. A window matches if it holds at least the
     share CONTAINED of the template's distinct runs of two words (its one word,
-    if it has no more). In a short template that share can leave out the one word
-    that tells two licenses apart; with `named`, a window must also hold, word
-    for word, what the template needs. MinHash bands only choose which windows are compared; a
-    matching window is overlooked with probability MISSED. Null and empty texts
-    have no matches; repeated rows are scanned alike; an empty table gives no
-    rows. `templates` is a list that each task holds; texts are not shuffled.
+    if it has no more) and, word for word, what the template needs: that share
+    alone could leave out the one word that tells two licenses apart. MinHash
+    bands only choose which windows are compared; a matching window is overlooked
+    with probability MISSED. Null and empty texts have no matches; a very long text
+    is scanned whole in one task; repeated rows are scanned alike; an empty table
+    gives no rows; other columns are not read. `templates` is a list that each task
+    holds; texts are not shuffled.
     """
     rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
     schema = StructType([rows.schema["carried"], *StructType.fromDDL(MATCHES).fields])
-    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates, named))
+    shared = docs.sparkSession.sparkContext.broadcast(Scanner(templates))
     return rows.mapInArrow(_scan(shared), schema)
 
 
-def license_scan(
-    docs: DataFrame, templates: Sequence[Template] = TEMPLATES, named: bool = False
-) -> DataFrame:
-    """Per row of `docs`: doc_id, n_words, n_licenses, licenses (names, sorted, with commas)."""
+def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) -> DataFrame:
+    """Per row of `docs`: doc_id, n_words, n_licenses, licenses (names, sorted, with
+    commas). A license whose text is a part of another's (WITHIN) is not named with it."""
     names = F.array_sort(F.array_distinct("matches.license"))
-    return license_matches(docs, docs["doc_id"], templates, named).select(
-        F.col("carried").alias("doc_id"),
-        "n_words",
-        F.size(names).cast("long").alias("n_licenses"),
-        F.concat_ws(",", names).alias("licenses"),
+    for part, whole in WITHIN.items():
+        names = F.when(F.array_contains(names, whole), F.array_remove(names, part)).otherwise(names)
+    return (
+        license_matches(docs, docs["doc_id"], templates)
+        .withColumn("names", names)
+        .select(
+            F.col("carried").alias("doc_id"),
+            "n_words",
+            F.size("names").cast("long").alias("n_licenses"),
+            F.concat_ws(",", "names").alias("licenses"),
+        )
     )

@@ -8,8 +8,10 @@ import pytest
 from cartstream.llm.licenses import (
     CONTAINED,
     TEMPLATES,
+    WITHIN,
     Scanner,
     Template,
+    block_of,
     license_matches,
     license_scan,
 )
@@ -28,16 +30,27 @@ def runs(w):
     return {tuple(w[i : i + 2]) for i in range(max(len(w) - 1, 1))} if w else set()
 
 
+def pairs(w):
+    return [tuple(w[i : i + 2]) for i in range(max(len(w) - 1, 1))] if w else []
+
+
+def says(inside, phrase):
+    run = pairs(words(phrase))
+    return any(inside[i : i + len(run)] == run for i in range(len(inside)))
+
+
 def brute(text, templates):
-    w = words(text)
-    own = [tuple(w[i : i + 2]) for i in range(max(len(w) - 1, 1))] if w else []
+    own = pairs(words(text))
     found = set()
     for template in templates:
         t = words(template.text)
-        wanted, block = runs(t), max(len(t) // 2, 1)
+        wanted, block = runs(t), block_of(len(t))
         for start in range(0, len(own), block) if t else ():
-            if len(wanted & set(own[start : start + 3 * block])) >= CONTAINED * len(wanted):
-                found.add(template.name)
+            inside = own[start : start + 3 * block]
+            if len(wanted & set(inside)) >= CONTAINED * len(wanted):
+                if all(says(inside, phrase) for phrase in template.needs):
+                    found.add(template.name)
+    found -= {part for part, whole in WITHIN.items() if whole in found}
     return ",".join(sorted(found))
 
 
@@ -78,6 +91,7 @@ def test_given_documents(llm_spark, small):
 
 
 def test_spans_hold_the_notice(llm_spark):
+    assert TEMPLATES[0].name == "apache-2.0"
     rows = [(1, "a b c " + TEMPLATES[0].text + " d e f")]
     docs = docs_frame(llm_spark, rows)
     row = license_matches(docs, docs["doc_id"]).first()
@@ -97,7 +111,7 @@ def test_bands_keep_their_promise():
 def test_every_whole_notice_lies_in_a_window(llm_spark):
     rows = [
         (at, " ".join([f"w{i}" for i in range(at)] + [template.text] + ["x", "y", "z"]))
-        for at in range(25)
+        for at in range(0, 30, 3)
         for template in TEMPLATES
     ]
     result = license_scan(docs_frame(llm_spark, rows)).collect()
