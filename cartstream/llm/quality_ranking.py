@@ -189,7 +189,11 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> R
 
 
 def score(docs: DataFrame, carried: Column, ranking: Ranking) -> DataFrame:
-    """Per row of `docs`: `carried` and its score from 0 to 1. Null text: empty."""
+    """Per row of `docs`: `carried` and its score from 0 to 1.
+
+    Null text is empty; a very long one is scored whole, in one task. Repeated rows
+    are scored like others; an empty table gives no rows; other columns are not read.
+    """
     rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
     schema = StructType([rows.schema["carried"]]).add("score", "double")
 
@@ -203,5 +207,6 @@ def score(docs: DataFrame, carried: Column, ranking: Ranking) -> DataFrame:
 
 
 def accepted(docs: DataFrame, ranking: Ranking) -> DataFrame:
-    """The rows of `docs` that score at least ACCEPT, with all their columns."""
+    """The rows of `docs` that score at least ACCEPT, with all their columns, whatever
+    their names. Rows of one text stay or go together, ties of score included."""
     return score(docs, F.struct("*"), ranking).where(F.col("score") >= ACCEPT).select("carried.*")

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from cartstream.llm import quality_ranking
 from cartstream.llm.quality_ranking import WIDTH, accepted, features, fit, learn, score
 from cartstream.llm.queries import op1_quality_ranking
 from conftest import TESTDATA
@@ -63,3 +64,42 @@ def test_threshold_is_the_quantile_of_the_rejected_share():
     ranking = fit(better, worse, 1 / 3)
     below = (np.concatenate([better, worse]) @ ranking.weights < ranking.threshold).mean()
     assert abs(below - 1 / 3) < 0.02 and ranking.weights[0] > 0
+
+
+def test_fit_against_a_plain_bradley_terry_fit():
+    """The same pairs one by one, by plain gradient descent down to the minimum."""
+    rng = np.random.default_rng(5)
+    direction = rng.normal(size=WIDTH) * (np.arange(WIDTH) < 6)
+    rows = np.zeros((60, WIDTH))
+    rows[:, :6] = rng.normal(size=(60, 6))
+    strength = rows @ direction + rng.normal(size=60)
+    preferred, rejected = rows[strength > 0.5], rows[strength <= 0.5]
+    model = fit(preferred, rejected, 0.4)
+
+    centre, spread = rows.mean(axis=0), rows.std(axis=0)
+    scale = np.where(spread < 1e-9, np.inf, spread)
+    better, worse = (preferred - centre) / scale, (rejected - centre) / scale
+    pairs = [
+        (better[n * 7919 % len(better)], worse[n % len(worse)])
+        for n in range(len(worse) * quality_ranking.PAIRS_PER_ROW)
+    ]
+
+    def loss(w):
+        total = sum(np.log1p(np.exp(-(a - b) @ w)) for a, b in pairs)
+        return total / len(pairs) + quality_ranking.RIDGE / 2 * (w @ w)
+
+    w = np.zeros(WIDTH)
+    for _ in range(3000):
+        gradient = quality_ranking.RIDGE * w
+        for a, b in pairs:
+            gradient = gradient - (a - b) / (1 + np.exp((a - b) @ w)) / len(pairs)
+        w = w - 2.0 * gradient
+        if np.abs(gradient).max() < 1e-6:
+            break
+    own = model.weights * np.where(spread < 1e-9, 0, spread)
+    assert loss(own) <= loss(w) * 1.01 + 1e-4
+    expected, actual = rows @ (w / scale), rows @ model.weights
+    assert np.corrcoef(expected, actual)[0, 1] > 0.999
+    # Each class at its true share, about 0.4 of the rows lie below the threshold.
+    below = np.array([(x @ model.weights < model.threshold).mean() for x in (preferred, rejected)])
+    assert abs(below @ [0.6, 0.4] - 0.4) < 0.05
