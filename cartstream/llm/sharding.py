@@ -20,7 +20,8 @@ def shard_of(key: Column, weights: Sequence[float]) -> Column:
     Shard i scores -weight / ln(u), where u in (0, 1) is a hash of key and i, so
     it wins a share of keys as large as its share of the weights. A shard's
     score depends on no other shard: with one more shard, a key stays or moves
-    to the new one. Null is a key like any other, apart from the empty text.
+    to the new one. Null is a key like any other, apart from the empty text; of
+    equal scores the shard of the highest number wins.
     """
     if not weights or min(weights) <= 0:
         raise ValueError("each shard needs a weight above 0")

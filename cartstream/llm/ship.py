@@ -28,9 +28,14 @@ _served: set[SparkContext] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """What `--py-files` does, for sessions started without it: once per session
-    the package goes to the shared folder, and from there to the workers."""
+    the package goes to the shared folder, and from there to the workers.
+
+    Operators whose tasks run Python need it there; call this once before them, or
+    start the session with `--py-files`. A package that was itself loaded from an
+    archive has come that way already: nothing is shipped.
+    """
     context = spark.sparkContext
-    if context in _served:
+    if context in _served or not Path(cartstream.__file__).is_file():
         return
     path = context._jvm.org.apache.hadoop.fs.Path(new_run_dir(spark, "package"), "cartstream.zip")
     file = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)

@@ -27,9 +27,19 @@ MARK = np.zeros(256, bool)
 MARK[list(string.punctuation.replace("'", "").encode())] = True
 
 
+def vocabulary(name: str) -> str:
+    """The file's place on this machine: `name` is a path that all machines have, or
+    the name of a file of the installed public tokenizers."""
+    if os.path.exists(name):
+        return name
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def tokenizer_version(path: str) -> str:
     """Digest of the vocabulary file: another file never meets this one's counts."""
-    with open(path, "rb") as file:
+    with open(vocabulary(path), "rb") as file:
         return hashlib.sha256(file.read()).hexdigest()
 
 
@@ -192,4 +202,5 @@ def tokenizer(path: str) -> _JsonTokenizer | _SentencePiece:
     For byte-level BPE, texts are cut where the splitting pattern cuts them
     anyway, and each distinct piece is given to the library once per worker.
     """
+    path = vocabulary(path)
     return _SentencePiece(path) if path.endswith(".model") else _JsonTokenizer(path)
