@@ -1,20 +1,20 @@
-"""What counts of each key, kept up to date batch by batch.
+"""Log-structured tables of one row per key.
 
-A log-structured table: each batch adds a run with the keys whose row it changed,
-and FAN_IN runs of a level are merged into one of the next. A run's rows are in
-buckets by a hash of the key, as many as its size asks for, so the keys of a
-batch are looked up in the buckets they can be in and nowhere else.
+Each batch adds a run, and FAN_IN runs of a level are merged into one of the next.
+A run's rows are in buckets by a hash of the key, as many as its size asks for, so
+the keys of a batch are looked up in the buckets they can be in and nowhere else.
 
-Which runs make up the table after batch n stands in the note n, written last. A
-batch that comes again, after a crash at any point, starts from the note before
-it and leaves the same table and the same totals.
+`KeyedStore` keeps what counts of each key of a landed table. Which runs make it up
+after batch n stands in the note n, written last. A batch that comes again, after
+a crash at any point, starts from the note before it and leaves the same table and
+the same totals.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +53,82 @@ class Run:
     rows: int
 
 
+Touched = dict[int, list[int]]
+
+
+def runs_of(stored: list[dict]) -> tuple[Run, ...]:
+    return tuple(Run(**run) for run in stored)
+
+
+@dataclass(frozen=True)
+class Runs:
+    """Runs of `table`'s rows below `root`. `columns`: what is kept of a row besides
+    its key, the first ones of those that decide which row counts."""
+
+    table: str
+    columns: tuple[str, ...]
+    root: str
+
+    @property
+    def key(self) -> str:
+        return PRIMARY_KEYS[self.table]
+
+    @property
+    def schema(self) -> StructType:
+        kinds = RELATIONAL_SCHEMAS[self.table]
+        return StructType([StructField(self.key, STRING), *(kinds[name] for name in self.columns)])
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
+
+    def touched(self, keys: DataFrame, runs: Sequence[Run]) -> Touched:
+        """By number of buckets, those that `keys` are in: at most so many numbers."""
+        return {
+            n: [row[0] for row in keys.select(self.bucket(n)).distinct().collect()]
+            for n in {run.buckets for run in runs} - {1}
+        }
+
+    def rows(self, spark: SparkSession, runs: Sequence[Run], touched: Touched | None = None) -> DataFrame:
+        """All rows of `runs`, of the buckets that are touched."""
+        out = spark.createDataFrame([], self.schema)
+        schema = StructType([*self.schema.fields, StructField(BUCKET, INT)])
+        for run in runs:
+            part = spark.read.schema(schema).parquet(self.path(run.name))
+            if touched is not None and run.buckets > 1:
+                part = part.where(F.col(BUCKET).isin(touched[run.buckets]))
+            out = out.unionAll(part.drop(BUCKET))
+        return out
+
+    def read(self, spark: SparkSession, runs: Sequence[Run], touched: Touched | None = None) -> DataFrame:
+        """One row per key."""
+        return kept_rows(self.rows(spark, runs, touched), self.table, self.columns)
+
+    def write(self, rows: DataFrame, name: str, level: int, buckets: int) -> Run:
+        """`rows` may have more columns than are kept."""
+        rows = rows.withColumn(BUCKET, self.bucket(buckets))
+        rows = rows.hint("rebalance", BUCKET) if buckets > 1 else rows.hint("rebalance")
+        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(self.path(name))
+        n_rows = rows.sparkSession.read.schema(self.schema).parquet(self.path(name)).count()
+        return Run(name, level, buckets, n_rows)
+
+    def merged(self, spark: SparkSession, runs: Sequence[Run], epoch: int, newest: int = 0) -> tuple[Run, ...]:
+        """`runs` with each full level's merged into one of the next level, apart
+        from the `newest` last ones."""
+        runs, last = list(runs[: len(runs) - newest]), list(runs[len(runs) - newest :])
+        level = 0
+        while sum(run.level == level for run in runs) >= FAN_IN:
+            full = [run for run in runs if run.level == level]
+            n_rows = sum(run.rows for run in full)
+            buckets = 1 << max(-(-n_rows // BUCKET_ROWS) - 1, 0).bit_length()
+            runs = [run for run in runs if run.level != level]
+            runs.append(self.write(self.read(spark, full), f"{epoch}-{level + 1}", level + 1, buckets))
+            level += 1
+        return (*runs, *last)
+
+
 @dataclass(frozen=True)
 class Note:
     """The table after a batch. `frontier`: microseconds; all landed files older
@@ -71,20 +147,16 @@ class KeyedStore:
     root: str
 
     @property
-    def key(self) -> str:
-        return PRIMARY_KEYS[self.table]
+    def runs(self) -> Runs:
+        return Runs(self.table, STORED[self.table], f"{self.root}/runs")
 
     @property
-    def schema(self) -> StructType:
-        kinds = RELATIONAL_SCHEMAS[self.table]
-        return StructType([StructField(self.key, STRING), *(kinds[name] for name in STORED[self.table])])
+    def key(self) -> str:
+        return PRIMARY_KEYS[self.table]
 
     def totals(self, epoch: int, panel: str) -> str:
         return f"{self.root}/totals/{epoch}/{panel}"
 
-    def _run(self, name: str) -> str:
-        return f"{self.root}/runs/{name}"
-
     # Notes
 
     def _epochs(self, spark: SparkSession) -> list[int]:
@@ -97,7 +169,7 @@ class KeyedStore:
         if not epochs:
             return None
         stored = json.loads(read_text(spark, f"{self.root}/notes/{epochs[-1]}"))
-        return Note(**{**stored, "runs": tuple(Run(**run) for run in stored["runs"])})
+        return Note(**{**stored, "runs": runs_of(stored["runs"])})
 
     def finish(self, spark: SparkSession, note: Note) -> None:
         """Write a batch's note; from now on readers see the batch. Runs and
@@ -116,7 +188,7 @@ class KeyedStore:
             stored = json.loads(read_text(spark, f"{self.root}/notes/{epoch}"))
             named |= {run["name"] for run in stored["runs"]}
         for name in set(names_in(spark, f"{self.root}/runs")) - named:
-            remove(spark, self._run(name))
+            remove(spark, self.runs.path(name))
 
     # Rows
 
@@ -124,33 +196,13 @@ class KeyedStore:
         time, *others = STORED[self.table]
         return F.struct(F.col(f"{row}.{time}").isNull(), F.col(f"{row}.{time}"), *(F.col(f"{row}.{c}") for c in others))
 
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(buckets)).cast("int")
-
-    def read(self, spark: SparkSession, runs: tuple[Run, ...], touched: dict[int, list[int]] | None = None) -> DataFrame:
-        """One row per key. `touched`: by number of buckets, those to open."""
-        if not runs:
-            return spark.createDataFrame([], self.schema)
-        parts = []
-        schema = StructType([*self.schema.fields, StructField(BUCKET, INT)])
-        for run in runs:
-            rows = spark.read.schema(schema).parquet(self._run(run.name))
-            if touched is not None and run.buckets > 1:
-                rows = rows.where(F.col(BUCKET).isin(touched[run.buckets]))
-            parts.append(rows.drop(BUCKET))
-        return kept_rows(reduce(DataFrame.unionAll, parts), self.table, STORED[self.table])
-
     def changes(self, rows: DataFrame, note: Note | None) -> DataFrame:
         """Keys whose row changes when `rows` come to the table of `note`: the key,
         its `new` row and its `old` one, NULL where there was none."""
         spark, names = rows.sparkSession, STORED[self.table]
         runs = note.runs if note else ()
         best = kept_rows(rows, self.table, names)
-        touched = {}
-        for buckets in {run.buckets for run in runs} - {1}:
-            # At most `buckets` rows.
-            touched[buckets] = [r[0] for r in best.select(self._bucket(buckets)).distinct().collect()]
-        before = self.read(spark, runs, touched)
+        before = self.runs.read(spark, runs, self.runs.touched(best, runs))
         both = best.select(self.key, F.struct(*names).alias(NEW)).join(
             before.select(self.key, F.struct(*names).alias(OLD)), self.key, "left"
         )
@@ -158,32 +210,14 @@ class KeyedStore:
 
     def add(self, changes: DataFrame, epoch: int, note: Note | None) -> tuple[DataFrame, tuple[Run, ...]]:
         """Write a batch's `changes` as a run; they, read back, and the runs now.
-        When a level is full its runs are merged, their old rows left out."""
+        Merged runs leave the old rows out."""
         spark = changes.sparkSession
-        runs = list(note.runs if note else ())
+        runs = note.runs if note else ()
         buckets = max([1, *(run.buckets for run in runs)])
-        name = f"{epoch}-0"
-        flat = changes.select(self.key, f"{NEW}.*", OLD, self._bucket(buckets).alias(BUCKET))
-        self._write(flat, name, buckets)
-        written = spark.read.schema(flat.schema).parquet(self._run(name)).drop(BUCKET)
-        runs.append(Run(name, 0, buckets, written.count()))
-        level = 0
-        while sum(run.level == level for run in runs) >= FAN_IN:
-            full = tuple(run for run in runs if run.level == level)
-            n_rows = sum(run.rows for run in full)
-            buckets = 1 << max(-(-n_rows // BUCKET_ROWS) - 1, 0).bit_length()
-            name = f"{epoch}-{level + 1}"
-            merged = self.read(spark, full)
-            self._write(merged.withColumn(BUCKET, self._bucket(buckets)), name, buckets)
-            n_rows = spark.read.schema(self.schema).parquet(self._run(name)).count()
-            runs = [run for run in runs if run.level != level]
-            runs.append(Run(name, level + 1, buckets, n_rows))
-            level += 1
-        return written, tuple(runs)
-
-    def _write(self, rows: DataFrame, name: str, buckets: int) -> None:
-        rows = rows.hint("rebalance", BUCKET) if buckets > 1 else rows.hint("rebalance")
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(self._run(name))
+        flat = changes.select(self.key, f"{NEW}.*", OLD)
+        run = self.runs.write(flat, f"{epoch}-0", 0, buckets)
+        written = spark.read.schema(flat.schema).parquet(self.runs.path(run.name))
+        return written, self.runs.merged(spark, (*runs, run), epoch)
 
     def signed(self, changes: DataFrame) -> DataFrame:
         """Changed keys' rows with a `sign`: 1 for the new row, -1 for the old one.
@@ -192,5 +226,3 @@ class KeyedStore:
             changes = changes.select(self.key, f"{NEW}.*", OLD)
         old = changes.where(F.col(OLD).isNotNull()).select(self.key, f"{OLD}.*", F.lit(-1).alias("sign"))
         return changes.drop(OLD).withColumn("sign", F.lit(1)).unionByName(old)
-
-

@@ -9,21 +9,19 @@ An export is a feed of numbered batches (epochs); a batch may come again.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from hashlib import sha256
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartstream.operators.keys import kept_rows
-from cartstream.schemas import INT, PRIMARY_KEYS, RELATIONAL_SCHEMAS, STRING, struct
-
-# Folders that the rows of a keyed batch are dealt into, by a hash of the key.
-BUCKETS = 32
-
+from cartstream.schemas import INT, PRIMARY_KEYS, RELATIONAL_SCHEMAS, STRING, TOPICS, struct
+from cartstream.sources.files import names_in, read_text, remove, write_text
+from cartstream.sources.keyed import Run, Runs, runs_of
 
 @dataclass(frozen=True)
 class JdbcTable:
@@ -103,11 +101,14 @@ class JdbcTable:
 
 @dataclass(frozen=True)
 class FolderTable:
-    """Rows in a folder per feed and epoch, keyed ones in buckets below that.
+    """Rows in a folder per feed and epoch.
 
     A batch that comes again replaces its folder, so nothing is there twice. A
     key that came in several batches is settled when the table is read, by the
-    rule of `kept_rows`: how a feed was cut into batches does not matter.
+    rule of `kept_rows`: how a feed was cut into batches does not matter. Of a
+    keyed table each feed's batches are runs (`Runs`) that are merged as they get
+    many, all but the last one, which may come again; a reader that started
+    before a merge may have to start anew.
     """
 
     table: str
@@ -115,39 +116,68 @@ class FolderTable:
 
     replaces = True
 
-    def _stored(self, spark: SparkSession) -> DataFrame:
-        folders = {"feed": STRING, "epoch": INT}
-        if self.table in PRIMARY_KEYS:
-            folders["bucket"] = INT
-        schema = StructType(RELATIONAL_SCHEMAS[self.table].fields + struct(folders).fields)
-        try:
-            return spark.read.schema(schema).parquet(self.path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], schema)
+    def _runs(self, feed: str) -> Runs:
+        key, time = PRIMARY_KEYS[self.table], TOPICS[self.table].time_column
+        others = [n for n in RELATIONAL_SCHEMAS[self.table].names if n not in (key, time)]
+        return Runs(self.table, (time, *others), f"{self.path}/feed={feed}/runs")
+
+    def _notes(self, spark: SparkSession, feed: str) -> list[int]:
+        return sorted(int(n) for n in names_in(spark, f"{self.path}/feed={feed}/notes") if n.isdigit())
+
+    def _noted(self, spark: SparkSession, feed: str) -> tuple[Run, ...]:
+        """The feed's runs, as its last note says."""
+        notes = self._notes(spark, feed)
+        return runs_of(json.loads(read_text(spark, f"{self.path}/feed={feed}/notes/{notes[-1]}"))) if notes else ()
+
+    def _feeds(self, spark: SparkSession) -> list[str]:
+        return sorted(n.partition("=")[2] for n in names_in(spark, self.path) if n.startswith("feed="))
 
     def read(self, spark: SparkSession) -> DataFrame:
-        names = RELATIONAL_SCHEMAS[self.table].names
-        return kept_rows(self._stored(spark).select(*names), self.table).select(*names)
+        schema = RELATIONAL_SCHEMAS[self.table]
+        if self.table not in PRIMARY_KEYS:
+            if not self._feeds(spark):
+                return spark.createDataFrame([], schema)
+            folders = struct({"feed": STRING, "epoch": INT})
+            rows = spark.read.schema(StructType(schema.fields + folders.fields)).parquet(self.path)
+            return rows.select(*schema.names)
+        rows = spark.createDataFrame([], schema)
+        for feed in self._feeds(spark):
+            rows = rows.unionByName(self._runs(feed).rows(spark, self._noted(spark, feed)))
+        return kept_rows(rows, self.table).select(*schema.names)
 
     def stored_keys(self, keys: DataFrame, key: str, feed: str = "", epoch: int = 0) -> DataFrame:
         """Keys in the buckets that the batch's keys are in, apart from those
         that this very batch has left in an earlier run."""
-        touched = keys.where(F.col(key).isNotNull()).select(_bucket(key)).distinct()
-        buckets = [row[0] for row in touched.collect()]  # BUCKETS values at most
-        stored = self._stored(keys.sparkSession).where(F.col("bucket").isin(buckets))
-        return stored.where((F.col("feed") != feed) | (F.col("epoch") != epoch)).select(key)
+        spark = keys.sparkSession
+        keys = keys.where(F.col(key).isNotNull())
+        stored = spark.createDataFrame([], struct({key: STRING}))
+        for other in self._feeds(spark):
+            runs = self._noted(spark, other)
+            if other == _folder(feed):
+                runs = tuple(run for run in runs if run.name != f"{epoch}-0")
+            here = self._runs(other)
+            stored = stored.union(here.rows(spark, runs, here.touched(keys, runs)).select(key))
+        return stored
 
     def append(self, rows: DataFrame, feed: str = "", epoch: int = 0) -> None:
-        folder = f"{self.path}/feed={feed or 'rows'}/epoch={epoch}"
-        key = PRIMARY_KEYS.get(self.table)
-        if key is None:
-            rows.write.mode("overwrite").parquet(folder)
+        feed = _folder(feed)
+        if self.table not in PRIMARY_KEYS:
+            rows.write.mode("overwrite").parquet(f"{self.path}/feed={feed}/epoch={epoch}")
             return
-        rows = rows.withColumn("bucket", _bucket(key)).hint("rebalance", "bucket")
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(folder)
-
-
-def _bucket(key: str) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int").alias("bucket")
+        spark, here = rows.sparkSession, self._runs(feed)
+        name = f"{epoch}-0"
+        before = self._noted(spark, feed)
+        others = tuple(run for run in before if run.name != name)
+        run = here.write(rows, name, 0, max([1, *(run.buckets for run in others)]))
+        runs = here.merged(spark, (*others, run), epoch, newest=1)
+        notes = self._notes(spark, feed)
+        folder = f"{self.path}/feed={feed}/notes"
+        write_text(spark, f"{folder}/{notes[-1] + 1 if notes else 0}", json.dumps([asdict(run) for run in runs]))
+        for old in notes[:-1]:
+            remove(spark, f"{folder}/{old}")
+        for gone in set(names_in(spark, here.root)) - {run.name for run in runs}:
+            remove(spark, here.path(gone))
+
+
+def _folder(feed: str) -> str:
+    return feed or "rows"

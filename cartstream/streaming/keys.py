@@ -28,7 +28,7 @@ def panels_of(table: str) -> list[str]:
 
 def stored_totals(spark: SparkSession, store: KeyedStore, panel: str, note: Note | None) -> DataFrame:
     """A panel's totals after the batch of `note`."""
-    empty = spark.createDataFrame([], store.schema).withColumn("sign", F.lit(1))
+    empty = spark.createDataFrame([], store.runs.schema).withColumn("sign", F.lit(1))
     nothing = PANELS[panel].signed(empty)
     if note is None:
         return nothing

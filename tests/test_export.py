@@ -5,6 +5,7 @@ No database is started here. `FolderTable` stands in for the target; of
 """
 
 import datetime as dt
+import os
 from functools import reduce
 from unittest.mock import MagicMock
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from cartstream.operators.items import relational_shape
 from cartstream.operators.keys import KeyViolation, acceptable_rows, key_violations
 from cartstream.schemas import ITEM_COLUMNS, ITEMS, RELATIONAL_SCHEMAS, TABLE_SCHEMAS, USERS
-from cartstream.sources import FolderTable, JdbcTable, Lake, TextTopic
+from cartstream.sources import FolderTable, JdbcTable, Lake, TextTopic, keyed, relational
 from cartstream.streaming import AVAILABLE_NOW, start_export, start_landing
 from cartstream.streaming.ingest import export_batch
 
@@ -86,6 +87,56 @@ def test_a_key_keeps_its_earliest_row_in_any_cut(spark, folder):
         assert stored(cut, spark) == stored(whole, spark) == [("a", "x"), ("b", "v")]
 
 
+def test_batches_of_a_feed_are_merged(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed, "FAN_IN", 2)
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 4)
+    at = lambda n: dt.datetime(2025, 1, 28 - n)
+    target = FolderTable("users", f"{folder}/users")
+    expected = {}
+    for epoch in range(9):
+        rows = [(f"u{n}", f"{epoch}", at(epoch)) for n in range(epoch, epoch + 5)]
+        frame = spark.createDataFrame(rows, "user_id string, name string, registered_at timestamp_ntz")
+        blank = spark.createDataFrame([], TABLE_SCHEMAS["users"])
+        batch = blank.unionByName(frame, allowMissingColumns=True)
+        for again in range(2 if epoch % 3 == 2 else 1):  # some come twice
+            export_batch(batch, "users", target, feed="one", epoch=epoch)
+        export_batch(batch.limit(2), "users", target, feed="two", epoch=epoch)
+        expected |= {key: name for key, name, _ in rows}
+        assert stored(target, spark) == sorted(expected.items())
+    runs = target._noted(spark, "one")
+    assert len(runs) <= 5 and max(run.level for run in runs) > 1 and max(run.buckets for run in runs) > 1
+    assert runs[-1].name == "8-0"  # the last one may still come again
+    assert len(os.listdir(f"{target.path}/feed=one/runs")) == len(runs)
+    # A strict batch sees merged keys, in the buckets it can be in, but not its own.
+    keys = batch.select("user_id")
+    known = {r[0] for r in target.stored_keys(keys, "user_id", "one", 8).collect()}
+    assert {"u8", "u9", "u10", "u11"} <= known and "u12" not in known
+    strict = users(spark, ("fresh", "1"))
+    export_batch(strict, "users", target, on_violation="fail", feed="one", epoch=9)
+    with pytest.raises(KeyViolation, match="already stored"):
+        export_batch(users(spark, ("u3", "1")), "users", target, on_violation="fail", feed="one", epoch=10)
+
+
+def test_a_crash_within_a_merge_leaves_the_table(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed, "FAN_IN", 2)
+    target = FolderTable("users", f"{folder}/users")
+    for epoch in range(2):
+        export_batch(users(spark, ("a", "1"), (f"b{epoch}", "1")), "users", target, epoch=epoch)
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    for broken in ("write_text", "remove"):
+        monkeypatch.setattr(relational, broken, crash)
+        with pytest.raises(RuntimeError, match="crash"):
+            export_batch(users(spark, ("c", "1")), "users", target, epoch=2)
+        monkeypatch.undo()
+        monkeypatch.setattr(keyed, "FAN_IN", 2)
+        assert {"a", "b0", "b1"} <= {r.user_id for r in target.read(spark).collect()}
+    export_batch(users(spark, ("c", "1")), "users", target, epoch=2)
+    assert stored(target, spark) == [("a", "1"), ("b0", "1"), ("b1", "1"), ("c", "1")]
+
+
 def test_unkeyed_table_takes_every_row(spark, folder):
     target = FolderTable("clickstream", f"{folder}/clicks")
     clicks = spark.createDataFrame([(None,) * 6] * 3, TABLE_SCHEMAS["clickstream"])

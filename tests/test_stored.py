@@ -157,7 +157,7 @@ def test_a_batch_writes_what_it_changes_and_no_more(spark, folder):
     follow_batch(batch_of(spark, *rows), 1, store)
     runs = store.note(spark).runs
     assert [run.rows for run in runs] == [5000, 3]
-    stored = {r.user_id: (r.name, r.registered_at.day) for r in store.read(spark, runs).collect()}
+    stored = {r.user_id: (r.name, r.registered_at.day) for r in store.runs.read(spark, runs).collect()}
     assert len(stored) == 5001
     assert stored["u1"] == ("a", 1) and stored["u2"] == stored["u3"] == ("a", 2) and stored["u4"] == ("a", 1)
     per_day = spark.read.parquet(store.totals(1, "new_users_today"))
@@ -177,7 +177,7 @@ def test_only_the_buckets_of_a_batch_are_opened(spark, folder, monkeypatch):
     text = plan(changes)
     opened = next(line for line in text.splitlines() if "PartitionFilters" in line)
     assert "bucket" in opened and changes.count() == 1
-    read = [f for f in store.read(spark, note.runs, {32: [0]}).inputFiles()]
+    read = [f for f in store.runs.read(spark, note.runs, {32: [0]}).inputFiles()]
     assert len({f.split("/")[-2] for f in read}) == 32  # all are there
     touched = spark.read.parquet(f"{store.root}/runs/{note.runs[0].name}").where("bucket = 0").count()
     assert 0 < touched < 100
@@ -192,7 +192,7 @@ def test_old_runs_and_totals_go(spark, folder, monkeypatch):
     assert sorted(int(n) for n in names if n.isdigit()) == [8, 9, 10, 11]
     assert sorted(names_in(spark, f"{store.root}/totals")) == ["10", "11", "8", "9"]
     assert len(names_in(spark, f"{store.root}/runs")) < 10
-    assert store.read(spark, store.note(spark).runs).count() == 12
+    assert store.runs.read(spark, store.note(spark).runs).count() == 12
 
 
 def test_a_followed_lake_opens_no_history(spark, folder):
