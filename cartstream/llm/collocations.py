@@ -37,7 +37,7 @@ SHARDS = 4
 # Bytes of text that one row of a shard is made of.
 ROW_BYTES = 1 << 20
 
-# Words and pairs whose hash bucket has fewer than LEAST of them in all are never
+# Words and phrases whose hash bucket has fewer than LEAST of them in all are never
 # counted; there is a bucket for every so many words of the corpus.
 BUCKET_LOAD = 8
 
@@ -51,6 +51,7 @@ ENCODED = (
     "shard int, hashes binary, codes binary, langs array<string>, lang_of binary, "
     "n_words array<long>, words array<string>"
 )
+COUNTS = "length byte, key long, n long, start long, end long"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -129,46 +130,67 @@ def _short_keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             yield key[there]
 
 
+def _long_keys(shared: Broadcast):
+    """All longer phrases whose pairs all pass the filter."""
+
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for row in _rows(batch):
+            (pair, there), *longer = _keys(*row)[1:]
+            at = np.flatnonzero(there)
+            passed = np.zeros(len(pair), bool)
+            passed[at[shared.value.holds(pair[at])]] = True
+            ending = passed
+            for key, there in longer:
+                ending = there & passed & np.append(False, ending[:-1])
+                yield key[ending]
+
+    return keys
+
+
 def _scanner(shared: Broadcast, first_round: bool):
-    """Counts of the active phrases of a shard's rows: length, key, n."""
+    """Counts of the active phrases of a shard's rows: length, key, n, and the keys
+    of the phrase without its last and without its first word."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plausible, reached, young = shared.value
+        plausible, plausible_longer, reached, young = shared.value
         held: list[tuple[np.ndarray, ...]] = []
         n_held = 0
 
         def total():
-            length, key, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            length, key, n, *parts = (np.concatenate(x) for x in zip(*held, strict=True))
             distinct, at, of = np.unique(key, return_index=True, return_inverse=True)
-            return length[at], distinct, np.bincount(of, n, len(distinct)).astype(np.int64)
+            n = np.bincount(of, n, len(distinct)).astype(np.int64)
+            return length[at], distinct, n, *(part[at] for part in parts)
 
-        def add(length: int, keys: np.ndarray) -> int:
-            distinct, n = np.unique(keys, return_counts=True)
-            held.append((np.full(len(distinct), length, np.int8), distinct, n))
+        def add(length: int, keys: np.ndarray, start: np.ndarray, end: np.ndarray) -> int:
+            distinct, at, n = np.unique(keys, return_index=True, return_counts=True)
+            held.append((np.full(len(distinct), length, np.int8), distinct, n, start[at], end[at]))
             return len(distinct)
 
-        def batch_of(length, key, n):
-            return pa.record_batch([pa.array(length), pa.array(key), pa.array(n)], ["length", "key", "n"])
+        def batch_of(*columns):
+            return pa.record_batch([pa.array(c) for c in columns], ["length", "key", "n", "start", "end"])
 
         for batch in batches:
             for hashes, codes in _rows(batch):
                 if first_round:
                     times = np.bincount(codes, minlength=len(hashes) + 1)[1:]
-                    some = plausible.holds(hashes)
-                    held.append((np.ones(some.sum(), np.int8), hashes.view(np.int64)[some], times[some]))
-                    n_held += int(some.sum())
+                    some = plausible.holds(hashes) & (times > 0)
+                    key, none = hashes.view(np.int64)[some], np.zeros(some.sum(), np.int64)
+                    held.append((np.ones(len(key), np.int8), key, times[some], none, none))
+                    n_held += len(key)
                 known = np.append(False, reached.holds(hashes))[codes]
                 fresh = np.append(False, young.holds(hashes))[codes]
                 # Places, ending a phrase that has reached the threshold, and
                 # whether it did so less than a round ago.
-                for length, (key, there) in enumerate(_keys(hashes, codes)[1:], start=2):
+                keys = _keys(hashes, codes)
+                for length, (key, there) in enumerate(keys[1:], start=2):
                     open_ = there.copy()
                     open_[1:] &= known[1:] & known[:-1]
                     at = np.flatnonzero(open_)
-                    if length == 2:
-                        at = at[plausible.holds(key[at])]
+                    at = at[(plausible if length == 2 else plausible_longer).holds(key[at])]
                     active = at[fresh[at] | fresh[at - 1]]
-                    n_held += add(length, key[active])
+                    shorter = keys[length - 2][0]
+                    n_held += add(length, key[active], shorter[active - 1], shorter[active])
                     known, fresh = np.zeros_like(known), np.zeros_like(fresh)
                     if length < LONGEST:
                         known[at] = reached.holds(key[at])
@@ -185,49 +207,6 @@ def _scanner(shared: Broadcast, first_round: bool):
     return scan
 
 
-def _definer(shared: Broadcast):
-    """What the phrases in a filter are made of: length, key, lang, the words'
-    keys, and for each cut the keys of the first part and of the rest."""
-
-    def define(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
-        seen: set[int] = set()
-        for batch in batches:
-            for number, (hashes, codes) in enumerate(_rows(batch)):
-                keys = _keys(hashes, codes)
-                langs = np.array(batch.column("langs")[number].as_py(), object)
-                own = np.frombuffer(batch.column("lang_of")[number].as_buffer(), np.int32)
-                for length in range(2, LONGEST + 1):
-                    key, there = keys[length - 1]
-                    at = np.flatnonzero(there)
-                    at = at[wanted.holds(key[at])]
-                    distinct, where = np.unique(key[at], return_index=True)
-                    new = np.array([k not in seen for k in distinct.tolist()], bool)
-                    distinct, at = distinct[new], at[where[new]]
-                    if not len(at):
-                        continue
-                    seen.update(distinct.tolist())
-                    lists = lambda columns: pa.FixedSizeListArray.from_arrays(
-                        pa.array(np.stack(columns, axis=1).ravel()), len(columns)
-                    ).cast(pa.list_(pa.int64()))
-                    back = lambda size, j: keys[size - 1][0][at - j]  # noqa: B023, E731
-                    yield pa.record_batch(
-                        [
-                            pa.array(np.full(len(at), length, np.int8)),
-                            pa.array(distinct),
-                            pa.array(langs[own[codes[at] - 1]], pa.string()),
-                            lists([back(1, length - 1 - j) for j in range(length)]),
-                            lists([back(k, length - k) for k in range(1, length)]),
-                            lists([back(length - k, 0) for k in range(1, length)]),
-                        ],
-                        ["length", "key", "lang", "words", "first", "rest"],
-                    )
-                if len(seen) > HELD:
-                    seen.clear()
-
-    return define
-
-
 class _Steps:
     """A table in parts, one for each scan, that are read together."""
 
@@ -246,36 +225,41 @@ class _Steps:
 
 
 def _totals(counted: DataFrame, least: int) -> DataFrame:
-    """Occurrences of phrases that have `least` of them: length, key, n."""
+    """Occurrences of phrases that have `least` of them: length, key, n, start, end."""
+    parts = [F.first(part).alias(part) for part in ("start", "end")]
     return (
         counted.groupBy("length", "key", "shard")
-        .agg(F.max("n").alias("n"))
+        .agg(F.max("n").alias("n"), *parts)
         .groupBy("length", "key")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), *parts)
         .where(F.col("n") >= least)
     )
 
 
 def count_phrases(shards: DataFrame, n_shards: int, least: int) -> DataFrame:
-    """Occurrences of all words and phrases that have `least`: length, key, n."""
+    """Occurrences of all words and phrases that have `least`: length, key, n, and
+    of phrases the keys of all but the last (`start`) and all but the first word (`end`)."""
     spark = shards.sparkSession
     scanned = shards.select("shard", "hashes", "codes")
     n_words = shards.select(F.explode("n_words").alias("n")).agg(F.sum("n")).first()[0] or 0
     plausible = heavy_filter(scanned, _short_keys, least, width_for(2 * n_words / BUCKET_LOAD))
-    width = width_for(SPARE * 2 * plausible.size())
-    counted = _Steps(spark, "phrase-counts", "length byte, key long, n long, shard int")
+    pairs = spark.sparkContext.broadcast(plausible)
+    longer = heavy_filter(scanned, _long_keys(pairs), least, width_for(n_words / BUCKET_LOAD))
+    pairs.unpersist()
+    width = width_for(SPARE * (plausible.size() + longer.size()))
+    counted = _Steps(spark, "phrase-counts", f"{COUNTS}, shard int")
     reached = _Steps(spark, "phrases-reached", "key long")
     filters: list[Filter] = []  # by scan, the keys that reached the threshold in it
     while True:
         step = len(filters)
         shared = spark.sparkContext.broadcast(
-            (plausible, Filter.of(filters, width), Filter.of(filters[-n_shards:], width))
+            (plausible, longer, Filter.of(filters, width), Filter.of(filters[-n_shards:], width))
         )
         counts = (
             scanned.where(F.col("shard") == step % n_shards)
-            .mapInArrow(_scanner(shared, step < n_shards), "length byte, key long, n long")
+            .mapInArrow(_scanner(shared, step < n_shards), COUNTS)
             .groupBy("length", "key")
-            .agg(F.sum("n").alias("n"))
+            .agg(F.sum("n").alias("n"), F.first("start").alias("start"), F.first("end").alias("end"))
             .withColumn("shard", F.lit(step % n_shards))
         )
         counted.add(counts)
@@ -310,21 +294,10 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, n_shards:
     not read.
     """
     shards = _encoded(docs, n_shards)
-    spark = docs.sparkSession
     totals = written(count_phrases(shards, n_shards, least), "phrase-totals")
-    phrases = totals.where("length > 1")
-    wanted = spark.sparkContext.broadcast(key_filter(phrases, phrases.count()))
-    made_of = (
-        shards.select("hashes", "codes", "langs", "lang_of")
-        .mapInArrow(
-            _definer(wanted),
-            "length byte, key long, lang string, words array<long>, first array<long>, rest array<long>",
-        )
-        .dropDuplicates(["length", "key"])
-    )
-    phrases = written(
-        phrases.withColumnRenamed("n", "a").join(made_of, ["length", "key"]), "phrases"
-    )
+    used = totals.where("length = 2").select(F.explode(F.array("start", "end")).alias("key"))
+    words = written(_words(written(used.distinct(), "words-used"), shards), "phrase-words")
+    phrases = written(_made_of(totals, words), "phrases")
     of = totals.select(F.col("key").alias("part"), F.col("n").alias("of_part"))
     n_words = (
         shards.select(F.explode(F.arrays_zip("langs", "n_words")).alias("x"))
@@ -342,7 +315,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, n_shards:
     )
     # A longer phrase as frequent holds one of one word more that is.
     around = (
-        phrases.where("length > 2")
+        phrases.where(F.size("words") > 2)
         .select(F.explode(F.array(F.element_at("first", -1), F.element_at("rest", 1))).alias("key"), "a")
         .groupBy("key")
         .agg(F.max("a").alias("longest"))
@@ -357,7 +330,15 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, n_shards:
         place = F.rank().over(Window.partitionBy(*part).orderBy(*best))
         ranked = ranked.withColumn("place", place).where(F.col("place") <= top).drop("place")
     ranked = written(ranked, "phrases-ranked")
-    named = _named(ranked.join(phrases.select("key", "words"), "key"), shards)
+    places = ranked.join(phrases.select("key", "words"), "key").select(
+        "key", F.posexplode("words").alias("place", "part")
+    )
+    named = (
+        places.join(words.select(F.col("key").alias("part"), "word"), "part")
+        .groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
+        .select("key", F.array_join(F.col("words.word"), " ").alias("phrase"))
+    )
     place = F.row_number().over(Window.partitionBy("lang").orderBy(*best, "phrase"))
     return (
         ranked.join(named, "key")
@@ -367,27 +348,68 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, n_shards:
     )
 
 
-def _named(phrases: DataFrame, shards: DataFrame) -> DataFrame:
-    """key and phrase of the few that are reported."""
-    places = phrases.select(
-        F.col("key").alias("phrase_key"), F.posexplode("words").alias("place", "key")
-    )
-    few = written(places.select("key").distinct(), "phrase-words")
-    spark = shards.sparkSession
-    wanted = spark.sparkContext.broadcast(key_filter(few, few.count()))
+def _made_of(totals: DataFrame, words: DataFrame) -> DataFrame:
+    """Phrases with lang, words' keys, and for each cut the keys of both parts.
+
+    A phrase is the one without its last word and the last word of the one without
+    its first; its parts are that phrase, the other one, and their parts.
+    """
+    out = shorter = (
+        totals.where("length = 2")
+        .join(words.select(F.col("key").alias("start"), "lang"), "start")
+        .select(
+            "key", "lang", F.col("n").alias("a"), F.array("start", "end").alias("words"),
+            F.array("start").alias("first"), F.array("end").alias("rest"),
+        )
+    )
+    for length in range(3, LONGEST + 1):
+        start = shorter.select(F.col("key").alias("start"), "lang", "words", "first")
+        end = shorter.select(
+            F.col("key").alias("end"), F.element_at("words", -1).alias("last"), "rest"
+        )
+        shorter = (
+            totals.where(F.col("length") == length)
+            .join(start, "start")
+            .join(end, "end")
+            .select(
+                "key",
+                "lang",
+                F.col("n").alias("a"),
+                F.concat("words", F.array("last")).alias("words"),
+                F.concat("first", F.array("start")).alias("first"),
+                F.concat(F.array("end"), "rest").alias("rest"),
+            )
+        )
+        shorter = written(shorter, "phrases-of-a-length")
+        out = out.unionByName(shorter)
+    return out
+
+
+def _words(used: DataFrame, shards: DataFrame) -> DataFrame:
+    """key, lang, word of the words whose keys are in `used`."""
+    wanted = used.sparkSession.sparkContext.broadcast(key_filter(used, used.count()))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for row, (hashes, _) in enumerate(_rows(batch)):
                 at = np.flatnonzero(wanted.value.holds(hashes))
-                word = batch.column("words")[row].values.take(pa.array(at))
-                yield pa.record_batch([pa.array(hashes.view(np.int64)[at]), word], ["key", "word"])
+                at = at[[key not in seen for key in hashes[at].tolist()]]
+                seen.update(hashes[at].tolist())
+                if len(seen) > HELD:
+                    seen.clear()
+                langs = pa.array(batch.column("langs")[row].as_py(), pa.string())
+                own = np.frombuffer(batch.column("lang_of")[row].as_buffer(), np.int32)
+                yield pa.record_batch(
+                    [
+                        pa.array(hashes.view(np.int64)[at]),
+                        langs.take(pa.array(own[at])),
+                        batch.column("words")[row].values.take(pa.array(at)),
+                    ],
+                    ["key", "lang", "word"],
+                )
 
-    word = shards.select("hashes", "codes", "words").mapInArrow(words, "key long, word string")
-    word = word.groupBy("key").agg(F.min("word").alias("word"))
-    return (
-        places.join(word, "key")
-        .groupBy(F.col("phrase_key").alias("key"))
-        .agg(F.array_sort(F.collect_list(F.struct("place", "word"))).alias("words"))
-        .select("key", F.array_join(F.col("words.word"), " ").alias("phrase"))
-    )
+    found = shards.select("hashes", "codes", "langs", "lang_of", "words")
+    found = found.mapInArrow(words, "key long, lang string, word string")
+    found = found.groupBy("key").agg(F.min("lang").alias("lang"), F.min("word").alias("word"))
+    return found.join(used, "key")

@@ -22,7 +22,7 @@ SEGMENT_BITS = 16
 SPARE = 16
 
 # Distinct buckets that a task holds before it hands their counts on.
-HELD = 1 << 21
+HELD = 1 << 20
 
 PARTS = "segment long, places binary, counts binary"
 
@@ -42,6 +42,14 @@ class Filter:
             out.bits |= other.bits
         return out
 
+    @classmethod
+    def holding(cls, keys: np.ndarray) -> Filter:
+        """A filter for keys that are here."""
+        out = cls(width_for(SPARE * len(keys)))
+        at = buckets(keys, out.width)
+        np.bitwise_or.at(out.bits, at >> 3, np.uint8(128) >> (at & 7).astype(np.uint8))
+        return out
+
     def size(self) -> int:
         """Bits set: about the number of keys."""
         return int(np.bitwise_count(self.bits).sum())
@@ -62,16 +70,20 @@ def buckets(keys: np.ndarray, width: int) -> np.ndarray:
 
 def _parts(bucket: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sorted buckets and their counts, a row for each segment."""
+    if not len(bucket):
+        return
     segment = bucket >> SEGMENT_BITS
-    starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(bucket) else []
+    starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
+    bounds = list(zip(starts, [*starts[1:], len(bucket)], strict=True))
     places, counts = bucket.astype(np.uint16), count.astype(np.uint8)
-    rows = [
-        (int(segment[a]), places[a:b].tobytes(), counts[a:b].tobytes())
-        for a, b in zip(starts, [*starts[1:], len(bucket)], strict=True)
-    ]
-    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))] if rows else []
-    if rows:
-        yield pa.record_batch(columns, ["segment", "places", "counts"])
+    yield pa.record_batch(
+        [
+            pa.array(segment[starts]),
+            pa.array([places[a:b].tobytes() for a, b in bounds], pa.binary()),
+            pa.array([counts[a:b].tobytes() for a, b in bounds], pa.binary()),
+        ],
+        ["segment", "places", "counts"],
+    )
 
 
 def _summed(least: int):
