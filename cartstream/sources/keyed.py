@@ -216,7 +216,7 @@ class KeyedStore:
         buckets = max([1, *(run.buckets for run in runs)])
         flat = changes.select(self.key, f"{NEW}.*", OLD)
         run = self.runs.write(flat, f"{epoch}-0", 0, buckets)
-        written = spark.read.schema(flat.schema).parquet(self.runs.path(run.name))
+        written = spark.read.schema(flat.schema).parquet(self.runs.path(run.name)).drop(BUCKET)
         return written, self.runs.merged(spark, (*runs, run), epoch)
 
     def signed(self, changes: DataFrame) -> DataFrame:

@@ -23,6 +23,56 @@ from cartstream.schemas import INT, PRIMARY_KEYS, RELATIONAL_SCHEMAS, STRING, TO
 from cartstream.sources.files import names_in, read_text, remove, write_text
 from cartstream.sources.keyed import Run, Runs, runs_of
 
+# Of each feed and target table the last batch that is in it.
+EPOCHS = "export_epochs"
+
+
+class Database:
+    """A connection of the driver's, for the few statements that are not data."""
+
+    def __init__(self, spark: SparkSession, options: Mapping[str, str]) -> None:
+        java = spark._jvm.java
+        settings = java.util.Properties()
+        for name, value in options.items():
+            if name not in ("url", "driver"):
+                settings.setProperty(name, value)
+        if "driver" in options:
+            spark._jvm.org.apache.spark.util.Utils.classForName(options["driver"], True, True)
+        self.connection = java.sql.DriverManager.getConnection(options["url"], settings)
+        self.connection.setAutoCommit(False)
+
+    def _prepared(self, sql: str, values: tuple):
+        statement = self.connection.prepareStatement(sql)
+        for place, value in enumerate(values, start=1):
+            statement.setObject(place, value)
+        return statement
+
+    def execute(self, sql: str, *values) -> int:
+        """How many rows it has changed."""
+        statement = self._prepared(sql, values)
+        try:
+            return statement.executeUpdate()
+        finally:
+            statement.close()
+
+    def value(self, sql: str, *values):
+        """The first value of the first row, or None."""
+        statement = self._prepared(sql, values)
+        try:
+            rows = statement.executeQuery()
+            return rows.getObject(1) if rows.next() else None
+        finally:
+            statement.close()
+
+    def commit(self) -> None:
+        self.connection.commit()
+
+    def close(self) -> None:
+        """What is not committed is undone."""
+        self.connection.rollback()
+        self.connection.close()
+
+
 @dataclass(frozen=True)
 class JdbcTable:
     """`options` carry url, user, password and driver, from the caller's secrets.
@@ -30,7 +80,11 @@ class JdbcTable:
     `tasks` bounds the connections that a read, an append or a key lookup opens.
     `part` is the database's expression for which of `tasks` parts a row is in.
     Stored rows stay as they are: of a key that comes in several batches, the
-    first batch's row. A table without a key gets a repeated batch twice.
+    first batch's row.
+
+    A batch is written beside the table first, and moves into it in one
+    transaction with its feed's mark in the table EPOCHS. One that comes again, with
+    a key or without, finds the mark and adds nothing, wherever it broke off.
     """
 
     replaces = False
@@ -87,8 +141,54 @@ class JdbcTable:
             .select(F.col(key).alias(key))
         )
 
+    def stage(self, feed: str) -> str:
+        """Holds one batch of a feed on its way; overwritten by its next one."""
+        return f"{self.table}_stage_{sha256(feed.encode()).hexdigest()[:12]}"
+
+    def has(self, spark: SparkSession, feed: str, epoch: int) -> bool:
+        """Whether the batch is in the table already."""
+        database = self.connect(spark)
+        try:
+            database.execute(
+                f"CREATE TABLE IF NOT EXISTS {EPOCHS} (feed VARCHAR(200), target VARCHAR(200), "
+                "epoch BIGINT, PRIMARY KEY (feed, target))"
+            )
+            database.commit()
+            return self._is_in(database, feed, epoch)
+        finally:
+            database.close()
+
     def append(self, rows: DataFrame, feed: str = "", epoch: int = 0) -> None:
-        self._write(rows, self.table, "append")
+        if self.has(rows.sparkSession, feed, epoch):
+            return
+        database = self.connect(rows.sparkSession)
+        try:
+            self._write(rows, self.stage(feed), "overwrite")
+            # Again, in the transaction: another run of the batch may be ahead.
+            if not self._is_in(database, feed, epoch):
+                mark = (epoch, feed, self.table)
+                if not database.execute(f"UPDATE {EPOCHS} SET epoch = ? WHERE feed = ? AND target = ?", *mark):
+                    database.execute(f"INSERT INTO {EPOCHS} (epoch, feed, target) VALUES (?, ?, ?)", *mark)
+                names = ", ".join(rows.columns)
+                database.execute(
+                    f"INSERT INTO {self.table} ({names}) SELECT {names} FROM {self.stage(feed)}"
+                )
+            database.commit()
+        finally:
+            database.close()
+
+    def _is_in(self, database: Database, feed: str, epoch: int) -> bool:
+        where = (feed, self.table)
+        last = database.value(f"SELECT epoch FROM {EPOCHS} WHERE feed = ? AND target = ?", *where)
+        if last is not None and epoch < last:
+            raise ValueError(
+                f"feed {feed!r} of {self.table} starts over at batch {epoch} after {last}: "
+                "give it another name, or empty the table and take its mark away"
+            )
+        return last == epoch
+
+    def connect(self, spark: SparkSession) -> Database:
+        return Database(spark, self.options)
 
     def _write(self, rows: DataFrame, table: str, mode: str) -> None:
         (

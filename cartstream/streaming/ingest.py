@@ -90,12 +90,14 @@ def export_batch(
 ) -> None:
     """Bring one batch of landed rows to a relational table.
 
-    A keyed table takes each key once, so running a batch again adds nothing. A
+    A keyed table takes each key once. A batch that comes again adds nothing: a
     target that replaces batches (`FolderTable`) settles keys of several batches
-    itself; another one takes only keys it has not stored, and gets a repeated
-    batch twice where there is no key. `on_violation="fail"` raises instead of
-    leaving rows out. The batch is read once and kept while it is worked on.
+    itself, another one knows which batches it has, and takes only keys it has not
+    stored. `on_violation="fail"` raises instead of leaving rows out. The batch is
+    read once and kept while it is worked on.
     """
+    if not target.replaces and target.has(batch.sparkSession, feed, epoch):
+        return
     rows = relational_shape(batch, table)
     key = PRIMARY_KEYS.get(table)
     if not key:

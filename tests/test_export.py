@@ -4,6 +4,7 @@ No database is started here. `FolderTable` stands in for the target; of
 `JdbcTable` only the options it hands to Spark are checked.
 """
 
+import contextlib
 import datetime as dt
 import os
 from functools import reduce
@@ -198,17 +199,151 @@ def options_of(call):
     return call.options.call_args.kwargs
 
 
-def test_jdbc_append():
+class Double:
+    """What a database does with the statements of `JdbcTable.append`: nothing is
+    kept before a commit, and a step may fail."""
+
+    def __init__(self):
+        self.kept = {"epochs": {}, "rows": []}
+        self.stages, self.now, self.fail_at, self.steps = {}, None, None, 0
+
+    def step(self):
+        self.steps += 1
+        if self.steps == self.fail_at:
+            raise RuntimeError("crash")
+
+    def open(self, _=None):
+        self.now = {"epochs": dict(self.kept["epochs"]), "rows": list(self.kept["rows"])}
+        return self
+
+    def execute(self, sql, *values):
+        self.step()
+        if sql.startswith("CREATE TABLE IF NOT EXISTS export_epochs"):
+            return 0
+        if sql.startswith("UPDATE export_epochs"):
+            epoch, *key = values
+            there = tuple(key) in self.now["epochs"]
+            if there:
+                self.now["epochs"][tuple(key)] = epoch
+            return int(there)
+        if sql.startswith("INSERT INTO export_epochs"):
+            epoch, *key = values
+            self.now["epochs"][tuple(key)] = epoch
+            return 1
+        target, stage = sql.split()[2], sql.split()[-1]
+        assert sql.startswith("INSERT INTO") and target == "clickstream"
+        self.now["rows"] += self.stages[stage]
+        return len(self.stages[stage])
+
+    def value(self, sql, *values):
+        self.step()
+        assert sql.startswith("SELECT epoch FROM export_epochs")
+        return self.now["epochs"].get(tuple(values))
+
+    def commit(self):
+        self.step()
+        self.kept, self.now = self.now, None
+        self.open()
+
+    def close(self):
+        self.now = None
+
+    def write(self, rows, stage, mode):
+        self.step()
+        assert mode == "overwrite"
+        self.stages[stage] = [row.page for row in rows.collect()]
+
+
+def into(double, monkeypatch):
+    monkeypatch.setattr(JdbcTable, "connect", lambda self, spark: double.open())
+    monkeypatch.setattr(JdbcTable, "_write", lambda self, rows, table, mode: double.write(rows, table, mode))
+    return JdbcTable("clickstream", {"url": "jdbc:x"})
+
+
+def clicks_of(spark, *pages):
+    return spark.createDataFrame([(page,) for page in pages], "page string")
+
+
+def test_a_batch_is_in_a_database_once_wherever_it_broke_off(spark, monkeypatch):
+    batches = [clicks_of(spark, "a", "a"), clicks_of(spark, "b"), clicks_of(spark)]
+    double = Double()
+    target = into(double, monkeypatch)
+    target.append(batches[0], "feed", 0)
+    n_steps = double.steps
+    for fail_at in range(1, n_steps + 1):
+        double = Double()
+        target = into(double, monkeypatch)
+        for epoch, batch in enumerate(batches):
+            double.steps, double.fail_at = 0, fail_at
+            with contextlib.suppress(RuntimeError):  # later batches have a step less
+                target.append(batch, "feed", epoch)
+            assert double.steps == fail_at or epoch
+            double.fail_at = None
+            target.append(batch, "feed", epoch)
+            target.append(batch, "feed", epoch)  # and once more
+        assert double.kept["rows"] == ["a", "a", "b"], fail_at
+        assert double.kept["epochs"] == {("feed", "clickstream"): 2}
+
+
+def test_a_strict_batch_that_is_in_a_database_comes_again(spark, monkeypatch):
+    """Its own keys are stored by then; that is no violation."""
+    double = Double()
+    into(double, monkeypatch)
+    target = JdbcTable("users", {"url": "jdbc:x"})
+    monkeypatch.setattr(JdbcTable, "stored_keys", lambda *_: users(spark).select("user_id"))
+
+    def append(self, rows, feed, epoch):
+        double.open().execute("INSERT INTO export_epochs", epoch, feed, "users")
+        double.commit()
+
+    monkeypatch.setattr(JdbcTable, "append", append)
+    export_batch(users(spark, ("a", "1")), "users", target, on_violation="fail", feed="f", epoch=3)
+    monkeypatch.setattr(JdbcTable, "stored_keys", lambda *_: users(spark, ("a", "1")).select("user_id"))
+    export_batch(users(spark, ("a", "1")), "users", target, on_violation="fail", feed="f", epoch=3)
+    with pytest.raises(KeyViolation):
+        export_batch(users(spark, ("a", "1")), "users", target, on_violation="fail", feed="f", epoch=4)
+
+
+def test_feeds_of_a_database_are_apart_and_do_not_start_over(spark, monkeypatch):
+    double = Double()
+    target = into(double, monkeypatch)
+    for feed in ("one", "two"):
+        for epoch in range(2):
+            target.append(clicks_of(spark, f"{feed}{epoch}"), feed, epoch)
+    assert double.kept["rows"] == ["one0", "one1", "two0", "two1"]
+    with pytest.raises(ValueError, match="starts over"):
+        target.append(clicks_of(spark, "x"), "one", 0)
+    assert len(double.stages) == 2 and len(double.kept["rows"]) == 4
+
+
+def test_jdbc_write():
     options = {"url": "jdbc:postgresql://db/shop", "user": "u", "password": "secret"}
     table = JdbcTable("users", options)
     assert "secret" not in repr(table)
 
     rows = MagicMock()
-    table.append(rows)
+    table._write(rows, table.stage("feed"), "overwrite")
     rows.write.format.assert_called_once_with("jdbc")
     sent = options_of(rows.write.format.return_value)
-    assert sent == {**options, "dbtable": "users", "numPartitions": "16"}
-    rows.write.format.return_value.options.return_value.mode.assert_called_once_with("append")
+    assert sent == {**options, "dbtable": table.stage("feed"), "numPartitions": "16"}
+    rows.write.format.return_value.options.return_value.mode.assert_called_once_with("overwrite")
+
+
+def test_a_connection_undoes_what_is_not_committed():
+    from cartstream.sources.relational import Database
+
+    spark = MagicMock()
+    database = Database(spark, {"url": "jdbc:x", "user": "u", "driver": "d.Driver"})
+    connection = spark._jvm.java.sql.DriverManager.getConnection.return_value
+    connection.setAutoCommit.assert_called_once_with(False)
+    spark._jvm.java.util.Properties.return_value.setProperty.assert_called_once_with("user", "u")
+    database.execute("UPDATE t SET a = ? WHERE b = ?", 1, "x")
+    statement = connection.prepareStatement.return_value
+    assert [c.args for c in statement.setObject.call_args_list] == [(1, 1), (2, "x")]
+    statement.executeQuery.return_value.next.return_value = False
+    assert database.value("SELECT a FROM t") is None
+    database.close()
+    assert connection.rollback.called and connection.close.called and not connection.commit.called
 
 
 def test_jdbc_key_lookup_stays_in_the_database(spark):

@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from cartstream.functions import order_total
 from cartstream.operators.items import transaction_items
 from cartstream.operators.parse import MALFORMED, parsed_table
-from cartstream.schemas import CLICKSTREAM, ITEMS, TABLE_SCHEMAS, TRANSACTIONS, USERS
+from cartstream.schemas import CLICKSTREAM, ITEMS, TABLE_SCHEMAS, TOPICS, TRANSACTIONS, USERS
 from cartstream.sinks import compact, compact_closed, to_messages
-from cartstream.sources import Lake, TextTopic, read_quarantine, read_table, stream_table
+from cartstream.sources import FolderTable, Lake, TextTopic, read_quarantine, read_table, stream_table
 from cartstream.streaming import (
     AVAILABLE_NOW,
     StreamsFailed,
+    read_live,
+    start_export,
     start_items,
+    start_keys,
     start_landing,
+    start_live,
     supervise,
 )
 
@@ -314,3 +318,93 @@ def test_young_files_stay_where_they_are(spark, run):
     compact_closed(spark, run.lake, "transactions", dt.date(2030, 1, 1))
     assert run.counts() == before
     assert "/compacted/" not in str(read_table(spark, run.lake, "transactions").inputFiles())
+
+
+class Crash(RuntimeError):
+    pass
+
+
+def _crashing_once(monkeypatch, owner, name, after):
+    """`owner.name` fails at its first call, before or after its work."""
+    work, calls = getattr(owner, name), []
+
+    def broken(*args, **kwargs):
+        calls.append(name)
+        if len(calls) == 1 and not after:
+            raise Crash(name)
+        result = work(*args, **kwargs)
+        if len(calls) == 1:
+            raise Crash(name)
+        return result
+
+    monkeypatch.setattr(owner, name, broken)
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_a_live_panel_survives_a_crash_within_a_batch(spark, folder, monkeypatch, after):
+    """Before a slot is written, and between that and the end of the batch."""
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    writer = type(spark.range(1).write)
+
+    def go():
+        start_landing(spark, CLICKSTREAM, TextTopic(topic), lake, AVAILABLE_NOW).awaitTermination()
+        start_live(spark, lake, "top_pages", AVAILABLE_NOW, 1).awaitTermination()
+        return [tuple(r) for r in read_live(spark, lake, "top_pages").collect()]
+
+    send(topic, "one", [{"page": "/a"}] * 3)
+    assert go() == [("/a", 3)]
+    send(topic, "two", [{"page": "/b"}] * 5)
+    _crashing_once(monkeypatch, writer, "parquet", after)
+    with pytest.raises(StreamingQueryException, match="Crash"):
+        go()
+    monkeypatch.undo()
+    shown = [tuple(r) for r in read_live(spark, lake, "top_pages").collect()]
+    assert shown == ([("/b", 5), ("/a", 3)] if after else [("/a", 3)])
+    assert go() == [("/b", 5), ("/a", 3)]
+
+
+@pytest.mark.parametrize("table", ["clickstream", "users"])
+@pytest.mark.parametrize("after", [False, True])
+def test_an_export_survives_a_crash_within_a_batch(spark, folder, monkeypatch, table, after):
+    lake, topic = Lake(f"{folder}/lake"), f"{folder}/topic"
+    target = FolderTable(table, f"{folder}/out")
+    key = "user_id"
+
+    def go():
+        start_landing(spark, TOPICS[table], TextTopic(topic), lake, AVAILABLE_NOW).awaitTermination()
+        start_export(spark, lake, table, target, AVAILABLE_NOW, files_per_batch=1).awaitTermination()
+        return sorted(r[key] for r in target.read(spark).collect())
+
+    send(topic, "one", [{key: "a"}, {key: "b"}])
+    assert go() == ["a", "b"]
+    send(topic, "two", [{key: "b"}, {key: "c"}])
+    _crashing_once(monkeypatch, FolderTable, "append", after)
+    with pytest.raises(StreamingQueryException, match="Crash"):
+        go()
+    monkeypatch.undo()
+    assert go() == (["a", "b", "c"] if table == "users" else ["a", "b", "b", "c"])
+
+
+@pytest.mark.parametrize("query", ["land_transactions", f"land_{ITEMS}", "live_top_categories", "keys_transactions"])
+def test_every_stream_may_lose_the_note_of_its_last_batch(spark, run, query):
+    """As after a crash between the batch's work and the note that it is done."""
+
+    def go():
+        counts = run.go()
+        start_live(spark, run.lake, "top_categories", AVAILABLE_NOW, 1).awaitTermination()
+        start_keys(spark, run.lake, "transactions", AVAILABLE_NOW, 1).awaitTermination()
+        shown = read_live(spark, run.lake, "top_categories").collect()
+        paid = read_live(spark, run.lake, "revenue_today", dt.date(2025, 1, 1)).collect()
+        return counts, shown, paid
+
+    before = go()
+    commits = run.lake.checkpoint(query) + "/commits"
+    last = max(int(name) for name in os.listdir(commits) if name.isdigit())
+    aside = run.lake.checkpoint(query) + "-aside"
+    os.makedirs(aside)
+    for name in (str(last), f".{last}.crc"):
+        os.rename(f"{commits}/{name}", f"{aside}/{name}")
+    assert go() == before
+    send(run.topic, "three", [transaction(n) for n in range(20, 25)])
+    counts, _, _ = go()
+    assert counts == (25, 50)
