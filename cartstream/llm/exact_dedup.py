@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from cartstream.llm.tables import keep_rows, text_of, written
 
 # A digest with more than 1/HEAVY of all rows is a heavy hitter, so there are
-# fewer than HEAVY of them, whatever the table's size.
+# fewer than HEAVY of them, whatever the table's size. With more shuffle partitions
+# than this there may be one for each: no light digest is more than a task's share.
 HEAVY = 1000
 
-# Counters of the frequent-items sketch (Misra-Gries): its error is at most
-# rows / TRACKED, a quarter of what makes a digest heavy.
-TRACKED = 4 * HEAVY
+# Counters of the frequent-items sketch (Misra-Gries) for each heavy hitter there
+# may be: its error is at most a quarter of what makes a digest heavy.
+TRACKED = 4
 
 # Tasks that merge the sketches of the scan's tasks, before one merges theirs.
 MERGERS = 64
@@ -30,17 +31,19 @@ def digest_of(docs: DataFrame) -> Column:
 
 def _frequent(rows: DataFrame) -> DataFrame:
     """The digests that may be heavy: all that are, and few others."""
+    heavy = max(HEAVY, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tracked = TRACKED * heavy
     sketches = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("merger")).agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(digest, {TRACKED})").alias("sketch")
+        F.count("*").alias("n"), F.expr(f"approx_top_k_accumulate(digest, {tracked})").alias("sketch")
     )
     # Grouped by a constant, since an empty table has no sketches to combine.
     merged = sketches.groupBy(F.lit("all")).agg(
-        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")
+        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch")
     )
-    top = F.explode(F.expr(f"approx_top_k_estimate(sketch, {HEAVY})"))
+    top = F.explode(F.expr(f"approx_top_k_estimate(sketch, {heavy})"))
     return (
         merged.select("n", top.alias("top"))
-        .where(F.col("top.count") * HEAVY > F.col("n"))
+        .where(F.col("top.count") * heavy > F.col("n"))
         .select(F.col("top.item").alias("digest"))
     )
 
@@ -100,17 +103,15 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns; see `exact_groups`."""
     per_text = ["doc_id", "text_sha256", "shorter"]
-    kept = written(
+    rows = written(
         exact_groups(docs)
         .groupBy(*per_text)
-        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies"))
-        .where("kept")
-        .select(*per_text, "copies"),
-        "kept-rows",
+        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies")),
+        "settled-rows",
     )
     key = {
         "doc_id": docs["doc_id"],
         "text_sha256": digest_of(docs),
         "shorter": -F.length(text_of(docs)),
     }
-    return keep_rows(docs, key, kept)
+    return keep_rows(docs, key, rows.where("kept"), rows.where("not kept"))

@@ -335,6 +335,8 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     members that are both unlike their centre is not lost. Every link is
     confirmed on the full sets.
     """
+    if not 80 <= percent <= 100:
+        raise ValueError(f"links are found from 80 percent on, not from {percent}")
     text = text_of(docs)
     signed = written(
         docs.select(
@@ -387,19 +389,25 @@ def near_groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 def near_dedup(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay, with all their columns: of each component
     the row with the smallest doc_id, and all rows without words."""
+    per_text = ["doc_id", "text_key"]
     rows = written(
         near_groups(docs, words, percent)
-        .where("kept")
-        .groupBy("component", "doc_id", "text_key")
-        .agg(F.count("*").alias("copies")),
-        "kept-rows",
+        .groupBy("component", *per_text)
+        .agg(F.max("kept").alias("kept"), F.count("*").alias("copies")),
+        "settled-rows",
     )
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key", "copies")).alias("first")
-    winners = rows.where("component is not null").groupBy("component").agg(first).select(
-        "first.doc_id", "first.text_key", "first.copies"
+    winners = (
+        rows.where("component is not null and kept")
+        .groupBy("component")
+        .agg(first)
+        .select("first.doc_id", "first.text_key", "first.copies")
     )
     wordless = rows.where("component is null").select(
-        "doc_id", "text_key", F.lit(1).cast("long").alias("copies")
+        *per_text, F.lit(1).cast("long").alias("copies")
     )
+    kept = written(winners.unionByName(wordless), "kept-rows")
+    others = rows.select(*per_text).distinct()
+    same = [others[c].eqNullSafe(kept[c]) for c in per_text]
     key = {"doc_id": docs["doc_id"].cast("long"), "text_key": F.xxhash64(text_of(docs))}
-    return keep_rows(docs, key, winners.unionByName(wordless))
+    return keep_rows(docs, key, kept, others.join(kept, same, "left_anti"))

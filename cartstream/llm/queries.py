@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,14 +12,14 @@ from cartstream.llm.decontaminate import contamination
 from cartstream.llm.exact_dedup import exact_groups
 from cartstream.llm.language_id import identify, learn_languages
 from cartstream.llm.licenses import license_scan
-from cartstream.llm.link_graph import DAMPING, LINK, MARGIN, STEPS, Rule, judge_pages
+from cartstream.llm.link_graph import DAMPING, LINK, MARGIN, Rule, judge_pages
 from cartstream.llm.minhash import near_groups
 from cartstream.llm.packing import pack_documents
 from cartstream.llm.quality_ranking import ACCEPT, learn, score
 from cartstream.llm.runs import echoed, word_runs
 from cartstream.llm.sharding import assign_shards
 from cartstream.llm.ship import ship_package
-from cartstream.llm.suffix_tree import grow_tree, score_texts
+from cartstream.llm.suffix_tree import encode_texts, grow_tree, score_texts
 from cartstream.llm.token_cache import token_counts
 from cartstream.session import new_run_dir
 
@@ -52,8 +51,8 @@ def op1_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
 def op2_suffix_tree(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     held_out = F.coalesce(fold(F.col("doc_id"), 7), F.lit(0)) == 2
-    tree, words = grow_tree(docs.where(~held_out))
-    scores = score_texts(docs, docs["doc_id"], tree, words).withColumnRenamed("carried", "doc_id")
+    texts = encode_texts(docs, docs["doc_id"], ~held_out)
+    scores = score_texts(texts, grow_tree(texts)).withColumnRenamed("carried", "doc_id")
     return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
 
 
@@ -81,19 +80,20 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_token_cache(spark: SparkSession, folder: str) -> DataFrame:
-    return token_counts(
-        _table(spark, folder, "documents"),
-        public_tokenizers.path(TOKENIZER),
-        new_run_dir(spark, "token-cache"),
-    )
+    """Counts of all documents, with a cache that an earlier call on some of them
+    has filled in part: contents are hits, copies of hits, and misses."""
+    docs, cache = _table(spark, folder, "documents"), new_run_dir(spark, "token-cache")
+    earlier = docs.where(F.coalesce(fold(F.col("doc_id"), 4), F.lit(0)) == 0)
+    token_counts(earlier, TOKENIZER, cache)
+    return token_counts(docs, TOKENIZER, cache)
 
 
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return pack_documents(_table(spark, folder, "documents"), TOKENIZER)
 
 
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan(_table(spark, folder, "documents"), named=True)
+    return license_scan(_table(spark, folder, "documents"))
 
 
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -164,8 +164,12 @@ def queries() -> dict[str, Query]:
     }
 
 
+# Steps after which ranks move by no more than 0.5^40 of the seeds.
+SQL_STEPS = 40
+
+
 def _links_sql() -> str:
-    """The ranks step by step, one table expression each."""
+    """The ranks step by step, one table expression each, until they stand still."""
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
     link = LINK.replace("'", "''")
@@ -179,7 +183,7 @@ def _links_sql() -> str:
                     FROM edges e JOIN r{i - 1} r ON r.kind = e.kind AND r.node = e.src
                 ) GROUP BY kind, node
             ),"""
-        for i in range(1, STEPS + 1)
+        for i in range(1, SQL_STEPS + 1)
     )
     return rf"""
         WITH rest AS (
@@ -206,29 +210,33 @@ def _links_sql() -> str:
             FROM (SELECT host, unnest(regexp_extract_all(html, '{link}', 1)) AS target FROM parts)
             WHERE host != '' AND target != '' AND host != {lower.format("target")}
         ), hosts AS (
-            SELECT host FROM parts WHERE host != '' UNION SELECT dst FROM linked
+            SELECT host, string_split(host, '.') AS l FROM (
+                SELECT host FROM parts WHERE host != '' UNION SELECT dst FROM linked
+            )
         ), site AS (
-            SELECT s.host AS sub, h.host AS host FROM hosts s JOIN hosts h
-              ON h.host = substr(s.host, instr(s.host, '.') + 1) WHERE contains(s.host, '.')
+            SELECT DISTINCT array_to_string(l[i:], '.') AS sub, array_to_string(l[i + 1:], '.') AS host
+            FROM (SELECT l, unnest(range(1, len(l) - 1)) AS i FROM hosts)
         ), links AS (
             SELECT src, dst FROM linked UNION SELECT sub, host FROM site UNION SELECT host, sub FROM site
-        ), edges AS (
-            SELECT kind, src, dst, {DAMPING} / count(*) OVER (PARTITION BY kind, src) AS share FROM (
-                SELECT 'allow' AS kind, src, dst FROM links UNION ALL SELECT 'block', dst, src FROM links
-            )
         ), net AS (
             SELECT host AS node, avg(CASE verdict WHEN 'allow' THEN 1.0 WHEN 'block' THEN -1.0 ELSE 0.0 END) AS net
             FROM parts LEFT JOIN judged USING (n) WHERE host != '' GROUP BY host
         ), r0 AS (
-            SELECT kind, node, value / sum(value) OVER (PARTITION BY kind) AS value FROM (
-                SELECT CASE WHEN net > 0 THEN 'allow' ELSE 'block' END AS kind, node, abs(net) AS value
-                FROM net WHERE net != 0
+            SELECT CASE WHEN net > 0 THEN 'allow' ELSE 'block' END AS kind, node, abs(net) AS value
+            FROM net WHERE net != 0
+        ), ways AS (
+            SELECT 'allow' AS kind, src, dst FROM links UNION ALL SELECT 'block', dst, src FROM links
+        ), ends AS (
+            SELECT kind, node FROM r0 UNION SELECT kind, dst FROM ways
+            EXCEPT SELECT kind, src FROM ways
+        ), edges AS (
+            SELECT kind, src, dst, {DAMPING} / count(*) OVER (PARTITION BY kind, src) AS share FROM (
+                SELECT * FROM ways UNION ALL SELECT kind, node, node FROM ends
             )
         ),{steps}
         blocked AS (
-            SELECT node AS host FROM r{STEPS} GROUP BY node
-            HAVING sum(CASE kind WHEN 'block' THEN value ELSE -value END)
-                   > {MARGIN} / (SELECT count(DISTINCT host) FROM parts WHERE host != '')
+            SELECT node AS host FROM r{SQL_STEPS} GROUP BY node
+            HAVING sum(CASE kind WHEN 'block' THEN value ELSE -value END) > {MARGIN}
         )
         SELECT page_id, p.host, path, rule,
                coalesce(verdict, CASE WHEN b.host IS NULL THEN 'allow' ELSE 'block' END) AS verdict

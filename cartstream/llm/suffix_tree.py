@@ -7,38 +7,39 @@ by the longest state that ends before each word.
 All counts are taken over all training texts, in passes that count sequences one
 word longer each time. A sequence of fewer than MIN_COUNT occurrences has no
 probability of its own (the next shorter context's stands in for it), whatever
-the corpus. So the tree grows with the corpus and stays in tables.
+the corpus. So the tree grows with the corpus and stays in tables. Most sequences
+occur once or twice: a pass over their hashes, which are shuffled as a few bytes
+each, says which cannot reach MIN_COUNT, and only the others become rows.
 
 A state's suffixes are states, so the log probability of a word is that of the
 word by itself plus, for each state that ends before it, the state's weight and,
 if the word is known there, a fixed correction. Each is a value of one sequence:
-a text's score is the sum of the values of its sequences, which it meets in a
-join. The most frequent sequences are broadcast instead; that saves rows in the
-join and changes no score.
+a text's score is the sum of the values of its sequences. It meets them by hash
+range: the texts' sequences and the tree's are dealt into the same segments, the
+texts' as packed arrays. The most frequent sequences are broadcast instead; that
+saves shuffling and changes no score.
+
+Texts are split once, into tables of word numbers that all passes read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
 from itertools import islice
 from math import ceil, log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartstream.llm.filters import Filter, heavy_filter, key_filter, width_for
 from cartstream.llm.tables import text_of, written
-from cartstream.llm.text import (
-    mixed,
-    slices,
-    split_words,
-    white_space_table,
-    word_hash,
-)
+from cartstream.llm.text import slices, split_words, white_space_table, word_hash
+from cartstream.session import new_run_dir
+from cartstream.sources.files import remove
 
 MAX_CONTEXT = 3
 
@@ -46,14 +47,9 @@ MAX_CONTEXT = 3
 MIN_COUNT = 3
 
 # Words and sequences of this share of all tokens are broadcast to the scorers, at
-# most 1 / MIN_SHARE of each length; all others meet the texts in a join.
+# most 1 / MIN_SHARE of each length; all others meet the texts segment by segment.
 MIN_SHARE = 5e-7
 
-# log2 of the bits of a filter. Keys that it lets through by mistake cost a row in
-# a shuffle and are dropped there.
-FILTER_BITS = 28
-SEGMENT_BITS = 18
-
 # Multiplies a context's key; the next word's hash is added.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,27 +65,33 @@ END = word_hash(b" ")
 # Distinct sequences that a task counts before it hands them on.
 HELD = 1 << 20
 
+# Bytes of text in one row of the table of word numbers.
+ROW_BYTES = 4 << 20
 
-@dataclass
-class Level:
-    """Sequences of k + 1 words in one place: `keys` are (context's number << 32 |
-    word's number), sorted; by context, whether it is a `state`."""
+# Tokens that a task goes through: the fewer tasks count a sequence, the fewer
+# rows are shuffled.
+TASK_TOKENS = 1 << 23
 
-    keys: np.ndarray
-    state: np.ndarray
+# Hash buckets for each token in which sequences are counted first.
+BUCKETS_PER_TOKEN = 2
+
+# Segments in which texts and tree meet: one for so many words and sequences of the
+# tree, at least a few.
+SEGMENT_ROWS = 1 << 21
+LEAST_SEGMENTS = 16
+
+ENCODED = "row long, hashes binary, codes binary, starts binary, training binary, carried array<{}>"
 
 
 @dataclass
 class Tree:
-    """`sequences` has a table for each length from 2: key, context, last, suffix,
-    n, chance, parent, weight (the context's). `contexts` has the one of their
-    contexts: key, n, suffix, weight, state. `values`: key, n, value."""
+    """`words`: key, n of all words. `states` has a table for each length of contexts
+    that are states: key, suffix, n, weight. `values`: key, n, value."""
 
     words: DataFrame
     n_tokens: int
     n_words: int
-    sequences: list[DataFrame] = field(default_factory=list)
-    contexts: list[DataFrame] = field(default_factory=list)
+    states: list[DataFrame] = field(default_factory=list)
     values: DataFrame | None = None
 
     @property
@@ -101,58 +103,6 @@ class Tree:
         """Occurrences of a sequence that is broadcast."""
         return max(MIN_COUNT, ceil(MIN_SHARE * self.n_tokens))
 
-    # A small tree in the driver, to look at. Texts are not scored by it.
-
-    @cached_property
-    def _hashes(self) -> np.ndarray:
-        rows = self.words.where(F.col("n") >= MIN_COUNT).orderBy("key").select("key").toArrow()
-        return rows["key"].to_numpy()
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        return _find(self._hashes, hashes)
-
-    @cached_property
-    def levels(self) -> list[Level]:
-        out, below = [], self._hashes
-        places = np.arange(len(below))
-        for sequences, contexts in zip(self.sequences, self.contexts, strict=True):
-            rows = sequences.select("key", "context", "last").orderBy("key").toArrow()
-            key, context, last = (rows[c].to_numpy() for c in ("key", "context", "last"))
-            keys = places[_find(below, context)] << 32 | self.numbers(last)
-            state = np.zeros(len(below), bool)
-            states = contexts.where("state").select("key").toArrow()["key"].to_numpy()
-            state[places[_find(below, states)]] = True
-            below, places = key, np.argsort(np.argsort(keys))
-            out.append(Level(np.sort(keys), state))
-        return out
-
-    def chances(self, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 of each place's probability, apart from that of the word by
-        itself, and whether that is still to be added: always."""
-        known, value = self._known
-        hashes = np.where(words >= 0, np.append(self._hashes, 0)[words], word_hash(b" unseen "))
-        # A context's weight counts where the next word stands, a correction at its own.
-        last, result = self._weights, np.zeros(len(words))
-        for key, ok in sequence_keys(hashes, first):
-            at = np.flatnonzero(ok)
-            found = _find(known, key[at])
-            total = np.where(found >= 0, np.append(value, 0.0)[found], 0.0)
-            weight = np.array([last.get(k, 0.0) for k in key[at].tolist()])
-            result[at] += total - weight
-            after = (at + 1 < len(words)) & ~np.append(first, True)[at + 1]
-            result[at[after] + 1] += weight[after]
-        return result, np.ones(len(words), bool)
-
-    @cached_property
-    def _known(self) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.values.orderBy("key").toArrow()
-        return rows["key"].to_numpy(), rows["value"].to_numpy()
-
-    @cached_property
-    def _weights(self) -> dict[int, float]:
-        rows = [r for c in self.contexts for r in c.where("state").select("key", "weight").collect()]
-        return {r.key: log10(r.weight) for r in rows}
-
 
 def sequence_keys(hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each length from 1 the key of the sequence that ends at each place, and
@@ -168,53 +118,6 @@ def sequence_keys(hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple[np.nd
         ok[:1] = False
 
 
-def _bits(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys.view(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-class Filter:
-    """Keys that may be in a set: one bit for each key's hash, of a fixed size."""
-
-    def __init__(self, keys: DataFrame) -> None:
-        segment = F.shiftright("bit", SEGMENT_BITS)
-        rows = (
-            keys.select("key")
-            .mapInArrow(_bit_places, "bit long")
-            .withColumn("segment", segment)
-            .repartition("segment")
-            .mapInArrow(_segments, "segment long, bits binary")
-        )
-        self.bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-        width = 1 << (SEGMENT_BITS - 3)
-        for row in rows.toArrow().to_pylist():
-            part = self.bits[row["segment"] * width : (row["segment"] + 1) * width]
-            part |= np.frombuffer(row["bits"], np.uint8)
-
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        at = _bits(keys)
-        return (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-
-
-def _bit_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield pa.record_batch([pa.array(_bits(batch.column("key").to_numpy()))], ["bit"])
-
-
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[int, np.ndarray] = {}
-    width = 1 << (SEGMENT_BITS - 3)
-    for batch in batches:
-        bit = np.sort(batch.column("bit").to_numpy())
-        segment = bit >> SEGMENT_BITS
-        starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(bit) else []
-        for a, b in zip(starts, [*starts[1:], len(bit)], strict=True):
-            part = held.setdefault(int(segment[a]), np.zeros(width, np.uint8))
-            inside = bit[a:b] & ((1 << SEGMENT_BITS) - 1)
-            np.bitwise_or.at(part, inside >> 3, np.uint8(1) << (inside & 7).astype(np.uint8))
-    for segment, part in held.items():
-        yield pa.record_batch([pa.array([segment]), pa.array([part.tobytes()])], ["segment", "bits"])
-
-
 def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Places in sorted `keys`, -1 for what is not there."""
     if not len(keys):
@@ -223,13 +126,61 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[at] == wanted, at, -1)
 
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the distinct tokens; all texts' tokens as places in them, an END
-    after each text; and where texts start."""
-    words = split_words(texts, white_space_table())
-    hashes = np.append(words.hashes(), END)
-    codes = np.insert(words.codes.astype(np.int64), words.starts[1:], len(hashes) - 1)
-    return hashes, codes, words.starts + np.arange(len(words.starts))
+def _encoder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the texts' tokens: places in `hashes`, an END after each text;
+    where texts start, and last the end; whether each is learnt from."""
+    row = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part in slices(batch, "text", limit=ROW_BYTES):
+            words = split_words(part.column("text"), white_space_table())
+            hashes = np.append(words.hashes(), END)
+            codes = np.insert(words.codes.astype(np.int32), words.starts[1:], len(hashes) - 1)
+            starts = words.starts + np.arange(len(words.starts))
+            training = part.column("training").to_numpy(zero_copy_only=False).astype(np.uint8)
+            carried = part.column("carried")
+            yield pa.record_batch(
+                [
+                    pa.array([row], pa.int64()),
+                    *(pa.array([x.tobytes()], pa.binary()) for x in (hashes, codes, starts, training)),
+                    pa.ListArray.from_arrays(pa.array([0, len(carried)], pa.int32()), carried),
+                ],
+                ["row", "hashes", "codes", "starts", "training", "carried"],
+            )
+            row += 1
+
+
+def encode_texts(docs: DataFrame, carried: Column, training: Column | None = None) -> DataFrame:
+    """The table of word numbers of `docs`, for `grow_tree` and `score_texts`.
+
+    `carried` goes with each text to its scores; `training` says which texts the
+    tree grows from (null: not), all by default. Words are runs without white
+    space, A-Z lower-cased, and an end is counted after each text, so null and
+    empty texts have one token.
+    """
+    spark = docs.sparkSession
+    learnt = F.lit(True) if training is None else F.coalesce(training, F.lit(False))
+    rows = docs.select(text_of(docs).alias("text"), learnt.alias("training"), carried.alias("carried"))
+    schema = ENCODED.format(rows.schema["carried"].dataType.simpleString())
+    folder = new_run_dir(spark, "word-numbers")
+    rows.mapInArrow(_encoder, schema).write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of each row: hashes, codes, starts, and which texts are learnt from."""
+    columns = [batch.column(c) for c in ("hashes", "codes", "starts", "training")]
+    for values in zip(*columns, strict=True):
+        kinds = (np.int64, np.int32, np.int64, np.uint8)
+        hashes, codes, starts, training = (
+            np.frombuffer(v.as_buffer(), k) for v, k in zip(values, kinds, strict=True)
+        )
+        yield hashes, codes, starts, training > 0
+
+
+def _starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    first = np.zeros(len(codes), bool)
+    first[starts[:-1]] = True
+    return first
 
 
 def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[pa.RecordBatch]:
@@ -244,11 +195,10 @@ def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[p
         counts = np.bincount(of, counts, len(distinct)).astype(np.int64)
         return distinct, counts, *(c[at] for c in columns)
 
-    def batch(key: np.ndarray, n: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        out = [*columns, n] if names else [key, n]
-        for start in range(0, len(key), 1 << 17):
+    def batch(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(columns[0]), 1 << 17):
             stop = start + (1 << 17)
-            yield pa.record_batch([pa.array(c[start:stop]) for c in out], [*(names or ("key",)), "n"])
+            yield pa.record_batch([pa.array(c[start:stop]) for c in columns], ["key", "n", *names])
 
     for part in parts:
         held.append(part)
@@ -266,140 +216,159 @@ def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[p
 def _word_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def parts():
         for batch in batches:
-            for part in slices(batch, "text"):
-                hashes, codes, _ = _tokens(part.column("text"))
-                yield hashes, np.bincount(codes, minlength=len(hashes))
+            for hashes, codes, starts, training in _lines(batch):
+                learnt = np.repeat(training, np.diff(starts))
+                n = np.bincount(codes[learnt], minlength=len(hashes))
+                yield hashes[n > 0], n[n > 0]
 
     return _counted(parts())
 
 
-def _starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    first = np.zeros(len(codes), bool)
-    first[starts[:-1]] = True
-    return first
+def _longer(batch: pa.RecordBatch, length: int, frequent: Filter) -> Iterator[tuple[np.ndarray, ...]]:
+    """Keys of the training texts' sequences of `length` words whose both parts,
+    without the last and without the first word, pass the filter, and the first part's."""
+    for hashes, codes, starts, training in _lines(batch):
+        words, first = hashes[codes], _starts(codes, starts)
+        (shorter, _), (key, ok) = list(islice(sequence_keys(words, first), length))[-2:]
+        passed = frequent.holds(hashes)[codes] if length == 2 else frequent.holds(shorter)
+        ok = ok & np.repeat(training, np.diff(starts))
+        at = np.flatnonzero(ok[1:] & passed[1:] & passed[:-1]) + 1
+        yield key[at], shorter[at - 1]
 
 
-def _sequence_counter(shared: Broadcast, length: int):
-    """Counts of sequences whose both parts, without the last and without the
-    first word, pass the filter."""
+def _hasher(length: int, shared: Broadcast) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for key, _ in _longer(batch, length, shared.value):
+            yield key
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+    return keys
 
+
+def _sequence_counter(length: int, shared: Broadcast, plausible: Broadcast):
+    """Counts of sequences that may occur MIN_COUNT times."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def parts():
             for batch in batches:
-                for part in slices(batch, "text"):
-                    hashes, codes, starts = _tokens(part.column("text"))
-                    words, first = hashes[codes], _starts(codes, starts)
-                    shorter, (key, ok) = list(islice(sequence_keys(words, first), length))[-2:]
-                    passed = frequent.holds(shorter[0])
-                    at = np.flatnonzero(ok[1:] & passed[1:] & passed[:-1]) + 1
-                    keys, where, n = np.unique(key[at], return_index=True, return_counts=True)
-                    yield keys, n, shorter[0][at[where] - 1], words[at[where]]
+                for key, context in _longer(batch, length, shared.value):
+                    some = plausible.value.holds(key)
+                    keys, where, n = np.unique(key[some], return_index=True, return_counts=True)
+                    yield keys, n, context[some][where]
 
-        return _counted(parts(), "context", "last")
+        return _counted(parts(), "context")
 
     return count
 
 
-def _longer(context: str):
-    """The column `context` with the word `last` after it, as column `key`."""
-
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            before, last = (batch.column(c).to_numpy().view(np.uint64) for c in (context, "last"))
-            key = pa.array((before * STEP + last).view(np.int64))
-            yield pa.record_batch([key, *batch.columns], ["made", *batch.schema.names])
-
-    return longer
-
-
-def _with_key(frame: DataFrame, context: str, name: str) -> DataFrame:
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema)
-    made = frame.mapInArrow(_longer(context), f"made long, {fields}")
-    return made.withColumnRenamed("made", name)
-
-
-def _level(counts: DataFrame, below: DataFrame, single: bool) -> tuple[DataFrame, DataFrame]:
-    """The sequences and contexts of `Tree`, states not closed yet. `below`: key,
-    n, suffix, chance of the sequences one word shorter (`single`: words)."""
+def _suffixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key without its first word: the context's suffix, and the last word."""
+    for batch in batches:
+        key, context = (batch.column(c).to_numpy().view(np.uint64) for c in ("key", "context"))
+        before = batch.column("of_suffix")
+        rest = np.zeros(len(key), np.uint64)
+        if before.null_count < len(before):  # else contexts of one word
+            rest = before.to_numpy().view(np.uint64) * STEP
+        suffix = pa.array((rest + key - context * STEP).view(np.int64))
+        yield pa.record_batch([*batch.columns, suffix], [*batch.schema.names, "suffix"])
+
+
+def _level(counts: DataFrame, below: DataFrame) -> DataFrame:
+    """The counted sequences with their chances, and with each context's first one
+    (`lead`) what the context is. `below`: key, n, suffix, chance of the sequences
+    one word shorter."""
     of = below.select(
         F.col("key").alias("context"), F.col("n").alias("of"), F.col("suffix").alias("of_suffix")
     )
-    rows = counts.join(of, "context")
-    rows = rows.withColumn("suffix", F.col("last")) if single else _with_key(rows, "of_suffix", "suffix")
     parent = below.select(F.col("key").alias("suffix"), F.col("chance").alias("parent"))
-    rows = written(rows.join(parent, "suffix"), "sequence-parents")
-    n, whole = F.col("n"), F.col("of")
-    rest, before = F.col("of") - F.col("seen"), F.greatest(1 - F.col("parents"), F.lit(1e-12))
-    last = F.when(rest > 0, rest * F.ln(rest / F.col("of") / before)).otherwise(0.0)
-    contexts = written(
-        rows.groupBy("context")
-        .agg(
-            F.first("of").alias("of"),
-            F.first("of_suffix").alias("suffix"),
-            F.sum("n").alias("seen"),
-            F.sum("parent").alias("parents"),
-            F.sum((n - DISCOUNT) / whole).alias("taken"),
-            F.sum(n * F.ln(n / whole / F.col("parent"))).alias("evidence"),
-        )
-        .select(
-            F.col("context").alias("key"),
-            F.col("of").alias("n"),
-            "suffix",
-            (1 - F.col("taken")).alias("weight"),
-            (F.col("evidence") + last >= EVIDENCE).alias("state"),
-        ),
-        "contexts",
+    rows = counts.join(of, "context").select("key", "n", "context", "of", "of_suffix")
+    schema = "key long, n long, context long, of long, of_suffix long, suffix long"
+    rows = rows.mapInArrow(_suffixed, schema).join(parent, "suffix")
+    of_context = Window.partitionBy("context")
+    total = lambda column: F.sum(column).over(of_context)
+    n, whole, parents = F.col("n"), F.col("of"), F.col("parent")
+    rows = rows.select(
+        "*",
+        total(n).alias("seen"),
+        total(parents).alias("parents"),
+        (1 - total((n - DISCOUNT) / whole)).alias("weight"),
+        total(n * F.ln(n / whole / parents)).alias("evidence"),
+        (F.min("key").over(of_context) == F.col("key")).alias("lead"),
     )
-    weights = contexts.select(F.col("key").alias("context"), "weight")
-    sequences = rows.join(weights, "context").select(
+    rest, before = whole - F.col("seen"), F.greatest(1 - F.col("parents"), F.lit(1e-12))
+    last = F.when(rest > 0, rest * F.ln(rest / whole / before)).otherwise(0.0)
+    chance = (n - DISCOUNT) / whole + F.col("weight") * parents
+    return rows.select(
         "key",
         "context",
-        "last",
         "suffix",
         "n",
-        ((n - DISCOUNT) / whole + F.col("weight") * F.col("parent")).alias("chance"),
-        "parent",
-        "weight",
+        chance.alias("chance"),
+        F.log10(chance / F.col("weight") / parents).alias("over"),
+        F.when(
+            F.col("lead"),
+            F.struct(
+                F.col("of_suffix").alias("suffix"),
+                F.col("of").alias("n"),
+                "weight",
+                (F.col("evidence") + last >= EVIDENCE).alias("state"),
+            ),
+        ).alias("lead"),
     )
-    return written(sequences, "sequences"), contexts
 
 
 def _close(contexts: list[DataFrame]) -> list[DataFrame]:
-    """The suffix of a state is a state."""
-    out = contexts[-1:]
-    for below in contexts[-2::-1]:
-        longer = out[0].where("state").select(F.col("suffix").alias("key")).distinct()
-        closed = below.join(longer.withColumn("closes", F.lit(True)), "key", "left").select(
-            "key", "n", "suffix", "weight", (F.col("state") | F.col("closes").isNotNull()).alias("state")
-        )
-        out = [written(closed, "closed-contexts"), *out]
+    """The states; the suffix of a state is a state."""
+    out: list[DataFrame] = []
+    for rows in reversed(contexts):
+        if out:
+            longer = out[0].select(F.col("suffix").alias("key")).distinct()
+            rows = rows.join(longer.withColumn("closes", F.lit(True)), "key", "left").where(
+                F.col("state") | F.col("closes").isNotNull()
+            )
+        else:
+            rows = rows.where("state")
+        out = [written(rows.select("key", "suffix", "n", "weight"), "states"), *out]
     return out
 
 
-def _values(tree: Tree) -> DataFrame:
+def _values(tree: Tree, levels: list[DataFrame]) -> DataFrame:
     """What each sequence adds to a score: as a state, its weight; as a state's
     continuation, what it has over the weight and the shorter context's chance."""
     spark = tree.words.sparkSession
     out = spark.createDataFrame([], "key long, n long, value double")
-    for sequences, contexts in zip(tree.sequences, tree.contexts, strict=True):
-        states = contexts.where("state")
-        over = F.log10(F.col("chance") / F.col("weight") / F.col("parent")).alias("value")
-        known = sequences.join(states.select(F.col("key").alias("context")), "context", "left_semi")
-        out = out.union(known.select("key", "n", over))
-        out = out.union(states.select("key", "n", F.log10("weight").alias("value")))
+    for sequences, states in zip(levels, tree.states, strict=True):
+        context = states.select(F.col("key").alias("context"))
+        known = sequences.select("key", "context", "n", "over").join(context, "context", "left_semi")
+        out = out.union(known.select("key", "n", "over"))
+        out = out.union(states.select("key", "n", F.log10("weight")))
     return out.groupBy("key").agg(F.max("n").alias("n"), F.sum("value").alias("value"))
 
 
-def grow_tree(docs: DataFrame) -> tuple[Tree, DataFrame]:
-    """A tree from the texts of `docs`, and the counts (key, n) of all words by
-    hash. Null texts are empty: only their end is counted."""
-    spark = docs.sparkSession
-    texts = docs.select(text_of(docs).alias("text"))
-    counted = texts.mapInArrow(_word_counter, "key long, n long")
+def _free_shuffles(spark) -> None:
+    """Spark deletes a shuffle's files when the driver's memory manager has found
+    that nothing refers to it any more."""
+    spark._jvm.System.gc()
+
+
+def _in_tasks(texts: DataFrame) -> tuple[DataFrame, int]:
+    """The texts' word numbers in tasks of about TASK_TOKENS, and how many there are."""
+    spark = texts.sparkSession
+    n_tokens = int(texts.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // 4
+    tasks = max(spark.sparkContext.defaultParallelism, ceil(n_tokens / TASK_TOKENS))
+    return texts.coalesce(tasks), n_tokens
+
+
+def grow_tree(texts: DataFrame) -> Tree:
+    """A tree from the training texts of `encode_texts`."""
+    spark = texts.sparkSession
+    lines, _ = _in_tasks(texts.select("hashes", "codes", "starts", "training"))
+    counted = lines.mapInArrow(_word_counter, "key long, n long")
     words = written(counted.groupBy("key").agg(F.sum("n").alias("n")), "word-counts")
-    size = words.agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).first()
+    size = words.agg(
+        F.sum("n").alias("tokens"),
+        F.count("*").alias("words"),
+        F.count_if(F.col("n") >= MIN_COUNT).alias("frequent"),
+    ).first()
     tree = Tree(words, size["tokens"] or 0, size["words"])
     below = words.where(F.col("n") >= MIN_COUNT).select(
         "key",
@@ -407,154 +376,212 @@ def grow_tree(docs: DataFrame) -> tuple[Tree, DataFrame]:
         F.lit(None).cast("long").alias("suffix"),
         ((F.col("n") + 1) / F.lit(tree.whole)).alias("chance"),
     )
+    n_below, levels, contexts, folders = size["frequent"], [], [], []
     for length in range(2, MAX_CONTEXT + 2):
-        counter = _sequence_counter(spark.sparkContext.broadcast(Filter(below)), length)
+        shared = spark.sparkContext.broadcast(key_filter(below, n_below))
+        width = width_for(BUCKETS_PER_TOKEN * tree.n_tokens)
+        plausible = spark.sparkContext.broadcast(
+            heavy_filter(lines, _hasher(length, shared), MIN_COUNT, width)
+        )
         counts = (
-            texts.mapInArrow(counter, "context long, last long, n long")
-            .groupBy("context", "last")
-            .agg(F.sum("n").alias("n"))
+            lines.mapInArrow(_sequence_counter(length, shared, plausible), "key long, n long, context long")
+            .groupBy("key")
+            .agg(F.sum("n").alias("n"), F.first("context").alias("context"))
             .where(F.col("n") >= MIN_COUNT)
         )
-        counts = written(_with_key(counts, "context", "key"), "sequence-counts")
-        if counts.isEmpty():
+        folders.append(new_run_dir(spark, "sequences"))
+        rows = _level(counts, below)
+        rows.write.parquet(folders[-1])
+        rows = spark.read.schema(rows.schema).parquet(folders[-1])
+        shared.unpersist()
+        plausible.unpersist()
+        _free_shuffles(spark)
+        n_below = rows.count()
+        if not n_below:
             break
-        below, contexts = _level(counts, below, length == 2)
-        tree.sequences.append(below)
-        tree.contexts.append(contexts)
-    if tree.contexts:
-        tree.contexts = _close(tree.contexts)
-    tree.values = written(_values(tree), "sequence-values")
-    return tree, words
+        levels.append(rows)
+        contexts.append(rows.where("lead IS NOT NULL").select(F.col("context").alias("key"), "lead.*"))
+        below = rows.select("key", "n", "suffix", "chance")
+    tree.states = _close(contexts)
+    tree.values = written(_values(tree, levels), "sequence-values")
+    for folder in folders:
+        remove(spark, folder)
+    _free_shuffles(spark)
+    return tree
 
 
-SCORED = (
-    "row long, carried {carried}, key long, n long, as_word long, n_tokens long, n_known long, "
-    "base double, score double"
-)
+SCORED = "row long, carried {}, n_tokens long, n_known long, base double, score double"
+REQUESTS = "segment int, row long, texts binary, keys binary"
 
 
 @dataclass
 class Heavy:
     """What the scorers hold: of the most frequent words the log10 chances, of the
-    most frequent sequences the values, both by sorted keys; a filter for others."""
+    most frequent sequences the values, both by sorted keys; filters for these
+    sequences and for the others that have a value."""
 
     words: np.ndarray
     alone: np.ndarray
+    unknown: float
     keys: np.ndarray
     values: np.ndarray
+    own: Filter
     others: Filter
 
 
-def _scorer(shared: Broadcast):
-    """A row per text with what Heavy holds, and one per text and other sequence."""
+def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """Of each row: hashes, codes, starts, the row's number (its texts' numbers
+    follow it), and which text each token is of."""
+    for number, line in zip(batch.column("row").to_pylist(), _lines(batch), strict=True):
+        hashes, codes, starts, _ = line
+        yield hashes, codes, starts, number << 20, np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+
+
+def _own_scorer(shared: Broadcast):
+    """A row per text, with what Heavy holds; other words as if they were unknown."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
-        next_row = TaskContext.get().partitionId() << 40
+        values = np.append(heavy.values, 0.0)
         for batch in batches:
-            for part in slices(batch, "text"):
-                n = part.num_rows
-                hashes, codes, starts = _tokens(part.column("text"))
-                owner = np.repeat(np.arange(n), np.diff(starts))
-                first = _starts(codes, starts)
+            for place, (hashes, codes, starts, row, owner) in enumerate(_rows_of(batch)):
+                n = len(starts) - 1
                 total = lambda x: np.bincount(owner, x, n)  # noqa: B023, E731
-                place = _find(heavy.words, hashes)[codes]
-                frequent = place >= 0
-                own = np.where(frequent, np.append(heavy.alone, 0.0)[place], 0.0)
-                of, keys, times, as_word = [], [], [], []
-
-                def others(at, key, word):
-                    # Distinct (text, sequence) pairs with their number.
-                    order = np.lexsort((key[at], owner[at]))  # noqa: B023
-                    at = at[order]
-                    new = np.ones(len(at), bool)
-                    new[1:] = (key[at[1:]] != key[at[:-1]]) | (owner[at[1:]] != owner[at[:-1]])  # noqa: B023
-                    begins = np.flatnonzero(new)
-                    of.append(owner[at[begins]])  # noqa: B023
-                    keys.append(key[at[begins]])  # noqa: B023
-                    times.append(np.diff(np.append(begins, len(at))))  # noqa: B023
-                    as_word.append(times[-1] * word)  # noqa: B023
-
-                value = np.zeros(len(codes))
-                for k, (key, ok) in enumerate(sequence_keys(hashes[codes], first)):
-                    found = _find(heavy.keys, key)
-                    known = ok & (found >= 0)
-                    value[known] += heavy.values[found[known]]
-                    if k == 0:
-                        # A light word's own value comes with its count.
-                        others(np.flatnonzero(~frequent), key, 1)
-                    else:
-                        rarer = np.flatnonzero(ok & (found < 0))
-                        others(rarer[heavy.others.holds(key[rarer])], key, 0)
-                of, keys, times, as_word = (np.concatenate(x) for x in (of, keys, times, as_word))
-                rows = next_row + np.arange(n)
-                next_row += n
-                zero = np.zeros(len(of))
-                both = lambda kind, a, b: pa.array(np.concatenate([a, b]).astype(kind))
-                carried = part.column("carried")
+                found = _find(heavy.words, hashes)
+                own = np.where(found >= 0, np.append(heavy.alone, 0.0)[found], heavy.unknown)[codes]
+                value = values[_find(heavy.keys, hashes)][codes]
+                keys = sequence_keys(hashes[codes], _starts(codes, starts))
+                for key, ok in islice(keys, 1, None):
+                    at = np.flatnonzero(ok & heavy.own.holds(key))
+                    value[at] += values[_find(heavy.keys, key[at])]
                 yield pa.record_batch(
                     [
-                        both(np.int64, rows, rows[of]),
-                        pa.concat_arrays([carried, pa.nulls(len(of), carried.type)]),
-                        # A text's own row meets no sequence: it counts 0 times.
-                        pa.array(np.concatenate([rows, keys])),
-                        both(np.int64, np.zeros(n), times),
-                        both(np.int64, np.zeros(n), as_word),
-                        both(np.int64, np.diff(starts), zero),
-                        both(np.int64, total(frequent), zero),
-                        both(np.float64, total(own), zero),
-                        both(np.float64, total(own + value), zero),
+                        pa.array(row + np.arange(n)),
+                        batch.column("carried")[place].values,
+                        pa.array(np.diff(starts)),
+                        pa.array(total(found[codes] >= 0).astype(np.int64)),
+                        pa.array(total(own)),
+                        pa.array(total(own + value)),
                     ],
-                    ["row", "carried", "key", "n", "as_word", "n_tokens", "n_known", "base", "score"],
+                    ["row", "carried", "n_tokens", "n_known", "base", "score"],
                 )
 
     return score
 
 
-def score_texts(docs: DataFrame, carried: Column, tree: Tree, words: DataFrame) -> DataFrame:
-    """Per row of `docs`: `carried`, n_tokens, n_known, train_tokens, base_score, score.
+def _requester(shared: Broadcast, n_segments: int):
+    """The texts' other sequences that may have a value, and their other words: a
+    row for each segment that a row's keys are in."""
 
-    Words are runs without white space, A-Z lower-cased, and an end is counted
-    after each text, so null and empty texts have one token. `base_score` adds
-    log10((c + 1) / (N + V + 1)) over the tokens, `score` the tree's log10
-    probabilities. Repeated rows are scored like others; an empty table gives no
-    rows; a tree of no texts gives every token probability 1.
+    def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heavy = shared.value
+        for batch in batches:
+            for hashes, codes, starts, row, owner in _rows_of(batch):
+                words, first = hashes[codes], _starts(codes, starts)
+                light = (_find(heavy.words, hashes) < 0)[codes]
+                of, keys = [owner[light]], [words[light]]
+                for key, ok in islice(sequence_keys(words, first), 1, None):
+                    at = np.flatnonzero(ok)
+                    at = at[heavy.others.holds(key[at])]
+                    of.append(owner[at])
+                    keys.append(key[at])
+                of, keys = np.concatenate(of).astype(np.uint32), np.concatenate(keys)
+                order = np.argsort(of, kind="stable")
+                of, keys = of[order], keys[order]
+                segment = keys % n_segments
+                order = np.argsort(segment.astype(np.uint16) if n_segments < 1 << 16 else segment, kind="stable")
+                of, keys, segment = of[order], keys[order], segment[order]
+                cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else []
+                bounds = list(zip(cuts, [*cuts[1:], len(segment)], strict=True))
+                yield pa.record_batch(
+                    [
+                        pa.array(segment[cuts].astype(np.int32) if bounds else [], pa.int32()),
+                        pa.array([row] * len(bounds), pa.int64()),
+                        *(pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in (of, keys)),
+                    ],
+                    ["segment", "row", "texts", "keys"],
+                )
+
+    return request
+
+
+def _answer(known: pa.Table, requests: pa.Table) -> pa.Table:
+    """What the texts' sequences of a segment add to their scores."""
+    key, count, value, is_word = (
+        known.column(name).to_numpy() for name in ("key", "count", "value", "is_word")
+    )
+    is_word = is_word.astype(bool)
+    parts = []
+    for chosen, worth in ((is_word, count), (~is_word, value)):
+        order = np.argsort(key[chosen], kind="stable")
+        parts.append((key[chosen][order], np.append(worth[chosen][order], 0)))
+    (words, counts), (sequences, values) = parts
+    out = []
+    for row, texts, keys in zip(*(requests.column(c) for c in ("row", "texts", "keys")), strict=True):
+        asked = np.frombuffer(keys.as_buffer(), np.int64)
+        of = np.frombuffer(texts.as_buffer(), np.uint32)
+        c = counts[_find(words, asked)]
+        own = np.log10(c + 1)
+        both = own + values[_find(sequences, asked)]
+        n = int(of[-1]) + 1 if len(of) else 0  # they are in order
+        some = np.flatnonzero(np.bincount(of, minlength=n))
+        total = lambda x: np.bincount(of, x, n)[some]  # noqa: B023, E731
+        out.append((row.as_py() + some, total(c > 0).astype(np.int64), total(own), total(both)))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2
+    return pa.table([pa.array(c) for c in columns], ["row", "n_known", "base", "score"])
+
+
+def score_texts(texts: DataFrame, tree: Tree) -> DataFrame:
+    """Per text of `encode_texts`: `carried`, n_tokens, n_known, train_tokens,
+    base_score, score.
+
+    `base_score` adds log10((c + 1) / (N + V + 1)) over the tokens, `score` the
+    tree's log10 probabilities. Repeated rows are scored like others; an empty
+    table gives no rows; a tree of no texts gives every token probability 1. Very
+    long texts are one row of word numbers; what they ask for is spread over all
+    segments.
     """
+    spark = texts.sparkSession
     # At most n_tokens / heavy, so at most 1 / MIN_SHARE rows of each length.
     above = lambda frame: frame.where(F.col("n") >= tree.heavy).orderBy("key").toArrow()
     light = tree.values.where(F.col("n") < tree.heavy)
-    often, values = above(words), above(tree.values)
+    often, values = above(tree.words), above(tree.values)
+    keys, n_light = values["key"].to_numpy(), light.count()
     held = Heavy(
         often["key"].to_numpy(),
         np.log10((often["n"].to_numpy() + 1) / tree.whole),
-        values["key"].to_numpy(),
+        -log10(tree.whole),
+        keys,
         values["value"].to_numpy(),
-        Filter(light),
-    )
-    known = (
-        words.where(F.col("n") < tree.heavy)
-        .select("key", F.col("n").alias("count"), F.lit(0.0).alias("value"))
-        .union(light.select("key", F.lit(0).cast("long"), "value"))
-        .groupBy("key")
-        .agg(F.sum("count").alias("count"), F.sum("value").alias("value"))
+        Filter.holding(keys),
+        key_filter(light, n_light),
     )
-    rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
-    kind = rows.schema["carried"].dataType.simpleString()
-    scored = rows.mapInArrow(
-        _scorer(docs.sparkSession.sparkContext.broadcast(held)), SCORED.format(carried=kind)
+    shared = spark.sparkContext.broadcast(held)
+    texts, _ = _in_tasks(texts)
+    n_known = tree.n_words + n_light
+    n_segments = max(LEAST_SEGMENTS, ceil(n_known / SEGMENT_ROWS))
+    word = [F.col("n").alias("count"), F.lit(0.0).alias("value"), F.lit(True).alias("is_word")]
+    other = [F.lit(0).cast("long").alias("count"), "value", F.lit(False).alias("is_word")]
+    segment = F.pmod("key", F.lit(n_segments)).cast("int").alias("segment")
+    known = tree.words.where(F.col("n") < tree.heavy).select(segment, "key", *word)
+    known = known.union(light.select(segment, "key", *other))
+    lines = texts.drop("carried")
+    answers = (
+        known.groupBy("segment")
+        .cogroup(lines.mapInArrow(_requester(shared, n_segments), REQUESTS).groupBy("segment"))
+        .applyInArrow(_answer, "row long, n_known long, base double, score double")
     )
-    count = F.coalesce("count", F.lit(0))
-    own = F.col("as_word") * (F.log10(count + 1.0) - F.lit(log10(tree.whole)))
-    value = F.col("n") * F.coalesce("value", F.lit(0.0))
+    kind = texts.schema["carried"].dataType.elementType.simpleString()
+    own = texts.mapInArrow(_own_scorer(shared), SCORED.format(kind))
     return (
-        scored.join(known, "key", "left")
+        own.unionByName(answers, allowMissingColumns=True)
         .groupBy("row")
         .agg(
             F.max("carried").alias("carried"),
             F.sum("n_tokens").alias("n_tokens"),
-            F.sum(F.col("n_known") + F.when(count > 0, F.col("as_word")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("base") + own).alias("base_score"),
-            F.sum(F.col("score") + own + value).alias("score"),
+            F.sum("n_known").alias("n_known"),
+            F.sum("base").alias("base_score"),
+            F.sum("score").alias("score"),
         )
         .select(
             "carried",

@@ -27,18 +27,36 @@ def text_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"].cast("string"), F.lit(""))
 
 
-def keep_rows(docs: DataFrame, key: dict[str, Column], kept: DataFrame) -> DataFrame:
+# Keys that are broadcast to where the rows are, at most; with a digest each they
+# take about 20 MB. More of them meet the rows in a shuffle.
+BROADCAST_KEYS = 200_000
+
+
+def keep_rows(
+    docs: DataFrame, key: dict[str, Column], kept: DataFrame, dropped: DataFrame | None = None
+) -> DataFrame:
     """The rows of `docs` whose `key` is in `kept`, with all their columns.
 
     `kept` has the key's columns and `copies`, the number of rows with that key;
     of several rows with one key one stays. Null is a value like any other.
+    `dropped`, if it is known, has the keys of all other rows: where few rows go
+    or are repeated, the others stay where they are read.
     """
     whole = docs.select(F.struct("*").alias("row"), *(c.alias(n) for n, c in key.items()))
     kept = kept.select(*(F.col(n).alias(f"kept_{n}") for n in key), "copies")
     same = [F.col(n).eqNullSafe(F.col(f"kept_{n}")) for n in key]
-    alone = whole.join(kept.where("copies = 1").hint("shuffle_hash"), same, "left_semi")
     repeated = kept.where("copies > 1")
-    if repeated.isEmpty():
-        return alone.select("row.*")
-    repeated = whole.join(repeated, same, "left_semi").dropDuplicates([*key])
-    return alone.unionByName(repeated).select("row.*")
+    n_repeated = repeated.count()
+    again = whole.join(repeated, same, "left_semi").dropDuplicates([*key])
+    if dropped is not None:
+        gone = dropped.select(*(F.col(n).alias(f"kept_{n}") for n in key))
+        gone = gone.union(repeated.drop("copies"))
+        if gone.count() <= BROADCAST_KEYS:
+            rows = whole.join(F.broadcast(gone), same, "left_anti")
+            if n_repeated:
+                rows = rows.unionByName(
+                    whole.join(F.broadcast(repeated), same, "left_semi").dropDuplicates([*key])
+                )
+            return rows.select("row.*")
+    alone = whole.join(kept.where("copies = 1").hint("shuffle_hash"), same, "left_semi")
+    return (alone.unionByName(again) if n_repeated else alone).select("row.*")

@@ -54,8 +54,8 @@ def token_counts(docs: DataFrame, path: str, cache: str, limit: int = 1024) -> D
     Runs at once up to the append. An append that fails half-way leaves no
     entries, and entries written twice by two runs at a time do no harm.
     Repeated rows are counted like others; an empty table gives no rows; other
-    columns are not read. Only one text per content crosses the shuffle, by
-    doc_id, so copies of one text never meet in a task.
+    columns are not read. Copies of one text never meet in a task: rows are told
+    apart by doc_id, and where few are hits or copies, no text is shuffled.
     """
     version = tokenizer_version(path)
     text = text_of(docs)
@@ -70,19 +70,20 @@ def token_counts(docs: DataFrame, path: str, cache: str, limit: int = 1024) -> D
     )
     stored = cached_counts(docs, cache).where(F.col("tokenizer") == version)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "copies")).alias("first")
+    texts_of_id = keys.groupBy("content", "doc_id").agg(F.count("*").alias("copies"))
     misses = written(
-        keys.groupBy("content", "doc_id")
-        .agg(F.count("*").alias("copies"))
-        .groupBy("content")
+        texts_of_id.groupBy("content")
         .agg(first)
         .join(stored, "content", "left_anti")
         .select("first.doc_id", "content", "first.copies"),
         "token-misses",
     )
+    same = [texts_of_id[c].eqNullSafe(misses[c]) for c in ("content", "doc_id")]
+    others = texts_of_id.select("content", "doc_id").join(misses, same, "left_anti")
     texts = docs.select(docs["doc_id"].alias("doc_id"), text.alias("text"))
     key = {"doc_id": F.col("doc_id"), "content": F.sha2(F.col("text").cast("binary"), 256)}
     (
-        keep_rows(texts, key, misses)
+        keep_rows(texts, key, misses, others)
         .select(F.sha2(F.col("text").cast("binary"), 256).alias("content"), "text")
         .mapInArrow(_counter(path), "content string, n_tokens long")
         .select("content", F.lit(version).alias("tokenizer"), "n_tokens")

@@ -14,8 +14,8 @@ from cartstream.llm.text import SPACE, binary_array, text_bytes
 
 # Token ids of pieces of text that a worker keeps, and their number. When either
 # is reached the worker starts afresh.
-CACHED_PIECES = 1_200_000
-CACHED_IDS = 10_000_000
+CACHED_PIECES = 500_000
+CACHED_IDS = 4_000_000
 
 # Pieces that are handed to the library as one text.
 TOGETHER = 50_000

@@ -158,3 +158,9 @@ def test_components(llm_spark, seed):
 
 def test_no_links(llm_spark):
     assert components(llm_spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+@pytest.mark.parametrize("percent", [0, 79, 101])
+def test_links_that_the_bands_may_miss_are_refused(small, percent):
+    with pytest.raises(ValueError, match="80 percent"):
+        near_groups(small, percent=percent)

@@ -72,7 +72,7 @@ def test_run_and_registration(llm_spark):
     packed = corpus_pipeline.run(llm_spark, FOLDER)
     assert packed.count() > 0 and entry.queries()["pipeline"] is corpus_pipeline.run
     assert (corpus_pipeline.ORACLE_SQL is None) == ("pipeline" not in entry.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {
+    assert {f"op{n}" for n in range(1, 14)} == {
         name.split("_")[0] for name in entry.queries() if name.startswith("op") and name[2].isdigit()
     }
 

@@ -3,18 +3,19 @@
 import re
 import zlib
 from collections import Counter
-from math import ceil, isclose, log, log10
+from math import isclose, log, log10
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cartstream.llm import suffix_tree
 from cartstream.llm.queries import op2_suffix_tree
-from cartstream.llm.suffix_tree import END, grow_tree, score_texts
+from cartstream.llm.suffix_tree import END, encode_texts, grow_tree, score_texts
 from cartstream.llm.text import word_hash
 from conftest import TESTDATA
 
-from .conftest import texts_of
+from .conftest import docs_frame, texts_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -36,8 +37,7 @@ class Plain:
                 counts.update(tuple(t[i : i + k]) for i in range(len(t) - k + 1))
         self.single = {g[0]: n for g, n in counts.items() if len(g) == 1}
         self.n, self.v = sum(self.single.values()), len(self.single)
-        self.least = max(suffix_tree.MIN_COUNT, ceil(suffix_tree.MIN_SHARE * self.n))
-        self.counts = {g: n for g, n in counts.items() if n >= self.least}
+        self.counts = {g: n for g, n in counts.items() if n >= suffix_tree.MIN_COUNT}
         self.after = {}
         for g in self.counts:
             if len(g) > 1:
@@ -92,43 +92,65 @@ def check(rows, plain, texts):
 
 
 @pytest.mark.parametrize("name", ["awkward", "small"])
-@pytest.mark.parametrize("held", [50, 1 << 21])
-def test_scores(request, monkeypatch, name, held):
-    monkeypatch.setattr(suffix_tree, "HELD", held)
+@pytest.mark.parametrize("held, row_bytes, segment", [(50, 3000, 20), (1 << 21, 8 << 20, 1 << 21)])
+def test_scores(request, monkeypatch, name, held, row_bytes, segment):
+    for setting, value in (("HELD", held), ("ROW_BYTES", row_bytes), ("SEGMENT_ROWS", segment)):
+        monkeypatch.setattr(suffix_tree, setting, value)
     monkeypatch.setattr(suffix_tree, "EVIDENCE", 3.0)
     docs = request.getfixturevalue(name)
-    texts = sorted(texts_of(docs), key=repr)
-    tree, words = grow_tree(docs)
-    plain = Plain([t for _, t in texts])
-    assert len(tree.levels) > 1 and sum(level.state.sum() for level in tree.levels) == len(plain.states)
-    check(score_texts(docs, docs["doc_id"], tree, words).collect(), plain, texts)
-
+    rows = sorted(texts_of(docs), key=repr)
+    plain = Plain([t for _, t in rows])
+    texts = encode_texts(docs, docs["doc_id"])
+    tree = grow_tree(texts)
+    assert len(tree.states) > 1 and sum(s.count() for s in tree.states) == len(plain.states)
+    check(score_texts(texts, tree).collect(), plain, rows)
+
+
+def test_probabilities_add_up_to_one(llm_spark, monkeypatch):
+    """After any words, over all words there are, an unseen one and the end."""
+    monkeypatch.setattr(suffix_tree, "EVIDENCE", 2.0)
+    training = ["a b c d", "a b c e", "a b c d", "b c d a", "c d a b", "a b", "a b c", "d c b a"] * 4
+    rows = [(i, t) for i, t in enumerate(training)]
+    before = ["a b c", "b c", "c", "a b", "d c b", "e", "zz b c"]
+    words = ["a", "b", "c", "d", "e", "never-seen"]
+    # A text's score less that of the text without its last word is the word's,
+    # apart from the ends; an end is scored by a text of its own.
+    asked = {(s, w): 1000 + n for n, (s, w) in enumerate((s, w) for s in before for w in [None, *words])}
+    rows += [(n, s if w is None else f"{s} {w}") for (s, w), n in asked.items()]
+    docs = docs_frame(llm_spark, rows)
+    texts = encode_texts(docs, docs["doc_id"], docs["doc_id"] < 1000)
+    tree = grow_tree(texts)
+    assert sum(s.count() for s in tree.states) > 5
+    score = {r.carried: r.score for r in score_texts(texts, tree).collect()}
+    plain = Plain(training)
+
+    def end(text):
+        t = tokens(text)
+        k = max((k for k in (1, 2, 3) if k < len(t) and tuple(t[-1 - k : -1]) in plain.states), default=0)
+        return plain.chance(tuple(t[len(t) - 1 - k : -1]), LAST)
 
-def test_probabilities_add_up_to_one(small, monkeypatch):
-    monkeypatch.setattr(suffix_tree, "EVIDENCE", 3.0)
-    tree, words = grow_tree(small)
-    counts = {r.key: r.n for r in words.collect()}
-    vocabulary = np.array([*counts, word_hash(b"never seen")])
-    alone = np.log10((np.array([*counts.values(), 0]) + 1) / tree.whole)
-    assert isclose((10**alone).sum(), 1)
-    numbers = tree.numbers(vocabulary)
-    state = np.flatnonzero(tree.levels[1].state)[:5]
-    for s in state:
-        key = tree.levels[0].keys[s]
-        total = 0.0
-        for number, own in zip(numbers, alone, strict=True):
-            text = np.array([key >> 32, key & 0xFFFFFFFF, number])
-            chance, open_ = tree.chances(text, np.array([True, False, False]))
-            total += 10 ** (chance[2] + (own if open_[2] else 0))
-        assert isclose(total, 1, rel_tol=1e-9)
+    for s in before:
+        whole = score[asked[s, None]] - log10(end(s))  # of the words of s alone
+        chances = [10 ** (score[asked[s, w]] - log10(end(f"{s} {w}")) - whole) for w in words]
+        assert isclose(sum(chances) + end(s), 1, rel_tol=1e-9), s
 
 
 def test_nothing_to_learn_from(llm_spark, awkward, empty):
-    tree, words = grow_tree(empty)
-    rows = score_texts(awkward, awkward["doc_id"], tree, words).collect()
-    assert rows and all(r.base_score == r.score == 0 and r.n_known == 0 for r in rows)
-    tree, words = grow_tree(awkward)
-    assert score_texts(empty, empty["doc_id"], tree, words).isEmpty()
+    texts = encode_texts(awkward, awkward["doc_id"], F.lit(False))
+    rows = score_texts(texts, grow_tree(texts)).collect()
+    assert len(rows) == awkward.count()
+    assert all(r.base_score == r.score == 0 and r.n_known == 0 for r in rows)
+    texts = encode_texts(empty, empty["doc_id"])
+    assert score_texts(texts, grow_tree(texts)).isEmpty()
+
+
+def test_texts_that_are_not_learnt_from(llm_spark, small):
+    """As if the others were all there is; a null is no yes."""
+    odd = F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3 == 1)
+    rows = sorted(texts_of(small), key=repr)
+    plain = Plain([t for d, t in rows if d % 3 == 1])
+    texts = encode_texts(small, F.col("doc_id"), odd)
+    check(score_texts(texts, grow_tree(texts)).collect(), plain, rows)
 
 
 def test_query_beats_single_words_on_held_out_texts(llm_spark):

@@ -1,7 +1,7 @@
 """Sequences that are rare in a large corpus keep a probability of their own."""
 
 from cartstream.llm import suffix_tree
-from cartstream.llm.suffix_tree import grow_tree, score_texts
+from cartstream.llm.suffix_tree import encode_texts, grow_tree, score_texts
 
 from .conftest import texts_of
 from .test_suffix_tree import Plain, check
@@ -9,14 +9,13 @@ from .test_suffix_tree import Plain, check
 
 def test_share_of_the_tokens_sets_no_bar(small, monkeypatch):
     monkeypatch.setattr(suffix_tree, "EVIDENCE", 3.0)
-    monkeypatch.setattr(suffix_tree, "MIN_SHARE", 0.0)
-    texts = sorted(texts_of(small), key=repr)
-    plain = Plain([t for _, t in texts])
-    assert plain.least == suffix_tree.MIN_COUNT
-    # Now all but a few sequences are below this share of all tokens.
+    # All but a few sequences are below this share of all tokens.
     monkeypatch.setattr(suffix_tree, "MIN_SHARE", 0.002)
-    tree, words = grow_tree(small)
+    rows = sorted(texts_of(small), key=repr)
+    plain = Plain([t for _, t in rows])
+    texts = encode_texts(small, small["doc_id"])
+    tree = grow_tree(texts)
     assert tree.heavy > 10 * suffix_tree.MIN_COUNT
     assert 0 < tree.values.where(tree.values["n"] >= tree.heavy).count()
-    assert sum(level.state.sum() for level in tree.levels) == len(plain.states)
-    check(score_texts(small, small["doc_id"], tree, words).collect(), plain, texts)
+    assert sum(s.count() for s in tree.states) == len(plain.states)
+    check(score_texts(texts, tree).collect(), plain, rows)
