@@ -507,26 +507,24 @@ def _requester(shared: Broadcast, n_segments: int):
 
 def _answer(known: pa.Table, requests: pa.Table) -> pa.Table:
     """What the texts' sequences of a segment add to their scores."""
-    key, count, value, is_word = (
-        known.column(name).to_numpy() for name in ("key", "count", "value", "is_word")
-    )
-    is_word = is_word.astype(bool)
-    parts = []
-    for chosen, worth in ((is_word, count), (~is_word, value)):
-        order = np.argsort(key[chosen], kind="stable")
-        parts.append((key[chosen][order], np.append(worth[chosen][order], 0)))
-    (words, counts), (sequences, values) = parts
+    key, count, value = (known.column(name).to_numpy() for name in ("key", "count", "value"))
+    # A word that is a state by itself is there twice.
+    key, of = np.unique(key, return_inverse=True)
+    counts = np.append(np.bincount(of, count, len(key)), 0.0)
+    values = np.append(np.bincount(of, value, len(key)), 0.0)
+    owns = np.log10(counts + 1)
     out = []
     for row, texts, keys in zip(*(requests.column(c) for c in ("row", "texts", "keys")), strict=True):
         asked = np.frombuffer(keys.as_buffer(), np.int64)
-        of = np.frombuffer(texts.as_buffer(), np.uint32)
-        c = counts[_find(words, asked)]
-        own = np.log10(c + 1)
-        both = own + values[_find(sequences, asked)]
-        n = int(of[-1]) + 1 if len(of) else 0  # they are in order
+        text = np.frombuffer(texts.as_buffer(), np.uint32)
+        order = np.argsort(asked)  # looked up one after the other, not here and there
+        place, of = _find(key, asked[order]), text[order]
+        own = owns[place]
+        n = int(text[-1]) + 1 if len(text) else 0  # they are in order
         some = np.flatnonzero(np.bincount(of, minlength=n))
         total = lambda x: np.bincount(of, x, n)[some]  # noqa: B023, E731
-        out.append((row.as_py() + some, total(c > 0).astype(np.int64), total(own), total(both)))
+        is_known = total(counts[place] > 0).astype(np.int64)
+        out.append((row.as_py() + some, is_known, total(own), total(own + values[place])))
     columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2
     return pa.table([pa.array(c) for c in columns], ["row", "n_known", "base", "score"])
 
@@ -560,8 +558,8 @@ def score_texts(texts: DataFrame, tree: Tree) -> DataFrame:
     texts, _ = _in_tasks(texts)
     n_known = tree.n_words + n_light
     n_segments = max(LEAST_SEGMENTS, ceil(n_known / SEGMENT_ROWS))
-    word = [F.col("n").alias("count"), F.lit(0.0).alias("value"), F.lit(True).alias("is_word")]
-    other = [F.lit(0).cast("long").alias("count"), "value", F.lit(False).alias("is_word")]
+    word = [F.col("n").alias("count"), F.lit(0.0).alias("value")]
+    other = [F.lit(0).cast("long").alias("count"), "value"]
     segment = F.pmod("key", F.lit(n_segments)).cast("int").alias("segment")
     known = tree.words.where(F.col("n") < tree.heavy).select(segment, "key", *word)
     known = known.union(light.select(segment, "key", *other))
