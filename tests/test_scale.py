@@ -6,7 +6,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from cartstream.sources import TextTopic, topics
-from cartstream.sources.warehouse import transaction_messages
+from cartstream.sources.warehouse import repeated_transaction_messages, transaction_messages
 
 
 def _bytes(folder) -> int:
@@ -31,3 +31,25 @@ def test_topic_files_are_bounded(spark, folder, monkeypatch):
     topic.publish(spark.range(1000, numPartitions=1).select(F.col("id").cast("string").alias("value")))
     assert len(list(Path(topic.path).glob("part-*"))) == 10
     assert topic.read(spark).count() == 1000
+
+
+def test_repeated_shop_publishes_only_what_is_asked_for(spark):
+    import __spark_entry__ as entry
+
+    entry._repeated_shop.cache_clear()
+    shop = entry.repeated_shop_for(spark, f"{TESTDATA}/sf0.001")
+    shop.topic("users")
+    assert [path.name for path in Path(shop.root.removeprefix("file:"), "topics").iterdir()] == ["users"]
+
+
+def test_repeated_messages_join_once(spark):
+    messages = repeated_transaction_messages(spark, f"{TESTDATA}/sf0.001")
+    plan = messages._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2
+    rows = messages.groupBy("value").count()
+    number = F.regexp_extract("value", r"TXN0*(\d+)-", 1).cast("long")
+    sent = rows.groupBy((number % 42).alias("rest")).agg(F.sum("count").alias("n"), F.count("*").alias("kinds"))
+    plain = transaction_messages(spark, f"{TESTDATA}/sf0.001").groupBy((number % 42).alias("rest"))
+    for row in sent.join(plain.count(), "rest").collect():
+        copies = 1 + (row["rest"] % 3 == 0) + (row["rest"] % 7 in (0, 1))
+        assert row["n"] == copies * row["count"], row
