@@ -2,10 +2,12 @@
 
 from pathlib import Path
 
+import pytest
 from conftest import TESTDATA
 from pyspark.sql import functions as F
 
-from cartstream.sources import TextTopic, topics
+from cartstream.operators.keys import kept_rows
+from cartstream.sources import TextTopic, keyed, topics
 from cartstream.sources.warehouse import repeated_transaction_messages, transaction_messages
 
 
@@ -53,3 +55,36 @@ def test_repeated_messages_join_once(spark):
     for row in sent.join(plain.count(), "rest").collect():
         copies = 1 + (row["rest"] % 3 == 0) + (row["rest"] % 7 in (0, 1))
         assert row["n"] == copies * row["count"], row
+
+
+def _users(spark, numbers: range, day: int):
+    time = F.make_date(F.lit(2024), F.lit(1), F.lit(day)).cast("timestamp_ntz")
+    user = F.concat(F.lit("U"), F.col("id").cast("string"))
+    frame = spark.range(numbers.start, numbers.stop)
+    return frame.select(user.alias("user_id"), time.alias("registered_at"), *(user.alias(n) for n in ("name", "email", "location")))
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_batch_takes_only_its_own_keys_from_the_store(spark, folder, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(keyed, "LOOKUP_ROWS", 0)
+    runs = keyed.KeyedStore("users", folder).runs
+    stored = runs.write(_users(spark, range(1000), 2), "0-0", 0, 4)
+    found = runs.lookup(_users(spark, range(990, 1010), 1), (stored,))
+    wanted = found.where(F.substring("user_id", 2, 9).cast("int") >= 990)
+    assert wanted.count() == 10 and (found.count() == 10) is few
+
+
+def test_runs_are_merged_in_one_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 100)
+    runs = keyed.KeyedStore("users", folder).runs
+    parts = [runs.write(_users(spark, range(n * 50, n * 50 + 100), 9 - n), f"{n}-0", 0, 1) for n in range(keyed.FAN_IN)]
+    (whole,) = runs.merged(spark, parts, 7)
+    assert (whole.level, whole.buckets, whole.rows) == (1, 8, 450)
+    rows = runs.rows(spark, [whole])
+    kept = kept_rows(runs.rows(spark, parts), "users", runs.columns)
+    assert rows.count() == 450 and not rows.exceptAll(kept).count()
+    touched = runs.touched(rows, [whole])
+    assert runs.rows(spark, [whole], touched).count() == 450
+    files = list(Path(runs.path(whole.name)).rglob("part-*"))
+    assert len(files) == len(touched[8])  # one file a bucket
