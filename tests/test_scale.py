@@ -88,3 +88,12 @@ def test_runs_are_merged_in_one_shuffle(spark, folder, monkeypatch):
     assert runs.rows(spark, [whole], touched).count() == 450
     files = list(Path(runs.path(whole.name)).rglob("part-*"))
     assert len(files) == len(touched[8])  # one file a bucket
+
+
+@pytest.mark.parametrize("buckets, shuffles", [(1, 0), (4, 1)])
+def test_a_run_of_one_bucket_is_written_as_it_lies(spark, folder, monkeypatch, buckets, shuffles):
+    hints = []
+    hint = type(spark.range(0)).hint
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda self, *a: hints.append(a) or hint(self, *a))
+    run = keyed.KeyedStore("users", folder).runs.write(_users(spark, range(50), 1), "0-0", 0, buckets)
+    assert run.rows == 50 and len(hints) == shuffles
