@@ -66,7 +66,7 @@ END = word_hash(b" ")
 HELD = 1 << 20
 
 # Bytes of text in one row of the table of word numbers.
-ROW_BYTES = 4 << 20
+ROW_BYTES = 2 << 20
 
 # Tokens that a task goes through: the fewer tasks count a sequence, the fewer
 # rows are shuffled.
@@ -393,8 +393,8 @@ def grow_tree(texts: DataFrame) -> Tree:
         rows = _level(counts, below)
         rows.write.parquet(folders[-1])
         rows = spark.read.schema(rows.schema).parquet(folders[-1])
-        shared.unpersist()
-        plausible.unpersist()
+        shared.destroy()
+        plausible.destroy()
         _free_shuffles(spark)
         n_below = rows.count()
         if not n_below:
@@ -555,6 +555,7 @@ def score_texts(texts: DataFrame, tree: Tree) -> DataFrame:
         key_filter(light, n_light),
     )
     shared = spark.sparkContext.broadcast(held)
+    _free_shuffles(spark)
     texts, _ = _in_tasks(texts)
     n_known = tree.n_words + n_light
     n_segments = max(LEAST_SEGMENTS, ceil(n_known / SEGMENT_ROWS))
