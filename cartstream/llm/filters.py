@@ -68,11 +68,29 @@ def buckets(keys: np.ndarray, width: int) -> np.ndarray:
     return (mixed(keys.view(np.uint64)) >> np.uint64(64 - width)).astype(np.int64)
 
 
-def _parts(bucket: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sorted buckets and their counts, a row for each segment."""
-    if not len(bucket):
+def _counts(bucket: np.ndarray) -> np.ndarray:
+    """Distinct buckets in order, each with its count, up to 255, in the last byte."""
+    distinct, n = np.unique(bucket.astype(np.uint32), return_counts=True)
+    return distinct.astype(np.uint64) << np.uint64(8) | np.minimum(n, 255).astype(np.uint64)
+
+
+def _total(counted: list[np.ndarray]) -> np.ndarray:
+    """`_counts` of all that some `_counts` are of."""
+    packed = np.concatenate(counted)
+    packed.sort()
+    bucket = packed >> np.uint64(8)
+    cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    packed &= np.uint64(255)
+    n = np.minimum(np.add.reduceat(packed, cuts), np.uint64(255))
+    return bucket[cuts] << np.uint64(8) | n
+
+
+def _parts(counted: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    """Of `_counts`, a row for each segment; counts of at most `least`."""
+    if not len(counted):
         return
-    segment = bucket >> SEGMENT_BITS
+    bucket, count = counted >> np.uint64(8), np.minimum(counted & np.uint64(255), np.uint64(least))
+    segment = (bucket >> np.uint64(SEGMENT_BITS)).astype(np.int64)
     starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
     bounds = list(zip(starts, [*starts[1:], len(bucket)], strict=True))
     places, counts = bucket.astype(np.uint16), count.astype(np.uint8)
@@ -116,25 +134,20 @@ def heavy_filter(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n_held = [], 0
-
-        def total():
-            bucket, counts = (np.concatenate(x) for x in zip(*held, strict=True))
-            distinct, of = np.unique(bucket, return_inverse=True)
-            return distinct, np.minimum(np.bincount(of, counts, len(distinct)), least)
-
         for batch in batches:
             for part in keys(batch):
-                distinct, n = np.unique(buckets(part, width), return_counts=True)
-                held.append((distinct, n))
-                n_held += len(distinct)
+                if not len(part):
+                    continue
+                held.append(_counts(buckets(part, width)))
+                n_held += len(held[-1])
                 if n_held >= HELD:
-                    held = [total()]
-                    n_held = len(held[0][0])
+                    held = [_total(held)]
+                    n_held = len(held[0])
                     if n_held >= HELD // 2:
-                        yield from _parts(*held[0])
+                        yield from _parts(held[0], least)
                         held, n_held = [], 0
         if held:
-            yield from _parts(*total())
+            yield from _parts(_total(held), least)
 
     out = Filter(width)
     found = rows.mapInArrow(count, PARTS).repartition("segment")

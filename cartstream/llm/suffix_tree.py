@@ -183,6 +183,16 @@ def _starts(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return first
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that sorts `keys`, where in it each distinct one begins, and these."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    begins = np.ones(len(keys), bool)
+    begins[1:] = ordered[1:] != ordered[:-1]
+    cuts = np.flatnonzero(begins)
+    return order, cuts, ordered[cuts]
+
+
 def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[pa.RecordBatch]:
     """Sums of counts by key, with the columns `names` that go with a key, handed
     on whenever HELD keys have come together. `parts`: keys, counts, columns."""
@@ -191,8 +201,9 @@ def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[p
 
     def total() -> tuple[np.ndarray, ...]:
         keys, counts, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
-        distinct, at, of = np.unique(keys, return_index=True, return_inverse=True)
-        counts = np.bincount(of, counts, len(distinct)).astype(np.int64)
+        order, cuts, distinct = _distinct(keys)
+        counts = np.add.reduceat(counts[order], cuts) if len(cuts) else counts
+        at = order[cuts]
         return distinct, counts, *(c[at] for c in columns)
 
     def batch(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -252,8 +263,9 @@ def _sequence_counter(length: int, shared: Broadcast, plausible: Broadcast):
             for batch in batches:
                 for key, context in _longer(batch, length, shared.value):
                     some = plausible.value.holds(key)
-                    keys, where, n = np.unique(key[some], return_index=True, return_counts=True)
-                    yield keys, n, context[some][where]
+                    key, context = key[some], context[some]
+                    order, cuts, keys = _distinct(key)
+                    yield keys, np.diff(cuts, append=len(key)), context[order[cuts]]
 
         return _counted(parts(), "context")
 

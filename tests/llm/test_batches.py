@@ -1,7 +1,9 @@
 """What a Python worker takes at once is bounded in bytes, not in rows alone."""
 
+import numpy as np
 import pyarrow as pa
 
+from cartstream.llm.filters import MAX_BITS, _counts, _total
 from cartstream.llm.ship import BATCH_BYTES, BATCH_SETTING, bound_batches
 from cartstream.llm.suffix_tree import ROW_BYTES
 
@@ -28,3 +30,13 @@ def test_the_setting_of_a_session_stays(llm_spark):
     own.conf.set(BATCH_SETTING, 3 << 20)
     bound_batches(own)
     assert own.conf.get(BATCH_SETTING) == str(3 << 20)
+
+
+def test_counts_of_buckets_add_up_and_stop_at_a_byte():
+    rng = np.random.default_rng(3)
+    parts = [rng.integers(0, 50, n) for n in (400, 1, 3000)] + [np.full(500, (1 << MAX_BITS) - 1)]
+    held = _total([_counts(p) for p in parts])
+    bucket, n = np.unique(np.concatenate(parts), return_counts=True)
+    assert held.dtype.itemsize == 8  # a bucket with its count, not two numbers
+    assert (held >> np.uint64(8)).tolist() == bucket.tolist()
+    assert (held & np.uint64(255)).tolist() == np.minimum(n, 255).tolist()
