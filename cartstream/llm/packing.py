@@ -19,6 +19,10 @@ from cartstream.llm.tokens import tokenizer
 # Items that one task packs.
 ITEMS_PER_TASK = 50_000
 
+# Bytes of text that are encoded together: a worker also holds the tokenizer and the
+# pieces it knows, so its arrays are kept small.
+ENCODED_BYTES = 1 << 20
+
 # A sequence with no more room than this is nearly full and leaves the tree.
 SLACK = 4
 
@@ -32,7 +36,7 @@ def _piece_maker(path: str, capacity: int, end_id: int):
         model = tokenizer(path)
         item = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", limit=ENCODED_BYTES):
                 ids, bounds = model.encode(part.column("text"))
                 # Each text's ids and its end id, end to end.
                 all_ids = np.insert(ids, bounds[1:], end_id).astype("<u4")

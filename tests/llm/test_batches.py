@@ -3,7 +3,10 @@
 import numpy as np
 import pyarrow as pa
 
+from cartstream.llm import packing
 from cartstream.llm.filters import MAX_BITS, _counts, _total
+from cartstream.llm.packing import ENCODED_BYTES, pack_documents
+from cartstream.llm.queries import TOKENIZER
 from cartstream.llm.ship import BATCH_BYTES, BATCH_SETTING, bound_batches
 from cartstream.llm.suffix_tree import ROW_BYTES
 
@@ -40,3 +43,12 @@ def test_counts_of_buckets_add_up_and_stop_at_a_byte():
     assert held.dtype.itemsize == 8  # a bucket with its count, not two numbers
     assert (held >> np.uint64(8)).tolist() == bucket.tolist()
     assert (held & np.uint64(255)).tolist() == np.minimum(n, 255).tolist()
+
+
+def test_pieces_do_not_depend_on_how_much_is_encoded_together(awkward, monkeypatch):
+    assert 4 * ENCODED_BYTES <= BATCH_BYTES
+    some = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = [sorted(map(str, pack_documents(awkward, TOKENIZER).select(some).collect()))]
+    monkeypatch.setattr(packing, "ENCODED_BYTES", 1000)
+    rows.append(sorted(map(str, pack_documents(awkward, TOKENIZER).select(some).collect())))
+    assert rows[0] == rows[1]
