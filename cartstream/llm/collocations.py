@@ -7,13 +7,15 @@ the threshold, wherever the scan is then, and is counted until each shard has be
 scanned once. The scans end when a whole round has activated nothing.
 
 Shards hold numbers of words, not text, written once. Counts are rows of (length,
-key, shard, n), a key being a hash of language and words; a shard's count of a phrase
+key, scan, n), a key being a hash of language and words; a shard's count of a phrase
 is the same whenever it is scanned, so a phrase scanned twice does no harm.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartstream.llm.filters import SPARE, Filter, heavy_filter, key_column, key_filter, width_for
-from cartstream.llm.tables import text_of, written
+from cartstream.llm.tables import few_tasks, text_of, written
 from cartstream.llm.text import Words, mixed, piece_table, pieces, slices, split_words, word_hash
 from cartstream.session import new_run_dir
 
@@ -207,33 +209,42 @@ def _scanner(shared: Broadcast, first_round: bool):
     return scan
 
 
-class _Steps:
-    """A table in parts, one for each scan, that are read together."""
+class _Scans:
+    """Counts in parts, one for each scan, that are read together."""
 
-    def __init__(self, spark: SparkSession, label: str, schema: str) -> None:
-        self.spark, self.schema = spark, schema
-        self.folder = new_run_dir(spark, label)
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.schema = spark, f"{COUNTS}, scan int"
+        self.folder = new_run_dir(spark, "phrase-counts")
         self.parts: list[str] = []
 
-    def add(self, rows: DataFrame) -> DataFrame:
+    def add(self, rows: DataFrame) -> None:
         self.parts.append(f"{self.folder}/{len(self.parts)}")
-        rows.write.parquet(self.parts[-1])
-        return self.read(self.parts[-1:])
+        few_tasks(rows).write.parquet(self.parts[-1])
 
-    def read(self, parts: list[str] | None = None) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(*(parts or self.parts))
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.parts)
 
 
-def _totals(counted: DataFrame, least: int) -> DataFrame:
+def _occurrences(n_shards: int, before: int | None = None) -> Column:
+    """Of a phrase's counts, the sum over the shards; of the scans `before` that one alone."""
+    n = F.col("n") if before is None else F.when(F.col("scan") < before, F.col("n"))
+    of_shard = [F.max(F.when(F.col("scan") % n_shards == shard, n)) for shard in range(n_shards)]
+    return reduce(add, (F.coalesce(most, F.lit(0).cast("long")) for most in of_shard))
+
+
+def _totals(counted: DataFrame, least: int, n_shards: int) -> DataFrame:
     """Occurrences of phrases that have `least` of them: length, key, n, start, end."""
     parts = [F.first(part).alias(part) for part in ("start", "end")]
-    return (
-        counted.groupBy("length", "key", "shard")
-        .agg(F.max("n").alias("n"), *parts)
-        .groupBy("length", "key")
-        .agg(F.sum("n").alias("n"), *parts)
-        .where(F.col("n") >= least)
-    )
+    totals = counted.groupBy("length", "key").agg(_occurrences(n_shards).alias("total"), *parts)
+    return totals.where(F.col("total") >= least).select("length", "key", F.col("total").alias("n"), "start", "end")
+
+
+def _newly_reached(counted: DataFrame, least: int, n_shards: int, scan: int) -> DataFrame:
+    """Keys of phrases that have `least` occurrences since this scan, and may be part
+    of longer ones."""
+    totals = counted.where(F.col("length") < LONGEST).groupBy("length", "key")
+    totals = totals.agg(_occurrences(n_shards).alias("now"), _occurrences(n_shards, scan).alias("before"))
+    return totals.where((F.col("now") >= least) & (F.col("before") < least)).select("key")
 
 
 def count_phrases(shards: DataFrame, n_shards: int, least: int) -> DataFrame:
@@ -247,29 +258,26 @@ def count_phrases(shards: DataFrame, n_shards: int, least: int) -> DataFrame:
     longer = heavy_filter(scanned, _long_keys(pairs), least, width_for(n_words / BUCKET_LOAD))
     pairs.unpersist()
     width = width_for(SPARE * (plausible.size() + longer.size()))
-    counted = _Steps(spark, "phrase-counts", f"{COUNTS}, shard int")
-    reached = _Steps(spark, "phrases-reached", "key long")
+    counted = _Scans(spark)
     filters: list[Filter] = []  # by scan, the keys that reached the threshold in it
     while True:
-        step = len(filters)
+        scan = len(filters)
         shared = spark.sparkContext.broadcast(
             (plausible, longer, Filter.of(filters, width), Filter.of(filters[-n_shards:], width))
         )
         counts = (
-            scanned.where(F.col("shard") == step % n_shards)
-            .mapInArrow(_scanner(shared, step < n_shards), COUNTS)
+            scanned.where(F.col("shard") == scan % n_shards)
+            .mapInArrow(_scanner(shared, scan < n_shards), COUNTS)
             .groupBy("length", "key")
             .agg(F.sum("n").alias("n"), F.first("start").alias("start"), F.first("end").alias("end"))
-            .withColumn("shard", F.lit(step % n_shards))
+            .withColumn("scan", F.lit(scan))
         )
         counted.add(counts)
         shared.unpersist()
-        new = _totals(counted.read(), least).where(F.col("length") < LONGEST).select("key")
-        if reached.parts:
-            new = new.join(reached.read(), "key", "left_anti")
-        filters.append(heavy_filter(reached.add(new), key_column, 1, width))
-        if step + 1 >= n_shards and not any(f.size() for f in filters[-n_shards:]):
-            return _totals(counted.read(), least)
+        new = few_tasks(_newly_reached(counted.read(), least, n_shards, scan))
+        filters.append(heavy_filter(new, key_column, 1, width))
+        if scan + 1 >= n_shards and not any(f.size() for f in filters[-n_shards:]):
+            return _totals(counted.read(), least, n_shards)
 
 
 def score() -> Column:

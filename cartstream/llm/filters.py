@@ -21,6 +21,9 @@ SEGMENT_BITS = 16
 # Bits for each key.
 SPARE = 16
 
+# Segments that a task sums up, about, where there are more of them than cores.
+TASK_SEGMENTS = 32
+
 # Distinct buckets that a task holds before it hands their counts on.
 HELD = 1 << 20
 
@@ -150,7 +153,9 @@ def heavy_filter(
             yield from _parts(_total(held), least)
 
     out = Filter(width)
-    found = rows.mapInArrow(count, PARTS).repartition("segment")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, (1 << (width - SEGMENT_BITS)) // TASK_SEGMENTS)
+    found = rows.mapInArrow(count, PARTS).repartition("segment").coalesce(tasks)
     size = 1 << (SEGMENT_BITS - 3)
     for row in found.mapInArrow(_summed(least), "segment long, bits binary").toArrow().to_pylist():
         out.bits[row["segment"] * size : (row["segment"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)

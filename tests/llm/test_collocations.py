@@ -150,3 +150,23 @@ def test_frame_has_no_extra_columns(llm_spark):
     rows = collocations(docs, n_shards=1)
     assert rows.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
     assert sorted(tuple(row) for row in rows.collect()) == plain([("en", "a b " * 200)], 100, 2000)
+
+
+def test_a_scan_is_added_up_in_one_shuffle(llm_spark):
+    """With a partition for each hash, every shuffle of a scan counts: the check's table
+    of large groups has 211 of them."""
+    rows = [  # length, key, n, start, end, scan; of two shards, the first scanned twice
+        *((2, 1, n, 7, 8, scan) for n, scan in ((6, 0), (3, 1), (6, 2))),
+        *((2, 2, n, 7, 9, scan) for n, scan in ((6, 0), (4, 1), (6, 2))),
+        *((2, 3, n, 9, 7, scan) for n, scan in ((5, 1), (5, 2))),
+        *((5, 4, n, 2, 3, scan) for n, scan in ((9, 1), (9, 2))),
+    ]
+    counted = llm_spark.createDataFrame(rows, f"{module.COUNTS}, scan int")
+    totals, new = module._totals(counted, 10, 2), module._newly_reached(counted, 10, 2, 2)
+    assert sorted(map(tuple, totals.collect())) == [(2, 2, 10, 7, 9), (2, 3, 10, 9, 7), (5, 4, 18, 2, 3)]
+    assert [row["key"] for row in new.collect()] == [3]
+    for frame_ in (totals, new):
+        plan = frame_._jdf.queryExecution().sparkPlan().toString()
+        assert "Join" not in plan
+        plan = frame_._jdf.queryExecution().executedPlan().initialPlan().toString()
+        assert plan.count("Exchange") == 1
