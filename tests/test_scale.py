@@ -7,8 +7,12 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from cartstream.operators.keys import kept_rows
-from cartstream.sources import TextTopic, keyed, topics
+from cartstream.schemas import TOPICS
+from cartstream.sources import Lake, TextTopic, keyed, read_table, topics
+from cartstream.sources.lake import LANDED_AT
 from cartstream.sources.warehouse import repeated_transaction_messages, transaction_messages
+from cartstream.streaming import AVAILABLE_NOW, ingest, start_landing
+from cartstream.streaming.keys import follow_batch
 
 
 def _bytes(folder) -> int:
@@ -97,3 +101,46 @@ def test_a_run_of_one_bucket_is_written_as_it_lies(spark, folder, monkeypatch, b
     monkeypatch.setattr(type(spark.range(0)), "hint", lambda self, *a: hints.append(a) or hint(self, *a))
     run = keyed.KeyedStore("users", folder).runs.write(_users(spark, range(50), 1), "0-0", 0, buckets)
     assert run.rows == 50 and len(hints) == shuffles
+
+
+def test_parts_meet_the_lines_after_the_shuffle(spark):
+    """Lines are shuffled with the orders; a part's text is not carried through that."""
+    messages = transaction_messages(spark, f"{TESTDATA}/sf0.001")
+    plan = messages._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "p_partkey" in joins[0] and "o_orderkey" in joins[1]
+
+
+def test_small_runs_are_one_scan(spark, folder):
+    runs = keyed.KeyedStore("users", folder).runs
+    parts = [runs.write(_users(spark, range(n * 10, n * 10 + 20), 9 - n), f"{n}-0", 0, 1 + n % 2) for n in range(6)]
+    rows = runs.rows(spark, parts, {2: [0, 1]})
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 1
+    assert rows.count() == 120 and rows.columns == runs.schema.names
+    some = runs.rows(spark, parts, {2: [1]})
+    assert some.count() == 60 + sum(runs.rows(spark, [run], {2: [1]}).count() for run in parts[1::2])
+
+
+def test_a_batch_is_read_only_in_what_is_stored(spark, folder):
+    store = keyed.KeyedStore("users", folder)
+    batch = _users(spark, range(20), 1).withColumn(LANDED_AT, F.current_timestamp())
+    batch = batch.withColumn("more", F.raise_error(F.concat(F.lit("read of "), "user_id")))
+    follow_batch(batch, 0, store)
+    assert sum(run.rows for run in store.note(spark).runs) == 20
+
+
+@pytest.mark.parametrize("most", [2, 16])
+def test_landing_sorts_nothing_but_rows_of_too_many_periods(spark, folder, monkeypatch, most):
+    """A sorted task of compressed messages spills."""
+    monkeypatch.setattr(ingest, "OPEN_FILES", most)
+    spark.conf.unset(ingest.OPEN_FILES_SETTING)
+    line = '{"user_id":"u%d","registered_at":"2025-01-0%d 10:00:00"}'
+    messages = [(line % (n, 1 + n % 5),) for n in range(100)]
+    topic, lake = TextTopic(f"{folder}/topic"), Lake(f"{folder}/lake")
+    topic.publish(spark.createDataFrame(messages, "value string").coalesce(1))
+    start_landing(spark, TOPICS["users"], topic, lake, AVAILABLE_NOW).awaitTermination()
+    assert spark.conf.get(ingest.OPEN_FILES_SETTING) == str(most)
+    rows = read_table(spark, lake, "users")
+    assert sorted(int(r["user_id"][1:]) for r in rows.select("user_id").collect()) == [*range(100)]
+    assert len(list(Path(lake.table("users")).rglob("part-*.parquet"))) == 5
+    spark.conf.unset(ingest.OPEN_FILES_SETTING)
