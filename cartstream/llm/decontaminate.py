@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartstream.llm.tables import text_of
-from cartstream.llm.text import Words, alphanumeric_table, slices, split_words
+from cartstream.llm.text import LIGHT_BYTES, Words, alphanumeric_table, slices, split_words
 
 # Bytes of benchmark text that are searched for in one pass over the documents.
 # A larger benchmark takes more passes, each with a broadcast of its own.
@@ -161,7 +161,7 @@ def _finder(shared: Broadcast):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher, table = shared.value, alphanumeric_table()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", limit=LIGHT_BYTES):
                 words = split_words(part.column("text"), table)
                 starts, ends, names = searcher.search(words)
                 owner = np.searchsorted(words.starts, starts, side="right") - 1

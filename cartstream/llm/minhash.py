@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartstream.llm.components import components
 from cartstream.llm.tables import keep_rows, text_of, written
-from cartstream.llm.text import mixed, shingle_sets, slices
+from cartstream.llm.text import LIGHT_BYTES, mixed, shingle_sets, slices
 
 # Bins that the one permutation is cut into, by the top bits of a hash.
 BIN_BITS = 9
@@ -91,7 +91,7 @@ SIGNED = (
 def _signer(size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", limit=LIGHT_BYTES):
                 n = part.num_rows
                 values, owner = shingle_sets(part.column("text"), size)
                 keys, marks = signatures(values, owner, n)
@@ -120,7 +120,7 @@ def _verifier(size: int, percent: int):
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a", "text_b"):
+            for part in slices(batch, "text_a", "text_b", limit=LIGHT_BYTES):
                 n = part.num_rows
                 left, of_left = shingle_sets(part.column("text_a"), size)
                 right, of_right = shingle_sets(part.column("text_b"), size)
@@ -141,7 +141,7 @@ def _own_text(size: int):
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", limit=LIGHT_BYTES):
                 whole = set_digests(*shingle_sets(part.column("text"), size), part.num_rows)
                 same = (whole[:, 0] == part.column("set_hi").to_numpy()) & (
                     whole[:, 1] == part.column("set_lo").to_numpy()

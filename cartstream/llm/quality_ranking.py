@@ -12,7 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cartstream.llm.tables import text_of
-from cartstream.llm.text import SPACE, slices, split_words, text_bytes, white_space_table
+from cartstream.llm.text import (
+    LIGHT_BYTES,
+    SPACE,
+    slices,
+    split_words,
+    text_bytes,
+    white_space_table,
+)
 
 # Labelled rows of each class that the model is fitted on, at most: those with
 # the smallest hashes of their doc_id. Their features (about 4 kB a row) are all
@@ -98,7 +105,9 @@ class Ranking:
     threshold: float
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        strength = np.clip(features(texts) @ self.weights - self.threshold, -500, 500)
+        # Summed text by text: equal texts score alike whatever they are scored with.
+        strength = np.einsum("ij,j->i", features(texts), self.weights)
+        strength = np.clip(strength - self.threshold, -500, 500)
         return 1 / (1 + np.exp(-strength) * (1 - ACCEPT) / ACCEPT)
 
 
@@ -143,7 +152,7 @@ def fit(preferred: np.ndarray, rejected: np.ndarray, rejected_share: float) -> R
 
 def _featurer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", limit=LIGHT_BYTES):
             rows = features(part.column("text")).astype(np.float32)
             packed = pa.array([row.tobytes() for row in rows], pa.binary())
             yield pa.record_batch(
@@ -188,6 +197,16 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None) -> R
     return fit(unpack(1), unpack(0), share)
 
 
+def _scorer(ranking: Ranking):
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", limit=LIGHT_BYTES):
+                values = pa.array(ranking.scores(part.column("text")), pa.float64())
+                yield pa.record_batch([part.column("carried"), values], ["carried", "score"])
+
+    return scored
+
+
 def score(docs: DataFrame, carried: Column, ranking: Ranking) -> DataFrame:
     """Per row of `docs`: `carried` and its score from 0 to 1.
 
@@ -196,14 +215,7 @@ def score(docs: DataFrame, carried: Column, ranking: Ranking) -> DataFrame:
     """
     rows = docs.select(carried.alias("carried"), text_of(docs).alias("text"))
     schema = StructType([rows.schema["carried"]]).add("score", "double")
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                values = pa.array(ranking.scores(part.column("text")), pa.float64())
-                yield pa.record_batch([part.column("carried"), values], ["carried", "score"])
-
-    return rows.mapInArrow(scored, schema)
+    return rows.mapInArrow(_scorer(ranking), schema)
 
 
 def accepted(docs: DataFrame, ranking: Ranking) -> DataFrame:

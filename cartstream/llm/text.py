@@ -20,6 +20,10 @@ SPACE = 32
 # depend on how many rows Spark sends at once. One longer text is its own slice.
 SLICE_BYTES = 4 << 20
 
+# The same where the arrays are many times their text, and workers that stay between
+# the stages of a pipeline would keep that memory.
+LIGHT_BYTES = 1 << 20
+
 
 # Characters at which texts are cut into pieces.
 PIECE_ENDS = [0x0A, 0x0B, 0x0C, 0x0D, *b".,;:!?"]
