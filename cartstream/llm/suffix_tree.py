@@ -35,7 +35,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartstream.llm.filters import Filter, heavy_filter, key_filter, width_for
+from cartstream.llm.filters import Filter, SharedFilter, heavy_filter, key_filter, width_for
 from cartstream.llm.tables import text_of, written
 from cartstream.llm.text import slices, split_words, white_space_table, word_hash
 from cartstream.session import new_run_dir
@@ -76,7 +76,8 @@ TASK_TOKENS = 1 << 23
 BUCKETS_PER_TOKEN = 2
 
 # Segments in which texts and tree meet: one for so many words and sequences of the
-# tree, at least a few.
+# tree, at least a few. A worker holds the tree's part of one, and of the texts' part
+# what Spark sends at once.
 SEGMENT_ROWS = 1 << 21
 LEAST_SEGMENTS = 16
 
@@ -200,11 +201,17 @@ def _counted(parts: Iterator[tuple[np.ndarray, ...]], *names: str) -> Iterator[p
     n_held = 0
 
     def total() -> tuple[np.ndarray, ...]:
-        keys, counts, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
-        order, cuts, distinct = _distinct(keys)
+        parts = [*zip(*held, strict=True)][::-1]
+        held.clear()
+        order, cuts, distinct = _distinct(np.concatenate(parts.pop()))
+        counts = np.concatenate(parts.pop())
         counts = np.add.reduceat(counts[order], cuts) if len(cuts) else counts
         at = order[cuts]
-        return distinct, counts, *(c[at] for c in columns)
+        del order, cuts
+        out = [distinct, counts]
+        while parts:  # one after the other, each let go when it has been read
+            out.append(np.concatenate(parts.pop())[at])
+        return tuple(out)
 
     def batch(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
         for start in range(0, len(columns[0]), 1 << 17):
@@ -247,7 +254,7 @@ def _longer(batch: pa.RecordBatch, length: int, frequent: Filter) -> Iterator[tu
         yield key[at], shorter[at - 1]
 
 
-def _hasher(length: int, shared: Broadcast) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
+def _hasher(length: int, shared: SharedFilter) -> Callable[[pa.RecordBatch], Iterator[np.ndarray]]:
     def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for key, _ in _longer(batch, length, shared.value):
             yield key
@@ -255,7 +262,7 @@ def _hasher(length: int, shared: Broadcast) -> Callable[[pa.RecordBatch], Iterat
     return keys
 
 
-def _sequence_counter(length: int, shared: Broadcast, plausible: Broadcast):
+def _sequence_counter(length: int, shared: SharedFilter, plausible: SharedFilter):
     """Counts of sequences that may occur MIN_COUNT times."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,11 +397,12 @@ def grow_tree(texts: DataFrame) -> Tree:
     )
     n_below, levels, contexts, folders = size["frequent"], [], [], []
     for length in range(2, MAX_CONTEXT + 2):
-        shared = spark.sparkContext.broadcast(key_filter(below, n_below))
+        shared = SharedFilter(spark.sparkContext, key_filter(below, n_below))
         width = width_for(BUCKETS_PER_TOKEN * tree.n_tokens)
-        plausible = spark.sparkContext.broadcast(
-            heavy_filter(lines, _hasher(length, shared), MIN_COUNT, width)
+        plausible = SharedFilter(
+            spark.sparkContext, heavy_filter(lines, _hasher(length, shared), MIN_COUNT, width)
         )
+        _free_shuffles(spark)
         counts = (
             lines.mapInArrow(_sequence_counter(length, shared, plausible), "key long, n long, context long")
             .groupBy("key")
@@ -423,22 +431,26 @@ def grow_tree(texts: DataFrame) -> Tree:
 
 
 SCORED = "row long, carried {}, n_tokens long, n_known long, base double, score double"
-REQUESTS = "segment int, row long, texts binary, keys binary"
+ANSWERS = "row long, n_known long, base double, score double"
+
+# Packed arrays of keys of a segment, and what goes with each: of the texts' row of
+# this number which text a key is of; of the tree (in place of the number one of these)
+# a word's count or a sequence's value. So in the order of `row` the tree's come first.
+PACKED = "segment int, row long, more binary, keys binary"
+WORDS, SEQUENCES = -2, -1
+KINDS = {WORDS: np.uint32, SEQUENCES: np.float64}  # a word below MIN_SHARE has few occurrences
 
 
 @dataclass
 class Heavy:
     """What the scorers hold: of the most frequent words the log10 chances, of the
-    most frequent sequences the values, both by sorted keys; filters for these
-    sequences and for the others that have a value."""
+    most frequent sequences the values, both by sorted keys."""
 
     words: np.ndarray
     alone: np.ndarray
     unknown: float
     keys: np.ndarray
     values: np.ndarray
-    own: Filter
-    others: Filter
 
 
 def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -449,8 +461,9 @@ def _rows_of(batch: pa.RecordBatch) -> Iterator[tuple]:
         yield hashes, codes, starts, number << 20, np.repeat(np.arange(len(starts) - 1), np.diff(starts))
 
 
-def _own_scorer(shared: Broadcast):
-    """A row per text, with what Heavy holds; other words as if they were unknown."""
+def _own_scorer(shared: Broadcast, heavy_keys: SharedFilter):
+    """A row per text, with what Heavy holds, whose sequences `heavy_keys` lets
+    through; other words as if they were unknown."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
@@ -464,7 +477,7 @@ def _own_scorer(shared: Broadcast):
                 value = values[_find(heavy.keys, hashes)][codes]
                 keys = sequence_keys(hashes[codes], _starts(codes, starts))
                 for key, ok in islice(keys, 1, None):
-                    at = np.flatnonzero(ok & heavy.own.holds(key))
+                    at = np.flatnonzero(ok & heavy_keys.value.holds(key))
                     value[at] += values[_find(heavy.keys, key[at])]
                 yield pa.record_batch(
                     [
@@ -481,9 +494,9 @@ def _own_scorer(shared: Broadcast):
     return score
 
 
-def _requester(shared: Broadcast, n_segments: int):
-    """The texts' other sequences that may have a value, and their other words: a
-    row for each segment that a row's keys are in."""
+def _requester(shared: Broadcast, others: SharedFilter, n_segments: int):
+    """The texts' other sequences that may have a value (`others` lets them through),
+    and their other words: a row for each segment that a row's keys are in."""
 
     def request(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heavy = shared.value
@@ -494,51 +507,100 @@ def _requester(shared: Broadcast, n_segments: int):
                 of, keys = [owner[light]], [words[light]]
                 for key, ok in islice(sequence_keys(words, first), 1, None):
                     at = np.flatnonzero(ok)
-                    at = at[heavy.others.holds(key[at])]
+                    at = at[others.value.holds(key[at])]
                     of.append(owner[at])
                     keys.append(key[at])
                 of, keys = np.concatenate(of).astype(np.uint32), np.concatenate(keys)
                 order = np.argsort(of, kind="stable")
-                of, keys = of[order], keys[order]
-                segment = keys % n_segments
-                order = np.argsort(segment.astype(np.uint16) if n_segments < 1 << 16 else segment, kind="stable")
-                of, keys, segment = of[order], keys[order], segment[order]
-                cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else []
-                bounds = list(zip(cuts, [*cuts[1:], len(segment)], strict=True))
-                yield pa.record_batch(
-                    [
-                        pa.array(segment[cuts].astype(np.int32) if bounds else [], pa.int32()),
-                        pa.array([row] * len(bounds), pa.int64()),
-                        *(pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in (of, keys)),
-                    ],
-                    ["segment", "row", "texts", "keys"],
-                )
+                yield _packed(row, of[order], keys[order], n_segments)
 
     return request
 
 
-def _answer(known: pa.Table, requests: pa.Table) -> pa.Table:
-    """What the texts' sequences of a segment add to their scores."""
-    key, count, value = (known.column(name).to_numpy() for name in ("key", "count", "value"))
-    # A word that is a state by itself is there twice.
-    key, of = np.unique(key, return_inverse=True)
-    counts = np.append(np.bincount(of, count, len(key)), 0.0)
-    values = np.append(np.bincount(of, value, len(key)), 0.0)
-    owns = np.log10(counts + 1)
-    out = []
-    for row, texts, keys in zip(*(requests.column(c) for c in ("row", "texts", "keys")), strict=True):
-        asked = np.frombuffer(keys.as_buffer(), np.int64)
-        text = np.frombuffer(texts.as_buffer(), np.uint32)
+def _packed(row: int, more: np.ndarray, keys: np.ndarray, n_segments: int) -> pa.RecordBatch:
+    """A row of PACKED for each segment that some of the keys are in, which stay in order."""
+    segment = keys % n_segments
+    order = np.argsort(segment.astype(np.uint16) if n_segments < 1 << 16 else segment, kind="stable")
+    more, keys, segment = more[order], keys[order], segment[order]
+    cuts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else []
+    bounds = list(zip(cuts, [*cuts[1:], len(segment)], strict=True))
+    return pa.record_batch(
+        [
+            pa.array(segment[cuts].astype(np.int32) if bounds else [], pa.int32()),
+            pa.array([row] * len(bounds), pa.int64()),
+            *(pa.array([x[a:b].tobytes() for a, b in bounds], pa.binary()) for x in (more, keys)),
+        ],
+        ["segment", "row", "more", "keys"],
+    )
+
+
+def _packer(kind: int, n_segments: int):
+    """The tree's keys, and what goes with them, as rows of PACKED."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n_held = [], 0
+        for batch in batches:
+            held.append((batch.column(1).to_numpy().astype(KINDS[kind]), batch.column(0).to_numpy()))
+            n_held += batch.num_rows
+            if n_held >= HELD:
+                yield _packed(kind, *map(np.concatenate, zip(*held, strict=True)), n_segments)
+                held, n_held = [], 0
+        if held:
+            yield _packed(kind, *map(np.concatenate, zip(*held, strict=True)), n_segments)
+
+    return pack
+
+
+class _Known:
+    """The tree's part of a segment: sorted keys, the counts of words, the values of
+    sequences; one more of each, zero, for what is not there."""
+
+    def __init__(self, packed: dict[int, list[tuple[np.ndarray, np.ndarray]]]) -> None:
+        parts = {}
+        for kind, dtype in KINDS.items():
+            some = [(np.empty(0, np.int64), np.empty(0, dtype)), *packed[kind]]
+            parts[kind] = [np.concatenate(x) for x in zip(*some, strict=True)]
+        # A word that is a state by itself is in both.
+        self.keys = np.unique(np.concatenate([keys for keys, _ in parts.values()]))
+        self.of = {kind: np.zeros(len(self.keys) + 1, dtype) for kind, dtype in KINDS.items()}
+        for kind, (keys, more) in parts.items():
+            self.of[kind][np.searchsorted(self.keys, keys)] = more
+
+    def answer(self, row: int, text: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What the keys of a row's texts add to their scores, by text."""
         order = np.argsort(asked)  # looked up one after the other, not here and there
-        place, of = _find(key, asked[order]), text[order]
-        own = owns[place]
+        place, of = _find(self.keys, asked[order]), text[order]
+        counts, values = self.of[WORDS][place], self.of[SEQUENCES][place]
+        own = np.log10(counts + 1.0)
         n = int(text[-1]) + 1 if len(text) else 0  # they are in order
         some = np.flatnonzero(np.bincount(of, minlength=n))
-        total = lambda x: np.bincount(of, x, n)[some]  # noqa: B023, E731
-        is_known = total(counts[place] > 0).astype(np.int64)
-        out.append((row.as_py() + some, is_known, total(own), total(own + values[place])))
-    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 2 + [np.empty(0)] * 2
-    return pa.table([pa.array(c) for c in columns], ["row", "n_known", "base", "score"])
+        total = lambda x: np.bincount(of, x, n)[some]
+        return row + some, total(counts > 0).astype(np.int64), total(own), total(own + values)
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What the texts' sequences add to their scores. Rows of PACKED come by segment
+    and `row`: all that the tree has of a segment, then the texts' rows, each of which
+    is answered when it comes."""
+    at, packed, known = None, {}, None
+    for batch in batches:
+        out = []
+        numbers = (batch.column(c).to_pylist() for c in ("segment", "row"))
+        arrays = (batch.column(c) for c in ("more", "keys"))
+        for segment, row, more, keys in zip(*numbers, *arrays, strict=True):
+            if segment != at:
+                at, packed, known = segment, {kind: [] for kind in KINDS}, None
+            keys = np.frombuffer(keys.as_buffer(), np.int64)
+            if row < 0:
+                packed[row].append((keys, np.frombuffer(more.as_buffer(), KINDS[row])))
+                continue
+            if known is None:
+                known = _Known(packed)
+                packed.clear()
+            out.append(known.answer(row, np.frombuffer(more.as_buffer(), np.uint32), keys))
+        if out:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)]
+            yield pa.record_batch(columns, ["row", "n_known", "base", "score"])
 
 
 def score_texts(texts: DataFrame, tree: Tree) -> DataFrame:
@@ -563,27 +625,23 @@ def score_texts(texts: DataFrame, tree: Tree) -> DataFrame:
         -log10(tree.whole),
         keys,
         values["value"].to_numpy(),
-        Filter.holding(keys),
-        key_filter(light, n_light),
     )
     shared = spark.sparkContext.broadcast(held)
+    heavy_keys = SharedFilter(spark.sparkContext, Filter.holding(keys))
+    others = SharedFilter(spark.sparkContext, key_filter(light, n_light))
     _free_shuffles(spark)
     texts, _ = _in_tasks(texts)
     n_known = tree.n_words + n_light
     n_segments = max(LEAST_SEGMENTS, ceil(n_known / SEGMENT_ROWS))
-    word = [F.col("n").alias("count"), F.lit(0.0).alias("value")]
-    other = [F.lit(0).cast("long").alias("count"), "value"]
-    segment = F.pmod("key", F.lit(n_segments)).cast("int").alias("segment")
-    known = tree.words.where(F.col("n") < tree.heavy).select(segment, "key", *word)
-    known = known.union(light.select(segment, "key", *other))
+    words = tree.words.where(F.col("n") < tree.heavy).select("key", "n")
+    packed = words.mapInArrow(_packer(WORDS, n_segments), PACKED)
+    packed = packed.union(light.select("key", "value").mapInArrow(_packer(SEQUENCES, n_segments), PACKED))
     lines = texts.drop("carried")
-    answers = (
-        known.groupBy("segment")
-        .cogroup(lines.mapInArrow(_requester(shared, n_segments), REQUESTS).groupBy("segment"))
-        .applyInArrow(_answer, "row long, n_known long, base double, score double")
-    )
+    packed = packed.union(lines.mapInArrow(_requester(shared, others, n_segments), PACKED))
+    dealt = packed.repartitionById(n_segments, "segment").sortWithinPartitions("segment", "row")
+    answers = dealt.mapInArrow(_answers, ANSWERS)
     kind = texts.schema["carried"].dataType.elementType.simpleString()
-    own = texts.mapInArrow(_own_scorer(shared), SCORED.format(kind))
+    own = texts.mapInArrow(_own_scorer(shared, heavy_keys), SCORED.format(kind))
     return (
         own.unionByName(answers, allowMissingColumns=True)
         .groupBy("row")
