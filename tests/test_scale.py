@@ -144,3 +144,26 @@ def test_landing_sorts_nothing_but_rows_of_too_many_periods(spark, folder, monke
     assert sorted(int(r["user_id"][1:]) for r in rows.select("user_id").collect()) == [*range(100)]
     assert len(list(Path(lake.table("users")).rglob("part-*.parquet"))) == 5
     spark.conf.unset(ingest.OPEN_FILES_SETTING)
+
+
+def test_a_small_batch_is_one_file_beside_a_large_table(spark, folder, monkeypatch):
+    """And of a batch that touches all buckets nothing is asked but its size."""
+    monkeypatch.setattr(keyed, "BUCKET_ROWS", 100)
+    store = keyed.KeyedStore("users", folder)
+    asked = []
+    touched = keyed.Runs.touched
+    monkeypatch.setattr(keyed.Runs, "touched", lambda self, *a: asked.append(a) or touched(self, *a))
+    landed = lambda numbers, day: _users(spark, numbers, day).withColumn(LANDED_AT, F.current_timestamp())
+    follow_batch(landed(range(1000), 2), 0, store)
+    (large,) = store.note(spark).runs
+    assert (large.buckets, large.rows) == (16, 1000)
+    asked.clear()
+    follow_batch(landed(range(960, 1020), 1), 1, store)  # 40 keys are there, later
+    large, small = store.note(spark).runs
+    assert (small.buckets, small.rows, len(asked)) == (1, 60, 1)
+    asked.clear()
+    follow_batch(landed(range(0, 600), 1), 2, store)
+    assert not asked
+    rows = store.runs.read(spark, store.note(spark).runs)
+    assert rows.count() == 1020
+    assert rows.where(F.dayofmonth("registered_at") == 1).count() == 600 + 60
